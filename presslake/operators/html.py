@@ -51,7 +51,8 @@ def replacements() -> list[tuple[str, str]]:
     return chain
 
 
-_TIDY = [(r"[ \t]+", " "), (r" ?\n ?", "\n"), (r"\n(?:#{1,6}|-|\|)?\n", "\n\n"), (r"\n{2,}", "\n"), (r"^[ \n]+|[ \n]+$", "")]
+# Blanks and empty lines out, lone line marks too.
+TIDY = [(r"[ \t]+", " "), (r" ?\n ?", "\n"), (r"\n(?:#{1,6}|-|\|)?\n", "\n\n"), (r"\n{2,}", "\n"), (r"^[ \n]+|[ \n]+$", "")]
 
 
 def html_text(html: Column) -> Column:
@@ -61,7 +62,7 @@ def html_text(html: Column) -> Column:
         text = F.regexp_replace(text, pattern, by.replace("%1", "$1"))
     for name, char in ENTITIES:
         text = F.replace(text, F.lit(name), F.lit(char))
-    for pattern, by in _TIDY:
+    for pattern, by in TIDY:
         text = F.regexp_replace(text, pattern, by)
     return F.when(text != "", text)
 
