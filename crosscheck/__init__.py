@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from importlib import import_module
 
-MODULES = ["reports", "scalars", "upkeep", "texts"]
+MODULES = ["reports", "scalars", "upkeep", "texts", "stages"]
 
 
 def all_cases() -> tuple[dict[str, Callable], dict[str, str]]:

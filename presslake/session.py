@@ -16,6 +16,8 @@ _SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Splits an oversized join partition, e.g. many pages that lead to one URL.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Also where that costs a shuffle, e.g. a join on domain followed by sums per domain.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 
