@@ -21,13 +21,12 @@ def _quoted(value: str) -> str:
 def html_sql(column: str) -> str:
     """The extractor's replacement chain as nested SQL calls."""
     made = column
-    for pattern, by in html.replacements():
-        made = f"regexp_replace({made}, {_quoted(pattern)}, {_quoted(by.replace('%1', chr(92) + '1'))}, 'g')"
-    for name, char in html.ENTITIES:
-        made = f"replace({made}, {_quoted(name)}, {_quoted(char)})"
-    for pattern, by in html.TIDY:
-        made = f"regexp_replace({made}, {_quoted(pattern)}, {_quoted(by)}, 'g')"
-    return f"nullif({made}, '')"
+    for is_pattern, what, by in html.CHAIN:
+        if is_pattern:
+            made = f"regexp_replace({made}, {_quoted(what)}, {_quoted(by.replace('%1', chr(92) + '1'))}, 'g')"
+        else:
+            made = f"replace({made}, {_quoted(what)}, {_quoted(by)})"
+    return f"nullif(trim({made}, E' \\n'), '')"
 
 
 @case("html_extract", f"select page_id, {html_sql('html')} as content from pages")

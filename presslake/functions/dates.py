@@ -34,20 +34,29 @@ _SHAPES = [
 ]
 
 
+def _bare(text: Column) -> Column:
+    has_cdata = text.contains("<![CDATA[") & text.contains("]]>")
+    without = F.replace(F.replace(text, F.lit("<![CDATA["), F.lit("")), F.lit("]]>"), F.lit(""))
+    untagged = F.regexp_replace(F.when(has_cdata, without).otherwise(text), r"<[^>]+>", "")
+    return F.regexp_replace(untagged, r"^[ \t\r\n]+|[ \t\r\n]+$", "")
+
+
+def _usable(texts: Column) -> Column:
+    """Cleaned entries of an array of date texts, without empty ones and placeholders.
+
+    Cleaning, testing and reading are passes of their own over the array, so
+    that each step works on the result of the one before instead of redoing it.
+    """
+    return F.filter(F.transform(texts, _bare), lambda t: (t != "") & ~t.isin(PLACEHOLDER_DATES))
+
+
 def clean_date_text(text: Column) -> Column:
     """Text without CDATA marks, tags and outer blanks; NULL when empty or a placeholder."""
-    has_cdata = text.contains("<![CDATA[") & text.contains("]]>")
-    bare = F.when(has_cdata, F.replace(F.replace(text, F.lit("<![CDATA["), F.lit("")), F.lit("]]>"), F.lit(""))).otherwise(text)
-    bare = F.regexp_replace(bare, r"<[^>]+>", "")
-    bare = F.regexp_replace(bare, r"^[ \t\r\n]+|[ \t\r\n]+$", "")
-    return F.when((bare != "") & ~bare.isin(PLACEHOLDER_DATES), bare)
+    return F.get(_usable(F.array(text)), F.lit(0))
 
 
-def parse_utc(text: Column) -> Column:
-    """Timestamp of a date text; a text with an offset is moved to UTC, one without is UTC."""
-    clean = clean_date_text(text)
-    plain = F.regexp_replace(clean, _WEEKDAY, "")
-    parsed = F.when(clean.rlike(_ISO_SHAPE), clean.try_cast("timestamp"))
+def _read(plain: Column) -> Column:
+    parsed = F.when(plain.rlike(_ISO_SHAPE), plain.try_cast("timestamp"))
     for shape, pattern in _SHAPES:
         parsed = parsed.when(plain.rlike(shape), F.try_to_timestamp(plain, F.lit(pattern)))
     return parsed
@@ -55,7 +64,14 @@ def parse_utc(text: Column) -> Column:
 
 def first_date(texts: Column) -> Column:
     """First entry of an array of date texts that can be read as a date."""
-    return F.get(F.filter(F.transform(texts, parse_utc), lambda d: d.isNotNull()), F.lit(0))
+    plain = F.transform(_usable(texts), lambda t: F.regexp_replace(t, _WEEKDAY, ""))
+    read = F.transform(plain, _read)
+    return F.get(F.filter(read, lambda d: d.isNotNull()), F.lit(0))
+
+
+def parse_utc(text: Column) -> Column:
+    """Timestamp of a date text; a text with an offset is moved to UTC, one without is UTC."""
+    return first_date(F.array(text))
 
 
 def min_date(as_of: dt.datetime | Column, months: int = 12) -> Column:

@@ -15,56 +15,65 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Elements dropped with all they contain.
-FURNITURE = ["script", "style", "noscript", "template", "svg", "iframe", "nav", "aside",
+FURNITURE = ["head", "script", "style", "noscript", "template", "svg", "iframe", "nav", "aside",
              "header", "footer", "form", "button", "figure"]
 
-# Elements that end a line.
-BLOCKS = "p|div|section|article|main|ul|ol|table|tbody|thead|blockquote|pre|dl|dt|dd|body|html|br|hr"
+# Elements that end a line where they open or close.
+BLOCKS = ["p", "div", "section", "article", "main", "ul", "ol", "table", "tbody", "thead", "blockquote", "pre",
+          "dl", "dt", "dd", "body", "html", "br", "hr"]
 
 # Named characters; &amp; comes last so "&amp;lt;" stays "&lt;".
 ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
             ("&copy;", "©"), ("&middot;", "·"), ("&ndash;", "–"), ("&mdash;", "—"), ("&hellip;", "…"),
             ("&laquo;", "«"), ("&raquo;", "»"), ("&amp;", "&")]
 
+_DROPPED = "|".join(
+    ["!--.*?--"] + [rf"{tag}(?:[ \t\r\n][^>]*)?>.*?</{tag}[ \t\r\n]*" for tag in FURNITURE]
+)
 
-def replacements() -> list[tuple[str, str]]:
-    """The pattern chain, in order; the patterns mean the same to Java and RE2."""
-    # One pass for all of them: whichever opens first swallows what it holds.
-    dropped = [r"<!--.*?-->"] + [rf"<{tag}(?:[ \t\r\n][^>]*)?>.*?</{tag}[ \t\r\n]*>" for tag in FURNITURE]
-    chain = [("(?is)" + "|".join(dropped), "")]
+# Steps as (pattern, replacement), each one pass over the text; the patterns mean the
+# same to Java and RE2, and "%1" is the first group.
+_TAGS = [
+    # Whichever of the dropped elements opens first swallows what it holds.
+    (rf"(?is)<(?:{_DROPPED})>", ""),
     # Only the article when there is one.
-    chain += [(r"(?is)^.*?<article(?:[ \t\r\n][^>]*)?>(.*)</article[ \t\r\n]*>.*$", "<body>%1</body>")]
-    # Without an article the head and anything in front of the body goes.
-    chain += [(r"(?is)<head(?:[ \t\r\n][^>]*)?>.*?</head[ \t\r\n]*>", "")]
-    chain += [(r"[ \t\r\n]+", " ")]
-    chain += [(rf"(?i)<h{n}(?: [^>]*)?>", "\n" + "#" * n + " ") for n in range(1, 7)]
-    chain += [
-        (r"(?i)</h[1-6] ?>", "\n"),
-        (r"(?i)<li(?: [^>]*)?>", "\n- "),
-        (r"(?i)</li ?>", "\n"),
-        (r"(?i)<tr(?: [^>]*)?>", "\n| "),
-        (r"(?i)</t[dh] ?>", " | "),
-        (r"(?i)</tr ?>", "\n"),
-        (rf"(?i)</?(?:{BLOCKS})(?: [^>]*)?/?>", "\n"),
-        (r"<[^>]*>", ""),
-    ]
-    return chain
-
-
-# Blanks and empty lines out, lone line marks too.
-TIDY = [(r"[ \t]+", " "), (r" ?\n ?", "\n"), (r"\n(?:#{1,6}|-|\|)?\n", "\n\n"), (r"\n{2,}", "\n"), (r"^[ \n]+|[ \n]+$", "")]
+    (r"(?is)^.*?<article(?:[ \t\r\n][^>]*)?>(.*)</article[ \t\r\n]*>.*$", "%1"),
+    # Blanks to single spaces; single spaces, the most common, are left alone.
+    (r"[\t\r\n][ \t\r\n]*| [ \t\r\n]+", " "),
+    (r"(?i)<h([1-6])(?: [^>]*)?>", "\n<%1>"),
+]
+_HEADINGS = [(f"\n<{n}>", "\n" + "#" * n + " ") for n in range(1, 7)]
+_LINES = [
+    (r"(?i)<li(?: [^>]*)?>", "\n- "),
+    (r"(?i)<tr(?: [^>]*)?>", "\n| "),
+    (r"(?i)</t[dh] ?>", " | "),
+    (rf"(?i)<(?:/?(?:{'|'.join(BLOCKS)})(?: [^>]*)?/?|/(?:h[1-6]|li|tr) ?)>", "\n"),
+    (r"<[^>]*>", ""),
+]
+_TIDY = [
+    (r"[ \t]{2,}", " "),
+    (r" *\n[ \n]*", "\n"),
+    # Marks of headings, items and rows without text.
+    (r"(?:\n(?:#{1,6}|-|\|))+\n", "\n"),
+]
+
+# (is a pattern, what, replacement)
+CHAIN = (
+    [(True, *step) for step in _TAGS] + [(False, *step) for step in _HEADINGS] + [(True, *step) for step in _LINES]
+    + [(False, *step) for step in ENTITIES] + [(True, *step) for step in _TIDY]
+)
 
 
 def html_text(html: Column) -> Column:
     """Text of an HTML column; NULL where nothing is left."""
     text = html
-    for pattern, by in replacements():
-        text = F.regexp_replace(text, pattern, by.replace("%1", "$1"))
-    for name, char in ENTITIES:
-        text = F.replace(text, F.lit(name), F.lit(char))
-    for pattern, by in TIDY:
-        text = F.regexp_replace(text, pattern, by)
-    return F.when(text != "", text)
+    for is_pattern, what, by in CHAIN:
+        if is_pattern:
+            text = F.regexp_replace(text, what, by.replace("%1", "$1"))
+        else:
+            text = F.replace(text, F.lit(what), F.lit(by))
+    # nullif evaluates the chain once; when(text != "", text) would run it twice.
+    return F.nullif(F.btrim(text, F.lit(" \n")), F.lit(""))
 
 
 def html_extract(

@@ -13,8 +13,8 @@ import pandas as pd
 
 from presslake.operators.html import BLOCKS, FURNITURE
 
-_DROPPED = set(FURNITURE) | {"head"}
-_BREAKS = set(BLOCKS.split("|"))
+_DROPPED = set(FURNITURE)
+_BREAKS = set(BLOCKS)
 
 
 class _Text(HTMLParser):

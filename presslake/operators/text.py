@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from presslake.functions.tokens import MAX_TOKENS, TOKEN_PATTERN, count_tokens, tokens
+from presslake.functions.tokens import MAX_TOKENS, TOKEN_PATTERN, WORD_PATTERN, count_tokens, tokens
 
 
 def text_dedup_blocks(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -25,7 +25,8 @@ def text_dedup_blocks(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     trimmed = F.transform(F.split(text_col, "\n"), lambda line: F.btrim(line, F.lit(" \t\r")))
     lines = F.array_distinct(F.filter(trimmed, lambda line: line != ""))
     docs = df.select(id_col, lines.alias("_lines"))
-    placed = docs.select(id_col, F.posexplode("_lines").alias("_place", "_line"))
+    # The outer form: for the plain one Spark would build the lines again to test for empty lists.
+    placed = docs.select(id_col, F.posexplode_outer("_lines").alias("_place", "_line")).where("_line is not null")
     # A document holds a line once, so the smallest id has exactly one place.
     first = placed.groupBy(F.unhex(F.md5("_line")).alias("_digest")).agg(
         F.min(id_col).alias(id_col), F.min_by("_place", id_col).alias("_place")
@@ -36,7 +37,7 @@ def text_dedup_blocks(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def token_count(
-    df: DataFrame, id_col: str, text_col: str, pattern: str = TOKEN_PATTERN,
+    df: DataFrame, id_col: str, text_col: str, pattern: str = WORD_PATTERN,
     fn: Callable[[pd.Series], pd.Series] | None = None,
 ) -> DataFrame:
     """``(id, tokens, chars)``; ``fn`` counts with a codec of one's own, texts in, numbers out."""

@@ -32,7 +32,11 @@ def xml_clean(body: Column) -> Column:
 
 
 def _parsed(documents: DataFrame, schema: str) -> DataFrame:
-    """Adds ``_doc``: parsed as is, else after ``xml_clean``; ``_doc._bad`` is set if both fail."""
+    """Adds ``_doc``: parsed as is, else after ``xml_clean``; ``_doc._bad`` is set if both fail.
+
+    Lists in it are unfolded with ``explode_outer``: for plain ``explode`` Spark
+    tests for empty lists first and would parse every document again for that.
+    """
     as_is = F.from_xml("body", F.lit(schema), _OPTIONS)
     retry = F.when(
         F.col("_doc._bad").isNotNull(), F.from_xml(F.btrim(xml_clean(F.col("body"))), F.lit(schema), _OPTIONS)
@@ -44,7 +48,7 @@ def sitemap_index_scan(documents: DataFrame) -> DataFrame:
     """Children of each sitemap index: ``(sitemap_url, child_url, lastmod_text)``."""
     return (
         _parsed(documents, _INDEX)
-        .select("sitemap_url", F.explode("_doc.sitemap").alias("s"))
+        .select("sitemap_url", F.explode_outer("_doc.sitemap").alias("s"))
         .select("sitemap_url", F.trim("s.loc").alias("child_url"), F.col("s.lastmod").alias("lastmod_text"))
         .where("child_url <> ''")
     )
@@ -56,7 +60,7 @@ def urlset_scan(documents: DataFrame) -> DataFrame:
     texts = F.array(f"u.{lead}", "u.news.publication_date", *[f"u.{tag}" for tag in others])
     return (
         _parsed(documents, _URLSET)
-        .select("sitemap_url", F.explode("_doc.url").alias("u"))
+        .select("sitemap_url", F.explode_outer("_doc.url").alias("u"))
         .select("sitemap_url", F.trim("u.loc").alias("page_url"), F.array_compact(texts).alias("date_texts"))
         .where("page_url <> ''")
     )
