@@ -1,18 +1,31 @@
 """Joins among the crawl tables.
 
 No side carries a broadcast hint: Spark broadcasts a side whose measured size is
-under its threshold and shuffles otherwise, and splits oversized partitions.
+under its threshold and shuffles otherwise. It also splits oversized partitions
+when both sides come straight from a shuffle; where one side is a sum or a
+distinct list it cannot, and ``spread_lookup`` does it beforehand.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from presslake.functions.predicates import is_listing_sitemap
 from presslake.operators.stored import raw_stored, text_not_empty
 
 
+def spread_lookup(rows: DataFrame, lookup: DataFrame, key: str, spread: Column, ways: int = 256) -> DataFrame:
+    """Left join to a short list with one row per ``key``, however many rows share a key.
+
+    Rows of a key are dealt into ``ways`` by the hash of ``spread``, and every
+    entry of the list is there once for each of the ways.
+    """
+    dealt = rows.withColumn("_way", F.pmod(F.xxhash64(spread), F.lit(ways)).cast("int"))
+    entries = lookup.withColumn("_way", F.explode(F.sequence(F.lit(0), F.lit(ways - 1))))
+    return dealt.join(entries, [key, "_way"], "left").drop("_way")
+
+
 def sitemap_domains(sitemaps: DataFrame) -> DataFrame:
     return sitemaps.select("id_sitemap", "domain")
 
@@ -81,10 +94,16 @@ def existing_key_lookup(delta: DataFrame, table: DataFrame, key: str, surrogate:
     return delta.join(table.select(key, surrogate), key, "left")
 
 
-def known_domain_semi(domains: DataFrame, sitemaps: DataFrame) -> DataFrame:
+def known_domains(sitemaps: DataFrame) -> DataFrame:
+    """``(domain, is_known)`` of every domain with a stored sitemap."""
+    return sitemaps.select("domain").distinct().withColumn("is_known", F.lit(True))
+
+
+def known_domain_semi(rows: DataFrame, sitemaps: DataFrame) -> DataFrame:
     """Adds ``is_new_domain``: no sitemap of that domain is stored."""
-    known = sitemaps.select("domain").distinct().withColumn("_known", F.lit(True))
-    return domains.join(known, "domain", "left").withColumn("is_new_domain", F.col("_known").isNull()).drop("_known")
+    spread = F.struct(*[F.col(c) for c in rows.columns])
+    found = spread_lookup(rows, known_domains(sitemaps), "domain", spread)
+    return found.withColumn("is_new_domain", F.col("is_known").isNull()).drop("is_known")
 
 
 def sitemap_parent_child(sitemaps: DataFrame) -> DataFrame:

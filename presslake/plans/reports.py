@@ -17,7 +17,7 @@ from presslake.functions.measures import (
     BATCH_DISCOUNT, PRICE_PER_MILLION_TOKENS, decimal_round, ratio, token_cost,
 )
 from presslake.functions.predicates import REPORT_DATE_FLOOR, on_or_after
-from presslake.operators.joins import sitemap_domains
+from presslake.operators.joins import known_domains, sitemap_domains, spread_lookup
 from presslake.operators.stored import text_not_empty, text_stored
 
 _COUNTS = ["total_pages", "pages_in_news_pages_content", "pages_with_non_empty_content", "pages_with_embeddings"]
@@ -117,10 +117,10 @@ def label_page_outcome(found: DataFrame, sitemaps: DataFrame, min_date: Column |
     stored sitemap are kept whatever their date.
     """
     floor = min_date if isinstance(min_date, Column) else F.lit(min_date)
-    known = sitemaps.select("domain").distinct().withColumn("_known", F.lit(True))
-    old = F.col("_known").isNotNull() & (F.col("publication_date") < floor)
+    old = F.col("is_known").isNotNull() & (F.col("publication_date") < floor)
     outcome = F.when(F.col("publication_date").isNull(), "no_date").when(old, "too_old").otherwise("keep")
-    return found.join(known, "domain", "left").withColumn("outcome", outcome).drop("_known")
+    judged = spread_lookup(found, known_domains(sitemaps), "domain", F.col("page_url"))
+    return judged.withColumn("outcome", outcome).drop("is_known")
 
 
 def sitemap_freshness(found: DataFrame, min_date: Column | dt.datetime) -> DataFrame:

@@ -144,8 +144,9 @@ def test_bucketed_tables_join_without_a_shuffle(shuffled_joins):
         spark.sql(f"drop table {name}")
 
 
-def test_a_hot_domain_is_split(shuffled_joins, tmp_path):
-    """A third of all pages in one domain: the join on domain splits its partition."""
+@pytest.fixture
+def tiny_partitions(shuffled_joins):
+    """Limits scaled down so that small test data counts as skewed."""
     spark = shuffled_joins
     small = {
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
@@ -157,19 +158,38 @@ def test_a_hot_domain_is_split(shuffled_joins, tmp_path):
     before = {key: spark.conf.get(key) for key in small}
     for key, value in small.items():
         spark.conf.set(key, value)
-    try:
-        found = spark.range(0, 60000, 1, 12).select(
-            F.concat(F.lit("https://p/"), "id").alias("page_url"),
-            F.when(F.col("id") % 3 == 0, "hot.com").otherwise(F.concat(F.lit("d"), F.col("id") % 500)).alias("domain"),
-            F.concat(F.lit("s"), F.col("id") % 900).alias("sitemap_url"),
-            F.timestamp_seconds(F.col("id") * 1000 + 1_700_000_000).alias("publication_date"),
-        )
-        known = spark.range(400).select(F.concat(F.lit("d"), "id").alias("domain")).union(spark.sql("select 'hot.com'"))
-        labelled = reports.label_page_outcome(found, known, min_date(F.lit("2024-06-01").cast("timestamp"), 0))
-        stats = reports.discovery_stats(labelled)
-        assert stats.agg(F.sum("pages_added") + F.sum("pages_skipped")).first()[0] == 60000
-        stats.collect()
-        assert "skew=true" in plan(stats)
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
+    yield spark
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def hot_pages(spark):
+    """Pages of which a third lie in one sitemap of one domain."""
+    return spark.range(0, 60000, 1, 12).select(
+        F.col("id").alias("id_page"), F.concat(F.lit("https://p/"), "id").alias("page_url"),
+        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 500).alias("id_sitemap"),
+        F.when(F.col("id") % 3 == 0, "hot.com").otherwise(F.concat(F.lit("d"), F.col("id") % 500)).alias("domain"),
+        F.concat(F.lit("s"), F.col("id") % 900).alias("sitemap_url"),
+        F.timestamp_seconds(F.col("id") * 1000 + 1_700_000_000).alias("publication_date"),
+    )
+
+
+def test_the_page_join_splits_a_hot_sitemap(tiny_partitions):
+    spark = tiny_partitions
+    sitemaps = spark.range(-1, 500).select(F.col("id").alias("id_sitemap"), F.concat(F.lit("d"), "id").alias("domain"))
+    joined = joins.pages_with_domain(hot_pages(spark).drop("domain"), sitemaps)
+    assert len(joined.collect()) == 60000
+    assert "skew=true" in plan(joined)
+
+
+def test_a_hot_domain_is_dealt_over_many_tasks(tiny_partitions):
+    spark = tiny_partitions
+    known = spark.range(400).select(F.concat(F.lit("d"), "id").alias("domain")).union(spark.sql("select 'hot.com'"))
+    floor = min_date(F.lit("2024-06-01").cast("timestamp"), 0)
+    labelled = reports.label_page_outcome(hot_pages(spark), known, floor)
+    sizes = [r[0] for r in labelled.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert sum(sizes) == 60000 and max(sizes) < 3 * 60000 / 16
+    old = (F.col("publication_date") < floor) & ((F.col("domain") == "hot.com") | (F.substring("domain", 2, 9).try_cast("int") < 400))
+    expected = hot_pages(spark).select(F.count_if(old), F.count_if(~old)).first()
+    stats = reports.discovery_stats(labelled).agg(F.sum("pages_skipped"), F.sum("pages_added")).first()
+    assert tuple(stats) == tuple(expected)
