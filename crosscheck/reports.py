@@ -1,4 +1,9 @@
-"""Reports, run statistics, joins, queues and filters against SQL."""
+"""Reports, run statistics, joins, queues and filters against SQL.
+
+Every query reads its tables whole. Where a case needs something to be absent,
+say a domain without a stored sitemap, a modulus decides which rows of the
+derived table count as stored.
+"""
 
 from __future__ import annotations
 
@@ -138,8 +143,8 @@ def sitemap_url_exclude(t: Tables) -> DataFrame:
 
 _PREVIOUS = """select sitemap_url, bool_and(pos % 5 = 0) as is_master,
   case when min(pos) % 3 = 0 then null else min(pos) % 2 = 0 end as is_fresh
-  from (select sitemap_url, cast(regexp_extract(sitemap_url, 'sm-([0-9]+)', 1) as int) as pos from v_urlset)
-  where pos % 4 <> 0 group by sitemap_url"""
+  from (select sitemap_url, cast(regexp_extract(sitemap_url, 'sm-([0-9]+)', 1) as int) as pos from v_urlset where publication_date > date '2023-02-01')
+  group by sitemap_url"""
 
 
 @case("sitemap_stale_exclude", f"""
@@ -188,8 +193,8 @@ def unembedded_anti(t: Tables) -> DataFrame:
     return joins.unembedded_anti(t("v_news_pages_content").select("id_page"), t("v_content_embeddings"))
 
 
-# Jobs of 25 pages each: every third page of the documents, two of three jobs pending.
-_JOBS = """select 'job-' || cast(floor(doc_id / 75) as int) as batch_id, cast(floor(doc_id / 75) as int) as job_no, doc_id from documents where doc_id % 3 = 1"""
+# All pages in jobs of 75, two of three jobs pending.
+_JOBS = """select 'job-' || cast(floor(doc_id / 75) as int) as batch_id, cast(floor(doc_id / 75) as int) as job_no, doc_id from documents"""
 _PENDING = f"select doc_id from ({_JOBS}) where job_no % 3 <> 0"
 
 

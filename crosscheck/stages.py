@@ -18,45 +18,53 @@ from presslake.schemas import TABLES
 from presslake.sources import jobs, tables
 from presslake.streaming import incremental
 
-# Discovery: one index per domain, its sitemaps as files, pages with and without dates.
-
-_MASTERS = "select 'https://' || domain || '/index.xml' as url, domain from v_sitemaps"
+# Discovery: files of at most 25 pages, listed in indexes of at most 50 files. Every
+# second file of a domain holds pages two years older than the rest.
+
+_MAPS = """select source || '.example.com' as domain,
+  'https://' || source || '.example.com/index-' || cast(floor(doc_id / 25000) as int) || '.xml' as index_url,
+  'https://' || source || '.example.com/sm-' || cast(floor(doc_id / 500) as int) || '.xml' as sitemap_url,
+  'https://' || source || '.example.com/' || doc_id as page_url,
+  case when doc_id % 7 = 0 then null when floor(doc_id / 500) % 2 = 1 then cast('2021-01-01' as date) + cast((doc_id * 7) % 730 as int)
+    else cast('2023-01-01' as date) + cast((doc_id * 7) % 730 as int) end as publication_date
+  from documents"""
 _KNOWN = "select * from v_sitemaps where id_sitemap % 5 <> 0"
-_STALE = "select distinct sitemap_url from v_urlset where regexp_extract(sitemap_url, 'sm-([0-9]+)', 1) in ('4', '14')"
-_OLD_PAGES = "select cast(id_page as bigint) as id_page, cast(id_sitemap as bigint) as id_sitemap, page_url, cast(publication_date as timestamp) as publication_date, is_error, cast(null as timestamp) as created_at from v_news_pages where id_page % 4 = 0"
+# Files of known domains that an earlier run found stale.
+_STALE = f"""select distinct sitemap_url, domain from ({_MAPS}) where cast(regexp_extract(sitemap_url, 'sm-([0-9]+)', 1) as int) % 6 = 3
+  and domain in (select domain from ({_KNOWN}))"""
+_OLD_PAGES = """select cast(id_page as bigint) as id_page, cast(id_sitemap as bigint) as id_sitemap, page_url, cast(publication_date as timestamp) as publication_date,
+  is_error, cast(null as timestamp) as created_at from v_news_pages where publication_date < date '2024-07-01'"""
 _SEEN = f"""
-select u.*, k.domain is null as is_new from v_urlset u left join (select distinct domain from ({_KNOWN})) k on k.domain = u.domain
-where u.sitemap_url not in ({_STALE}) or k.domain is null"""
+select u.*, k.domain is null as is_new from ({_MAPS}) u left join (select distinct domain from ({_KNOWN})) k on k.domain = u.domain
+where u.sitemap_url not in (select sitemap_url from ({_STALE}))"""
 _FRESH = f"select sitemap_url from ({_SEEN}) group by 1 having bool_or(is_new) or coalesce(bool_or(publication_date >= {_FLOOR}), false)"
 _FOUND = f"""
 select s.domain, s.page_url, s.publication_date, case when s.publication_date is null then 'no_date'
   when not is_new and s.publication_date < {_FLOOR} then 'too_old'
-  when s.page_url in (select page_url from v_news_pages where id_page % 4 = 0) then 'existing' else 'keep' end as outcome
+  when s.page_url in (select page_url from ({_OLD_PAGES})) then 'existing' else 'keep' end as outcome
 from ({_SEEN}) s where s.sitemap_url in ({_FRESH})"""
 
 
 def _discovered(t: Tables) -> discovery.Discovery:
-    maps = t("v_urlset")
+    maps = t.sql(_MAPS)
     entry = F.concat(
         F.lit("<url><loc>"), "page_url", F.lit("</loc>"),
         F.coalesce(F.concat(F.lit("<lastmod>"), F.col("publication_date").cast("string"), F.lit("</lastmod>")), F.lit("")),
         F.lit("</url>"),
     )
-    # A sitemap file holds at most one page in fifty of a source, far below the format's limit.
     files = maps.groupBy("sitemap_url").agg(
         F.concat(F.lit("<urlset>"), F.array_join(F.collect_list(entry), ""), F.lit("</urlset>")).alias("body")
     )
-    masters = t.sql(_MASTERS)
     child = F.concat(F.lit("<sitemap><loc>"), "sitemap_url", F.lit("</loc></sitemap>"))
-    indexes = maps.select("domain", "sitemap_url").distinct().groupBy("domain").agg(
+    indexes = maps.select("index_url", "sitemap_url").distinct().groupBy(F.col("index_url").alias("sitemap_url")).agg(
         F.concat(F.lit("<sitemapindex>"), F.array_join(F.collect_list(child), ""),
                  F.lit("<sitemap><loc>https://x.example.com/author/a.xml</loc></sitemap></sitemapindex>")).alias("body")
-    ).join(masters, "domain").select(F.col("url").alias("sitemap_url"), "body")
+    )
     known = t.sql(f"""select cast(id_sitemap as bigint) as id_sitemap, domain, sitemap_url, is_master, cast(null as bigint) as parent_id,
       cast(null as timestamp) as last_mod, is_fresh, cast(null as timestamp) as created_at, cast(null as timestamp) as processed_at from ({_KNOWN})
-      union all select 1000 + row_number() over (order by sitemap_url), regexp_extract(sitemap_url, 'https://([^/]+)', 1), sitemap_url, false, null, null, false, null, null
-      from ({_STALE}) where regexp_extract(sitemap_url, 'https://([^/]+)', 1) in (select domain from ({_KNOWN}))""")
-    return discovery.discover(masters.select("url"), files.unionByName(indexes), known, t.sql(_OLD_PAGES), AS_OF)
+      union all select xxhash64(sitemap_url), domain, sitemap_url, false, null, null, false, null, null from ({_STALE})""")
+    seeds = indexes.select(F.col("sitemap_url").alias("url"))
+    return discovery.discover(seeds, files.unionByName(indexes), known, t.sql(_OLD_PAGES), AS_OF)
 
 
 @case("discover", f"select domain, outcome, count(*) as pages, min(publication_date) as first_date from ({_FOUND}) group by 1, 2")
@@ -68,7 +76,7 @@ def discover(t: Tables) -> DataFrame:
 
 @case("discover_pages", f"""
 select page_url, publication_date, true as is_new from ({_FOUND}) where outcome = 'keep'
-union all select page_url, publication_date, false from v_news_pages where id_page % 4 = 0""")
+union all select page_url, cast(publication_date as date), false from ({_OLD_PAGES})""")
 def discover_pages(t: Tables) -> DataFrame:
     pages = _discovered(t).pages
     return pages.select(
@@ -176,6 +184,37 @@ def embed_batch_check(t: Tables) -> DataFrame:
     return made.registry.select("batch_id", "status", "list_name", "processed_count")
 
 
+@case("embed_batch_full", f"""
+select 'run-' || batch_no as batch_id, 'pending' as list_name, count(*) as pages, cast(null as bigint) as processed_count from (
+  select cast(floor((row_number() over (order by publication_date desc nulls first, id_page) - 1) / {BATCH}) as bigint) as batch_no
+  from ({_EMBED} and npc.id_page not in (select vec_id from embeddings) {_EMBED_END})) group by batch_no
+union all select 'job-' || batch_no, case when s = 'completed' then 'completed' when s = 'failed' then 'failed' else 'pending' end, n,
+  case when s = 'completed' then ok end from (select batch_no, {_REPORTED} as s, count(*) as n, count(*) filter (where error is null and status_code = 200) as ok
+  from ({_BATCHES}) join ({_RESULTS}) using (id_page) group by 1)""")
+def embed_batch_full(t: Tables) -> DataFrame:
+    """New jobs for pages in no pending job, then the finished ones taken in."""
+    sitemaps, pages, content, embeddings = t.crawl()
+    registry = _vector_jobs(t)
+    batch_no = F.regexp_extract("batch_id", r"(\d+)$", 1).cast("int").alias("batch_no")
+    statuses = registry.select("batch_id", batch_no).select("batch_id", F.expr(_REPORTED).alias("status"))
+    stored = embeddings.select(F.col("id_page").alias("id"), "id_page", "embedding")
+    _, checked = embed.embed_batch_full(
+        sitemaps, pages, content, stored, registry, statuses, parsed_results(t), None, AS_OF, "run", limit=LIMIT, size=BATCH
+    )
+    return checked.registry.select("batch_id", "list_name", F.size("page_ids").cast("bigint").alias("pages"), "processed_count")
+
+
+@case("embed_batch_status", """
+select 'counts' as part, list_name as name, count(*) as n from (
+  select distinct floor(doc_id / 75)::int as job_no, case when floor(doc_id / 75)::int % 3 <> 0 then 'pending'
+    when floor(doc_id / 75)::int % 2 = 0 then 'completed' else 'failed' end as list_name from documents) group by 2
+union all select 'pending', 'job-' || floor(doc_id / 75)::int, count(*) from documents where floor(doc_id / 75)::int % 3 <> 0 group by 2""")
+def embed_batch_status(t: Tables) -> DataFrame:
+    made = embed.embed_batch_status(job_registry(t), AS_OF)
+    counts = made["counts"].where("jobs > 0").select(F.lit("counts").alias("part"), F.col("list_name").alias("name"), F.col("jobs").alias("n"))
+    return counts.unionByName(made["pending"].select(F.lit("pending").alias("part"), F.col("batch_id").alias("name"), F.col("pages").alias("n")))
+
+
 # Files and streams ---------------------------------------------------------------
 
 def _results_dir(t: Tables) -> str:
@@ -191,15 +230,15 @@ def batch_result_files(t: Tables) -> DataFrame:
     return rows.select("id_page", (F.col("error").isNull() & (F.col("status_code") == 200)).alias("ok"))
 
 
-@case("batch_error_scan", "select vec_id as id_page, 'rate limit' as message from embeddings where vec_id % 6 = 1")
+@case("batch_error_scan", "select vec_id as id_page, 'rate limit' as message from embeddings")
 def batch_error_scan(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "errors")
-    t.sql("select cast(vec_id as string) as custom_id, 'rate limit' as error from embeddings where vec_id % 6 = 1").write.json(path)
+    t.sql("select cast(vec_id as string) as custom_id, 'rate limit' as error from embeddings").write.json(path)
     return jobs.batch_error_scan(t.spark, path)
 
 
 @case("job_registry_scan", f"""
-select 'job-' || floor(doc_id / 75)::int as batch_id, count(*) as pages from documents where doc_id % 3 = 1 group by 1""")
+select 'job-' || floor(doc_id / 75)::int as batch_id, count(*) as pages from documents group by 1""")
 def job_registry_scan(t: Tables) -> DataFrame:
     """The registry written as one line per job list and read back."""
     path = scratch_path(t.spark, "registry")
@@ -230,7 +269,7 @@ def _stream(t: Tables, name: str) -> DataFrame:
 
 
 @case("stream_page_discovery", """
-select page_url, id_page % 4 = 0 as is_old from v_news_pages""")
+select page_url, coalesce(publication_date < date '2024-07-01', false) as is_old from v_news_pages""")
 def stream_page_discovery(t: Tables) -> DataFrame:
     root, state = scratch_path(t.spark, "pages"), scratch_path(t.spark, "state")
     incremental.write_base(t.sql(_OLD_PAGES), root)

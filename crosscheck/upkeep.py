@@ -32,9 +32,11 @@ def sitemap_insert_new(t: Tables) -> DataFrame:
     return merged.select("sitemap_url", "domain", "is_master", "is_fresh", F.col("created_at").isNotNull().alias("is_new"))
 
 
-_STORED_PAGES = "select cast(id_page as bigint) as id_page, cast(id_sitemap as bigint) as id_sitemap, page_url, cast(publication_date as timestamp) as publication_date, is_error, cast(null as timestamp) as created_at from v_news_pages where id_page % 4 <> 0"
+_ALL_PAGES = """select cast(id_page as bigint) as id_page, cast(id_sitemap as bigint) as id_sitemap, page_url,
+  cast(publication_date as timestamp) as publication_date, is_error, cast(null as timestamp) as created_at from v_news_pages"""
+_STORED_PAGES = f"{_ALL_PAGES} where publication_date < date '2024-07-01'"
 _FOUND_PAGES = """select page_url, 1 as id_sitemap, cast(publication_date as timestamp) as publication_date from v_urlset
-  union all select page_url, 2, cast(publication_date as timestamp) from v_news_pages where id_page % 10 < 5"""
+  union all select page_url, 2, cast(publication_date as timestamp) from v_news_pages"""
 
 
 @case("page_insert_new", f"""
@@ -62,7 +64,7 @@ def page_insert_outcomes(t: Tables) -> DataFrame:
 
 _STORED_CONTENT = """select cast(id_page as bigint) as id, cast(id_page as bigint) as id_page, page_url, cast(publication_date as timestamp) as publication_date,
   page_raw_content, content, content_length, cast(null as timestamp) as fetched_at from v_news_pages_content"""
-_FETCHED = "select page_id as id_page, url as page_url, cast('2024-06-01' as timestamp) as publication_date, html as page_raw_content from pages where page_id % 2 = 0"
+_FETCHED = "select page_id as id_page, url as page_url, cast('2024-06-01' as timestamp) as publication_date, html as page_raw_content from pages"
 
 
 @case("raw_upsert", f"""
@@ -79,8 +81,8 @@ def raw_upsert(t: Tables) -> DataFrame:
     )
 
 
-# Texts for every page without one, a cleared text for every 17th.
-_EXTRACTED = "select doc_id as id_page, case when doc_id % 17 = 0 then null else text end as content from documents where doc_id % 11 = 0 or doc_id % 17 = 0"
+# Texts for every page, but a cleared one for every 17th.
+_EXTRACTED = "select doc_id as id_page, case when doc_id % 17 = 0 then null else text end as content from documents where lang <> 'de'"
 
 
 @case("content_update", f"""
@@ -93,14 +95,14 @@ def content_update(t: Tables) -> DataFrame:
     return updated.select("id_page", F.md5("content").alias("text"), "content_length")
 
 
-_FLAGGED = "select doc_id as id_page, doc_id % 2 = 0 as is_error from documents where doc_id % 5 = 0"
+_FLAGGED = "select doc_id as id_page, n_chars > 1000 as is_error from documents where lang <> 'en'"
 
 
 @case("error_flag_update", f"""
 select np.id_page, case when d.id_page is null then np.is_error else d.is_error end as is_error
 from v_news_pages np left join ({_FLAGGED}) d on np.id_page = d.id_page""")
 def error_flag_update(t: Tables) -> DataFrame:
-    return merge.error_flag_update(t.sql(_STORED_PAGES.replace("id_page % 4 <> 0", "true")), t.sql(_FLAGGED)).select("id_page", "is_error")
+    return merge.error_flag_update(t.sql(_ALL_PAGES), t.sql(_FLAGGED)).select("id_page", "is_error")
 
 
 _JUDGED = "select sitemap_url, id_sitemap % 2 = 0 as is_fresh from v_sitemaps where id_sitemap % 3 <> 1"
@@ -119,12 +121,12 @@ _STORED_VECTORS = "select cast(id_page as bigint) as id, id_page, embedding from
 
 
 @case("embedding_upsert", """
-with d as (select vec_id as id_page, list_reverse(embedding) as embedding from embeddings where vec_id % 4 < 2), old as (select * from v_content_embeddings)
+with d as (select vec_id as id_page, list_reverse(embedding) as embedding from embeddings where label < 5), old as (select * from v_content_embeddings)
 select coalesce(d.id_page, old.id_page) as id_page, round(coalesce(d.embedding, old.embedding)[1]::double, 6) as first_value,
   coalesce(old.id_page, 0)::bigint as old_id
 from old full join d on old.id_page = d.id_page""")
 def embedding_upsert(t: Tables) -> DataFrame:
-    delta = t.sql("select vec_id as id_page, reverse(embedding) as embedding from embeddings where vec_id % 4 < 2")
+    delta = t.sql("select vec_id as id_page, reverse(embedding) as embedding from embeddings where label < 5")
     merged = merge.embedding_upsert(t.sql(_STORED_VECTORS), delta)
     kept_id = F.when(F.col("id") == F.col("id_page"), F.col("id")).otherwise(F.lit(0).cast("bigint"))
     return merged.select("id_page", F.round(F.get("embedding", F.lit(0)).cast("double"), 6).alias("first_value"), kept_id.alias("old_id"))
@@ -242,7 +244,7 @@ def parsed_results(t: Tables) -> DataFrame:
     return jobs.result_rows(lines)
 
 
-_RESULTS = "select vec_id as id_page, case when vec_id % 10 = 3 then 'bad input' end as error, case when vec_id % 10 = 7 then 429 else 200 end as status_code, embedding from embeddings"
+_RESULTS = "select vec_id as id_page, case when vec_id % 10 = 3 then 'bad input' end as error, case when vec_id % 10 = 7 then 429 else 200 end as status_code, embedding, label from embeddings"
 
 
 @case("batch_result_scan", f"select id_page, error, status_code, case when status_code = 200 and error is null then len(embedding)::int end as dim from ({_RESULTS})")
@@ -259,9 +261,9 @@ def result_ok(t: Tables) -> DataFrame:
 
 @case("batch_results_load", f"""
 select id_page, error is null and status_code = 200 as ok,
-  case when error is null and status_code = 200 then null when id_page % 4 = 3 then 'from file ' || id_page else error end as message from ({_RESULTS})""")
+  case when error is null and status_code = 200 then null when label < 5 then 'from file ' || id_page else error end as message from ({_RESULTS})""")
 def batch_results_load(t: Tables) -> DataFrame:
-    errors = t.sql("select vec_id as id_page, 'from file ' || vec_id as message from embeddings where vec_id % 4 = 3")
+    errors = t.sql("select vec_id as id_page, 'from file ' || vec_id as message from embeddings where label < 5")
     ok, failed = batches.batch_results_load(parsed_results(t), errors)
     return ok.select("id_page", F.lit(True).alias("ok"), F.lit(None).cast("string").alias("message")).unionByName(
         failed.select("id_page", F.lit(False).alias("ok"), "message")
@@ -280,7 +282,7 @@ def job_domain_outcomes(t: Tables) -> DataFrame:
 
 _JOB_LIST = """select distinct 'job-' || cast(floor(doc_id / 75) as int) as batch_id, cast(floor(doc_id / 75) as int) as job_no,
   case when floor(doc_id / 75)::int % 3 <> 0 then 'pending' when floor(doc_id / 75)::int % 2 = 0 then 'completed' else 'failed' end as list_name,
-  count(*) over (partition by floor(doc_id / 75)) as pages from documents where doc_id % 3 = 1"""
+  count(*) over (partition by floor(doc_id / 75)) as pages from documents"""
 _STATUS = "case job_no % 5 when 0 then 'completed' when 1 then 'expired' when 2 then 'in_progress' when 3 then 'cancelled' else 'completed' end"
 
 
