@@ -21,7 +21,7 @@ from presslake.streaming import incremental
 # Discovery: files of at most 25 pages, listed in indexes of at most 50 files. Every
 # second file of a domain holds pages two years older than the rest.
 
-_MAPS = """select source || '.example.com' as domain,
+_MAPS = """select source || '.example.com' as domain, cast(floor(doc_id / 500) as int) as file_no,
   'https://' || source || '.example.com/index-' || cast(floor(doc_id / 25000) as int) || '.xml' as index_url,
   'https://' || source || '.example.com/sm-' || cast(floor(doc_id / 500) as int) || '.xml' as sitemap_url,
   'https://' || source || '.example.com/' || doc_id as page_url,
@@ -30,7 +30,7 @@ _MAPS = """select source || '.example.com' as domain,
   from documents"""
 _KNOWN = "select * from v_sitemaps where id_sitemap % 5 <> 0"
 # Files of known domains that an earlier run found stale.
-_STALE = f"""select distinct sitemap_url, domain from ({_MAPS}) where cast(regexp_extract(sitemap_url, 'sm-([0-9]+)', 1) as int) % 6 = 3
+_STALE = f"""select distinct sitemap_url, domain from ({_MAPS}) where file_no % 6 = 3
   and domain in (select domain from ({_KNOWN}))"""
 _OLD_PAGES = """select cast(id_page as bigint) as id_page, cast(id_sitemap as bigint) as id_sitemap, page_url, cast(publication_date as timestamp) as publication_date,
   is_error, cast(null as timestamp) as created_at from v_news_pages where publication_date < date '2024-07-01'"""

@@ -15,6 +15,18 @@ from presslake.functions.predicates import is_listing_sitemap
 from presslake.operators.stored import raw_stored, text_not_empty
 
 
+def small_keys(df: DataFrame, key: str, max_bytes: int = 32 << 20) -> DataFrame | None:
+    """The keys of ``df`` marked for broadcast, or None when they are larger than ``max_bytes``.
+
+    The size is measured, not estimated: estimates of joined or aggregated tables
+    are mostly far too high, and a join re-planned at run time has by then
+    shuffled the large side already.
+    """
+    keys = df.select(key)
+    size = keys.agg(F.sum(F.octet_length(F.col(key).cast("string")) + 16)).first()[0] or 0
+    return F.broadcast(keys) if size <= max_bytes else None
+
+
 def spread_lookup(rows: DataFrame, lookup: DataFrame, key: str, spread: Column, ways: int = 256) -> DataFrame:
     """Left join to a short list with one row per ``key``, however many rows share a key.
 

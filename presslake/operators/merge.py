@@ -1,9 +1,10 @@
 """Keyed table maintenance: ``(stored table, delta, as_of) -> next table``.
 
-The stored table is the side that streams through; the delta is joined to it,
-so a delta small enough for Spark to broadcast leaves the stored bodies
-unshuffled. Tables bucketed by their key (``write_bucketed``) avoid the shuffle
-for large deltas as well.
+A run usually changes little of a large table. When the keys of the delta are
+small, by measure, they are broadcast: the stored rows pass by unshuffled, and
+only those with a key in the delta are joined to it. For a large delta both
+sides are shuffled by key once, or not at all on the stored side if that table
+is bucketed by the key (``write_bucketed``).
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from presslake.functions.measures import normalise_fresh
 from presslake.functions.urls import url_netloc
+from presslake.operators.joins import small_keys
 from presslake.operators.numbering import surrogate_keys
 
 
@@ -34,22 +36,31 @@ def _with_new_ids(stored: DataFrame, rows: DataFrame, surrogate: str, natural: s
     ).drop("_top", "_n")
 
 
-def _changed(stored: DataFrame, delta: DataFrame, key: str, changes: dict[str, Column]) -> DataFrame:
+def _changed(
+    stored: DataFrame, delta: DataFrame, key: str, changes: dict[str, Column], keys: DataFrame | None
+) -> DataFrame:
     """Stored rows with ``changes`` applied where the delta holds their key.
 
-    Delta columns are visible as ``_d.<name>``; rows without a match stay as they are.
+    Delta columns are visible as ``_d.<name>``; rows without a match stay as they
+    are. ``keys`` are the delta's keys if small enough to broadcast.
     """
     matched = delta.select(F.col(key).alias("_k"), F.struct(*delta.columns).alias("_d"))
-    joined = stored.join(matched, stored[key] == F.col("_k"), "left")
+    columns = [(changes[c] if c in changes else F.col(c)).alias(c) for c in stored.columns]
+    if keys is not None:
+        touched = stored.join(keys, key, "left_semi")
+        touched = touched.join(matched, F.col(key) == F.col("_k")).select(*columns)
+        return stored.join(keys, key, "left_anti").select(*stored.columns).unionByName(touched)
     hit = F.col("_k").isNotNull()
-    columns = [
-        F.when(hit, changes[c]).otherwise(F.col(c)).alias(c) if c in changes else F.col(c) for c in stored.columns
-    ]
-    return joined.select(*columns)
+    either = [F.when(hit, changes[c]).otherwise(F.col(c)).alias(c) if c in changes else F.col(c) for c in stored.columns]
+    return stored.join(matched, F.col(key) == F.col("_k"), "left").select(*either)
 
 
-def _absent(delta: DataFrame, stored: DataFrame, key: str) -> DataFrame:
-    return delta.join(stored.select(key), key, "left_anti")
+def _absent(delta: DataFrame, stored: DataFrame, key: str, keys: DataFrame | None) -> DataFrame:
+    """Delta rows whose key is not stored."""
+    known = stored.select(key)
+    if keys is not None:
+        known = known.join(keys, key, "left_semi")
+    return delta.join(known, key, "left_anti")
 
 
 def _filled(rows: DataFrame, like: DataFrame) -> DataFrame:
@@ -76,8 +87,8 @@ def sitemap_insert_new(stored: DataFrame, delta: DataFrame, as_of: dt.datetime |
     """
     seen = distinct_sitemaps(delta)
     masters = seen.where("is_master").select("sitemap_url")
-    kept = _changed(stored, masters, "sitemap_url", {"is_fresh": F.lit(True)})
-    new = _absent(seen, stored, "sitemap_url").withColumns({
+    kept = _changed(stored, masters, "sitemap_url", {"is_fresh": F.lit(True)}, small_keys(masters, "sitemap_url"))
+    new = _absent(seen, stored, "sitemap_url", small_keys(seen, "sitemap_url")).withColumns({
         "domain": url_netloc(F.col("sitemap_url")),
         "is_fresh": normalise_fresh(F.col("is_master"), F.coalesce("is_fresh", F.lit(False))),
         "created_at": _moment(as_of),
@@ -102,7 +113,8 @@ def page_insert_new(stored: DataFrame, delta: DataFrame, as_of: dt.datetime | Co
 
 def new_pages(stored: DataFrame, delta: DataFrame, as_of: dt.datetime | Column) -> DataFrame:
     """Only the rows ``page_insert_new`` adds."""
-    new = _absent(distinct_pages(delta), stored, "page_url").withColumns({
+    seen = distinct_pages(delta)
+    new = _absent(seen, stored, "page_url", small_keys(seen, "page_url")).withColumns({
         "is_error": F.lit(False), "created_at": _moment(as_of),
     })
     return _filled(_with_new_ids(stored, new, "id_page", "page_url"), stored)
@@ -128,13 +140,14 @@ def raw_upsert(stored: DataFrame, delta: DataFrame, as_of: dt.datetime | Column)
 
     ``delta``: ``id_page, page_url, publication_date, page_raw_content``, ``id_page`` distinct.
     """
+    keys = small_keys(delta, "id_page")
     kept = _changed(stored, delta, "id_page", {
         "page_url": F.col("_d.page_url"),
         "publication_date": F.col("_d.publication_date"),
         "page_raw_content": F.col("_d.page_raw_content"),
         "fetched_at": _moment(as_of),
-    })
-    new = _absent(delta, stored, "id_page").withColumn("fetched_at", _moment(as_of))
+    }, keys)
+    new = _absent(delta, stored, "id_page", keys).withColumn("fetched_at", _moment(as_of))
     return kept.unionByName(_filled(_with_new_ids(stored, new, "id", "id_page"), stored))
 
 
@@ -142,23 +155,24 @@ def content_update(stored: DataFrame, delta: DataFrame) -> DataFrame:
     """Set the text, and its length, of the pages in ``delta`` (``id_page, content``); no inserts."""
     return _changed(stored, delta, "id_page", {
         "content": F.col("_d.content"), "content_length": F.length("_d.content"),
-    })
+    }, small_keys(delta, "id_page"))
 
 
 def error_flag_update(pages: DataFrame, delta: DataFrame) -> DataFrame:
     """Set the error flag of the pages in ``delta`` (``id_page, is_error``)."""
-    return _changed(pages, delta, "id_page", {"is_error": F.col("_d.is_error")})
+    return _changed(pages, delta, "id_page", {"is_error": F.col("_d.is_error")}, small_keys(delta, "id_page"))
 
 
 def freshness_update(sitemaps: DataFrame, delta: DataFrame, as_of: dt.datetime | Column) -> DataFrame:
     """Set freshness and processing time of the sitemaps in ``delta`` (``sitemap_url, is_fresh``)."""
     return _changed(sitemaps, delta, "sitemap_url", {
         "is_fresh": F.col("_d.is_fresh"), "processed_at": _moment(as_of),
-    })
+    }, small_keys(delta, "sitemap_url"))
 
 
 def embedding_upsert(stored: DataFrame, delta: DataFrame) -> DataFrame:
     """Insert or replace the vectors in ``delta`` (``id_page, embedding``), ``id_page`` distinct."""
-    kept = _changed(stored, delta, "id_page", {"embedding": F.col("_d.embedding")})
-    new = _absent(delta, stored, "id_page")
+    keys = small_keys(delta, "id_page")
+    kept = _changed(stored, delta, "id_page", {"embedding": F.col("_d.embedding")}, keys)
+    new = _absent(delta, stored, "id_page", keys)
     return kept.unionByName(_filled(_with_new_ids(stored, new, "id", "id_page"), stored))

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from presslake.functions.urls import resolve_location, same_site
+from presslake.operators.joins import small_keys
+from presslake.session import materialize
 
 MAX_REDIRECTS = 5
 
@@ -29,36 +33,32 @@ def redirect_chain_resolve(log: DataFrame, starts: DataFrame | None = None, max_
     ``ok``, ``cross_domain`` (blocked before the hop), ``too_many_redirects``,
     ``missing`` (the log has no such URL), ``http_error``.
 
-    One join per hop, all against the same shuffled log. Rows that have ended
-    get a key of their own that matches nothing, which keeps them spread out.
+    A round per hop joins the URLs that are still moving, a part that shrinks
+    quickly, and writes what it found; it ends when none moves any more. Once
+    the moving URLs are few, only their log rows take part.
     """
-    answers = log.select(F.col("url").alias("_key"), F.col("status").alias("_status"), F.col("location").alias("_location"))
-    state = (log if starts is None else starts).select("url").withColumns({
-        "final_url": F.col("url"),
-        "hops": F.lit(0),
-        "outcome": F.lit(None).cast("string"),
-    })
+    answers = log.select(F.col("url").alias("final_url"), F.col("status").alias("_status"), F.col("location").alias("_location"))
+    moving = (log if starts is None else starts).select("url", F.col("url").alias("final_url"))
+    ended = []
     for hop in range(max_hops + 1):
-        open_ = F.col("outcome").isNull()
-        key = F.when(open_, F.col("final_url")).otherwise(F.concat(F.lit("#"), F.col("url")))
-        joined = state.withColumn("_key", key).join(answers, "_key", "left")
-        moves = is_redirect(F.col("_status"), F.col("_location"))
-        target = resolve_location(F.col("final_url"), F.col("_location"))
-        result = (
-            F.when(~open_, F.col("outcome"))
-            .when(F.col("_status").isNull(), F.lit("missing"))
-            .when(moves & F.lit(hop >= max_hops), F.lit("too_many_redirects"))
-            .when(moves & ~redirect_target_allowed(F.col("url"), F.col("_target")), F.lit("cross_domain"))
-            .when(moves, F.lit(None))
-            .when(F.col("_status") >= 400, F.lit("http_error"))
-            .otherwise(F.lit("ok"))
+        keys = small_keys(moving, "final_url") if hop else None
+        heard = answers if keys is None else answers.join(keys, "final_url", "left_semi")
+        redirected = is_redirect(F.col("_status"), F.col("_location"))
+        seen = moving.join(heard, "final_url", "left").withColumn(
+            "_target", F.when(redirected, resolve_location(F.col("final_url"), F.col("_location")))
         )
-        judged = joined.withColumn("_target", F.when(open_ & moves, target)).withColumn("_result", result)
-        follows = F.col("_result").isNull()
-        state = judged.select(
-            "url",
-            F.when(follows, F.col("_target")).otherwise(F.col("final_url")).alias("final_url"),
-            F.when(follows, F.col("hops") + 1).otherwise(F.col("hops")).alias("hops"),
-            F.col("_result").alias("outcome"),
+        moves = F.col("_target").isNotNull()
+        outcome = (
+            F.when(F.col("_status").isNull(), "missing")
+            .when(moves & F.lit(hop >= max_hops), "too_many_redirects")
+            .when(moves & ~redirect_target_allowed(F.col("url"), F.col("_target")), "cross_domain")
+            .when(moves, None)
+            .when(F.col("_status") >= 400, "http_error")
+            .otherwise("ok")
         )
-    return state
+        judged = materialize(seen.select("url", "final_url", "_target", outcome.alias("outcome")))
+        ended.append(judged.where("outcome is not null").select("url", "final_url", F.lit(hop).alias("hops"), "outcome"))
+        moving = judged.where("outcome is null").select("url", F.col("_target").alias("final_url"))
+        if moving.isEmpty():
+            break
+    return reduce(DataFrame.unionByName, ended)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from presslake.functions.dates import min_date, parse_utc
 from presslake.functions.urls import url_netloc
-from presslake.operators.joins import known_domain_semi, sitemap_stale_exclude, sitemap_url_exclude
+from presslake.operators.joins import known_domain_semi, sitemap_stale_exclude, sitemap_url_exclude, small_keys
 from presslake.operators.merge import freshness_update, page_insert_new, sitemap_insert_new
 from presslake.plans.reports import label_page_outcome, sitemap_freshness
 from presslake.session import materialize
@@ -30,7 +30,9 @@ def child_sitemaps(seeds: DataFrame, bodies: DataFrame, stored: DataFrame) -> Da
 
     Left out are listings and those an earlier run found stale.
     """
-    masters = bodies.join(seeds.select(F.col("url").alias("sitemap_url")), "sitemap_url", "left_semi")
+    wanted = seeds.select(F.col("url").alias("sitemap_url"))
+    keys = small_keys(wanted, "sitemap_url")
+    masters = bodies.join(wanted if keys is None else keys, "sitemap_url", "left_semi")
     children = sitemap_index_scan(masters).select(
         F.col("child_url").alias("sitemap_url"), F.col("sitemap_url").alias("parent_url"),
         parse_utc(F.col("lastmod_text")).alias("last_mod"),
@@ -59,18 +61,19 @@ def discover(
     as it was before the run: a new domain's sitemaps are all fresh and its pages
     have no date floor. Pages of stale sitemaps are not read.
 
-    The sitemap XML is parsed once; what came out of it is written before it is
-    used several times.
+    The sitemap XML is parsed where it lies and only what came out of it is
+    joined; it is written before it is used several times.
     """
     floor = min_date(as_of, months)
     children = materialize(child_sitemaps(seeds, bodies, sitemaps))
-    read = bodies.join(children.select("sitemap_url"), "sitemap_url", "left_semi")
+    wanted = children.select("sitemap_url")
     found = materialize(
-        publication_date_pick(urlset_scan(read)).withColumn("domain", url_netloc(F.col("sitemap_url")))
+        publication_date_pick(urlset_scan(bodies)).join(wanted, "sitemap_url", "left_semi")
+        .withColumn("domain", url_netloc(F.col("sitemap_url")))
     )
 
     # Freshness of every child whose body came, pages or not.
-    arrived = read.select("sitemap_url").distinct().withColumn("domain", url_netloc(F.col("sitemap_url")))
+    arrived = wanted.join(bodies.select("sitemap_url"), "sitemap_url", "left_semi").withColumn("domain", url_netloc(F.col("sitemap_url")))
     dated = sitemap_freshness(found, floor)
     judged = known_domain_semi(arrived, sitemaps).join(dated, "sitemap_url", "left").select(
         "sitemap_url", (F.col("is_new_domain") | F.coalesce("is_fresh", F.lit(False))).alias("is_fresh")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from presslake.operators.html import html_extract
 from presslake.operators.merge import content_update
 from presslake.operators.queues import extract_queue
+from presslake.operators.stored import raw_stored, text_stored
 from presslake.operators.text import text_dedup_blocks
 from presslake.session import materialize
 
@@ -30,10 +31,11 @@ def extract(
     """Extract the text of every waiting page; one without text keeps NULL and waits again.
 
     With ``dedup`` lines repeated across the extracted pages stay in the first only.
+    The HTML is read where it lies; only the much smaller texts meet the queue.
     """
     waiting = extract_queue(sitemaps, pages, content).select("id_page")
-    html = content.select("id_page", "page_raw_content").join(waiting, "id_page", "left_semi")
-    texts = materialize(html_extract(html, "id_page", "page_raw_content", fn))
+    html = content.where(raw_stored(content) & ~text_stored(content)).select("id_page", "page_raw_content")
+    texts = materialize(html_extract(html, "id_page", "page_raw_content", fn).join(waiting, "id_page", "left_semi"))
     if dedup:
         single = text_dedup_blocks(texts.where("content is not null"), "id_page", "content")
         texts = materialize(texts.select("id_page").join(single, "id_page", "left").withColumn("content", F.expr("nullif(content, '')")))

@@ -5,7 +5,7 @@ from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from presslake.functions.dates import min_date
-from presslake.operators import audit, html, joins, queues, redirects, text, vectors
+from presslake.operators import audit, html, joins, merge, queues, redirects, text, vectors
 from presslake.operators.stored import with_stored_marks
 from presslake.plans import reports
 from presslake.sources.sitemaps import sitemap_index_scan, urlset_scan
@@ -124,12 +124,32 @@ def spark_log(spark):
     return spark.createDataFrame([("https://a/", 200, None)], "url string, status int, location string")
 
 
-def test_redirects_reuse_one_shuffle_of_the_log(shuffled_joins, tmp_path):
+def test_redirect_rounds_end_early_and_are_cut_off_from_each_other(shuffled_joins):
+    found = redirects.redirect_chain_resolve(spark_log(shuffled_joins), max_hops=50)
+    assert found.count() == 1
+    assert "Join" not in plan(found) and plan(found).count("Scan ExistingRDD") == 1
+
+
+def test_a_small_delta_leaves_the_stored_table_unshuffled(shuffled_joins, crawl, tmp_path):
     spark = shuffled_joins
-    spark_log(spark).write.parquet(str(tmp_path / "log"))
-    found = redirects.redirect_chain_resolve(spark.read.parquet(str(tmp_path / "log")))
-    found.collect()
-    assert plan(found).count("ReusedExchange") >= 5
+    stored = crawl[2]
+    stored.limit(20).select("id_page", "page_url", "publication_date", "page_raw_content").write.parquet(str(tmp_path / "d"))
+    delta = spark.read.parquet(str(tmp_path / "d"))
+    kept = plan(merge.raw_upsert(stored, delta, F.lit("2025-01-01").cast("timestamp")))
+    # The rows that stay as they are pass by a broadcast of the delta's keys.
+    untouched = kept[: kept.index("FileScan")]
+    assert "BroadcastHashJoin" in untouched and "LeftAnti" in untouched and "Exchange" not in untouched
+
+
+def test_a_large_delta_gives_the_same_rows(spark, crawl, monkeypatch):
+    stored = crawl[2]
+    delta = stored.where("id_page % 3 = 0").select("id_page", F.concat("page_url", F.lit("x")).alias("page_url"), "publication_date", F.lit("<p>").alias("page_raw_content"))
+    delta = delta.unionByName(delta.select(F.col("id_page") + 10**6, "page_url", "publication_date", "page_raw_content").toDF(*delta.columns))
+    moment = F.lit("2025-01-01").cast("timestamp")
+    small = rows(merge.raw_upsert(stored, delta, moment), "*")
+    monkeypatch.setattr(merge, "small_keys", lambda df, key: None)
+    assert rows(merge.raw_upsert(stored, delta, moment), "*") == small
+    assert joins.small_keys(delta, "id_page", max_bytes=100) is None
 
 
 def test_bucketed_tables_join_without_a_shuffle(shuffled_joins):
