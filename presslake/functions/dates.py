@@ -74,10 +74,14 @@ def parse_utc(text: Column) -> Column:
     return first_date(F.array(text))
 
 
+def moment(at: dt.datetime | dt.date | Column) -> Column:
+    """A point in time as a column; without an offset it is UTC, whatever zone the machine is in."""
+    return (at if isinstance(at, Column) else F.lit(at.isoformat())).cast("timestamp")
+
+
 def min_date(as_of: dt.datetime | Column, months: int = 12) -> Column:
     """``as_of`` minus calendar months, time of day kept, clamped to the month's end."""
-    start = as_of if isinstance(as_of, Column) else F.lit(as_of)
-    return start.cast("timestamp") - F.make_ym_interval(F.lit(0), F.lit(months))
+    return moment(as_of) - F.make_ym_interval(F.lit(0), F.lit(months))
 
 
 def month_bucket(date: Column) -> Column:

@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from presslake.functions.dates import moment
+
 MIN_CONTENT_LENGTH = 500
 REPORT_DATE_FLOOR = dt.datetime(2024, 4, 1)
 
@@ -43,7 +45,7 @@ def has_text(content: Column) -> Column:
 
 
 def on_or_after(date: Column, floor: dt.datetime = REPORT_DATE_FLOOR) -> Column:
-    return date >= F.lit(floor)
+    return date >= moment(floor)
 
 
 def result_ok(error: Column, status_code: Column) -> Column:

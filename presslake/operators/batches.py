@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from presslake.functions.dates import moment
 from presslake.functions.predicates import result_ok
 from presslake.operators.numbering import report_row_number
 
@@ -119,14 +120,13 @@ def job_registry_transition(
     ``statuses``: ``batch_id, status``; ``results``: ``batch_id, processed_count``.
     Jobs without a report, or still running, stay as they are.
     """
-    moment = (as_of if isinstance(as_of, Column) else F.lit(as_of)).cast("timestamp")
     reported = statuses.select("batch_id", F.col("status").alias("_status"))
     counted = results.select("batch_id", F.col("processed_count").alias("_count"))
     ends = (F.col("list_name") == "pending") & F.coalesce(F.col("_status").isin(TERMINAL_STATUSES), F.lit(False))
     done = ends & (F.col("_status") == "completed")
     return registry.join(reported, "batch_id", "left").join(counted, "batch_id", "left").withColumns({
         "status": F.when(ends, F.col("_status")).otherwise(F.col("status")),
-        "completed_at": F.when(ends, moment).otherwise(F.col("completed_at")),
+        "completed_at": F.when(ends, moment(as_of)).otherwise(F.col("completed_at")),
         "processed_count": F.when(done, F.coalesce("_count", F.lit(0))).otherwise(F.col("processed_count")),
         "list_name": F.when(done, "completed").when(ends, "failed").otherwise(F.col("list_name")),
     }).select(*registry.columns)
@@ -141,8 +141,7 @@ def job_status_counts(registry: DataFrame) -> DataFrame:
 
 def job_age_report(registry: DataFrame, as_of: dt.datetime | Column) -> DataFrame:
     """Pending jobs, oldest first: ``(row_no, batch_id, age_hours, pages)``."""
-    moment = (as_of if isinstance(as_of, Column) else F.lit(as_of)).cast("timestamp")
-    age = (F.unix_micros(moment) - F.unix_micros("created_at")) / F.lit(3_600_000_000.0)
+    age = (F.unix_micros(moment(as_of)) - F.unix_micros("created_at")) / F.lit(3_600_000_000.0)
     pending = registry.where("list_name = 'pending'").select(
         "batch_id", "created_at", F.round(age, 1).alias("age_hours"), F.size("page_ids").cast("bigint").alias("pages")
     )

@@ -4,7 +4,8 @@ A run usually changes little of a large table. When the keys of the delta are
 small, by measure, they are broadcast: the stored rows pass by unshuffled, and
 only those with a key in the delta are joined to it. For a large delta both
 sides are shuffled by key once, or not at all on the stored side if that table
-is bucketed by the key (``write_bucketed``).
+is bucketed by the key (``write_bucketed``). Measuring runs the delta, so one
+that is costly to compute should be written first; the inserts do that.
 """
 
 from __future__ import annotations
@@ -14,14 +15,12 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from presslake.functions.dates import moment
 from presslake.functions.measures import normalise_fresh
 from presslake.functions.urls import url_netloc
 from presslake.operators.joins import small_keys
 from presslake.operators.numbering import surrogate_keys
-
-
-def _moment(as_of: dt.datetime | Column) -> Column:
-    return (as_of if isinstance(as_of, Column) else F.lit(as_of)).cast("timestamp")
+from presslake.session import materialize
 
 
 def _highest(table: DataFrame, key: str) -> Column:
@@ -85,14 +84,14 @@ def sitemap_insert_new(stored: DataFrame, delta: DataFrame, as_of: dt.datetime |
 
     ``delta``: ``sitemap_url, is_master, parent_id, last_mod, is_fresh``.
     """
-    seen = distinct_sitemaps(delta)
+    seen = materialize(distinct_sitemaps(delta))
     masters = seen.where("is_master").select("sitemap_url")
     kept = _changed(stored, masters, "sitemap_url", {"is_fresh": F.lit(True)}, small_keys(masters, "sitemap_url"))
     new = _absent(seen, stored, "sitemap_url", small_keys(seen, "sitemap_url")).withColumns({
         "domain": url_netloc(F.col("sitemap_url")),
         "is_fresh": normalise_fresh(F.col("is_master"), F.coalesce("is_fresh", F.lit(False))),
-        "created_at": _moment(as_of),
-        "processed_at": _moment(as_of),
+        "created_at": moment(as_of),
+        "processed_at": moment(as_of),
     })
     return kept.unionByName(_filled(_with_new_ids(stored, new, "id_sitemap", "sitemap_url"), stored))
 
@@ -113,9 +112,9 @@ def page_insert_new(stored: DataFrame, delta: DataFrame, as_of: dt.datetime | Co
 
 def new_pages(stored: DataFrame, delta: DataFrame, as_of: dt.datetime | Column) -> DataFrame:
     """Only the rows ``page_insert_new`` adds."""
-    seen = distinct_pages(delta)
+    seen = materialize(distinct_pages(delta))
     new = _absent(seen, stored, "page_url", small_keys(seen, "page_url")).withColumns({
-        "is_error": F.lit(False), "created_at": _moment(as_of),
+        "is_error": F.lit(False), "created_at": moment(as_of),
     })
     return _filled(_with_new_ids(stored, new, "id_page", "page_url"), stored)
 
@@ -145,9 +144,9 @@ def raw_upsert(stored: DataFrame, delta: DataFrame, as_of: dt.datetime | Column)
         "page_url": F.col("_d.page_url"),
         "publication_date": F.col("_d.publication_date"),
         "page_raw_content": F.col("_d.page_raw_content"),
-        "fetched_at": _moment(as_of),
+        "fetched_at": moment(as_of),
     }, keys)
-    new = _absent(delta, stored, "id_page", keys).withColumn("fetched_at", _moment(as_of))
+    new = _absent(delta, stored, "id_page", keys).withColumn("fetched_at", moment(as_of))
     return kept.unionByName(_filled(_with_new_ids(stored, new, "id", "id_page"), stored))
 
 
@@ -166,7 +165,7 @@ def error_flag_update(pages: DataFrame, delta: DataFrame) -> DataFrame:
 def freshness_update(sitemaps: DataFrame, delta: DataFrame, as_of: dt.datetime | Column) -> DataFrame:
     """Set freshness and processing time of the sitemaps in ``delta`` (``sitemap_url, is_fresh``)."""
     return _changed(sitemaps, delta, "sitemap_url", {
-        "is_fresh": F.col("_d.is_fresh"), "processed_at": _moment(as_of),
+        "is_fresh": F.col("_d.is_fresh"), "processed_at": moment(as_of),
     }, small_keys(delta, "sitemap_url"))
 
 

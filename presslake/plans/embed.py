@@ -9,6 +9,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from presslake.functions.dates import moment
 from presslake.functions.predicates import MIN_CONTENT_LENGTH
 from presslake.functions.tokens import MAX_TOKENS
 from presslake.operators import batches
@@ -65,7 +66,7 @@ def embed_sync(
 
 def embed_batch_create(
     sitemaps: DataFrame, pages: DataFrame, content: DataFrame, embeddings: DataFrame, registry: DataFrame,
-    as_of: dt.datetime, run_id: str, min_len: int = MIN_CONTENT_LENGTH, limit: int = EMBED_LIMIT,
+    as_of: dt.datetime | Column, run_id: str, min_len: int = MIN_CONTENT_LENGTH, limit: int = EMBED_LIMIT,
     size: int = BATCH_SIZE, max_tokens: int = MAX_TOKENS, model: str = batches.EMBEDDING_MODEL,
 ) -> Created:
     """Cut the queue, without pages of pending jobs, into jobs and enter them in the registry.
@@ -80,7 +81,7 @@ def embed_batch_create(
     jobs = batches.job_manifest(texts).select(
         F.concat(F.lit(f"{run_id}-"), "batch_no").alias("batch_id"),
         F.concat(F.lit(f"{run_id}-requests-"), "batch_no").alias("input_file_id"),
-        F.lit(as_of).cast("timestamp").alias("created_at"),
+        moment(as_of).alias("created_at"),
         F.lit("pending").alias("status"), "page_ids", "domain_tokens",
         F.lit(None).cast("timestamp").alias("completed_at"), F.lit(None).cast("bigint").alias("processed_count"),
         F.lit("pending").alias("list_name"),

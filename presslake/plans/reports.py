@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from presslake.functions.dates import month_bucket
+from presslake.functions.dates import moment, month_bucket
 from presslake.functions.measures import (
     BATCH_DISCOUNT, PRICE_PER_MILLION_TOKENS, decimal_round, ratio, token_cost,
 )
@@ -116,7 +116,7 @@ def label_page_outcome(found: DataFrame, sitemaps: DataFrame, min_date: Column |
     ``found``: ``page_url, domain, publication_date``. Pages of a domain without a
     stored sitemap are kept whatever their date.
     """
-    floor = min_date if isinstance(min_date, Column) else F.lit(min_date)
+    floor = moment(min_date)
     old = F.col("is_known").isNotNull() & (F.col("publication_date") < floor)
     outcome = F.when(F.col("publication_date").isNull(), "no_date").when(old, "too_old").otherwise("keep")
     judged = spread_lookup(found, known_domains(sitemaps), "domain", F.col("page_url"))
@@ -125,7 +125,7 @@ def label_page_outcome(found: DataFrame, sitemaps: DataFrame, min_date: Column |
 
 def sitemap_freshness(found: DataFrame, min_date: Column | dt.datetime) -> DataFrame:
     """A sitemap is fresh when one of its pages is dated ``min_date`` or later."""
-    floor = min_date if isinstance(min_date, Column) else F.lit(min_date)
+    floor = moment(min_date)
     fresh = F.coalesce(F.bool_or(F.col("publication_date") >= floor), F.lit(False))
     return found.groupBy("sitemap_url").agg(fresh.alias("is_fresh"))
 
