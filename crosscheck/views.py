@@ -6,6 +6,8 @@ each other and with the number of sources, so no case is tied to one source.
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 
 SITEMAPS = """
@@ -73,18 +75,26 @@ VIEWS = {
 _BASE = ["documents", "pages", "embeddings", "events", "conversations", "labels", "benchmark"]
 
 
+def _given(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """A session's name for a given table; registering it once saves reading its footer in every query."""
+    view = f"given_{zlib.crc32(sf_dir.encode()):x}_{name}"
+    if not spark.catalog.tableExists(view):
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(view)
+    return view
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table, or one of ``VIEWS`` over them."""
     if name not in VIEWS:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return spark.table(_given(spark, sf_dir, name))
     return sql(spark, sf_dir, VIEWS[name])
 
 
 def sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    """A Spark query that names given tables and views; each is bound to its file."""
+    """A Spark query that names given tables and views."""
     views = [name for name in VIEWS if name in text]
     named = " ".join([text, *[VIEWS[view] for view in views]])
-    heads = [f"{name} as (select * from parquet.`{sf_dir}/{name}.parquet`)" for name in _BASE if name in named]
+    heads = [f"{name} as (select * from {_given(spark, sf_dir, name)})" for name in _BASE if name in named]
     heads += [f"{view} as ({VIEWS[view]})" for view in views]
     return spark.sql(f"with {', '.join(heads)} {text}")
 

@@ -52,11 +52,14 @@ def constraint_audit(tables: dict[str, DataFrame], dim: int = EMBEDDING_DIM) ->
             rows = tables[table].where(F.col(column).isNotNull()).select(F.col(column).alias("_k")).distinct()
             known = tables[target].select(F.col(key).alias("_k"))
             found.append(_found(rows.join(known, "_k", "left_anti"), table, f"reference {column}", F.col("_k")))
-    for table, column in REQUIRED:
-        if has(table, column):
-            # NULLs have no key of their own; one row tells how many there are.
-            rows = tables[table].agg(F.count_if(F.col(column).isNull()).alias("_n"))
-            found.append(_found(rows.where("_n > 0"), table, f"required {column}", F.col("_n")))
+    for table in tables:
+        columns = [column for t, column in REQUIRED if t == table and has(t, column)]
+        if columns:
+            # NULLs have no key of their own; one row per column tells how many there are. One scan per table.
+            counts = tables[table].agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+            pairs = F.array(*[F.struct(F.lit(f"required {c}").alias("rule"), F.col(c).alias("n")) for c in columns])
+            rows = counts.select(F.inline(pairs)).where("n > 0")
+            found.append(rows.select(F.lit(table).alias("table"), "rule", F.col("n").cast("string").alias("key")))
     if has("content_embeddings", "embedding"):
         rows = vector_dim_check(tables["content_embeddings"], dim)
         found.append(_found(rows, "content_embeddings", f"dimension {dim}", F.col("id_page")))

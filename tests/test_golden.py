@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from presslake.functions import dates, measures, tokens, urls
 from presslake.operators import batches, html, joins, merge, redirects, text
+from presslake.operators.audit import constraint_audit
 from presslake.operators.html_walk import walk_page
 from presslake.schemas import COOKIES, NEWS_PAGES, NEWS_PAGES_CONTENT, REGISTRY, SITEMAPS
 from presslake.sources import jobs, seeds, sitemaps, snapshots
@@ -314,3 +315,18 @@ def test_token_limits(spark):
     counted = text.token_count(df, "id", "t", fn=lambda s: s.str.split().str.len())
     assert rows(counted, "id", "tokens", "chars") == [("above", 4, 10), ("at", 3, 6), ("below", 3, 5), ("empty", 0, 0)]
     assert df.where("id = 'above'").select(tokens.count_tokens(F.col("t"))).first()[0] == 5
+
+
+# Audit --------------------------------------------------------------------------------
+
+def test_every_kind_of_violation(spark):
+    made = {
+        "sitemaps": spark.createDataFrame([(1, None, "u", True, 9, None, None, None, None), (2, "a", "u", None, 1, None, None, None, None)], SITEMAPS),
+        "news_pages": spark.createDataFrame([(1, 1, "p", None, None, None), (1, None, None, None, None, None), (2, 7, None, None, None, None)], NEWS_PAGES),
+        "content_embeddings": spark.createDataFrame([(1, 1, [1.0, 2.0]), (2, 5, [1.0]), (3, 1, None)], "id bigint, id_page bigint, embedding array<float>"),
+    }
+    assert rows(constraint_audit(made, dim=2), "table", "rule", "key") == [
+        ("content_embeddings", "dimension 2", "5"), ("content_embeddings", "reference id_page", "5"), ("content_embeddings", "unique id_page", "1"),
+        ("news_pages", "reference id_sitemap", "7"), ("news_pages", "required id_sitemap", "1"), ("news_pages", "required page_url", "2"),
+        ("news_pages", "unique id_page", "1"), ("sitemaps", "reference parent_id", "9"), ("sitemaps", "required domain", "1"),
+        ("sitemaps", "required is_master", "1"), ("sitemaps", "unique sitemap_url", "u")]
