@@ -22,27 +22,27 @@ from presslake.plans import reports
 AS_OF = dt.datetime(2025, 6, 30)
 CAP, LIMIT, BATCH = 5, 50, 7
 
-_FUNNEL = """
-  count(np.id_page) as total_pages, count(npc.id_page) as pages_in_news_pages_content,
-  count(case when npc.content is not null and npc.content <> '' then 1 end) as pages_with_non_empty_content,
-  count(distinct ce.id_page) as pages_with_embeddings,
-  min(np.publication_date) filter (where ce.id_page is not null) as min_publication_date,
-  max(np.publication_date) filter (where ce.id_page is not null) as max_publication_date
-from v_sitemaps s join v_news_pages np on s.id_sitemap = np.id_sitemap
-left join v_news_pages_content npc on np.id_page = npc.id_page
-left join v_content_embeddings ce on np.id_page = ce.id_page"""
+# One row per page with what is known of it.
+_PAGE_STATES = """
+select domain, p.publication_date,
+  exists (select 1 from v_news_pages_content c where c.id_page = p.id_page) as stored,
+  exists (select 1 from v_news_pages_content c where c.id_page = p.id_page and length(c.content) > 0) as has_text,
+  p.id_page in (select id_page from v_content_embeddings) as embedded
+from v_news_pages p join v_sitemaps using (id_sitemap)"""
+_FUNNEL = f"""count(*) as total_pages, count(*) filter (where stored) as pages_in_news_pages_content,
+  count(*) filter (where has_text) as pages_with_non_empty_content, count(*) filter (where embedded) as pages_with_embeddings,
+  min(publication_date) filter (where embedded) as min_publication_date, max(publication_date) filter (where embedded) as max_publication_date
+from ({_PAGE_STATES})"""
 
 _MONTHLY = """
-select s.domain, cast(date_trunc('month', npc.publication_date) as date) as month, count(*) as content_count,
-  round(sum(npc.content_length)::double / 1048576, 4) as total_content_mb,
-  round(sum(npc.content_length)::double / count(npc.content_length), 2) as avg_content_bytes
-from v_sitemaps s join v_news_pages np on s.id_sitemap = np.id_sitemap
-join v_news_pages_content npc on np.id_page = npc.id_page
-where npc.content is not null and npc.publication_date >= date '2024-04-01'
-group by 1, 2"""
+select domain, month, count(*) as content_count, round(sum(chars) / 1048576, 4) as total_content_mb, round(avg(chars), 2) as avg_content_bytes
+from (select domain, c.publication_date - cast(day(c.publication_date) - 1 as int) as month, c.content_length::double as chars
+  from v_news_pages_content c join (select id_page, id_sitemap from v_news_pages) using (id_page) join v_sitemaps using (id_sitemap)
+  where c.publication_date >= date '2024-04-01' and c.content is not null)
+group by domain, month"""
 
 
-@case("domain_stats", f"select s.domain, {_FUNNEL} group by s.domain")
+@case("domain_stats", f"select domain, {_FUNNEL} group by domain")
 def domain_stats(t: Tables) -> DataFrame:
     return reports.domain_stats(*t.crawl())
 
@@ -69,7 +69,7 @@ def report_numbers(t: Tables) -> DataFrame:
 
 @case("report", f"""
 select 'monthly' as report, domain, cast(month as varchar) as detail, content_count as n from ({_MONTHLY})
-union all select 'domains', domain, cast(max_publication_date as varchar), total_pages from (select s.domain, {_FUNNEL} group by s.domain)
+union all select 'domains', domain, cast(max_publication_date as varchar), total_pages from (select domain, {_FUNNEL} group by domain)
 union all select 'summary', null, cast(max_publication_date as varchar), total_pages from (select {_FUNNEL})""")
 def report(t: Tables) -> DataFrame:
     made = reports.report(*t.crawl())
@@ -160,15 +160,15 @@ def pages_with_domain(t: Tables) -> DataFrame:
 
 
 @case("pages_left_content", """
-select np.id_page, np.page_url from v_news_pages np left join v_news_pages_content npc on np.id_page = npc.id_page
-where npc.id_page is null or npc.page_raw_content is null""")
+select id_page, page_url from v_news_pages p
+where not exists (select 1 from v_news_pages_content c where c.id_page = p.id_page and c.page_raw_content is not null)""")
 def pages_left_content(t: Tables) -> DataFrame:
     return joins.pages_left_content(t("v_news_pages"), t("v_news_pages_content")).select("id_page", "page_url")
 
 
 @case("content_inner_chain", """
-select npc.id_page, s.domain, npc.content_length, np.is_error from v_news_pages_content npc
-join v_news_pages np on npc.id_page = np.id_page join v_sitemaps s on np.id_sitemap = s.id_sitemap""")
+select id_page, domain, content_length, is_error from v_sitemaps
+join (select id_page, id_sitemap, is_error from v_news_pages) using (id_sitemap) join v_news_pages_content using (id_page)""")
 def content_inner_chain(t: Tables) -> DataFrame:
     sitemaps, pages, content, _ = t.crawl()
     return joins.content_inner_chain(content, pages, sitemaps).select("id_page", "domain", "content_length", "is_error")
@@ -187,8 +187,7 @@ def coalesce_page_fields(t: Tables) -> DataFrame:
     return joins.with_preferred_page_fields(chain).select("id_page", "page_url", "publication_date")
 
 
-@case("unembedded_anti", """
-select npc.id_page from v_news_pages_content npc left join v_content_embeddings ce on npc.id_page = ce.id_page where ce.id_page is null""")
+@case("unembedded_anti", "select id_page from v_news_pages_content where id_page not in (select id_page from v_content_embeddings)")
 def unembedded_anti(t: Tables) -> DataFrame:
     return joins.unembedded_anti(t("v_news_pages_content").select("id_page"), t("v_content_embeddings"))
 
@@ -217,9 +216,10 @@ def pending_anti(t: Tables) -> DataFrame:
 
 
 @case("funnel_left_chain", """
-select np.id_page, s.domain, npc.id_page is not null as is_fetched, coalesce(npc.content <> '', false) as has_text, ce.id_page is not null as is_embedded
-from v_sitemaps s join v_news_pages np on s.id_sitemap = np.id_sitemap left join v_news_pages_content npc on np.id_page = npc.id_page
-left join v_content_embeddings ce on np.id_page = ce.id_page""")
+select p.id_page, domain, p.id_page in (select id_page from v_news_pages_content) as is_fetched,
+  p.id_page in (select id_page from v_news_pages_content where length(content) > 0) as has_text,
+  p.id_page in (select id_page from v_content_embeddings) as is_embedded
+from v_news_pages p join v_sitemaps using (id_sitemap)""")
 def funnel_left_chain(t: Tables) -> DataFrame:
     no = F.lit(False)
     return joins.funnel_left_chain(*t.crawl()).select(
@@ -258,20 +258,16 @@ def sitemap_parent_child(t: Tables) -> DataFrame:
 # Queues -----------------------------------------------------------------------
 
 @case("fetch_frontier", f"""
-with ranked as (select np.id_page, np.page_url, s.domain, np.publication_date,
-  row_number() over (partition by s.domain order by np.publication_date desc nulls first, np.id_page) as rn
-  from v_news_pages np join v_sitemaps s on np.id_sitemap = s.id_sitemap
-  left join v_news_pages_content npc on np.id_page = npc.id_page
-  where (npc.id_page is null or npc.page_raw_content is null) and np.is_error = false)
-select id_page, page_url, domain, publication_date from ranked where rn <= {CAP}""")
+select p.id_page, p.page_url, domain, p.publication_date from v_news_pages p join v_sitemaps using (id_sitemap)
+where not p.is_error and p.id_page not in (select id_page from v_news_pages_content where page_raw_content is not null)
+qualify row_number() over (partition by domain order by p.publication_date desc nulls first, p.id_page) <= {CAP}""")
 def fetch_frontier(t: Tables) -> DataFrame:
     return queues.fetch_frontier(*t.crawl()[:3], cap=CAP)
 
 
-_EMBED = f"""select npc.id_page, npc.content, s.domain, npc.publication_date from v_news_pages_content npc
-left join v_content_embeddings ce on npc.id_page = ce.id_page
-join v_news_pages np on npc.id_page = np.id_page join v_sitemaps s on np.id_sitemap = s.id_sitemap
-where ce.id_page is null and npc.content is not null and length(npc.content) >= 500"""
+_EMBED = """select npc.id_page, npc.content, domain, npc.publication_date from v_news_pages_content npc
+join (select id_page, id_sitemap from v_news_pages) using (id_page) join v_sitemaps using (id_sitemap)
+where length(npc.content) >= 500 and npc.id_page not in (select id_page from v_content_embeddings)"""
 _EMBED_END = f"order by npc.publication_date desc nulls first, npc.id_page limit {LIMIT}"
 
 
@@ -286,9 +282,9 @@ def embed_queue_pending(t: Tables) -> DataFrame:
 
 
 @case("extract_queue", """
-select npc.id_page, coalesce(npc.page_url, np.page_url) as page_url, s.domain, coalesce(npc.publication_date, np.publication_date) as publication_date
-from v_news_pages_content npc join v_news_pages np on npc.id_page = np.id_page join v_sitemaps s on np.id_sitemap = s.id_sitemap
-where npc.page_raw_content is not null and npc.content is null and np.is_error = false""")
+select id_page, ifnull(c.page_url, p.page_url) as page_url, domain, ifnull(c.publication_date, p.publication_date) as publication_date
+from v_news_pages_content c join v_news_pages p using (id_page) join v_sitemaps using (id_sitemap)
+where not p.is_error and c.content is null and c.page_raw_content is not null""")
 def extract_queue(t: Tables) -> DataFrame:
     return queues.extract_queue(*t.crawl()[:3])
 

@@ -91,12 +91,9 @@ _RESPONSES = """select 'https://' || source || '.example.com/' || doc_id as url,
   case doc_id % 8 when 0 then '/moved/' || doc_id when 2 then 'https://elsewhere.example.org/' || doc_id end as location,
   case when doc_id % 8 > 2 then text end as body, cast('2025-06-29' as timestamp) as ts from documents where doc_id % 9 <> 5
   union all select 'https://' || source || '.example.com/moved/' || doc_id, 200, null, 'moved ' || text, cast('2025-06-29' as timestamp) from documents where doc_id % 3 > 0"""
-_FRONTIER = """select id_page, page_url, domain, publication_date from (
-  select np.id_page, np.page_url, s.domain, np.publication_date,
-  row_number() over (partition by s.domain order by np.publication_date desc nulls first, np.id_page) as rn
-  from v_news_pages np join v_sitemaps s on np.id_sitemap = s.id_sitemap
-  left join v_news_pages_content npc on np.id_page = npc.id_page
-  where (npc.id_page is null or npc.page_raw_content is null) and np.is_error = false) where rn <= 40"""
+_FRONTIER = """select p.id_page, p.page_url, domain, p.publication_date from v_news_pages p join v_sitemaps using (id_sitemap)
+  where not p.is_error and p.id_page not in (select id_page from v_news_pages_content where page_raw_content is not null)
+  qualify row_number() over (partition by domain order by p.publication_date desc nulls first, p.id_page) <= 40"""
 _TRIED = f"""
 select f.id_page, f.domain, case when r.status = 404 then 'http_error' when r.status = 302 then 'cross_domain'
   when r.status = 301 and m.url is null then 'missing' else 'ok' end as outcome,

@@ -68,7 +68,7 @@ def token_share(shares: DataFrame) -> DataFrame:
 def job_domain_apportion(shares: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Spread each job's ``ok`` and ``failed`` counts over its domains by token share.
 
-    Halves round to the even number, as the estimate's source does.
+    Halves round to the even number.
     """
     def part(column: str) -> Column:
         return F.rint(F.col(column) * F.col("share")).cast("bigint").alias(column)

@@ -17,7 +17,7 @@ EMBED_LIMIT = 1000
 
 
 def newest_first() -> list[Column]:
-    """Unknown dates come first, as in the source database; the key settles ties."""
+    """Unknown dates come first; the key settles ties."""
     return [F.desc_nulls_first("publication_date"), F.asc("id_page")]
 
 

@@ -146,7 +146,7 @@ def test_redirect_chains(spark):
 # Sizes and durations ---------------------------------------------------------------
 
 @pytest.mark.parametrize("size", [0, 1023, 1024, 1152, 1157, 1536, 10**6, 2**20 - 1, 2**20, 1179648, 2**30, 5 * 2**30 + 5368709, 10**15])
-def test_sizes_as_the_source_prints_them(spark, size):
+def test_sizes_as_python_prints_them(spark, size):
     expected = f"{size} B"
     for unit, step in (("KB", 2**10), ("MB", 2**20), ("GB", 2**30)):
         if size >= step:
