@@ -15,24 +15,35 @@ from presslake.functions.predicates import is_listing_sitemap
 from presslake.operators.stored import raw_stored, text_not_empty
 
 
-def small_keys(df: DataFrame, key: str, max_bytes: int = 32 << 20) -> DataFrame | None:
-    """The keys of ``df`` marked for broadcast, or None when they are larger than ``max_bytes``.
+MAX_BROADCAST_BYTES = 32 << 20
 
-    The size is measured, not estimated: estimates of joined or aggregated tables
-    are mostly far too high, and a join re-planned at run time has by then
-    shuffled the large side already.
+
+def key_bytes(df: DataFrame, key: str) -> int:
+    """Size of a key column, with a little for each row.
+
+    Measured, not estimated: estimates of joined or aggregated tables are mostly
+    far too high, and a join re-planned at run time has by then shuffled the
+    large side already.
     """
-    keys = df.select(key)
-    size = keys.agg(F.sum(F.octet_length(F.col(key).cast("string")) + 16)).first()[0] or 0
-    return F.broadcast(keys) if size <= max_bytes else None
+    return df.agg(F.sum(F.octet_length(F.col(key).cast("string")) + 16)).first()[0] or 0
+
+
+def small_keys(df: DataFrame, key: str, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame | None:
+    """The keys of ``df`` marked for broadcast, or None when they are larger than ``max_bytes``."""
+    return F.broadcast(df.select(key)) if key_bytes(df, key) <= max_bytes else None
 
 
-def spread_lookup(rows: DataFrame, lookup: DataFrame, key: str, spread: Column, ways: int = 256) -> DataFrame:
-    """Left join to a short list with one row per ``key``, however many rows share a key.
+def spread_lookup(
+    rows: DataFrame, lookup: DataFrame, key: str, spread: Column, ways: int = 256, max_bytes: int = MAX_BROADCAST_BYTES
+) -> DataFrame:
+    """Left join to a list with one short row per ``key``, however many rows share a key.
 
-    Rows of a key are dealt into ``ways`` by the hash of ``spread``, and every
-    entry of the list is there once for each of the ways.
+    A list within ``max_bytes`` is broadcast. Beyond that the rows of a key are
+    dealt into ``ways`` by the hash of ``spread``, and every entry of the list is
+    there once for each of the ways.
     """
+    if key_bytes(lookup, key) <= max_bytes:
+        return rows.join(F.broadcast(lookup), key, "left")
     dealt = rows.withColumn("_way", F.pmod(F.xxhash64(spread), F.lit(ways)).cast("int"))
     entries = lookup.withColumn("_way", F.explode(F.sequence(F.lit(0), F.lit(ways - 1))))
     return dealt.join(entries, [key, "_way"], "left").drop("_way")

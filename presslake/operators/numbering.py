@@ -9,9 +9,13 @@ from presslake.session import materialize
 
 
 def _running_start(sizes: DataFrame, part: str, size: str) -> DataFrame:
-    """``(part, _start)``: rows before each part. One row per part, so few by construction."""
+    """``(part, _start)``: rows before each part.
+
+    One row per partition or bucket, a number fixed beforehand, so one task and a
+    broadcast are safe.
+    """
     before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    return sizes.select(part, F.coalesce(F.sum(size).over(before), F.lit(0)).alias("_start"))
+    return F.broadcast(sizes.select(part, F.coalesce(F.sum(size).over(before), F.lit(0)).alias("_start")))
 
 
 def report_row_number(df: DataFrame, order: list[Column], name: str = "row_no") -> DataFrame:

@@ -41,7 +41,7 @@ def redirect_chain_resolve(log: DataFrame, starts: DataFrame | None = None, max_
     moving = (log if starts is None else starts).select("url", F.col("url").alias("final_url"))
     ended = []
     for hop in range(max_hops + 1):
-        keys = small_keys(moving, "final_url") if hop else None
+        keys = small_keys(moving.select("final_url").distinct(), "final_url") if hop else None
         heard = answers if keys is None else answers.join(keys, "final_url", "left_semi")
         redirected = is_redirect(F.col("_status"), F.col("_location"))
         seen = moving.join(heard, "final_url", "left").withColumn(

@@ -92,6 +92,9 @@ def discover(
     fresh = judged.where("is_fresh").select("sitemap_url")
     labelled = label_page_outcome(found.join(fresh, "sitemap_url", "left_semi"), sitemaps, floor)
     stored = pages.select("page_url", F.lit(True).alias("_stored"))
+    keys = small_keys(found, "page_url")
+    if keys is not None:
+        stored = stored.join(keys, "page_url", "left_semi")
     outcomes = labelled.join(stored, "page_url", "left").withColumn(
         "outcome", F.when((F.col("outcome") == "keep") & F.col("_stored"), "existing").otherwise(F.col("outcome"))
     ).drop("_stored")

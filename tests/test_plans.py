@@ -206,9 +206,15 @@ def test_a_hot_domain_is_dealt_over_many_tasks(tiny_partitions):
     spark = tiny_partitions
     known = spark.range(400).select(F.concat(F.lit("d"), "id").alias("domain")).union(spark.sql("select 'hot.com'"))
     floor = min_date(F.lit("2024-06-01").cast("timestamp"), 0)
-    labelled = reports.label_page_outcome(hot_pages(spark), known, floor)
-    sizes = [r[0] for r in labelled.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    domains = joins.known_domains(known)
+    dealt = joins.spread_lookup(hot_pages(spark), domains, "domain", F.col("page_url"), max_bytes=0)
+    sizes = [r[0] for r in dealt.groupBy(F.spark_partition_id()).count().select("count").collect()]
     assert sum(sizes) == 60000 and max(sizes) < 3 * 60000 / 16
+    by_broadcast = joins.spread_lookup(hot_pages(spark), domains, "domain", F.col("page_url"))
+    assert "BroadcastHashJoin" in plan(by_broadcast) and "_way" not in plan(by_broadcast)
+    assert rows(dealt, "id_page", "is_known") == rows(by_broadcast, "id_page", "is_known")
+
+    labelled = reports.label_page_outcome(hot_pages(spark), known, floor)
     old = (F.col("publication_date") < floor) & ((F.col("domain") == "hot.com") | (F.substring("domain", 2, 9).try_cast("int") < 400))
     expected = hot_pages(spark).select(F.count_if(old), F.count_if(~old)).first()
     stats = reports.discovery_stats(labelled).agg(F.sum("pages_skipped"), F.sum("pages_added")).first()
