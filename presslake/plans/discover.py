@@ -50,6 +50,21 @@ def _with_parents(sitemaps: DataFrame, children: DataFrame) -> DataFrame:
     return sitemaps.join(known, "sitemap_url", "left").withColumn("parent_id", filled).select(*sitemaps.columns)
 
 
+def _with_repeats(labelled: DataFrame, pages: DataFrame, keys: DataFrame | None) -> DataFrame:
+    """Turns ``keep`` into ``existing`` for stored pages and for all but one row of a new page."""
+    stored = pages.select("page_url")
+    if keys is not None:
+        stored = stored.join(keys, "page_url", "left_semi")
+    new = labelled.where("outcome = 'keep'").join(stored, "page_url", "left_anti")
+    # The earliest date is the one stored. Joining back by row keeps an often listed page spread out.
+    chosen = new.groupBy("page_url").agg(F.min(F.struct("publication_date", "row_id")).alias("_c"))
+    chosen = chosen.select(F.col("_c.row_id").alias("row_id"), F.lit(True).alias("_chosen"))
+    repeat = (F.col("outcome") == "keep") & F.col("_chosen").isNull()
+    return labelled.join(chosen, "row_id", "left").withColumn(
+        "outcome", F.when(repeat, "existing").otherwise(F.col("outcome"))
+    )
+
+
 def discover(
     seeds: DataFrame, bodies: DataFrame, sitemaps: DataFrame, pages: DataFrame,
     as_of: dt.datetime | Column, months: int = 12,
@@ -68,8 +83,9 @@ def discover(
     children = materialize(child_sitemaps(seeds, bodies, sitemaps))
     wanted = children.select("sitemap_url")
     found = materialize(
-        publication_date_pick(urlset_scan(bodies)).join(wanted, "sitemap_url", "left_semi")
-        .withColumn("domain", url_netloc(F.col("sitemap_url")))
+        publication_date_pick(urlset_scan(bodies)).join(wanted, "sitemap_url", "left_semi").withColumns({
+            "domain": url_netloc(F.col("sitemap_url")), "row_id": F.monotonically_increasing_id(),
+        })
     )
 
     # Freshness of every child whose body came, pages or not.
@@ -91,13 +107,7 @@ def discover(
 
     fresh = judged.where("is_fresh").select("sitemap_url")
     labelled = label_page_outcome(found.join(fresh, "sitemap_url", "left_semi"), sitemaps, floor)
-    stored = pages.select("page_url", F.lit(True).alias("_stored"))
-    keys = small_keys(found, "page_url")
-    if keys is not None:
-        stored = stored.join(keys, "page_url", "left_semi")
-    outcomes = labelled.join(stored, "page_url", "left").withColumn(
-        "outcome", F.when((F.col("outcome") == "keep") & F.col("_stored"), "existing").otherwise(F.col("outcome"))
-    ).drop("_stored")
+    outcomes = _with_repeats(labelled, pages, small_keys(found, "page_url"))
 
     ids = next_sitemaps.select("sitemap_url", "id_sitemap")
     delta = labelled.where("outcome = 'keep'").join(ids, "sitemap_url").select("page_url", "id_sitemap", "publication_date")

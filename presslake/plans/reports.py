@@ -19,6 +19,7 @@ from presslake.functions.measures import (
 from presslake.functions.predicates import REPORT_DATE_FLOOR, on_or_after
 from presslake.operators.joins import known_domains, sitemap_domains, spread_lookup
 from presslake.operators.stored import text_not_empty, text_stored
+from presslake.session import materialize
 
 _COUNTS = ["total_pages", "pages_in_news_pages_content", "pages_with_non_empty_content", "pages_with_embeddings"]
 
@@ -50,7 +51,7 @@ def monthly_stats(
     )
 
 
-def _sitemap_funnel(pages: DataFrame, content: DataFrame, embeddings: DataFrame) -> DataFrame:
+def _sitemap_funnel(sitemaps: DataFrame, pages: DataFrame, content: DataFrame, embeddings: DataFrame) -> DataFrame:
     """Per sitemap: pages, stored, with text, embedded, and the embedded pages' date range.
 
     All three tables meet on ``id_page``; counting per page first keeps the
@@ -70,7 +71,7 @@ def _sitemap_funnel(pages: DataFrame, content: DataFrame, embeddings: DataFrame)
         )
     )
     has_vector = F.col("_embedded").isNotNull()
-    return by_page.groupBy("id_sitemap").agg(
+    by_sitemap = by_page.groupBy("id_sitemap").agg(
         F.sum("_rows").alias("total_pages"),
         F.sum("_stored").alias("pages_in_news_pages_content"),
         F.sum("_text").alias("pages_with_non_empty_content"),
@@ -78,6 +79,7 @@ def _sitemap_funnel(pages: DataFrame, content: DataFrame, embeddings: DataFrame)
         F.min(F.when(has_vector, F.col("_first"))).alias("_first"),
         F.max(F.when(has_vector, F.col("_last"))).alias("_last"),
     )
+    return by_sitemap.join(sitemap_domains(sitemaps), "id_sitemap")
 
 
 def _funnel_measures() -> list[Column]:
@@ -87,24 +89,27 @@ def _funnel_measures() -> list[Column]:
     ]
 
 
+def _per_domain(funnel: DataFrame) -> DataFrame:
+    return funnel.groupBy("domain").agg(*_funnel_measures()).orderBy("domain")
+
+
 def domain_stats(sitemaps: DataFrame, pages: DataFrame, content: DataFrame, embeddings: DataFrame) -> DataFrame:
     """Per domain how many pages reached each stage; dates are those of embedded pages."""
-    funnel = _sitemap_funnel(pages, content, embeddings).join(sitemap_domains(sitemaps), "id_sitemap")
-    return funnel.groupBy("domain").agg(*_funnel_measures()).orderBy("domain")
+    return _per_domain(_sitemap_funnel(sitemaps, pages, content, embeddings))
 
 
 def summary_stats(sitemaps: DataFrame, pages: DataFrame, content: DataFrame, embeddings: DataFrame) -> DataFrame:
     """The measures of ``domain_stats`` over everything, one row."""
-    funnel = _sitemap_funnel(pages, content, embeddings).join(sitemap_domains(sitemaps), "id_sitemap")
-    return funnel.agg(*_funnel_measures())
+    return _sitemap_funnel(sitemaps, pages, content, embeddings).agg(*_funnel_measures())
 
 
 def report(sitemaps: DataFrame, pages: DataFrame, content: DataFrame, embeddings: DataFrame) -> dict[str, DataFrame]:
-    """The three standing reports."""
+    """The three standing reports; the join of the large tables is made once for the last two."""
+    funnel = materialize(_sitemap_funnel(sitemaps, pages, content, embeddings))
     return {
         "monthly": monthly_stats(sitemaps, pages, content),
-        "domains": domain_stats(sitemaps, pages, content, embeddings),
-        "summary": summary_stats(sitemaps, pages, content, embeddings),
+        "domains": _per_domain(funnel),
+        "summary": funnel.agg(*_funnel_measures()),
     }
 
 

@@ -61,6 +61,19 @@ def test_two_discovery_runs(spark):
     assert rows(third.pages, "id_page", "page_url") == rows(second.pages, "id_page", "page_url")
 
 
+def test_a_page_in_several_sitemaps_is_added_once(spark):
+    seeds = spark.createDataFrame([("https://a.com/index.xml",)], "url string")
+    url = "<url><loc>https://a.com/same</loc><lastmod>2025-06-0{}</lastmod></url>"
+    twice = f"<urlset>{url.format(3)}{url.format(2)}</urlset>"
+    once = f"<urlset>{url.format(4)}</urlset>"
+    made = discover.discover(
+        seeds, bodies(spark, **{"https://a.com/one.xml": twice, "https://a.com/old.xml": once}), empty(spark, SITEMAPS), empty(spark, NEWS_PAGES), AS_OF)
+    assert rows(made.outcomes, "outcome", "publication_date") == [
+        ("existing", dt.datetime(2025, 6, 3)), ("existing", dt.datetime(2025, 6, 4)), ("keep", dt.datetime(2025, 6, 2))]
+    assert rows(made.pages, "page_url", "publication_date") == [("https://a.com/same", dt.datetime(2025, 6, 2))]
+    assert rows(reports.discovery_totals(made.outcomes), "pages") == [(1,)]
+
+
 def pages_table(spark, n):
     return spark.createDataFrame([(i, 1, f"https://a.com/{i}", dt.datetime(2025, 1, 1), False, None) for i in range(1, n + 1)], NEWS_PAGES)
 
