@@ -391,11 +391,11 @@ def extract_parser_stats(t: Tables) -> DataFrame:
 select *, round(tokens_sent::double / successful, 4) as avg_tokens_per_text, round(chars_sent::double / tokens_sent, 4) as avg_chars_per_token,
   round(tokens_sent / 1000000.0::double * 0.02, 6) as cost, round(successful / 60.0::double, 4) as texts_per_second
 from (select count(*) as total_texts, count(*) filter (where outcome = 'ok') as successful,
-  count(*) filter (where outcome = 'failed') as failed, count(*) filter (where outcome = 'skipped') as skipped,
+  count(*) filter (where outcome = 'failed') as failed, count(*) filter (where outcome = 'skipped') as skipped, count(*) filter (where tokens > 500) as truncated,
   sum(tokens) filter (where outcome <> 'skipped')::bigint as tokens_sent, sum(chars) filter (where outcome <> 'skipped')::bigint as chars_sent
   from v_embed_outcomes)""")
 def embed_run_stats(t: Tables) -> DataFrame:
-    return reports.embed_run_stats(t("v_embed_outcomes"), seconds=60)
+    return reports.embed_run_stats(t("v_embed_outcomes").withColumn("truncated", F.col("tokens") > 500), seconds=60)
 
 
 def _embed_domains(discount: str) -> str:

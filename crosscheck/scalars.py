@@ -124,6 +124,12 @@ def format_duration(t: Tables) -> DataFrame:
     return t.sql(_SECONDS).select("event_id", measures.format_duration(F.col("s")).alias("label"))
 
 
+@case("format_hms", f"""
+select event_id, printf('%dч %dм %dс', floor(s / 3600)::int, floor((s % 3600) / 60)::int, floor(s % 60)::int) as label from ({_SECONDS})""")
+def format_hms(t: Tables) -> DataFrame:
+    return t.sql(_SECONDS).select("event_id", measures.format_hms(F.col("s")).alias("label"))
+
+
 @case("token_cost", "select id_page, round(tokens / 1e6 * 0.02, 9) as cost, round(tokens / 1e6 * 0.02 * 0.5, 9) as batch_cost from v_embed_outcomes")
 def token_cost(t: Tables) -> DataFrame:
     tokens = F.col("tokens")

@@ -56,6 +56,13 @@ def format_duration(seconds: Column) -> Column:
     )
 
 
+def format_hms(seconds: Column, units: tuple[str, str, str] = ("ч", "м", "с")) -> Column:
+    """Seconds as hours, minutes and seconds, all three always shown, fractions cut off."""
+    seconds = seconds.cast("double")
+    parts = [F.floor(seconds / 3600), F.floor((seconds % 3600) / 60), F.floor(seconds % 60)]
+    return F.format_string("%d{} %d{} %d{}".format(*units), *[p.cast("bigint") for p in parts])
+
+
 def token_cost(tokens: Column, price: float = PRICE_PER_MILLION_TOKENS, discount: float = 1.0) -> Column:
     """Price of a number of tokens; pass ``BATCH_DISCOUNT`` for batch jobs."""
     return tokens / F.lit(1_000_000) * F.lit(price) * F.lit(discount)

@@ -50,9 +50,11 @@ _LINES = [
     (rf"(?i)<(?:/?(?:{'|'.join(BLOCKS)})(?: [^>]*)?/?|/(?:h[1-6]|li|tr) ?)>", "\n"),
     (r"<[^>]*>", ""),
 ]
+# Blanks are single before the line ends are looked at, so one blank is all there can be in front.
+_BLANKS = [(r"[ \t]{2,}", " ")]
+_LINE_ENDS = [(" \n", "\n")]
 _TIDY = [
-    (r"[ \t]{2,}", " "),
-    (r" *\n[ \n]*", "\n"),
+    (r"\n[ \n]+", "\n"),
     # Marks of headings, items and rows without text.
     (r"(?:\n(?:#{1,6}|-|\|))+\n", "\n"),
 ]
@@ -60,7 +62,8 @@ _TIDY = [
 # (is a pattern, what, replacement)
 CHAIN = (
     [(True, *step) for step in _TAGS] + [(False, *step) for step in _HEADINGS] + [(True, *step) for step in _LINES]
-    + [(False, *step) for step in ENTITIES] + [(True, *step) for step in _TIDY]
+    + [(False, *step) for step in ENTITIES] + [(True, *step) for step in _BLANKS] + [(False, *step) for step in _LINE_ENDS]
+    + [(True, *step) for step in _TIDY]
 )
 
 

@@ -227,14 +227,17 @@ def embed_run_stats(
     """Totals of an embedding run from ``outcome, tokens, chars``.
 
     Tokens and characters count everything sent, failed texts included, while
-    the mean divides by the successful texts only.
+    the mean divides by the successful texts only. ``truncated`` counts cut texts
+    where the outcomes say so.
     """
     sent = F.col("outcome") != "skipped"
+    cut = F.count_if("truncated") if "truncated" in outcomes.columns else F.lit(0).cast("bigint")
     totals = outcomes.agg(
         F.count("*").alias("total_texts"),
         F.count_if(F.col("outcome") == "ok").alias("successful"),
         F.count_if(F.col("outcome") == "failed").alias("failed"),
         F.count_if(F.col("outcome") == "skipped").alias("skipped"),
+        cut.alias("truncated"),
         F.coalesce(F.sum(F.when(sent, F.col("tokens"))), F.lit(0)).alias("tokens_sent"),
         F.coalesce(F.sum(F.when(sent, F.col("chars"))), F.lit(0)).alias("chars_sent"),
     )
