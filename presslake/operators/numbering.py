@@ -24,9 +24,8 @@ def report_row_number(df: DataFrame, order: list[Column], name: str = "row_no")
     Rows are sorted by range over all tasks and written once; a number is then
     the count of rows in earlier partitions plus the place within its own.
     """
-    ordered = materialize(df.orderBy(*order))
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    placed = ordered.select("*", F.spark_partition_id().alias("_part"), place.alias("_place"))
+    placed = materialize(df.orderBy(*order).select("*", F.spark_partition_id().alias("_part"), place.alias("_place")))
     starts = _running_start(placed.groupBy("_part").agg(F.count("*").alias("_n")), "_part", "_n")
     numbered = placed.join(starts, "_part").withColumn(name, F.col("_start") + F.col("_place") + 1)
     return numbered.select(name, *df.columns)

@@ -37,16 +37,17 @@ def configure(spark: SparkSession, frontier_cap: int = 5000) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder: on a cluster the
-    executors would not see it.
+    Only a local session without the setting gets one of its own, and the setting
+    with it: on a cluster the executors would not see such a folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    current = spark.sparkContext.getCheckpointDir()
-    return current or tempfile.mkdtemp(prefix="presslake-")
+    made = tempfile.mkdtemp(prefix="presslake-")
+    spark.conf.set("spark.checkpoint.dir", made)
+    return made
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -54,13 +55,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write the rows to the checkpoint folder and go on from there.
+def materialize(df: DataFrame, label: str = "rows") -> DataFrame:
+    """Write the rows as Parquet under the checkpoint folder and go on from the files.
 
-    Used where a later step needs the very same partitions twice, which a
-    recomputed lineage does not promise.
+    Used where a later step needs the very same rows twice, which a recomputed
+    lineage does not promise. Later steps read only the columns they need.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(checkpoint_root(df.sparkSession))
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
