@@ -108,7 +108,7 @@ def default_rules(text: str = "text") -> list[Rule]:
     shouted = F.regexp_count(whole, F.lit("[A-ZÀ-ÖØ-Þ]"))
     return [
         Rule("symbols", 10 * F.col("n_symbols") > n),
-        Rule("repeated lines", 100 * F.col("n_dup_lines") > 30 * F.col("n_lines")),
+        Rule("repeated lines", (F.col("n_dup_lines") >= 3) & (100 * F.col("n_dup_lines") > 30 * F.col("n_lines"))),
         Rule("word length", (F.col("word_chars") < 2 * n) | (F.col("word_chars") > 20 * n)),
         Rule("capitals", 100 * shouted > 30 * F.col("word_chars")),
         Rule("exclamation marks", 100 * F.regexp_count(whole, F.lit("!")) > 20 * n),
@@ -184,7 +184,7 @@ j as (select c.*, coalesce(rep.n, 0) as n_repeat_words,
     n_words < 50 or 100 * coalesce(rep.n, 0) > 50 * n_words as base_failed from c left join rep using (row_no))
 select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_symbols::bigint as n_symbols,
     n_dup_lines::bigint as n_dup_lines, n_repeat_words::bigint as n_repeat_words, base_failed,
-    not (base_failed or 10 * n_symbols > n_words or 100 * n_dup_lines > 30 * n_lines
+    not (base_failed or 10 * n_symbols > n_words or (n_dup_lines >= 3 and 100 * n_dup_lines > 30 * n_lines)
         or word_chars < 2 * n_words or word_chars > 20 * n_words
         or 100 * length(regexp_replace(t, '[^A-ZÀ-ÖØ-Þ]', '', 'g')) > 30 * word_chars
         or 100 * length(regexp_replace(t, '[^!]', '', 'g')) > 20 * n_words
