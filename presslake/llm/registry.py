@@ -11,7 +11,7 @@ from presslake import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-MODULES = ["rule_cascade"]
+MODULES = ["rule_cascade", "power_packing", "id_shards"]
 
 
 def query(name: str, oracle: str | None = None):
