@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 
 TOKENIZER = "word_bpe_49k.json"
-CACHED_WORDS = 400_000
+CACHED_WORDS = 800_000
 #: Characters of text taken at a time; bounds the memory for split words.
 PIECE_CHARS = 1 << 20
 
@@ -41,6 +42,9 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        plain = map(chr, range(33, 256))
+        first = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.letters = {ord(c): first(c)[0][0] for c in plain if _PLAIN.fullmatch(c)}
         self.words: dict[str, bytes] = {}
 
     @classmethod
@@ -54,16 +58,10 @@ class Encoder:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _learn(self, words: list[str]) -> None:
-        """Encode words that aren't cached, many in one call."""
-        if len(self.words) > CACHED_WORDS:
-            self.words.clear()
-        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        raw, place = np.asarray(found.ids, dtype="<u4").tobytes(), np.asarray(found.word_ids)
-        cut = [0, *(np.flatnonzero(np.diff(place)) + 1).tolist(), len(place)]
-        if len(cut) != len(words) + 1:
-            self.words.update((w, self._raw(w)) for w in words)
-            return
-        self.words.update((w, raw[4 * a : 4 * b]) for w, a, b in zip(words, cut, cut[1:], strict=False))
+        """Encode words that aren't cached, by the tokenizer's model alone: they are what its first steps give."""
+        for word in words:
+            found = self.tokenizer.model.tokenize(word.translate(self.letters))
+            self.words[word] = array("I", [t.id for t in found]).tobytes()
 
     def _is_plain(self, text: str) -> bool:
         return bool(_PLAIN.fullmatch(text)) and not any(s in text for s in self.special)
@@ -73,15 +71,14 @@ class Encoder:
             return b"".join(
                 self._piece(part) if self._is_plain(part) else self._raw(part) for part in _CUT.split(text) if part
             )
-        words = _WORDS.findall(text.lower())
+        words, known = _WORDS.findall(text.lower()), self.words
         try:
-            return b"".join(map(self.words.__getitem__, words))
+            return b"".join(map(known.__getitem__, words))
         except KeyError:
-            self._learn(list(set(words) - self.words.keys()))
-        missing = [w for w in set(words) if w not in self.words]
-        if missing:  # the cache was emptied meanwhile
-            self._learn(missing)
-        return b"".join(map(self.words.__getitem__, words))
+            if len(known) > CACHED_WORDS:
+                known.clear()
+            self._learn([w for w in set(words) if w not in known])
+        return b"".join(map(known.__getitem__, words))
 
     def ids(self, text: str) -> bytes:
         if len(text) <= PIECE_CHARS:
