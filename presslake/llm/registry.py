@@ -11,7 +11,7 @@ from presslake import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-MODULES = ["rule_cascade", "power_packing", "id_shards", "pii", "trie_dedup", "simhash", "mixing"]
+MODULES = ["rule_cascade", "power_packing", "id_shards", "pii", "trie_dedup", "simhash", "mixing", "toxicity"]
 
 
 def query(name: str, oracle: str | None = None):
