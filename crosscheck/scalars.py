@@ -46,9 +46,10 @@ def seed_scan(t: Tables) -> DataFrame:
 _DAY = "cast('2024-01-01' as date) + cast(doc_id % 365 as int)"
 _PARTS = f"""select doc_id, d, lpad(cast(doc_id % 24 as varchar(2)), 2, '0') || ':' || lpad(cast(doc_id % 60 as varchar(2)), 2, '0') || ':00' as hms,
   cast(year(d) as varchar(4)) as y, lpad(cast(month(d) as varchar(2)), 2, '0') as m, lpad(cast(day(d) as varchar(2)), 2, '0') as dd,
-  substr('JanFebMarAprMayJunJulAugSepOctNovDec', cast(month(d) * 3 - 2 as int), 3) as mon
+  substr('JanFebMarAprMayJunJulAugSepOctNovDec', cast(month(d) * 3 - 2 as int), 3) as mon,
+  trim(substr('January  February March    April    May      June     July     August   SeptemberOctober  November December ', cast(month(d) * 9 - 8 as int), 9)) as month_name
 from (select doc_id, {_DAY} as d from documents)"""
-_TEXTS = f"""select doc_id, d, case doc_id % 17
+_TEXTS = f"""select doc_id, d, case doc_id % 25
   when 0 then y || '-' || m || '-' || dd
   when 1 then y || '-' || m || '-' || dd || 'T' || hms || 'Z'
   when 2 then y || '-' || m || '-' || dd || 'T' || hms || '+03:00'
@@ -65,12 +66,22 @@ _TEXTS = f"""select doc_id, d, case doc_id % 17
   when 13 then '  <b>' || y || '-' || m || '-' || dd || '</b> '
   when 14 then 'Mon, ' || dd || ' ' || mon || ' ' || y || ' ' || hms || ' +0300'
   when 15 then dd || ' ' || mon || ' ' || y || ' ' || hms || ' GMT'
+  when 17 then y || '-' || m || '-' || dd || 'T' || substr(hms, 1, 5) || 'Z'
+  when 18 then y || '-' || m || '-' || dd || 'T' || substr(hms, 1, 5) || '+03:00'
+  when 19 then y || '-' || m
+  when 20 then y
+  when 21 then dd || ' ' || month_name || ' ' || y
+  when 22 then dd || '.' || m || '.' || y || ' ' || substr(hms, 1, 5)
+  when 23 then 'Mon, ' || dd || ' ' || mon || ' ' || substr(y, 3) || ' ' || hms || ' +0300'
+  when 24 then 'Mon, ' || dd || ' ' || mon || ' ' || substr(y, 3) || ' ' || hms || ' GMT'
   else y || '-' || m || '-' || dd || 'T' || hms || '.250Z' end as text from ({_PARTS})"""
-_READ = """case when doc_id % 17 in (10, 11, 12) then null
-  when doc_id % 17 in (0, 6, 7, 8, 9, 13) then cast(d as timestamp)
+_READ = """case when doc_id % 25 in (10, 11, 12) then null
+  when doc_id % 25 in (0, 6, 7, 8, 9, 13, 21) then cast(d as timestamp)
+  when doc_id % 25 = 19 then cast(date_trunc('month', d) as timestamp)
+  when doc_id % 25 = 20 then cast(date_trunc('year', d) as timestamp)
   else cast(d as timestamp) + to_hours(doc_id % 24) + to_minutes(doc_id % 60)
-    - to_hours(case when doc_id % 17 in (2, 3, 14) then 3 else 0 end)
-    + to_milliseconds(case when doc_id % 17 = 16 then 250 else 0 end) end"""
+    - to_hours(case when doc_id % 25 in (2, 3, 14, 18, 23) then 3 else 0 end)
+    + to_milliseconds(case when doc_id % 25 = 16 then 250 else 0 end) end"""
 
 
 @case("date_clean", f"""

@@ -1,7 +1,7 @@
 """Dates out of sitemap text, always as UTC timestamps.
 
 Recognised shapes form a closed list; whatever has another shape gives NULL and
-the page counts as undated. The session time zone must be UTC (``configure``).
+the page counts as undated. A month or a year alone means its first day. The session time zone must be UTC (``configure``).
 """
 
 from __future__ import annotations
@@ -14,21 +14,31 @@ from pyspark.sql import functions as F
 # Dates that stand for "no date".
 PLACEHOLDER_DATES = ["0000-00-00", "1970-01-01", "0001-01-01"]
 
-_ISO_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}([T ]\d.*)?$"
+_ISO_SHAPE = r"^\d{4}(-\d{1,2}(-\d{1,2}([T ]\d.*)?)?)?$"
+# A cast reads a zone after seconds only.
+_MINUTE_ZONE = r"^(\S+[T ]\d{1,2}:\d{2}) ?(Z|[+\-]\d{2}:?\d{2})$"
 _WEEKDAY = r"^[A-Za-z]{3,9},\s*"
 
-# Shape of the text -> pattern that reads it. The shape is tested first because
-# a failed parse costs an exception per row.
+# Shape of the text -> pattern that reads it. The shape is tested
+# first because a failed parse costs an exception per row.
 _SHAPES = [
     (r"^\d{1,2}\.\d{1,2}\.\d{4} \d{1,2}:\d{2}:\d{2}$", "d.M.yyyy H:mm:ss"),
+    (r"^\d{1,2}\.\d{1,2}\.\d{4} \d{1,2}:\d{2}$", "d.M.yyyy H:mm"),
     (r"^\d{1,2}\.\d{1,2}\.\d{4}$", "d.M.yyyy"),
     (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
     (r"^\d{4}/\d{1,2}/\d{1,2} \d{1,2}:\d{2}:\d{2}$", "yyyy/M/d H:mm:ss"),
+    (r"^\d{4}/\d{1,2}/\d{1,2} \d{1,2}:\d{2}$", "yyyy/M/d H:mm"),
     (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"),
     (r"^\d{1,2} [A-Z][a-z]{2} \d{4} \d{1,2}:\d{2}:\d{2} [+\-]\d{4}$", "d MMM yyyy H:mm:ss Z"),
     (r"^\d{1,2} [A-Z][a-z]{2} \d{4} \d{1,2}:\d{2}:\d{2} [A-Z]{1,4}$", "d MMM yyyy H:mm:ss z"),
     (r"^\d{1,2} [A-Z][a-z]{2} \d{4} \d{1,2}:\d{2}:\d{2}$", "d MMM yyyy H:mm:ss"),
     (r"^\d{1,2} [A-Z][a-z]{2} \d{4}$", "d MMM yyyy"),
+    (r"^\d{1,2} [A-Z][a-z]{2} \d{2} \d{1,2}:\d{2}:\d{2} [+\-]\d{4}$", "d MMM yy H:mm:ss Z"),
+    (r"^\d{1,2} [A-Z][a-z]{2} \d{2} \d{1,2}:\d{2}:\d{2} [A-Z]{1,4}$", "d MMM yy H:mm:ss z"),
+    (r"^\d{1,2} [A-Z][a-z]{2} \d{2} \d{1,2}:\d{2}:\d{2}$", "d MMM yy H:mm:ss"),
+    (r"^\d{1,2} [A-Z][a-z]{2} \d{2}$", "d MMM yy"),
+    (r"^\d{1,2} [A-Z][a-z]{3,8} \d{4} \d{1,2}:\d{2}:\d{2}$", "d MMMM yyyy H:mm:ss"),
+    (r"^\d{1,2} [A-Z][a-z]{3,8} \d{4}$", "d MMMM yyyy"),
     (r"^[A-Z][a-z]{2} \d{1,2}, \d{4}$", "MMM d, yyyy"),
     (r"^[A-Z][a-z]{3,8} \d{1,2}, \d{4}$", "MMMM d, yyyy"),
 ]
@@ -56,7 +66,8 @@ def clean_date_text(text: Column) -> Column:
 
 
 def _read(plain: Column) -> Column:
-    parsed = F.when(plain.rlike(_ISO_SHAPE), plain.try_cast("timestamp"))
+    full = F.regexp_replace(plain, _MINUTE_ZONE, "$1:00$2")
+    parsed = F.when(plain.rlike(_ISO_SHAPE), full.try_cast("timestamp"))
     for shape, pattern in _SHAPES:
         parsed = parsed.when(plain.rlike(shape), F.try_to_timestamp(plain, F.lit(pattern)))
     return parsed

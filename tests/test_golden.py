@@ -89,6 +89,11 @@ def test_broken_documents(spark):
     ("2024/01/05", "2024-01-05 00:00:00"), ("25/01/2024", "2024-01-25 00:00:00"),
     ("Fri, 05 Jan 2024 10:00:00 +0300", "2024-01-05 07:00:00"), ("Fri, 05 Jan 2024 10:00:00 GMT", "2024-01-05 10:00:00"),
     ("Jan 5, 2024", "2024-01-05 00:00:00"), ("January 5, 2024", "2024-01-05 00:00:00"), ("  <b>2024-01-05</b>\n", "2024-01-05 00:00:00"),
+    ("2024-01-05T10:00Z", "2024-01-05 10:00:00"), ("2024-01-05T10:00+03:00", "2024-01-05 07:00:00"),
+    ("2024-01-05 10:00 -0130", "2024-01-05 11:30:00"), ("2024-01-05T10:00", "2024-01-05 10:00:00"),
+    ("2024-01", "2024-01-01 00:00:00"), ("2024", "2024-01-01 00:00:00"), ("5 January 2024", "2024-01-05 00:00:00"),
+    ("5 May 2024", "2024-05-05 00:00:00"), ("05.01.2024 10:00", "2024-01-05 10:00:00"), ("Fri, 05 Jan 24 10:00:00 GMT", "2024-01-05 10:00:00"),
+    ("Fri, 05 Jan 24 10:00:00 +0300", "2024-01-05 07:00:00"), ("2024/01/05 10:00", "2024-01-05 10:00:00"), ("2024-13", None), ("20245", None),
     ("0000-00-00", None), ("1970-01-01", None), ("0001-01-01", None), ("soon", None), ("2024-02-31", None),
     ("31/02/2024", None), ("12:30", None), ("", None), (None, None),
 ])
