@@ -18,11 +18,25 @@ from pyspark.sql import functions as F
 from presslake.functions.dates import moment
 from presslake.functions.measures import normalise_fresh
 from presslake.functions.urls import url_netloc
-from presslake.operators.joins import small_keys
+from presslake.operators.joins import MAX_BROADCAST_BYTES, small_keys
 from presslake.operators.numbering import surrogate_keys
 from presslake.session import materialize
 
 
+def delta_keys(delta: DataFrame, key: str) -> DataFrame | None:
+    """The keys of a delta marked for broadcast, or None when they are too large for it, by measure.
+
+    A key that repeats would give its stored row several times, so it is refused.
+    """
+    known = delta.where(F.col(key).isNotNull())
+    each = known.groupBy(key).agg(F.count("*").alias("_n"))
+    size = F.sum(F.octet_length(F.col(key).cast("string")) + 16)
+    most, size = each.agg(F.max("_n"), size).first()
+    if (most or 0) > 1:
+        raise ValueError(f"the delta holds a {key} more than once")
+    return F.broadcast(known.select(key)) if (size or 0) <= MAX_BROADCAST_BYTES else None
+
+
 def _highest(table: DataFrame, key: str) -> Column:
     return table.agg(F.coalesce(F.max(key), F.lit(0)).cast("bigint")).scalar()
 
@@ -139,7 +153,7 @@ def raw_upsert(stored: DataFrame, delta: DataFrame, as_of: dt.datetime | Column)
 
     ``delta``: ``id_page, page_url, publication_date, page_raw_content``, ``id_page`` distinct.
     """
-    keys = small_keys(delta, "id_page")
+    keys = delta_keys(delta, "id_page")
     kept = _changed(stored, delta, "id_page", {
         "page_url": F.col("_d.page_url"),
         "publication_date": F.col("_d.publication_date"),
@@ -154,24 +168,24 @@ def content_update(stored: DataFrame, delta: DataFrame) -> DataFrame:
     """Set the text, and its length, of the pages in ``delta`` (``id_page, content``); no inserts."""
     return _changed(stored, delta, "id_page", {
         "content": F.col("_d.content"), "content_length": F.length("_d.content"),
-    }, small_keys(delta, "id_page"))
+    }, delta_keys(delta, "id_page"))
 
 
 def error_flag_update(pages: DataFrame, delta: DataFrame) -> DataFrame:
     """Set the error flag of the pages in ``delta`` (``id_page, is_error``)."""
-    return _changed(pages, delta, "id_page", {"is_error": F.col("_d.is_error")}, small_keys(delta, "id_page"))
+    return _changed(pages, delta, "id_page", {"is_error": F.col("_d.is_error")}, delta_keys(delta, "id_page"))
 
 
 def freshness_update(sitemaps: DataFrame, delta: DataFrame, as_of: dt.datetime | Column) -> DataFrame:
     """Set freshness and processing time of the sitemaps in ``delta`` (``sitemap_url, is_fresh``)."""
     return _changed(sitemaps, delta, "sitemap_url", {
         "is_fresh": F.col("_d.is_fresh"), "processed_at": moment(as_of),
-    }, small_keys(delta, "sitemap_url"))
+    }, delta_keys(delta, "sitemap_url"))
 
 
 def embedding_upsert(stored: DataFrame, delta: DataFrame) -> DataFrame:
     """Insert or replace the vectors in ``delta`` (``id_page, embedding``), ``id_page`` distinct."""
-    keys = small_keys(delta, "id_page")
+    keys = delta_keys(delta, "id_page")
     kept = _changed(stored, delta, "id_page", {"embedding": F.col("_d.embedding")}, keys)
     new = _absent(delta, stored, "id_page", keys)
     return kept.unionByName(_filled(_with_new_ids(stored, new, "id", "id_page"), stored))

@@ -30,7 +30,8 @@ def extract(
 ) -> Extracted:
     """Extract the text of every waiting page; one without text keeps NULL and waits again.
 
-    With ``dedup`` lines repeated across the extracted pages stay in the first only.
+    With ``dedup`` lines repeated across the extracted pages stay in the first only. A page
+    all of whose lines were repeats has been read: it gets an empty text and doesn't wait.
     The HTML is read where it lies; only the much smaller texts meet the queue.
     """
     waiting = extract_queue(sitemaps, pages, content).select("id_page")
@@ -38,6 +39,6 @@ def extract(
     texts = materialize(html_extract(html, "id_page", "page_raw_content", fn).join(waiting, "id_page", "left_semi"))
     if dedup:
         single = text_dedup_blocks(texts.where("content is not null"), "id_page", "content")
-        texts = materialize(texts.select("id_page").join(single, "id_page", "left").withColumn("content", F.expr("nullif(content, '')")))
+        texts = materialize(texts.select("id_page").join(single, "id_page", "left"))
     outcomes = texts.select("id_page", F.lit(parser).alias("parser"), F.col("content").isNotNull().alias("ok"))
     return Extracted(content_update(content, texts), outcomes)

@@ -1,17 +1,21 @@
 """Streams that maintain a table as folders, one per micro-batch.
 
+A folder is named by the stream's checkpoint and the number of the micro-batch.
 A micro-batch that runs again overwrites its own folder, so a restart neither
-loses nor repeats rows. Every stream takes what is there and stops
-(``availableNow``), like a scheduled run.
+loses nor repeats rows; a stream with a new checkpoint writes beside the old
+folders, never over them. Rows of a later stream count as newer. Every stream
+takes what is there and stops (``availableNow``), like a scheduled run.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,12 +24,12 @@ from presslake.operators.merge import new_pages
 from presslake.schemas import NEWS_PAGES, RESULT_LINE
 from presslake.sources.jobs import result_rows
 
-_BASE = -1
+_BASE = "0-base"
 
 
 def _parts(spark: SparkSession, root: str, schema: str) -> DataFrame:
-    """All folders under ``root`` with their ``batch_id``; none when nothing is written yet."""
-    full = f"{schema}, batch_id bigint"
+    """All folders under ``root`` with ``stream`` and ``batch_id``; none when nothing is written yet."""
+    full = f"{schema}, stream string, batch_id bigint"
     try:
         return spark.read.schema(full).parquet(root)
     except AnalysisException as error:
@@ -34,13 +38,31 @@ def _parts(spark: SparkSession, root: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], full)
 
 
-def _write_part(df: DataFrame, root: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+def _age() -> Column:
+    """Order of the folders: streams by their start, then micro-batches."""
+    return F.struct(F.split_part("stream", F.lit("-"), F.lit(1)).cast("bigint"), "stream", "batch_id")
+
+
+def _write_part(df: DataFrame, root: str, stream: str, batch_id: int) -> None:
+    df.write.mode("overwrite").parquet(f"{root}/stream={stream}/batch_id={batch_id}")
 
 
 def write_base(df: DataFrame, root: str) -> None:
     """Put an existing table under ``root``, before any micro-batch."""
-    _write_part(df, root, _BASE)
+    _write_part(df, root, _BASE, -1)
+
+
+def _stream_name(spark: SparkSession, checkpoint: str) -> str:
+    """A stream's name, kept beside its checkpoint: the time of its first start and a random part."""
+    path = f"{checkpoint.rstrip('/')}-name"
+    try:
+        return spark.read.text(path).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    name = f"{time.time_ns()}-{uuid.uuid4().hex[:8]}"
+    spark.createDataFrame([(name,)], "value string").coalesce(1).write.text(path)
+    return name
 
 
 def _start(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None], mode: str = "append") -> StreamingQuery:
@@ -55,15 +77,18 @@ def stream_page_discovery(found: DataFrame, root: str, checkpoint: str, as_of: d
 
     The table itself says what is known, so the stream keeps no state.
     """
+    name = _stream_name(found.sparkSession, checkpoint)
+
     def each(batch: DataFrame, batch_id: int) -> None:
-        stored = _parts(batch.sparkSession, root, NEWS_PAGES).where(F.col("batch_id") < batch_id).drop("batch_id")
-        _write_part(new_pages(stored, batch, as_of), root, batch_id)
+        own = (F.col("stream") == name) & (F.col("batch_id") >= batch_id)
+        stored = _parts(batch.sparkSession, root, NEWS_PAGES).where(~own).drop("stream", "batch_id")
+        _write_part(new_pages(stored, batch, as_of), root, name, batch_id)
 
     return _start(found, checkpoint, each)
 
 
 def current_pages(spark: SparkSession, root: str) -> DataFrame:
-    return _parts(spark, root, NEWS_PAGES).drop("batch_id")
+    return _parts(spark, root, NEWS_PAGES).drop("stream", "batch_id")
 
 
 def stream_batch_results(spark: SparkSession, results_dir: str, root: str, checkpoint: str) -> StreamingQuery:
@@ -72,10 +97,12 @@ def stream_batch_results(spark: SparkSession, results_dir: str, root: str, check
         "custom_id", "error", "response", "_metadata.file_name", "_metadata.file_block_start"
     )
 
+    name = _stream_name(spark, checkpoint)
+
     def each(batch: DataFrame, batch_id: int) -> None:
         place = F.struct("file_name", "file_block_start", F.monotonically_increasing_id().alias("n"))
         placed = result_rows(batch.withColumn("seq", place), keep=["seq"])
-        _write_part(results_ok(placed), root, batch_id)
+        _write_part(results_ok(placed), root, name, batch_id)
 
     return _start(lines, checkpoint, each)
 
@@ -83,7 +110,7 @@ def stream_batch_results(spark: SparkSession, results_dir: str, root: str, check
 def current_embeddings(spark: SparkSession, root: str) -> DataFrame:
     """The newest stored vector of each page."""
     parts = _parts(spark, root, "id_page bigint, embedding array<float>")
-    return parts.groupBy("id_page").agg(F.max_by("embedding", "batch_id").alias("embedding"))
+    return parts.groupBy("id_page").agg(F.max_by("embedding", _age()).alias("embedding"))
 
 
 def stream_fetch_stats(log: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
@@ -93,13 +120,14 @@ def stream_fetch_stats(log: DataFrame, root: str, checkpoint: str) -> StreamingQ
         F.count_if(ok).alias("successful"), F.count_if(~ok).alias("failed"),
         F.coalesce(F.sum(F.when(ok, F.col("content_size"))), F.lit(0)).alias("total_bytes"),
     )
-    return _start(totals, checkpoint, lambda batch, batch_id: _write_part(batch, root, batch_id), mode="update")
+    name = _stream_name(log.sparkSession, checkpoint)
+    return _start(totals, checkpoint, lambda batch, batch_id: _write_part(batch, root, name, batch_id), mode="update")
 
 
 def current_fetch_stats(spark: SparkSession, root: str) -> DataFrame:
-    """The newest totals of each domain."""
+    """The newest totals of each domain; a stream that starts anew reads its source from the start."""
     parts = _parts(spark, root, "domain string, successful bigint, failed bigint, total_bytes bigint")
-    newest = F.max_by(F.struct("successful", "failed", "total_bytes"), "batch_id")
+    newest = F.max_by(F.struct("successful", "failed", "total_bytes"), _age())
     totals = parts.groupBy("domain").agg(newest.alias("t")).select("domain", "t.*")
     rate = F.round(100.0 * F.col("successful") / (F.col("successful") + F.col("failed")), 2)
     return totals.select("domain", "successful", "failed", rate.alias("success_rate"), "total_bytes")

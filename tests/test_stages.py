@@ -102,9 +102,12 @@ def test_fetch_then_extract_then_embed(spark):
     assert again.outcomes.count() == 0
 
     extracted = extract.extract(sitemaps, fetched.pages, fetched.content)
-    # Both pages have the same lines; the second keeps none and stays without text.
-    assert rows(extracted.content.where("content is not null"), "id_page") == [(1,)]
-    assert rows(reports.extract_parser_stats(extracted.outcomes), "successful", "failed") == [(1, 1)]
+    # Both pages have the same lines; the second keeps none, gets an empty text and waits no more.
+    assert rows(extracted.content, "id_page", F.col("content") == "") == [(1, False), (2, True), (3, None), (4, None)]
+    assert rows(reports.extract_parser_stats(extracted.outcomes), "successful", "failed") == [(2, 0)]
+    second = extract.extract(sitemaps, fetched.pages, extracted.content)
+    assert second.outcomes.count() == 0
+    assert rows(second.content, "id_page", "content") == rows(extracted.content, "id_page", "content")
     whole = extract.extract(sitemaps, fetched.pages, fetched.content, dedup=False)
     assert rows(whole.content.where("content_length > 900"), "id_page") == [(1,), (2,)]
 
@@ -147,6 +150,27 @@ def test_batch_jobs_from_creation_to_check(spark):
     assert rechecked.embeddings.count() == 2
 
 
+def test_a_page_tried_several_times_is_stored_once(spark):
+    sitemaps, pages = one_sitemap(spark), pages_table(spark, 3)
+    later = AS_OF + dt.timedelta(hours=1)
+    log = spark.createDataFrame([
+        ("https://a.com/1", 500, None, None, AS_OF), ("https://a.com/1", 200, None, "one", AS_OF), ("https://a.com/1", 503, None, "sorry", later),
+        ("https://a.com/2", 200, None, "old", AS_OF), ("https://a.com/2", 200, None, "new", later), ("https://a.com/2", 200, None, "new", later),
+        ("https://a.com/3", 500, None, None, AS_OF), ("https://a.com/3", 404, None, None, None), ("https://a.com/3", None, None, None, None),
+    ], "url string, status int, location string, body string, ts timestamp")
+    made = fetch.fetch_apply(sitemaps, pages, empty(spark, NEWS_PAGES_CONTENT), log, AS_OF)
+    assert rows(made.content, "id_page", "page_raw_content") == [(1, "one"), (2, "new"), (3, None)]
+    assert rows(made.outcomes, "id_page", "outcome", "content_size") == [(1, "ok", 3), (2, "ok", 3), (3, "http_error", 0)]
+    assert rows(made.pages.where("is_error"), "id_page") == [(3,)]
+    assert constraint_audit({"news_pages_content": made.content}).count() == 0
+
+
+def test_a_delta_with_a_repeated_key_is_refused(spark):
+    pages = pages_table(spark, 2)
+    with pytest.raises(ValueError, match="more than once"):
+        merge.error_flag_update(pages, spark.createDataFrame([(1, True), (1, False)], "id_page bigint, is_error boolean"))
+
+
 # Streams -------------------------------------------------------------------------------
 
 FOUND = "page_url string, id_sitemap bigint, publication_date timestamp"
@@ -196,6 +220,31 @@ def test_fetch_stream_ends_at_the_batch_totals(spark, tmp_path):
     assert rows(incremental.current_fetch_stats(spark, root), "*") == rows(reports.fetch_domain_stats(log), "*")
 
 
+def test_streams_with_a_new_checkpoint_lose_nothing(spark, tmp_path):
+    day, source, root = dt.datetime(2025, 1, 1), str(tmp_path / "in"), str(tmp_path / "pages")
+    for i, wave in enumerate([[("u1", 1, day)], [("u2", 1, day)]]):
+        spark.createDataFrame(wave, FOUND).coalesce(1).write.parquet(f"{source}/wave={i}")
+        stream = spark.readStream.schema(FOUND).option("recursiveFileLookup", "true").parquet(source)
+        incremental.stream_page_discovery(stream, root, str(tmp_path / f"state{i}"), AS_OF).awaitTermination(120)
+    got = incremental.current_pages(spark, root)
+    assert rows(got, "id_page", "page_url") == [(1, "u1"), (2, "u2")]
+
+    files, vectors = tmp_path / "results", str(tmp_path / "vectors")
+    files.mkdir()
+    for i, lines in enumerate([[result(1, 1.0), result(2, 2.0)], [result(1, 3.0)]]):
+        (files / f"{i}.jsonl").write_text("\n".join(lines))
+        incremental.stream_batch_results(spark, str(files), vectors, str(tmp_path / f"vstate{i}")).awaitTermination(120)
+    assert [r[0] for r in rows(incremental.current_embeddings(spark, vectors), "id_page", "embedding")] == [1, 2]
+
+    schema, log, totals = "domain string, ok boolean, content_size bigint", str(tmp_path / "log"), str(tmp_path / "totals")
+    for i, wave in enumerate([[("a", True, 10)], [("b", True, 5), ("a", False, 0)]]):
+        spark.createDataFrame(wave, schema).coalesce(1).write.parquet(f"{log}/wave={i}")
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(log)
+        incremental.stream_fetch_stats(stream, totals, str(tmp_path / f"tstate{i}")).awaitTermination(120)
+    whole = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(log)
+    assert rows(incremental.current_fetch_stats(spark, totals), "*") == rows(reports.fetch_domain_stats(whole), "*")
+
+
 def test_checkpoints_go_to_the_named_folder(spark):
     from presslake import checkpoint_root, scratch_path
 
