@@ -102,16 +102,36 @@ from ({_FRONTIER}) f join ({_RESPONSES}) r on r.url = f.page_url
 left join ({_RESPONSES}) m on m.url = regexp_extract(f.page_url, '^https://[^/]+') || r.location"""
 
 
-@case("fetch_apply", f"""
-select domain, outcome, count(*) as pages, count(*) filter (where outcome = 'ok' and body <> '') as ok,
-  sum(case when outcome = 'ok' then length(body) else 0 end)::bigint as content_size from ({_TRIED}) group by 1, 2""")
-def fetch_apply(t: Tables) -> DataFrame:
+# Every fifth URL was tried the day before, in vain; every tenth answer is in the log twice.
+_LOG = f"""{_RESPONSES}
+  union all select 'https://' || source || '.example.com/' || doc_id, 503, null, 'busy', cast('2025-06-28' as timestamp) from documents where doc_id % 5 = 0 and doc_id % 9 <> 5
+  union all select 'https://' || source || '.example.com/' || doc_id, 200, null, text, cast('2025-06-29' as timestamp) from documents where doc_id % 10 = 3 and doc_id % 8 > 2 and doc_id % 9 <> 5"""
+
+
+def _fetched(t: Tables) -> fetch.Fetched:
     sitemaps, pages, content, _ = t.crawl()
     stored = content.select("*", F.col("id_page").alias("id"), F.lit(None).cast("timestamp").alias("fetched_at"))
-    made = fetch.fetch_apply(sitemaps, pages, stored, t.sql(_RESPONSES), AS_OF, cap=40)
-    return made.outcomes.groupBy("domain", "outcome").agg(
-        F.count("*").alias("pages"), F.count_if("ok").alias("ok"), F.sum("content_size").alias("content_size")
-    )
+    return fetch.fetch_apply(sitemaps, pages, stored, t.sql(_LOG), AS_OF, cap=40)
+
+
+@case("fetch_apply", f"""
+select id_page, domain, outcome, outcome = 'ok' and coalesce(body, '') <> '' as ok,
+  case when outcome = 'ok' then length(coalesce(body, '')) else 0 end::bigint as content_size from ({_TRIED})""")
+def fetch_apply(t: Tables) -> DataFrame:
+    return _fetched(t).outcomes.select("id_page", "domain", "outcome", "ok", "content_size")
+
+
+@case("fetch_apply_content", f"""
+select id_page, case when outcome = 'ok' then body end as page_raw_content, true as fetched from ({_TRIED})
+union all select id_page, page_raw_content, false from v_news_pages_content where id_page not in (select id_page from ({_TRIED}))""")
+def fetch_apply_content(t: Tables) -> DataFrame:
+    return _fetched(t).content.select("id_page", "page_raw_content", F.col("fetched_at").isNotNull().alias("fetched"))
+
+
+@case("fetch_apply_pages", f"""
+select id_page, is_error or id_page in (select id_page from ({_TRIED}) where outcome <> 'ok') as is_error from v_news_pages""")
+def fetch_apply_pages(t: Tables) -> DataFrame:
+    return _fetched(t).pages.select("id_page", "is_error")
 
 
 # Every page has stored HTML here and no text yet.
@@ -123,13 +143,14 @@ _HTML_LINES = f"""select page_id, trim(line, E' \\t\\r') as line, place from (
 
 
 @case("extract", f"""
-select p.page_id as id_page, k.text as content, length(k.text)::int as content_length from pages p
-left join (select page_id, string_agg(line, E'\\n' order by place) as text from (
+select p.page_id as id_page, coalesce(k.text, case when h.content is not null then '' end) as content,
+  length(coalesce(k.text, case when h.content is not null then '' end))::int as content_length from pages p
+join (select page_id, {html_sql('html')} as content from pages) h using (page_id) left join (select page_id, string_agg(line, E'\\n' order by place) as text from (
   select *, row_number() over (partition by line order by page_id, place) as rn from ({_HTML_LINES}) where line <> '') where rn = 1 group by 1) k using (page_id)
 """)
 def extract_(t: Tables) -> DataFrame:
-    pages = t.sql("select page_id as id_page, 1 as id_sitemap, url as page_url, cast(null as timestamp) as publication_date, false as is_error from pages")
-    sitemaps = t("v_sitemaps").where("id_sitemap = 1")
+    pages = t.sql("select page_id as id_page, 1 + page_id % 9 as id_sitemap, url as page_url, cast(null as timestamp) as publication_date, false as is_error from pages")
+    sitemaps = t("v_sitemaps")
     return extract.extract(sitemaps, pages, t.sql(_WAITING), dedup=True).content.select("id_page", "content", "content_length")
 
 
@@ -167,18 +188,48 @@ def _vector_jobs(t: Tables) -> DataFrame:
 _REPORTED = "case batch_no % 4 when 0 then 'completed' when 1 then 'failed' when 2 then 'in_progress' else 'completed' end"
 
 
-@case("embed_batch_check", f"""
-select 'job-' || batch_no as batch_id, s as status, case when s = 'completed' then 'completed' when s = 'failed' then 'failed' else 'pending' end as list_name,
-  case when s = 'completed' then n end as processed_count from (
-  select batch_no, case when {_REPORTED} = 'in_progress' then 'pending' else {_REPORTED} end as s,
-    count(*) filter (where error is null and status_code = 200) as n from ({_BATCHES}) join ({_RESULTS}) using (id_page) group by 1)""")
-def embed_batch_check(t: Tables) -> DataFrame:
+# The error file names every page of label 4 and pages without any result line.
+_ERRORS = "select vec_id as id_page, 'from file ' || vec_id as message from embeddings where label = 4"
+_FINAL = f"""select b.batch_no, b.id_page, r.error is null and r.status_code = 200 as ok, r.status_code, r.embedding,
+  coalesce(case when label = 4 then 'from file ' || b.id_page end, r.error) as message
+from ({_BATCHES}) b join ({_RESULTS}) r using (id_page) where r.id_page % 11 <> 0 and {_REPORTED} = 'completed'
+union all select batch_no, id_page, false, null, null, 'from file ' || id_page from ({_BATCHES}) join embeddings on id_page = vec_id
+where label = 4 and id_page % 11 = 0 and {_REPORTED} = 'completed'"""
+
+
+def _checked(t: Tables) -> embed.Checked:
     registry = _vector_jobs(t)
     batch_no = F.regexp_extract("batch_id", r"(\d+)$", 1).cast("int").alias("batch_no")
     statuses = registry.select("batch_id", batch_no).select("batch_id", F.expr(_REPORTED).alias("status"))
-    stored = t("v_content_embeddings").select(F.col("id_page").alias("id"), "id_page", "embedding")
-    made = embed.embed_batch_check(registry, statuses, parsed_results(t), None, stored, AS_OF)
-    return made.registry.select("batch_id", "status", "list_name", "processed_count")
+    stored = t("v_content_embeddings").select(F.col("id_page").alias("id"), "id_page", "embedding").limit(0)
+    results = parsed_results(t).where("id_page % 11 <> 0")
+    return embed.embed_batch_check(registry, statuses, results, t.sql(_ERRORS), stored, AS_OF, dim=None)
+
+
+@case("embed_batch_check", f"""
+select 'job-' || batch_no as batch_id, s as status, case when s = 'completed' then 'completed' when s = 'failed' then 'failed' else 'pending' end as list_name,
+  case when s = 'completed' then coalesce(n, 0) end as processed_count from (
+  select distinct batch_no, case when {_REPORTED} = 'in_progress' then 'pending' else {_REPORTED} end as s from ({_BATCHES}))
+left join (select batch_no, count(*) filter (where ok) as n from ({_FINAL}) group by 1) using (batch_no)""")
+def embed_batch_check(t: Tables) -> DataFrame:
+    return _checked(t).registry.select("batch_id", "status", "list_name", "processed_count")
+
+
+@case("embed_batch_failures", f"select id_page, status_code, message from ({_FINAL}) where not ok")
+def embed_batch_failures(t: Tables) -> DataFrame:
+    return _checked(t).failures.select("id_page", "status_code", "message")
+
+
+@case("embed_batch_embeddings", f"select id_page, round(list_sum(embedding::double[]), 4) as total, round(embedding[1]::double, 5) as first from ({_FINAL}) where ok")
+def embed_batch_embeddings(t: Tables) -> DataFrame:
+    total = F.aggregate("embedding", F.lit(0.0), lambda a, v: a + v.cast("double"))
+    first = F.get("embedding", F.lit(0)).cast("double")
+    return _checked(t).embeddings.select("id_page", F.round(total, 4).alias("total"), F.round(first, 5).alias("first"))
+
+
+@case("embed_batch_counts", f"select 'job-' || batch_no as batch_id, count(*) filter (where ok) as ok, count(*) filter (where not ok) as failed from ({_FINAL}) group by 1")
+def embed_batch_counts(t: Tables) -> DataFrame:
+    return _checked(t).counts
 
 
 @case("embed_batch_full", f"""
@@ -196,7 +247,7 @@ def embed_batch_full(t: Tables) -> DataFrame:
     statuses = registry.select("batch_id", batch_no).select("batch_id", F.expr(_REPORTED).alias("status"))
     stored = embeddings.select(F.col("id_page").alias("id"), "id_page", "embedding")
     _, checked = embed.embed_batch_full(
-        sitemaps, pages, content, stored, registry, statuses, parsed_results(t), None, AS_OF, "run", limit=LIMIT, size=BATCH
+        sitemaps, pages, content, stored, registry, statuses, parsed_results(t), None, AS_OF, "run", dim=None, limit=LIMIT, size=BATCH
     )
     return checked.registry.select("batch_id", "list_name", F.size("page_ids").cast("bigint").alias("pages"), "processed_count")
 

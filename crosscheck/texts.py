@@ -34,11 +34,6 @@ def html_extract(t: Tables) -> DataFrame:
     return html.html_extract(t("pages"), "page_id", "html")
 
 
-@case("html_extract_walk")
-def html_extract_walk(t: Tables) -> DataFrame:
-    return html.html_extract(t("pages"), "page_id", "html", fn=walk_pages)
-
-
 @case("text_dedup_blocks", """
 with lines as (
   select doc_id, place, trim(line, E' \\t\\r') as line from (
@@ -123,7 +118,12 @@ def semantic_topk_many(t: Tables) -> DataFrame:
     return found.withColumn("score", F.round("score", 5))
 
 
-@case("semantic_topk_lsh")
-def semantic_topk_lsh(t: Tables) -> DataFrame:
-    query = t("embeddings").orderBy("vec_id").first()["embedding"]
-    return vectors.semantic_topk_lsh(t("embeddings"), query, _K, id_col="vec_id")
+@case("semantic_topk_all", f"""
+select query_id, vec_id, round(score, 5) as score from (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rn from (
+    select q.vec_id as query_id, e.vec_id, list_cosine_similarity(e.embedding::double[], q.embedding::double[]) as score from embeddings q, embeddings e)) where rn <= 3""")
+def semantic_topk_all(t: Tables) -> DataFrame:
+    """Every vector as a query."""
+    asked = t("embeddings").select(F.col("vec_id").alias("query_id"), "embedding")
+    found = vectors.semantic_topk_many(t("embeddings"), asked, 3, id_col="vec_id")
+    return found.withColumn("score", F.round("score", 5))

@@ -303,9 +303,9 @@ def job_registry_transition(t: Tables) -> DataFrame:
 
 @case("job_status_counts", f"""
 select list_name, count(j.batch_id) as jobs from (values ('pending'), ('completed'), ('failed')) l(list_name)
-left join (select * from ({_JOB_LIST}) where list_name <> 'failed') j using (list_name) group by 1""")
+left join ({_JOB_LIST}) j using (list_name) group by 1""")
 def job_status_counts(t: Tables) -> DataFrame:
-    return batches.job_status_counts(job_registry(t).where("list_name <> 'failed'"))
+    return batches.job_status_counts(job_registry(t))
 
 
 @case("job_age_report", f"""

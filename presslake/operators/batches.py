@@ -89,27 +89,44 @@ def job_domain_outcomes(results: DataFrame, pages: DataFrame) -> DataFrame:
     ).agg(F.count_if("_ok").alias("ok"), F.count_if(~F.col("_ok")).alias("failed"))
 
 
-def results_ok(results: DataFrame) -> DataFrame:
+def _good(results: DataFrame, dim: int | None) -> Column:
+    """Whether a result line counts: no error, and a vector of ``dim`` values where that is given."""
+    good = result_ok(F.col("error"), F.col("status_code"))
+    return good if dim is None else good & F.coalesce(F.size("embedding") == dim, F.lit(False))
+
+
+def results_ok(results: DataFrame, dim: int | None = None) -> DataFrame:
     """``(id_page, embedding)`` of good lines; of repeated pages the last line counts."""
-    good = results.where(result_ok(F.col("error"), F.col("status_code")))
+    good = results.where(_good(results, dim))
     if "seq" not in results.columns:
         return good.select("id_page", "embedding")
     return good.groupBy("id_page").agg(F.max_by("embedding", "seq").alias("embedding"))
 
 
-def results_failed(results: DataFrame, errors: DataFrame | None = None) -> DataFrame:
-    """``(id_page, status_code, message)`` of bad lines, with the error file's message where it has one."""
-    bad = results.where(~result_ok(F.col("error"), F.col("status_code"))).select("id_page", "status_code", "error")
+def results_failed(results: DataFrame, errors: DataFrame | None = None, dim: int | None = None) -> DataFrame:
+    """``(id_page, status_code, message)`` of bad lines, with the error file's message where it has one.
+
+    A page that only the error file names is a failure too; one that also has a
+    good line is not. Repeated lines of the error file count once.
+    """
+    good = _good(results, dim)
+    wrong = F.concat(F.lit("vector of "), F.size("embedding"), F.lit(" values"))
+    stated = F.when(result_ok(F.col("error"), F.col("status_code")), wrong).otherwise(F.col("error"))
+    bad = results.where(~good).select("id_page", "status_code", stated.alias("error"))
     if errors is None:
         return bad.withColumnRenamed("error", "message")
-    return bad.join(errors, "id_page", "left").select(
+    told = errors.where("id_page is not null").groupBy("id_page").agg(F.min("message").alias("message"))
+    told = told.join(results.where(good).select("id_page"), "id_page", "left_anti")
+    return bad.join(told, "id_page", "full").select(
         "id_page", "status_code", F.coalesce("message", "error").alias("message")
     )
 
 
-def batch_results_load(results: DataFrame, errors: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def batch_results_load(
+    results: DataFrame, errors: DataFrame | None = None, dim: int | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Split result rows into embeddings to store and failures to report."""
-    return results_ok(results), results_failed(results, errors)
+    return results_ok(results, dim), results_failed(results, errors, dim)
 
 
 def job_registry_transition(

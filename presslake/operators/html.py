@@ -24,8 +24,14 @@ BLOCKS = ["p", "div", "section", "article", "main", "ul", "ol", "table", "tbody"
 
 # Named characters; &amp; comes last so "&amp;lt;" stays "&lt;".
 ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-            ("&copy;", "©"), ("&middot;", "·"), ("&ndash;", "–"), ("&mdash;", "—"), ("&hellip;", "…"),
-            ("&laquo;", "«"), ("&raquo;", "»"), ("&amp;", "&")]
+            ("&copy;", "©"), ("&reg;", "®"), ("&trade;", "™"), ("&euro;", "€"), ("&pound;", "£"), ("&deg;", "°"),
+            ("&middot;", "·"), ("&bull;", "•"), ("&ndash;", "–"), ("&mdash;", "—"), ("&hellip;", "…"),
+            ("&laquo;", "«"), ("&raquo;", "»"), ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"),
+            ("&bdquo;", "„"), ("&sbquo;", "‚"), ("&shy;", ""), ("&agrave;", "à"), ("&acirc;", "â"), ("&auml;", "ä"),
+            ("&aacute;", "á"), ("&ccedil;", "ç"), ("&eacute;", "é"), ("&egrave;", "è"), ("&ecirc;", "ê"), ("&euml;", "ë"),
+            ("&iacute;", "í"), ("&icirc;", "î"), ("&iuml;", "ï"), ("&ntilde;", "ñ"), ("&oacute;", "ó"), ("&ocirc;", "ô"),
+            ("&ouml;", "ö"), ("&uacute;", "ú"), ("&ugrave;", "ù"), ("&ucirc;", "û"), ("&uuml;", "ü"), ("&szlig;", "ß"),
+            ("&Auml;", "Ä"), ("&Ouml;", "Ö"), ("&Uuml;", "Ü"), ("&Eacute;", "É"), ("&amp;", "&")]
 
 _DROPPED = "|".join(
     ["!--.*?--"] + [rf"{tag}(?:[ \t\r\n][^>]*)?>.*?</{tag}[ \t\r\n]*" for tag in FURNITURE]
@@ -67,10 +73,30 @@ CHAIN = (
 )
 
 
+def numbered_characters(text: Column) -> Column:
+    """Replaces ``&#8217;`` and ``&#x27;`` by their characters; numbers of no character stay."""
+    form = r"^(?:([0-9]{1,7})|[xX]([0-9A-Fa-f]{1,6}));"
+
+    def read(piece: Column, place: Column) -> Column:
+        code = F.coalesce(
+            F.regexp_extract(piece, form, 1).try_cast("int"),
+            F.conv(F.nullif(F.regexp_extract(piece, form, 2), F.lit("")), 16, 10).try_cast("int"),
+        )
+        known = ((code > 31) | code.isin(9, 10, 13)) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.when(place == 0, piece).when(known, F.concat(char, F.regexp_replace(piece, form, ""))).otherwise(
+            F.concat(F.lit("&#"), piece)
+        )
+
+    return F.array_join(F.transform(F.split(text, "&#"), read), "")
+
+
 def html_text(html: Column) -> Column:
     """Text of an HTML column; NULL where nothing is left."""
     text = html
     for is_pattern, what, by in CHAIN:
+        if what == ENTITIES[0][0]:  # tags are gone by now, and "&amp;#39;" is not yet "&#39;"
+            text = numbered_characters(text)
         if is_pattern:
             text = F.regexp_replace(text, what, by.replace("%1", "$1"))
         else:

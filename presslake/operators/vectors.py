@@ -7,18 +7,18 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import BucketedRandomProjectionLSH, HashingTF, Normalizer, RegexTokenizer
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.feature import HashingTF, Normalizer, RegexTokenizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from presslake.functions.vectors import METRICS
 from presslake.operators.audit import EMBEDDING_DIM, vector_dim_check
 
-__all__ = ["embed_texts", "semantic_topk", "semantic_topk_many", "semantic_topk_lsh", "vector_dim_check"]
+__all__ = ["embed_texts", "semantic_topk", "semantic_topk_many", "vector_dim_check"]
 
-MAX_QUERIES = 1024
+# Rows and queries in a block, about: what one task holds.
+ROW_BLOCK, QUERY_BLOCK = 8192, 1024
 
 
 def embed_texts(
@@ -75,12 +75,15 @@ def semantic_topk(
     """The ``k`` rows nearest to one query vector: ``(id, score)``.
 
     One scan; every task keeps its best ``k``. ``query`` is a list of numbers or
-    a column, e.g. a scalar subquery over another table.
+    a column, e.g. a scalar subquery over another table. NULL vectors are passed
+    over; one of another length than the query is an error.
     """
     score, larger = METRICS[metric]
     vector = query if isinstance(query, Column) else F.array(*[F.lit(float(x)) for x in query])
     scored = df.select(id_col, vector_col).withColumn("_query", vector)
-    scored = scored.select(id_col, score(F.col(vector_col), F.col("_query")).alias("score")).where("score is not null")
+    other = F.size(vector_col) != F.size("_query")
+    checked = F.when(other, F.raise_error(F.lit("vectors of different lengths"))).otherwise(F.col(vector_col))
+    scored = scored.select(id_col, score(checked, F.col("_query")).alias("score")).where("score is not null")
     return scored.orderBy(F.desc("score") if larger else F.asc("score"), F.asc(id_col)).limit(k)
 
 
@@ -101,60 +104,46 @@ def semantic_topk_many(
     df: DataFrame, queries: DataFrame, k: int, metric: str = "cosine",
     id_col: str = "id_page", vector_col: str = "embedding", query_col: str = "query_id",
 ) -> DataFrame:
-    """The ``k`` nearest rows of each query: ``(query_id, id, score)``.
+    """The ``k`` nearest rows of each query: ``(query_id, id, score)``, for any number of queries.
 
-    ``queries`` has ``query_id`` and the vector column and at most ``MAX_QUERIES``
-    rows, which travel to the tasks; more is an error. Each task scores a batch
-    of rows by one matrix product and hands on only its best ``k`` per query.
+    ``queries`` has ``query_id`` and the vector column. Queries and rows are cut
+    into blocks of bounded size; every query block meets every row block in a
+    task, which scores them by one matrix product and hands on only its best
+    ``k`` per query. NULL vectors are passed over; vectors of different lengths
+    are an error.
     """
     larger = METRICS[metric][1]
-    found = queries.select(query_col, vector_col).limit(MAX_QUERIES + 1).collect()
-    if len(found) > MAX_QUERIES:
-        raise ValueError(f"more than {MAX_QUERIES} query vectors; split them over several calls")
-    names = [row[0] for row in found]
-    matrix = np.array([row[1] for row in found], dtype="float64")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best = None
-        for batch in batches:
-            if not len(batch) or not names:
-                continue
-            scores = _scores(np.stack(batch[vector_col].to_numpy()).astype("float64"), matrix, metric)
-            rank = np.nan_to_num(scores if larger else -scores, nan=-np.inf)
-            # Everything at least as good as the k-th best, so ties stay in.
-            floor = np.partition(rank, -min(k, rank.shape[1]), axis=1)[:, -min(k, rank.shape[1])]
-            query, row = np.nonzero((rank >= floor[:, None]) & np.isfinite(rank))
-            rows = pd.DataFrame({
-                query_col: np.array(names)[query], id_col: batch[id_col].to_numpy()[row], "score": scores[query, row],
-            })
-            rows = rows if best is None else pd.concat([best, rows])
-            rows = rows.sort_values([query_col, "score", id_col], ascending=[True, not larger, True])
-            best = rows.groupby(query_col, sort=False).head(k)
-        if best is not None:
-            yield best
-
-    types = {c: df.schema[c].dataType.simpleString() for c in (id_col, vector_col)}
-    query_type = queries.schema[query_col].dataType.simpleString()
-    usable = df.select(id_col, vector_col).where(F.size(vector_col) == (matrix.shape[1] if len(names) else 0))
-    scored = usable.mapInPandas(run, f"{query_col} {query_type}, {id_col} {types[id_col]}, score double")
+    rows = _blocks(df.select(id_col, vector_col), id_col, vector_col, ROW_BLOCK, "_row_block")
+    asked = _blocks(queries.select(query_col, vector_col), query_col, vector_col, QUERY_BLOCK, "_query_block")
+    row_blocks, query_blocks = (max(1, d.agg(F.max(c)).first()[0] or 0) + 1 for d, c in ((rows, "_row_block"), (asked, "_query_block")))
+    rows = rows.withColumn("_query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
+    asked = asked.withColumn("_row_block", F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1))))
+
+    def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return pd.DataFrame({query_col: right[query_col][:0], id_col: left[id_col][:0], "score": np.zeros(0)})
+        names, ids = right[query_col].to_numpy(), left[id_col].to_numpy()
+        if len({len(v) for v in left[vector_col]} | {len(v) for v in right[vector_col]}) > 1:
+            raise ValueError("vectors of different lengths")
+        scores = _scores(*(np.stack(d[vector_col].to_numpy()).astype("float64") for d in (left, right)), metric)
+        rank = np.nan_to_num(scores if larger else -scores, nan=-np.inf)
+        # Everything at least as good as the k-th best, so ties stay in.
+        least = min(k, rank.shape[1])
+        floor = np.partition(rank, -least, axis=1)[:, -least]
+        query, row = np.nonzero((rank >= floor[:, None]) & np.isfinite(rank))
+        found = pd.DataFrame({query_col: names[query], id_col: ids[row], "score": scores[query, row]})
+        return found.sort_values([query_col, "score", id_col], ascending=[True, not larger, True]).groupby(query_col, sort=False).head(k)
+
+    types = {c: d.schema[c].dataType.simpleString() for d, c in ((df, id_col), (queries, query_col))}
+    met = rows.groupBy("_query_block", "_row_block").cogroup(asked.groupBy("_query_block", "_row_block"))
+    scored = met.applyInPandas(best, f"{query_col} {types[query_col]}, {id_col} {types[id_col]}, score double")
     order = [F.desc("score") if larger else F.asc("score"), F.asc(id_col)]
     rank = F.row_number().over(Window.partitionBy(query_col).orderBy(*order))
     return scored.withColumn("_rank", rank).where(F.col("_rank") <= k).drop("_rank")
 
 
-def semantic_topk_lsh(
-    df: DataFrame, query: Sequence[float], k: int, bucket: float = 2.0, tables: int = 8,
-    id_col: str = "id_page", vector_col: str = "embedding", seed: int = 42,
-) -> DataFrame:
-    """Approximate nearest rows by cosine distance: ``(id, score)``.
-
-    Random projections pick likely rows; only those are compared exactly. Vectors
-    are brought to unit length first, so distance and cosine order agree.
-    """
-    unit = Normalizer(inputCol="_raw", outputCol="_unit", p=2.0)
-    rows = unit.transform(df.select(id_col, array_to_vector(F.col(vector_col).cast("array<double>")).alias("_raw")))
-    length = float(np.linalg.norm(query))
-    key = Vectors.dense([float(x) / length for x in query])
-    lsh = BucketedRandomProjectionLSH(inputCol="_unit", outputCol="_hashes", bucketLength=bucket, numHashTables=tables, seed=seed)
-    near = lsh.fit(rows).approxNearestNeighbors(rows, key, k, distCol="_dist")
-    return near.select(id_col, (1 - F.col("_dist") * F.col("_dist") / 2).alias("score"))
+def _blocks(df: DataFrame, key: str, vector: str, size: int, name: str) -> DataFrame:
+    """Adds a block number; blocks have about ``size`` rows."""
+    given = df.where(F.col(vector).isNotNull())
+    blocks = max(1, -(-given.count() // size))
+    return given.withColumn(name, F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int"))

@@ -56,7 +56,9 @@ def embed_sync(
     """Embed the queue. Vectors are written once, so the model is not asked again for them."""
     queue = materialize(embed_queue(sitemaps, pages, content, embeddings, None, min_len, limit))
     cut = token_truncate(queue, "id_page", "content", max_tokens)
-    vectors = materialize(embed_texts(cut, "id_page", "content", fn, dim))
+    made = embed_texts(cut, "id_page", "content", fn, dim)
+    fits = (F.col("outcome") != "ok") | (F.size("embedding") == dim)
+    vectors = materialize(made.withColumn("outcome", F.when(fits, F.col("outcome")).otherwise("failed")), "vectors")
     outcomes = queue.select("id_page", "domain").join(cut.drop("content"), "id_page").join(
         vectors.select("id_page", "outcome"), "id_page"
     )
@@ -91,21 +93,26 @@ def embed_batch_create(
 
 def embed_batch_check(
     registry: DataFrame, statuses: DataFrame, results: DataFrame, errors: DataFrame | None,
-    embeddings: DataFrame, as_of: dt.datetime | Column,
+    embeddings: DataFrame, as_of: dt.datetime | Column, dim: int | None = EMBEDDING_DIM,
 ) -> Checked:
     """Take in finished jobs.
 
-    ``statuses``: ``batch_id, status``. Result rows count when their page is in a
-    pending job now reported as completed.
+    ``statuses``: ``batch_id, status``. Result rows, and lines of the error file,
+    count when their page is in a pending job now reported as completed. A vector
+    that hasn't ``dim`` values is a failure.
     """
     done = registry.where("list_name = 'pending'").join(
         statuses.where("status = 'completed'").select("batch_id"), "batch_id", "left_semi"
     )
     members = done.select("batch_id", F.explode("page_ids").alias("id_page"))
     mine = materialize(results.join(members, "id_page"))
-    ok, failed = batches.batch_results_load(mine, errors)
-    good = batches.result_ok(F.col("error"), F.col("status_code"))
-    counts = mine.groupBy("batch_id").agg(F.count_if(good).alias("ok"), F.count_if(~good).alias("failed"))
+    told = None if errors is None else errors.join(members.select("id_page").distinct(), "id_page", "left_semi")
+    ok, failed = batches.batch_results_load(mine, told, dim)
+    ok, failed = materialize(ok, "vectors"), materialize(failed, "failures")
+    ended = ok.select("id_page", F.lit(True).alias("ok")).unionByName(failed.select("id_page", F.lit(False).alias("ok")))
+    counts = materialize(ended.join(members, "id_page").groupBy("batch_id").agg(
+        F.count_if("ok").alias("ok"), F.count_if(~F.col("ok")).alias("failed")
+    ), "counts")
     moved = batches.job_registry_transition(
         registry, statuses, counts.select("batch_id", F.col("ok").alias("processed_count")), as_of
     )
@@ -119,11 +126,12 @@ def embed_batch_status(registry: DataFrame, as_of: dt.datetime | Column) -> dict
 
 def embed_batch_full(
     sitemaps: DataFrame, pages: DataFrame, content: DataFrame, embeddings: DataFrame, registry: DataFrame,
-    statuses: DataFrame, results: DataFrame, errors: DataFrame | None, as_of: dt.datetime, run_id: str, **limits,
+    statuses: DataFrame, results: DataFrame, errors: DataFrame | None, as_of: dt.datetime, run_id: str,
+    dim: int | None = EMBEDDING_DIM, **limits,
 ) -> tuple[Created, Checked]:
     """Create new jobs, then take in those that have finished."""
     created = embed_batch_create(sitemaps, pages, content, embeddings, registry, as_of, run_id, **limits)
-    return created, embed_batch_check(created.registry, statuses, results, errors, embeddings, as_of)
+    return created, embed_batch_check(created.registry, statuses, results, errors, embeddings, as_of, dim)
 
 
 __all__ = [

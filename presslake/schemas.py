@@ -51,3 +51,8 @@ REGISTRY = (
     "completed_at timestamp, processed_count bigint, list_name string"
 )
 COOKIES = "array<struct<name:string,value:string>>"
+
+# Inputs that something else has fetched.
+BODIES = "sitemap_url string, body string"
+FETCH_LOG = "url string, status int, location string, body string, ts timestamp"
+STATUSES = "batch_id string, status string"

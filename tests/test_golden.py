@@ -305,6 +305,15 @@ def test_html_by_patterns_and_by_walking(spark):
     assert rows(walked, "id", "content") == expected
 
 
+@pytest.mark.parametrize("given, expected", [
+    ("<p>it&#8217;s &eacute;t&eacute; &#x27;x&#X27; &rsquo;</p>", "it’s été 'x' ’"), ("<p>&#128512; &#0; &#55296; &#9999999; &#; &#xZ;</p>", "😀 &#0; &#55296; &#9999999; &#; &#xZ;"),
+    ("<p>a &amp;lt; b &amp;#39; &#60;b&#62;</p>", "a &lt; b &#39; <b>"), ("<p>none</p>", "none"), (None, None),
+])
+def test_characters_by_number_and_name(spark, given, expected):
+    df = spark.createDataFrame([(1, given)], "id bigint, h string")
+    assert html.html_extract(df, "id", "h").first().content == expected
+
+
 def test_repeated_lines_stay_in_the_first_document(spark):
     df = spark.createDataFrame(
         [(1, "a\n b \n\na\nc"), (2, "b\nd\na"), (3, "a\r\nc"), (4, ""), (5, None)], "id bigint, t string")

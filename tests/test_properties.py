@@ -131,18 +131,25 @@ def test_many_queries_match_brute_force_and_single_queries(spark, metric):
         assert sorted(r.id_page for r in single.collect()) == sorted(expected)
 
 
-def test_too_many_queries_are_refused(spark, monkeypatch):
-    df, _ = corpus(spark, 20)
-    monkeypatch.setattr(vectors, "MAX_QUERIES", 3)
-    with pytest.raises(ValueError):
-        vectors.semantic_topk_many(df, df.withColumnRenamed("id_page", "query_id"), 2)
-
-
-def test_approximate_search_finds_most_of_the_nearest(spark):
-    df, values = corpus(spark, 400)
-    exact = {r.id_page for r in vectors.semantic_topk(df, values[3].tolist(), 10).collect()}
-    near = {r.id_page for r in vectors.semantic_topk_lsh(df.where("id_page <> 9"), values[3].tolist(), 10, bucket=1.0, tables=12).collect()}
-    assert len(exact & near) >= 7
+def test_any_number_of_queries_in_blocks(spark, monkeypatch):
+    df, _ = corpus(spark, 60)
+    monkeypatch.setattr(vectors, "QUERY_BLOCK", 7)
+    monkeypatch.setattr(vectors, "ROW_BLOCK", 11)
+    asked = df.withColumnRenamed("id_page", "query_id")
+    got = rows(vectors.semantic_topk_many(df, asked, 3, "l2"), "query_id", "id_page")
+    monkeypatch.undo()
+    assert got == rows(vectors.semantic_topk_many(df, asked, 3, "l2"), "query_id", "id_page")
+    assert vectors.semantic_topk_many(df.limit(0), asked, 3).count() == vectors.semantic_topk_many(df, asked.limit(0), 3).count() == 0
+
+
+def test_vectors_of_another_length_are_an_error(spark):
+    df = spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0]), (3, None)], "id_page bigint, embedding array<float>")
+    asked = df.where("id_page = 1").withColumnRenamed("id_page", "query_id")
+    with pytest.raises(Exception, match="different lengths"):
+        vectors.semantic_topk(df, [1.0, 2.0], 3).collect()
+    with pytest.raises(Exception, match="different lengths"):
+        vectors.semantic_topk_many(df, asked, 3).collect()
+    assert rows(vectors.semantic_topk(df.where("id_page <> 2"), [1.0, 2.0], 3), "id_page") == [(1,)]
 
 
 def test_embedding_isolates_failures_and_repeats_itself(spark):

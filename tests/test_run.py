@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 import run
 from conftest import rows
 from presslake.schemas import CONTENT_EMBEDDINGS, NEWS_PAGES, NEWS_PAGES_CONTENT, SITEMAPS, TABLES
@@ -33,31 +34,42 @@ def test_every_stage_in_turn(spark, tmp_path, capsys):
 
     page = "<article><p>" + "word " * 150 + "</p></article>"
     log = [(f"https://a.com/{i}", 200, None, page + str(i), None) for i in (1, 2, 4)]
-    spark.createDataFrame(log, "url string, status int, location string, body string, ts timestamp").write.parquet(str(tmp_path / "log"))
-    run.main(["fetch", "--tables", str(second), "--log", str(tmp_path / "log"), "--out", str(tmp_path / "v2"), *at])
+    (tmp_path / "log.jsonl").write_text("\n".join(json.dumps({"url": u, "status": s, "body": b}) for u, s, _, b, _ in log))
+    run.main(["fetch", "--tables", str(second), "--log", str(tmp_path / "log.jsonl"), "--out", str(tmp_path / "v2"), *at])
     third = link(second, tmp_path / "v2", ["news_pages", "news_pages_content"])
 
     run.main(["extract", "--tables", str(third), "--out", str(tmp_path / "v3")])
     fourth = link(third, tmp_path / "v3", ["news_pages_content"])
     content = spark.read.schema(NEWS_PAGES_CONTENT).parquet(str(fourth / "news_pages_content"))
     # The three pages have one line in common; it stays with one of them.
-    assert content.count() == 3 and content.where("content is not null").count() == 1
+    assert content.count() == 3 and content.where("content <> ''").count() == 1
 
     run.main(["batch", "--tables", str(fourth), "--mode", "create", "--out", str(tmp_path / "b1"), *at])
     registry = spark.read.parquet(str(tmp_path / "b1" / "registry"))
     (job,) = registry.collect()
+    (request,) = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "b1" / "requests")).collect()]
+    assert request["custom_id"] == str(job.page_ids[0]) and request["url"] == "/v1/embeddings"
     (tmp_path / "status.jsonl").write_text(json.dumps({"batch_id": job.batch_id, "status": "completed"}))
     body = {"status_code": 200, "body": {"data": [{"embedding": [0.5] * 4}]}}
     (tmp_path / "results.jsonl").write_text(json.dumps({"custom_id": str(job.page_ids[0]), "error": None, "response": body}))
     run.main(["batch", "--tables", str(fourth), "--mode", "check", "--registry", str(tmp_path / "b1" / "registry"), "--statuses", str(tmp_path / "status.jsonl"),
-              "--results", str(tmp_path / "results.jsonl"), "--out", str(tmp_path / "b2"), *at])
+              "--results", str(tmp_path / "results.jsonl"), "--out", str(tmp_path / "b2"), "--dim", "4", *at])
     vectors = spark.read.schema(CONTENT_EMBEDDINGS).parquet(str(tmp_path / "b2" / "content_embeddings"))
     assert rows(vectors, "id_page") == [(job.page_ids[0],)]
     run.main(["batch", "--tables", str(fourth), "--mode", "status", "--registry", str(tmp_path / "b2" / "registry"), *at])
 
-    run.main(["embed", "--tables", str(fourth), "--out", str(tmp_path / "v4")])
+    with pytest.raises(SystemExit):
+        run.main(["embed", "--tables", str(fourth), "--out", str(tmp_path / "v4")])
+    run.main(["embed", "--tables", str(fourth), "--out", str(tmp_path / "v4"), "--stand-in", "--dim", "16"])
+    assert spark.read.parquet(str(tmp_path / "v4" / "embed_outcomes")).count() == 1
     last = link(fourth, tmp_path / "v4", ["content_embeddings"])
     capsys.readouterr()
     run.main(["report", "--tables", str(last)])
     printed = capsys.readouterr().out
     assert "a.com" in printed and "pages_with_embeddings" in printed
+
+
+def test_reports_are_printed_whole(spark, capsys):
+    run._show("many", spark.range(150))
+    printed = capsys.readouterr().out
+    assert "149" in printed and "(150 rows)" in printed

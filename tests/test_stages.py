@@ -135,9 +135,17 @@ def test_batch_jobs_from_creation_to_check(spark):
     results = spark.createDataFrame(
         [(8, None, 200, [1.0]), (9, "bad", None, None), (10, None, 200, [2.0]), (5, None, 200, [3.0]), (4, None, 200, [4.0])],
         "id_page bigint, error string, status_code int, embedding array<float>")
-    checked = embed.embed_batch_check(made.registry, statuses, results, None, none, AS_OF)
+    checked = embed.embed_batch_check(made.registry, statuses, results, None, none, AS_OF, dim=1)
     assert rows(checked.embeddings, "id_page", "embedding") == [(10, [2.0]), (8, [1.0])]
     assert rows(checked.failures, "id_page", "message") == [(9, "bad")]
+    # A page that only the error file names, once more than once, and a vector of the wrong length.
+    told = spark.createDataFrame([(9, "from file"), (10, "late"), (10, "late"), (8, "not so"), (4, "other job")], "id_page bigint, message string")
+    odd = results.where("id_page <> 10").unionByName(results.where("id_page = 8").withColumn("embedding", F.array(F.lit(1.0), F.lit(2.0)).cast("array<float>")).withColumn("id_page", F.lit(10).cast("bigint")))
+    fewer = embed.embed_batch_check(made.registry, statuses, results.where("id_page <> 10"), told, none, AS_OF, dim=1)
+    assert rows(fewer.failures, "id_page", "message") == [(10, "late"), (9, "from file")]
+    assert rows(fewer.counts, "batch_id", "ok", "failed") == [("r1-0", 1, 2)]
+    wrong = embed.embed_batch_check(made.registry, statuses, odd, None, none, AS_OF, dim=1)
+    assert rows(wrong.failures, "id_page", "message") == [(10, "vector of 2 values"), (9, "bad")]
     assert rows(checked.registry, "batch_id", "list_name", "processed_count") == [
         ("r1-0", "completed", 2), ("r1-1", "failed", None), ("r1-2", "pending", None)]
     status = embed.embed_batch_status(checked.registry, AS_OF)
