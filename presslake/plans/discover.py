@@ -91,9 +91,9 @@ def discover(
     # Freshness of every child whose body came, pages or not.
     arrived = wanted.join(bodies.select("sitemap_url"), "sitemap_url", "left_semi").withColumn("domain", url_netloc(F.col("sitemap_url")))
     dated = sitemap_freshness(found, floor)
-    judged = known_domain_semi(arrived, sitemaps).join(dated, "sitemap_url", "left").select(
+    judged = materialize(known_domain_semi(arrived, sitemaps).join(dated, "sitemap_url", "left").select(
         "sitemap_url", (F.col("is_new_domain") | F.coalesce("is_fresh", F.lit(False))).alias("is_fresh")
-    )
+    ), "judged")
 
     masters = seeds.select(F.col("url").alias("sitemap_url")).withColumns({
         "is_master": F.lit(True), "parent_id": F.lit(None).cast("bigint"), "last_mod": F.lit(None).cast("timestamp"),
@@ -106,7 +106,7 @@ def discover(
     next_sitemaps = materialize(freshness_update(_with_parents(merged, children), judged, as_of))
 
     fresh = judged.where("is_fresh").select("sitemap_url")
-    labelled = label_page_outcome(found.join(fresh, "sitemap_url", "left_semi"), sitemaps, floor)
+    labelled = materialize(label_page_outcome(found.join(fresh, "sitemap_url", "left_semi"), sitemaps, floor), "labelled")
     outcomes = _with_repeats(labelled, pages, small_keys(found, "page_url"))
 
     ids = next_sitemaps.select("sitemap_url", "id_sitemap")

@@ -74,7 +74,7 @@ def report(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def run_discover(spark: SparkSession, args: argparse.Namespace) -> None:
     sitemaps, pages, _, _ = crawl_tables_scan(spark, args.tables).values()
-    made = discover.discover(seeds.seed_scan(spark, args.seeds), _read(spark, args.bodies, BODIES), sitemaps, pages, args.as_of)
+    made = discover.discover(seeds.seed_scan(spark, args.seeds), _read(spark, args.bodies, BODIES), sitemaps, pages, args.as_of, args.months)
     write_snapshot(made.sitemaps, f"{args.out}/sitemaps")
     write_snapshot(made.pages, f"{args.out}/news_pages")
     write_snapshot(made.outcomes, f"{args.out}/discover_outcomes")
@@ -159,6 +159,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     args.add_argument("--mode", choices=["create", "check", "status", "full"], default="full")
     args.add_argument("--run-id", default="job")
     args.add_argument("--cap", type=int, default=PAGES_PER_DOMAIN, help="pages per domain of a fetch run")
+    args.add_argument("--months", type=int, default=12, help="months that a sitemap stays fresh")
     args.add_argument("--limit", type=int, default=EMBED_LIMIT, help="texts of an embedding run")
     args.add_argument("--min-len", type=int, default=MIN_CONTENT_LENGTH, help="characters of a text to embed")
     args.add_argument("--dim", type=int, default=EMBEDDING_DIM, help="values of a vector")

@@ -127,7 +127,13 @@ def spark_log(spark):
 def test_redirect_rounds_end_early_and_are_cut_off_from_each_other(shuffled_joins):
     found = redirects.redirect_chain_resolve(spark_log(shuffled_joins), max_hops=50)
     assert found.count() == 1
-    assert "Join" not in plan(found) and plan(found).count("Scan ExistingRDD") == 1
+    assert "Join" not in plan(found) and plan(found).count("FileScan parquet") == 1
+
+
+def test_the_audit_sums_once(shuffled_joins, crawl):
+    names = ("sitemaps", "news_pages", "news_pages_content", "content_embeddings")
+    found = plan(audit.constraint_audit(dict(zip(names, crawl, strict=True))))
+    assert found.count("Exchange") == 1 and "Join" not in found
 
 
 def test_a_small_delta_leaves_the_stored_table_unshuffled(shuffled_joins, crawl, tmp_path):
