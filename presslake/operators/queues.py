@@ -27,8 +27,12 @@ def top_per_group(df: DataFrame, group: str, order: list[Column], cap: int, spre
     A group is first cut to ``cap`` rows in each of ``ways`` slices, then as a
     whole, so the last step sees at most ``ways * cap`` rows of it however large
     the group is. The slices are exact: a row among the first of its group is
-    among the first of its slice.
+    among the first of its slice. Both limits work before the shuffle; Spark does
+    that up to a threshold, which is raised to ``cap`` here.
     """
+    threshold = "spark.sql.optimizer.windowGroupLimitThreshold"
+    if int(df.sparkSession.conf.get(threshold)) < cap:
+        df.sparkSession.conf.set(threshold, str(cap))
     slice_ = F.pmod(F.xxhash64(spread), F.lit(ways))
     cut = df.withColumn("_slice", slice_)
     in_slice = F.row_number().over(Window.partitionBy(group, "_slice").orderBy(*order))
@@ -37,14 +41,17 @@ def top_per_group(df: DataFrame, group: str, order: list[Column], cap: int, spre
     return cut.withColumn("_rank", in_group).where(F.col("_rank") <= cap).drop("_rank")
 
 
-def fetch_frontier(sitemaps: DataFrame, pages: DataFrame, content: DataFrame, cap: int = PAGES_PER_DOMAIN) -> DataFrame:
-    """Pages to fetch: not stored, not failed, at most ``cap`` of a domain, newest first."""
+def fetch_frontier(
+    sitemaps: DataFrame, pages: DataFrame, content: DataFrame, cap: int = PAGES_PER_DOMAIN, ordered: bool = True
+) -> DataFrame:
+    """Pages to fetch: not stored, not failed, at most the ``cap`` newest of a domain, newest first if ``ordered``."""
     open_pages = pages_left_content(
         pages.where(not_an_error(F.col("is_error"))).select("id_page", "id_sitemap", "page_url", "publication_date"),
         content,
     )
     ranked = top_per_group(pages_with_domain(open_pages, sitemaps), "domain", newest_first(), cap, F.col("id_page"))
-    return ranked.select("id_page", "page_url", "domain", "publication_date").orderBy(*newest_first())
+    queue = ranked.select("id_page", "page_url", "domain", "publication_date")
+    return queue.orderBy(*newest_first()) if ordered else queue
 
 
 def extract_queue(sitemaps: DataFrame, pages: DataFrame, content: DataFrame) -> DataFrame:

@@ -46,7 +46,7 @@ def fetch_apply(
     pages at the end, once, and written.
     """
     answers = materialize(one_answer_per_url(log), "answers")
-    frontier = materialize(fetch_frontier(sitemaps, pages, content, cap), "frontier")
+    frontier = materialize(fetch_frontier(sitemaps, pages, content, cap, ordered=False), "frontier")
     chains = redirect_chain_resolve(
         answers.select("url", "status", "location"), frontier.select(F.col("page_url").alias("url")), max_hops
     )

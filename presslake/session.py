@@ -21,16 +21,10 @@ _SETTINGS = {
 }
 
 
-def configure(spark: SparkSession, frontier_cap: int = 5000) -> SparkSession:
-    """Set what the operators rely on; all of it can change at run time.
-
-    ``frontier_cap`` is the largest per-group rank limit in use. Spark only cuts
-    groups before the shuffle when the limit is at or below its threshold.
-    """
+def configure(spark: SparkSession) -> SparkSession:
+    """Set what the operators rely on; all of it can change at run time."""
     for key, value in _SETTINGS.items():
         spark.conf.set(key, value)
-    threshold = "spark.sql.optimizer.windowGroupLimitThreshold"
-    spark.conf.set(threshold, str(max(frontier_cap, int(spark.conf.get(threshold)))))
     return spark
 
 
