@@ -309,38 +309,48 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _surrounding_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Surroundings with the places they stand at. Equal ones of a batch are one row, so a passage that very many
+    texts share goes through the shuffle once a batch."""
     for batch in batches:
-        row, hashes, firsts, places, parts = [], [], [], [], []
+        places: dict[tuple[int, int, bytes], list[tuple[int, int]]] = {}
         for number, found in enumerate(batch.column(3).to_pylist()):
             text = batch.column(2)[number].as_buffer().to_pybytes()
             for one in found:
                 place, before, more = one["packed"] >> 16, one["packed"] >> 8 & 255, one["packed"] & 255
-                row.append(number)
-                hashes.append(one["h"])
-                firsts.append(place - before)
-                places.append(before)
-                parts.append(text[place - before : place - before + more + LENGTH])
-        take = pa.array(row, pa.int64())
+                part = text[place - before : place - before + more + LENGTH]
+                places.setdefault((one["h"], before, part), []).append((number, place - before))
+        members = [m for each in places.values() for m in each]
+        take = pa.array([number for number, _ in members], pa.int64())
+        where = pa.StructArray.from_arrays(
+            [batch.column(0).take(take), batch.column(1).take(take), pa.array([first for _, first in members], pa.int64())], names=["id", "th", "first"]
+        )
+        ends = np.cumsum([0, *map(len, places.values())]).astype(np.int32)
+        columns = list(zip(*places, strict=True)) or [(), (), ()]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(hashes, pa.int64()), batch.column(0).take(take), batch.column(1).take(take), pa.array(firsts, pa.int64()), pa.array(places, pa.int64()), pa.array(parts, pa.binary())],
-            names=["h", "id", "th", "first", "anchor", "part"],
+            [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.binary()), pa.ListArray.from_arrays(pa.array(ends), where)],
+            names=["h", "anchor", "part", "members"],
         )
 
 
 def _interval_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Groups of equal ``h`` that come in order of ``h``; the last one of a batch may go on in the next."""
     def done(rows: pa.Table) -> pa.RecordBatch:
-        h = rows["h"].to_numpy()
+        h, lists = rows["h"].to_numpy(), rows["members"].combine_chunks()
+        counts = np.diff(np.asarray(lists.offsets))
+        where = lists.flatten()
+        row_of = np.repeat(np.arange(len(h)), counts)
+        first = where.field("first").to_pylist()
+        parts, anchor = rows["part"].to_pylist(), rows["anchor"].to_pylist()
+        ends = np.concatenate(([0], np.cumsum(counts)))
         cut = [0, *(np.flatnonzero(np.diff(h)) + 1).tolist(), len(h)]
-        parts, anchor, first = rows["part"].to_pylist(), rows["anchor"].to_pylist(), rows["first"].to_pylist()
-        out = [
-            (a + m, s, e) for a, b in zip(cut, cut[1:], strict=False)
-            for m, s, e in group_intervals(list(zip(parts[a:b], anchor[a:b], first[a:b], strict=True)))
-        ]
-        members, starts, ends = (list(c) for c in zip(*out, strict=True)) if out else ([], [], [])
+        out = []
+        for a, b in zip(ends[cut].tolist(), ends[cut[1:]].tolist(), strict=False):
+            members = [(parts[r], anchor[r], first[a + i]) for i, r in enumerate(row_of[a:b].tolist())]
+            out += [(a + m, s, e) for m, s, e in group_intervals(members)]
+        members, starts, stops = (list(c) for c in zip(*out, strict=True)) if out else ([], [], [])
         take = pa.array(members, pa.int64())
-        ids, hashes = (rows[c].combine_chunks().take(take) for c in ("id", "th"))
-        return pa.RecordBatch.from_arrays([ids, hashes, pa.array(starts, pa.int64()), pa.array(ends, pa.int64())], names=["id", "th", "start", "end"])
+        ids, hashes = (where.field(c).take(take) for c in ("id", "th"))
+        return pa.RecordBatch.from_arrays([ids, hashes, pa.array(starts, pa.int64()), pa.array(stops, pa.int64())], names=["id", "th", "start", "end"])
 
     waiting: list[pa.RecordBatch] = []
     for batch in batches:
@@ -409,7 +419,7 @@ def repeated_bytes(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     by_text = twice.groupBy("id", "th").agg(F.collect_list(F.struct("h", "packed")).alias("found")).select(F.col("id").alias("i"), F.col("th").alias("t"), "found")
     same = F.col("id").eqNullSafe(F.col("i")) & (F.col("th") == F.col("t"))
     affected = written(long.join(by_text, same).select("id", "th", "text", "found"), "repeating-texts")
-    around = affected.mapInArrow(_surrounding_rows, f"h long, id {kind}, th long, first long, anchor long, part binary")
+    around = affected.mapInArrow(_surrounding_rows, f"h long, anchor long, part binary, members array<struct<id: {kind}, th: bigint, first: bigint>>")
     ordered = around.repartition("h").sortWithinPartitions("h")
     intervals = ordered.mapInArrow(_interval_rows, f"id {kind}, th long, start long, end long")
     per_text = intervals.groupBy("id", "th").agg(F.collect_list(F.struct("start", "end")).alias("places")).select(F.col("id").alias("i"), F.col("th").alias("t"), "places")
