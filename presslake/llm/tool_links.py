@@ -75,7 +75,8 @@ def schema_faults(name: Column, arguments: Column, canonical: Column, schemas: d
 def order_calls(calls: DataFrame) -> DataFrame:
     """``(conv_id, call_id, level)``: the round a call can run in, null in a ring. ``calls`` has ``needs``.
 
-    Needed calls that the conversation doesn't have are ignored. Rounds are as many as the longest chain of needs.
+    Needed calls that the conversation doesn't have are ignored. Where no call needs two others the levels come from
+    doubling: rounds grow with the logarithm of the longest chain. Else they are as many as that chain is long.
     """
     ids = ["conv_id", "call_id"]
     known = written(calls.select(*ids).where("call_id is not null").distinct(), "calls")
@@ -83,6 +84,8 @@ def order_calls(calls: DataFrame) -> DataFrame:
     have = known.select(F.col("conv_id").alias("c"), F.col("call_id").alias("n"))
     there = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("need") == F.col("n"))
     waits = written(needs.join(have, there, "left_semi"), "needs")
+    if waits.groupBy(*ids).agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        return _levels_by_doubling(known, waits)
     left, placed, level = known, None, 0
     while not left.isEmpty():
         blocked = waits.select(F.col("conv_id").alias("c"), F.col("call_id").alias("n")).distinct()
@@ -100,6 +103,27 @@ def order_calls(calls: DataFrame) -> DataFrame:
     return rest if placed is None else placed.unionByName(rest)
 
 
+def _levels_by_doubling(known: DataFrame, needs: DataFrame) -> DataFrame:
+    """Levels where every call has one need at most: each round a call looks twice as far up its chain.
+
+    A call whose chain has not ended after as many rounds as the number of calls has binary digits is in a ring or
+    leads to one.
+    """
+    up = needs.select(F.col("conv_id").alias("c"), F.col("call_id").alias("n"), F.col("need").alias("up"))
+    same = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("call_id") == F.col("n"))
+    state = known.join(up, same, "left").select("conv_id", "call_id", "up", F.col("up").isNotNull().cast("int").alias("level"))
+    state = written(state, "levels")
+    for _ in range(known.count().bit_length() + 1):
+        if state.where("up is not null").isEmpty():
+            break
+        there = state.where("up is not null").select("conv_id", "call_id", F.col("up").alias("at"), "level")
+        far = state.select(F.col("conv_id").alias("c"), F.col("call_id").alias("n"), "up", F.col("level").alias("more"))
+        met = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("at") == F.col("n"))
+        moved = there.join(far, met).select("conv_id", "call_id", "up", (F.col("level") + F.col("more")).alias("level"))
+        state = written(state.where("up is null").unionByName(moved), "levels")
+    return state.select("conv_id", "call_id", F.when(F.col("up").isNull(), F.col("level")).alias("level"))
+
+
 def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, list[Parameter]]) -> DataFrame:
     """Calls ``(conv_id, turn, call_id, name, arguments, needs)`` with results ``(conv_id, turn, call_id, content)``.
 

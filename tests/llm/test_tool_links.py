@@ -2,7 +2,7 @@
 
 import json
 
-from presslake.llm.tool_links import Parameter, link_tool_calls
+from presslake.llm.tool_links import Parameter, link_tool_calls, order_calls
 
 CALLS = "conv_id long, turn long, call_id string, name string, arguments string, needs array<string>, json string, v int"
 RESULTS = "conv_id long, turn long, call_id string, content string, answer string"
@@ -52,6 +52,16 @@ def test_every_case(spark):
     assert all(json.loads(r.json)["type"] == "result" and not r.valid for r in lone)
 
 
+def test_levels_by_doubling_are_those_of_the_rounds(spark):
+    chain = [(1, i, f"c{i}", "find", "{}", [f"c{i - 1}"]) for i in range(40)] + [(2, 0, "a", "x", "{}", ["b"]), (2, 1, "b", "x", "{}", ["a"]), (2, 2, "d", "x", "{}", ["b"])]
+    one = spark.createDataFrame([(*c, "j", 1) for c in [*chain, (None, 0, "k", "x", "{}", None), (None, 1, "l", "x", "{}", ["k"])]], CALLS)
+    two = one.unionByName(spark.createDataFrame([(9, 2, "z", "x", "{}", ["y", "w"], "j", 1), (9, 1, "y", "x", "{}", ["w"], "j", 1), (9, 0, "w", "x", "{}", [], "j", 1)], CALLS))
+    doubled = {(r.conv_id, r.call_id): r.level for r in order_calls(one).collect()}
+    rounds = {(r.conv_id, r.call_id): r.level for r in order_calls(two).collect()}
+    assert doubled[1, "c39"] == 39 and doubled[2, "d"] is None and doubled[None, "l"] == 1
+    assert {k: v for k, v in rounds.items() if k[0] != 9} == doubled and [rounds[9, i] for i in "wyz"] == [0, 1, 2]
+
+
 def test_empty_tables_and_long_texts(spark):
     assert linked(spark, [], []) == []
     assert [r.status for r in linked(spark, [], [(1, 1, "a", "x")])] == ["orphan"]
