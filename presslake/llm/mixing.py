@@ -108,17 +108,17 @@ class Mix:
             F.col(source).alias("source"), F.regexp_count(whole, F.lit(WORD)).cast("bigint").alias("size"),
             F.xxhash64(whole).alias("hash"),
         )
-        sized = written(shaped, "sized")
-        sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
+        # The words are counted twice, which is cheaper than writing all texts once more.
+        sums = shaped.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
         sources = written(source_targets(sums, weights), "sources")
         self._plan = _plan(sources.limit(MOST_SOURCES + 1).toArrow(), block_words, seed)
         self.sources = F.broadcast(sources)
         named = self.sources.withColumnRenamed("source", "named")
-        rows = sized.join(named, F.col("source").eqNullSafe(F.col("named"))).drop("named", "source", "weight")
+        rows = shaped.join(named, F.col("source").eqNullSafe(F.col("named"))).drop("named", "source", "weight")
         chunk = F.pmod(F.xxhash64("doc_id", "hash"), F.ceil(F.col("n_docs") / CHUNK_DOCS)).cast("bigint")
         placed = running_start(rows.withColumn("chunk", chunk), ["source_no"], "chunk", [F.col("doc_id"), F.col("size"), F.col("hash")], "size", "start")
         self.rows = written(placed.drop("chunk", "hash", "n_docs"), "placed")
-        self.slots = _slots(sized.sparkSession, self._plan, shard_slots, seed)
+        self.slots = _slots(docs.sparkSession, self._plan, shard_slots, seed)
 
     def parts(self) -> DataFrame:
         """``source_no, block, doc_start, first, last``: where a block holds words of a document."""
