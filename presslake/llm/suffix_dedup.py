@@ -11,6 +11,9 @@ wherever the string stands. So equal strings meet under their anchor's hash:
    the merge sort takes logarithmic time. The order and its extensions are then verified byte by byte; on a hash
    collision the bytes themselves are sorted. Two strings are equal if they share enough on both sides.
 
+The strings around an anchor whose hash occurs more than ``TOGETHER`` times are not sorted in one task. Each is found by
+a digest of its 200 bytes, so any number of different surroundings is dealt over all tasks.
+
 Long runs of a short period would have an anchor at every period. Their strings repeat the two periods before, so
 only those are searched for; the rest is found again in the text when it is cut.
 """
@@ -33,6 +36,8 @@ from presslake.llm.registry import query
 LENGTH, GRAM = 200, 40
 #: Periods up to this are treated as runs.
 PERIODS = 16
+#: Strings of an anchor hash that occurs more often are dealt out by themselves.
+TOGETHER = 1024
 _PIECE = 1 << 20
 _BASE = 0x5DEECE66D1CE4E5B | 1
 _MASK = (1 << 64) - 1
@@ -332,6 +337,32 @@ def _surrounding_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         )
 
 
+def _string_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The digest of every string of a surrounding ``(w, part, n)``, with where in it the string starts."""
+    for batch in batches:
+        for w, part, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            digests = [hashlib.blake2b(part[i : i + LENGTH], digest_size=16).digest() for i in range(len(part) - LENGTH + 1)]
+            m = len(digests)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([w] * m, pa.int64()), pa.array(range(m), pa.int32()), pa.array(digests, pa.binary()), pa.array([n] * m, pa.int64())],
+                names=["w", "at", "digest", "n"],
+            )
+
+
+def _wide_intervals(wide: DataFrame) -> DataFrame:
+    """Repeated bytes around anchors of very many surroundings, string by string."""
+    wide = written(wide.select(F.monotonically_increasing_id().alias("w"), "part", "members"), "wide-surroundings")
+    each = wide.select("w", "part", F.size("members").cast("bigint").alias("n"))
+    strings = written(each.mapInArrow(_string_rows, "w long, at int, digest binary, n long"), "strings")
+    twice = strings.groupBy("digest").agg(F.sum("n").alias("all")).where(F.col("all") > 1).select("digest")
+    found = strings.join(twice, "digest").groupBy("w").agg(F.array_sort(F.collect_list("at")).alias("ats"))
+    # Strings in turn are one run of bytes: their places less their ranks are equal.
+    ranked = found.select("w", F.posexplode("ats").alias("rank", "at"))
+    runs = ranked.groupBy("w", F.col("at") - F.col("rank")).agg(F.min("at").alias("a"), F.max("at").alias("b")).select("w", "a", "b")
+    places = runs.join(wide.select("w", "members"), "w").select(F.explode("members").alias("m"), "a", "b")
+    return places.select("m.id", "m.th", (F.col("m.first") + F.col("a")).alias("start"), (F.col("m.first") + F.col("b") + LENGTH).alias("end"))
+
+
 def _interval_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Groups of equal ``h`` that come in order of ``h``; the last one of a batch may go on in the next."""
     def done(rows: pa.Table) -> pa.RecordBatch:
@@ -414,14 +445,19 @@ def repeated_bytes(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     whole = whole_text(text)
     rows = docs.select(F.col(key).alias("id"), F.xxhash64(whole).alias("th"), whole.cast("binary").alias("text"))
     long = rows.where(F.octet_length("text") >= LENGTH)
-    found = long.mapInArrow(_anchor_rows, f"h long, id {kind}, th long, packed long")
-    twice = found.withColumn("n", F.count("*").over(Window.partitionBy("h"))).where("n > 1").drop("n")
-    by_text = twice.groupBy("id", "th").agg(F.collect_list(F.struct("h", "packed")).alias("found")).select(F.col("id").alias("i"), F.col("th").alias("t"), "found")
+    found = written(long.mapInArrow(_anchor_rows, f"h long, id {kind}, th long, packed long"), "anchors")
+    counts = found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h", (F.col("n") > TOGETHER).alias("wide"))
+    twice = found.join(counts, "h")
+    by_text = twice.groupBy("id", "th").agg(F.collect_list(F.struct("h", "packed", "wide")).alias("found")).select(F.col("id").alias("i"), F.col("th").alias("t"), "found")
     same = F.col("id").eqNullSafe(F.col("i")) & (F.col("th") == F.col("t"))
     affected = written(long.join(by_text, same).select("id", "th", "text", "found"), "repeating-texts")
-    around = affected.mapInArrow(_surrounding_rows, f"h long, anchor long, part binary, members array<struct<id: {kind}, th: bigint, first: bigint>>")
-    ordered = around.repartition("h").sortWithinPartitions("h")
-    intervals = ordered.mapInArrow(_interval_rows, f"id {kind}, th long, start long, end long")
+
+    def around(wide: bool) -> DataFrame:
+        some = affected.withColumn("found", F.filter("found", lambda x: x["wide"] == F.lit(wide))).where(F.size("found") > 0)
+        return some.mapInArrow(_surrounding_rows, f"h long, anchor long, part binary, members array<struct<id: {kind}, th: bigint, first: bigint>>")
+
+    ordered = around(False).repartition("h").sortWithinPartitions("h")
+    intervals = ordered.mapInArrow(_interval_rows, f"id {kind}, th long, start long, end long").unionByName(_wide_intervals(around(True)))
     per_text = intervals.groupBy("id", "th").agg(F.collect_list(F.struct("start", "end")).alias("places")).select(F.col("id").alias("i"), F.col("th").alias("t"), "places")
     met = affected.join(per_text, same).select("id", "th", "text", "places")
     cut = met.mapInArrow(_cut_rows, f"id {kind}, th long, spans array<struct<start: bigint, end: bigint>>, kept_sha256 string")

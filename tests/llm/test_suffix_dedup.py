@@ -98,3 +98,28 @@ def test_suffix_order(monkeypatch, collide):
 def test_long_runs_have_few_anchors():
     rows = sum(len(r) for r, _, _ in suffix_dedup.anchors([b"x" * 500_000, b"ab" * 250_000]))
     assert rows < 400 and suffix_dedup.run_strings(np.frombuffer(b"ab" * 200, dtype=np.uint8)).all()
+
+
+@pytest.mark.parametrize("together", [1, 4])
+def test_strings_of_wide_anchors(spark, monkeypatch, together):
+    monkeypatch.setattr(suffix_dedup, "TOGETHER", together)
+    check(spark, made(random.Random(6)))
+
+
+def test_many_different_surroundings_never_meet(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "TOGETHER", 20)
+    real = suffix_dedup._interval_rows
+
+    def bounded(batches):
+        def counted():
+            sizes = Counter()
+            for batch in batches:
+                sizes.update(batch.column(0).to_pylist())
+                assert max(sizes.values(), default=0) <= 20
+                yield batch
+        return real(counted())
+
+    monkeypatch.setattr(suffix_dedup, "_interval_rows", bounded)
+    dice = random.Random(7)
+    passage = "".join(dice.choices("abcdefgh", k=500))
+    check(spark, ["".join(dice.choices("ijkl", k=dice.randint(90, 300))) + passage + "".join(dice.choices("mnop", k=250)) for _ in range(60)])
