@@ -11,7 +11,10 @@ from presslake import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-MODULES = ["rule_cascade", "power_packing", "id_shards", "pii", "trie_dedup", "simhash", "mixing", "toxicity", "tool_links", "suffix_dedup"]
+MODULES = [
+    "rule_cascade", "power_packing", "id_shards", "pii", "trie_dedup", "simhash", "mixing", "toxicity", "tool_links", "suffix_dedup",
+    "periodic_runs",
+]
 
 
 def query(name: str, oracle: str | None = None):
