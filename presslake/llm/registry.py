@@ -13,7 +13,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 MODULES = [
     "rule_cascade", "power_packing", "id_shards", "pii", "trie_dedup", "simhash", "mixing", "toxicity", "tool_links", "suffix_dedup",
-    "periodic_runs", "tile_search",
+    "periodic_runs", "tile_search", "turn_repair",
 ]
 
 
