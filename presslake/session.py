@@ -44,9 +44,39 @@ def checkpoint_root(spark: SparkSession) -> str:
     return made
 
 
+class ScratchNotes:
+    """Notes the scratch paths taken inside a ``with`` block; ``clear`` removes them when nothing reads them any more."""
+
+    _open: list[ScratchNotes] = []
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+
+    def __enter__(self) -> ScratchNotes:
+        self._open.append(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        self._open.remove(self)
+
+    def clear(self, spark: SparkSession) -> None:
+        for path in self.paths:
+            remove_path(spark, path)
+        self.paths = []
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of any store that Spark reaches."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the checkpoint folder."""
-    return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    for notes in ScratchNotes._open:
+        notes.paths.append(path)
+    return path
 
 
 def materialize(df: DataFrame, label: str = "rows") -> DataFrame:
