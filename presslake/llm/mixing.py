@@ -1,7 +1,7 @@
 """Mixing sources to target weights.
 
 The words of each source, document after document, are one long row that is cut into blocks of fixed length. Every
-output shard draws multinomial counts of the sources; a source's slots, numbered over all shards, go through a
+slot of an output shard draws a source, so a shard's counts of the sources are multinomial; a source's slots, numbered over all shards, go through a
 pseudorandom permutation of its block numbers, a new one for each pass over the source; slots then meet the blocks
 by number. What the draws leave over or short of a source's target is dropped or made up in last shards, and a
 source's last block is cut, so each source gives just the words of its target, rounded down.
@@ -14,21 +14,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from presslake.llm.common import SPACE, WORD, running_start, table, whole_text, written
 from presslake.llm.registry import query
+from presslake.operators.numbering import report_row_number
 
 BLOCK_WORDS = 512
 SHARD_SLOTS = 1024
 WEIGHTS = (1, 2, 3)
 MOST_PASSES = 3
 SEED = 42
-#: Sources have weights that someone set, so their table is small; it is broadcast, and more than these are refused.
-MOST_SOURCES = 100_000
 #: Documents of a source whose place is counted in one task.
 CHUNK_DOCS = 4096
+#: Least number of cells that all slots are cut into to find the source of a draw.
+LEAST_CELLS = 4096
 _MASK = (1 << 64) - 1
 
 
@@ -75,25 +76,28 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, most_passes: int = MOST_PA
     """``sizes(source, source_size, n_docs)`` with ``source_no``, ``weight`` and ``target``.
 
     Sources in code point order, null last, take the weights in turn. All targets sum to all sizes; a target stops
-    at ``most_passes`` times its source, and what is over goes to the others by weight. In order of size to weight
-    the stopped sources come first, so one pass finds where they end.
+    at ``most_passes`` times its source, and what is over goes to the others by weight: the share of a unit of weight
+    rises round by round until no further source stops. The driver sees sums over all sources only.
     """
     listed = F.array(*[F.lit(float(w)) for w in weights])
-    numbered = sizes.withColumn("source_no", (F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1).cast("int"))
-    weighed = numbered.withColumn("weight", F.get(listed, F.col("source_no") % len(weights))).withColumn(
-        "most", most_passes * F.col("source_size")
-    )
-    order = Window.orderBy(F.col("most") / F.col("weight"), "source_no")
-    everything = Window.partitionBy()
-    before = F.coalesce(F.sum("most").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    left = F.sum("weight").over(order.rowsBetween(0, Window.unboundedFollowing))
-    shared = weighed.withColumn("share", (F.sum("source_size").over(everything) - before) / left).withColumn("place", F.row_number().over(order))
-    stopped = F.col("most") <= F.col("weight") * F.col("share")
-    first_open = F.min(F.when(~stopped, F.col("place"))).over(everything)
-    marked = shared.withColumn("open", F.coalesce(F.col("place") >= first_open, F.lit(False)))
-    share = F.min(F.when(F.col("open") & (F.col("place") == first_open), F.col("share"))).over(everything)
-    target = F.when(F.col("open"), F.col("weight") * share).otherwise(F.col("most").cast("double"))
-    return marked.withColumn("target", target).select("source", "source_no", "source_size", "n_docs", "weight", "target")
+    numbered = report_row_number(sizes, [F.col("source").asc_nulls_last()], "source_no")
+    number = (F.col("source_no") - 1).cast("long")
+    weighed = written(numbered.withColumns({
+        "source_no": number, "weight": F.get(listed, (number % len(weights)).cast("int")), "most": most_passes * F.col("source_size"),
+    }), "weighed-sources")
+    everything, weight, most = weighed.agg(F.sum("source_size"), F.sum("weight"), F.max(F.col("most") / F.col("weight"))).first()
+    share, stopped = (everything or 0) / (weight or 1), None
+    while True:
+        stops = F.col("most") <= F.col("weight") * F.lit(share)
+        n, taken, open_weight = weighed.agg(
+            F.count_if(stops), F.coalesce(F.sum(F.when(stops, F.col("most"))), F.lit(0)), F.sum(F.when(~stops, F.col("weight")))
+        ).first()
+        if n == stopped:
+            break
+        stopped = n
+        share = (everything - taken) / open_weight if open_weight else float(most or 0)
+    target = F.when(F.col("most") <= F.col("weight") * F.lit(share), F.col("most").cast("double")).otherwise(F.col("weight") * F.lit(share))
+    return weighed.withColumn("target", target).drop("most")
 
 
 class Mix:
@@ -103,57 +107,52 @@ class Mix:
         self.names = docs.columns if carry else []
         self.text, self.block_words = text, block_words
         whole = whole_text(text)
-        shaped = docs.select(
+        # The words are counted and the rows numbered once; texts lie here until the mix is read.
+        self.base = written(docs.select(
             *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(self.names)], F.col(key).alias("doc_id"),
             F.col(source).alias("source"), F.regexp_count(whole, F.lit(WORD)).cast("bigint").alias("size"),
-            F.xxhash64(whole).alias("hash"),
-        )
-        # The words are counted twice, which is cheaper than writing all texts once more.
-        sums = shaped.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
-        sources = written(source_targets(sums, weights), "sources")
-        self._plan = _plan(sources.limit(MOST_SOURCES + 1).toArrow(), block_words, seed)
-        self.sources = F.broadcast(sources)
-        named = self.sources.withColumnRenamed("source", "named")
-        rows = shaped.join(named, F.col("source").eqNullSafe(F.col("named"))).drop("named", "source", "weight")
+            F.xxhash64(whole).alias("hash"), F.monotonically_increasing_id().alias("row"),
+        ), "sized")
+        narrow = self.base.select("row", "doc_id", "source", "size", "hash")
+        sums = narrow.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
+        self.sources = written(_planned(source_targets(sums, weights), block_words, seed), "sources")
+        named = self.sources.select(F.col("source").alias("named"), "source_no", "source_size", "target", "n_docs")
+        rows = narrow.join(named, F.col("source").eqNullSafe(F.col("named"))).drop("named", "source")
         chunk = F.pmod(F.xxhash64("doc_id", "hash"), F.ceil(F.col("n_docs") / CHUNK_DOCS)).cast("bigint")
         placed = running_start(rows.withColumn("chunk", chunk), ["source_no"], "chunk", [F.col("doc_id"), F.col("size"), F.col("hash")], "size", "start")
         self.rows = written(placed.drop("chunk", "hash", "n_docs"), "placed")
-        self.slots = _slots(docs.sparkSession, self._plan, shard_slots, seed)
+        self.slots = _slots(self.sources, shard_slots, block_words, seed)
 
     def parts(self) -> DataFrame:
-        """``source_no, block, doc_start, first, last``: where a block holds words of a document."""
+        """``row, source_no, block, doc_start, first, last``: where a block holds words of a document."""
         b = self.block_words
         blocks = F.sequence(F.floor(F.col("start") / b), F.floor((F.col("start") + F.col("size") - 1) / b))
-        cut = self.rows.where("size > 0").select("source_no", F.col("start").alias("doc_start"), "size", F.explode(blocks).alias("block"))
+        cut = self.rows.where("size > 0").select("row", "source_no", F.col("start").alias("doc_start"), "size", F.explode(blocks).alias("block"))
         first = F.greatest("doc_start", F.col("block") * b)
         return cut.select(
-            "source_no", "block", "doc_start", first.alias("first"),
+            "row", "source_no", "block", "doc_start", first.alias("first"),
             F.least(F.col("doc_start") + F.col("size"), (F.col("block") + 1) * b).alias("last"),
         )
 
     def pieces(self) -> DataFrame:
-        """``shard, slot, pass, source_no, block, doc_start, first, last``: what each slot takes, by document."""
+        """``shard, slot, pass, row, source_no, block, doc_start, first, last``: what each slot takes, by document."""
         met = self.slots.join(self.parts(), ["source_no", "block"])
         last = F.least("last", F.col("block") * self.block_words + F.col("words"))
         return met.withColumn("last", last).where("last > first").drop("words")
 
     def taken(self) -> DataFrame:
         """One row per document: ``doc_id, size, source_size, target, taken``."""
-        sums = self.pieces().groupBy("source_no", "doc_start").agg(F.sum(F.col("last") - F.col("first")).alias("taken"))
-        sums = sums.select(F.col("source_no").alias("s"), F.col("doc_start").alias("d"), "taken")
-        on = (F.col("source_no") == F.col("s")) & (F.col("start") == F.col("d")) & (F.col("size") > 0)
-        return self.rows.select("doc_id", "size", "source_size", "target", "source_no", "start").join(sums, on, "left").select(
+        sums = self.pieces().groupBy("row").agg(F.sum(F.col("last") - F.col("first")).alias("taken"))
+        return self.rows.join(sums, "row", "left").select(
             "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken")
         )
 
     def documents(self) -> DataFrame:
         """The mix as documents: for each pass over a source, each document cut to the words taken, if any."""
-        spans = self.pieces().groupBy("source_no", "doc_start", "pass").agg(
+        spans = self.pieces().groupBy("row", "pass").agg(
             F.sort_array(F.collect_list(F.struct((F.col("first") - F.col("doc_start")).alias("a"), (F.col("last") - F.col("doc_start")).alias("b")))).alias("spans")
         )
-        spans = spans.select(F.col("source_no").alias("s"), F.col("doc_start").alias("d"), "spans")
-        on = (F.col("source_no") == F.col("s")) & (F.col("start") == F.col("d"))
-        met = self.rows.where("size > 0").join(spans, on)
+        met = self.base.join(spans, "row")
         cut = F.arrow_udf(_words_of_spans, "string")(f"c{self.names.index(self.text)}", "spans")
         return met.select(*[(cut if c == self.text else F.col(f"c{i}")).alias(c) for i, c in enumerate(self.names)])
 
@@ -174,69 +173,79 @@ def _words_of_spans(texts: pa.Array, spans: pa.Array) -> pa.Array:
     return pa.array(out, pa.string())
 
 
-def _plan(sources: pa.Table, block_words: int, seed: int) -> dict[str, np.ndarray]:
-    """For each source: blocks, words of the last one, slots in all, full passes, words of the pass that is cut."""
-    if sources.num_rows > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
-    table_ = sources.sort_by("source_no")
-    size = table_["source_size"].to_numpy().astype(np.int64)
-    words = np.minimum(np.floor(table_["target"].to_numpy().astype(np.float64)).astype(np.int64), MOST_PASSES * size)
-    one = np.maximum(size, 1)
-    n, full, rest = -(-size // block_words), words // one, words % one
-    tail = size - (n - 1) * block_words
-    number = np.arange(len(size))
-    place = place_of(np.maximum(n - 1, 0), np.maximum(n, 1), number, full, seed)
-    k = -(-rest // block_words)
-    k = np.where(k <= place, k, -(-(rest + block_words - tail) // block_words))
-    return {"n": n, "tail": tail, "full": full, "rest": rest, "place": place, "slots": full * n + np.where(rest > 0, k, 0), "block": np.int64(block_words)}
-
-
-def _slots(spark, plan: dict[str, np.ndarray], shard_slots: int, seed: int) -> DataFrame:
-    """``shard, slot, pass, source_no, block, words`` of every slot of the mix."""
-    wanted, total = plan["slots"], int(plan["slots"].sum())
-    shards = -(-total // shard_slots)
+def _planned(sources: DataFrame, block_words: int, seed: int) -> DataFrame:
+    """Adds to each source: blocks ``n``, words of the last one (``tail``), ``slots`` in all, ``full`` passes, words of
+    the pass that is cut (``rest``) and the ``place`` of the last block in it."""
+    added = ["n", "tail", "full", "rest", "place", "slots"]
 
-    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for shard in batch.column(0).to_pylist():
-                size = min(shard_slots, total - shard * shard_slots)
-                counts = np.random.default_rng([seed, shard]).multinomial(size, wanted / total)
-                got = np.flatnonzero(counts)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(got), shard)), pa.array(got.astype(np.int32)), pa.array(counts[got])],
-                    names=["shard", "source_no", "drawn"],
-                )
+            size, target, number = (batch.column(c).to_numpy() for c in ("source_size", "target", "source_no"))
+            words = np.minimum(np.floor(target).astype(np.int64), MOST_PASSES * size)
+            one = np.maximum(size, 1)
+            n, full, rest = -(-size // block_words), words // one, words % one
+            tail = size - (n - 1) * block_words
+            place = place_of(np.maximum(n - 1, 0), np.maximum(n, 1), number, full, seed)
+            k = -(-rest // block_words)
+            k = np.where(k <= place, k, -(-(rest + block_words - tail) // block_words))
+            made = [n, tail, full, rest, place, full * n + np.where(rest > 0, k, 0)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, made)], names=[*batch.schema.names, *added])
+
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in sources.schema.fields]
+    return sources.mapInArrow(plan, ", ".join([*kinds, *[f"{c} long" for c in added]]))
+
+
+def _drawn(sources: DataFrame, total: int, shard_slots: int, seed: int) -> DataFrame:
+    """``shard, source_no, drawn``: each slot draws a place among the slots of all sources, and with it a source.
+
+    Places and sources meet by cells of equal width, so neither has to be small.
+    """
+    chunked = sources.where("slots > 0").select("source_no", "slots", F.floor(F.col("source_no") / CHUNK_DOCS).alias("chunk"))
+    ranges = running_start(chunked, [], "chunk", [F.col("source_no")], "slots", "from").drop("chunk")
+    width = max(1, total // max(LEAST_CELLS, ranges.count()))
+    cells = F.sequence(F.floor(F.col("from") / width), F.floor((F.col("from") + F.col("slots") - 1) / width))
+    ranges = ranges.select("source_no", "from", (F.col("from") + F.col("slots")).alias("to"), F.explode(cells).alias("cell"))
+    places = sources.sparkSession.range(total).select(
+        F.floor(F.col("id") / shard_slots).alias("shard"), F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(total)).alias("at"),
+    ).withColumn("cell", F.floor(F.col("at") / width))
+    met = places.join(ranges, "cell").where((F.col("at") >= F.col("from")) & (F.col("at") < F.col("to")))
+    return written(met.groupBy("shard", "source_no").agg(F.count("*").alias("drawn")), "draws")
+
+
+def _slots(sources: DataFrame, shard_slots: int, block_words: int, seed: int) -> DataFrame:
+    """``shard, slot, pass, source_no, block, words`` of every slot of the mix."""
+    total = sources.agg(F.sum("slots")).first()[0] or 0
+    shards = -(-total // shard_slots)
+    planned = ["n", "tail", "full", "rest", "place"]
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            shard, source, k = (batch.column(i).to_numpy() for i in range(3))
-            keep = k < wanted[source]
-            shard, source, k = shard[keep], source[keep], k[keep]
-            n, b = plan["n"][source], int(plan["block"])
+            shard, source, k, n, tail, full, rest, place = (c.to_numpy() for c in batch.columns)
             passes, j = k // n, k % n
             block = permuted(j, n, source, passes, seed)
-            size = np.where(block == n - 1, plan["tail"][source], b)
-            before = j * b - (b - plan["tail"][source]) * (j > plan["place"][source])
-            words = np.where(passes < plan["full"][source], size, np.minimum(size, plan["rest"][source] - before))
+            size = np.where(block == n - 1, tail, block_words)
+            before = j * block_words - (block_words - tail) * (j > place)
+            words = np.where(passes < full, size, np.minimum(size, rest - before))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x.astype(t)) for x, t in ((shard, "i8"), (k, "i8"), (passes, "i4"), (source, "i4"), (block, "i8"), (words, "i8"))],
+                [pa.array(x.astype(t)) for x, t in ((shard, "i8"), (k, "i8"), (passes, "i4"), (source, "i8"), (block, "i8"), (words, "i8"))],
                 names=["shard", "slot", "pass", "source_no", "block", "words"],
             )
 
-    drawn = written(spark.range(shards).mapInArrow(draw, "shard long, source_no int, drawn long"), "draws")
+    drawn = _drawn(sources, total, shard_slots, seed)
     chunked = drawn.withColumn("chunk", F.floor(F.col("shard") / CHUNK_DOCS))
     first = running_start(chunked, ["source_no"], "chunk", [F.col("shard")], "drawn", "first")
     numbers = F.sequence(F.col("first"), F.col("first") + F.col("drawn") - 1)
     dealt = first.select("shard", "source_no", F.explode(numbers).alias("k"))
-    # Sources that the draws left short make it up in shards after the last.
+    # Sources that the draws left short make it up in shards after the last; what they drew too often goes.
     sums = drawn.groupBy("source_no").agg(F.sum("drawn").alias("have"))
-    needed = spark.createDataFrame([(i, int(w)) for i, w in enumerate(wanted)], "source_no int, wanted long")
-    short = F.broadcast(needed).join(sums, "source_no", "left").select("source_no", F.coalesce("have", F.lit(0)).alias("have"), "wanted").where("have < wanted")
-    made_up = short.select("source_no", "have", F.explode(F.sequence(F.col("have"), F.col("wanted") - 1)).alias("k")).select(
+    short = sources.join(sums, "source_no", "left").select("source_no", F.coalesce("have", F.lit(0)).alias("have"), "slots").where("have < slots")
+    made_up = short.select("source_no", "have", F.explode(F.sequence(F.col("have"), F.col("slots") - 1)).alias("k")).select(
         (F.lit(shards) + F.floor((F.col("k") - F.col("have")) / shard_slots)).alias("shard"), "source_no", "k"
     )
-    every = dealt.unionByName(made_up)
-    return every.mapInArrow(look_up, "shard long, slot long, pass int, source_no int, block long, words long")
+    every = dealt.unionByName(made_up).join(sources.select("source_no", "slots", *planned), "source_no").where("k < slots")
+    return every.select("shard", "source_no", "k", *planned).mapInArrow(
+        look_up, "shard long, slot long, pass int, source_no long, block long, words long"
+    )
 
 
 def mix_sources(
@@ -246,8 +255,8 @@ def mix_sources(
     """Mix the words of ``docs``; see ``Mix`` for what can be asked of it.
 
     Null texts count as empty; documents without a word take no part and show ``taken`` 0. Null is a source of its
-    own. Documents that repeat an identifier, or have none, are told apart by their words. An empty table gives no
-    rows. The same rows give the same mix, however they are split into files.
+    own, and there may be any number of them. Documents that repeat an identifier, or have none, are told apart by their
+    words. An empty table gives no rows. The same rows give the same mix, however they are split into files.
     """
     return Mix(docs, text, source, key, weights, block_words, shard_slots, seed, carry)
 

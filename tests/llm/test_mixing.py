@@ -15,8 +15,8 @@ def plain_targets(sizes, weights=(1, 2, 3)):
     total, stopped = sum(sizes.values()), {}
     while True:
         open_ = [s for s in names if s not in stopped]
-        left = total - sum(stopped.values())
-        target = {s: left * weight[s] / sum(weight[o] for o in open_) for s in open_}
+        left, all_open = total - sum(stopped.values()), sum(weight[o] for o in open_)
+        target = {s: left * weight[s] / all_open for s in open_}
         over = {s: 3 * sizes[s] for s in open_ if target[s] > 3 * sizes[s]}
         if not over:
             return {**target, **{s: float(v) for s, v in stopped.items()}}
@@ -98,3 +98,12 @@ def test_empty_and_wordless_tables(spark):
     assert mix_sources(docs.limit(0)).taken().count() == 0 and mix_sources(docs.limit(0)).documents().count() == 0
     none = mix_sources(spark.createDataFrame([(1, None, None), (2, " ", "a")], "doc_id long, text string, source string"))
     assert sorted((r.doc_id, r.taken, r.target) for r in none.taken().collect()) == [(1, 0, 0.0), (2, 0, 0.0)]
+
+
+def test_any_number_of_sources(spark):
+    docs = spark.range(150_000).selectExpr("id as doc_id", "concat('s', lpad(id, 6, '0')) as source", "repeat('w ', cast(id % 5 as int)) as text")
+    got = mix_sources(docs, block_words=2, carry=False).taken().collect()
+    targets = plain_targets({f"s{i:06d}": i % 5 for i in range(150_000)})
+    assert len(got) == 150_000
+    for r in got:
+        assert abs(r.target - targets[f"s{r.doc_id:06d}"]) < 1e-6 and r.taken == int(r.target + 1e-9)
