@@ -55,12 +55,14 @@ class Chain:
     weights: list[np.ndarray] = field(default_factory=list)
 
     def probabilities(self, text: str) -> list[float]:
-        shown = [self.vocabulary[t] for t in tokens(text) & self.vocabulary.keys()]
+        """By category, and at last 1 if the text has tokens, else 0."""
+        whole = tokens(text)
+        shown = [self.vocabulary[t] for t in whole & self.vocabulary.keys()]
         found: list[float] = []
         for w in self.weights:
             n = len(self.vocabulary)
             found.append(float(_sigmoid(w[-1] + w[shown].sum() + np.dot(w[n:-1], found))))
-        return found
+        return [*found, float(bool(whole))]
 
 
 def _sigmoid(z):
@@ -126,7 +128,8 @@ def fit_linear(rows: np.ndarray, columns: np.ndarray, n_columns: int, dense: np.
 def labelled_sample(docs: DataFrame, labels: DataFrame, text: str, key: str, chain: dict[str, str], limit: int) -> DataFrame:
     """At most ``limit`` labelled documents: ``fold_of`` (a hash), ``y0, y1, ...`` and ``shown`` (distinct tokens).
 
-    Labels of an identifier that repeats are joined: a category holds if one of its rows says so. Unknown is no.
+    Labels of an identifier that repeats are joined: a category holds if one of its rows says so. Unknown is no. Of
+    documents that repeat an identifier the one of least text hash counts.
     """
     holds = [F.max(F.coalesce(F.expr(c), F.lit(False)).cast("int")).alias(f"y{i}") for i, c in enumerate(chain.values())]
     one = labels.where("doc_id is not null").groupBy(F.col("doc_id").alias("k")).agg(*holds)
@@ -138,6 +141,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, text: str, key: str, cha
 
     shown = F.arrow_udf(split, "array<string>")("text").alias("shown")
     met = with_text.join(F.broadcast(picked), "k")  # at most ``limit`` short rows
+    met = met.groupBy("k", *[f"y{i}" for i in range(len(chain))]).agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
     return met.select("k", F.pmod(F.xxhash64("k", F.lit("fold")), F.lit(1 << 20)).alias("fold_of"), *[f"y{i}" for i in range(len(chain))], shown)
 
 
@@ -211,8 +215,8 @@ def _fit_folds(spark, sent, n_columns: int, earlier: np.ndarray, y: np.ndarray,
 def score(docs: DataFrame, model: Chain, text: str = "text", threshold: float = THRESHOLD, decides: str = DECIDES) -> DataFrame:
     """Every row of ``docs`` with ``p_<category>`` and ``rejected``; other columns of those names are replaced.
 
-    Null and empty texts show no token and are judged by the intercept; repeated rows are judged each alike; an
-    empty table gives no rows.
+    Null and empty texts, and any other without a token, have the probabilities of the intercepts and are never
+    rejected. Repeated rows are judged each alike; an empty table gives no rows.
     """
     names, place = model.names, model.names.index(decides)
     sent = docs.sparkSession.sparkContext.broadcast(model)
@@ -227,7 +231,8 @@ def score(docs: DataFrame, model: Chain, text: str = "text", threshold: float =
     scored = docs.withColumn("__p", F.arrow_udf(judge, "array<double>")(whole_text(text)))
     shown = [F.col("__p")[i].alias(f"p_{n}") for i, n in enumerate(names)]
     rest = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in taken]
-    return scored.select(*rest, *shown, (F.col("__p")[place] >= threshold).alias("rejected"))
+    rejected = (F.col("__p")[place] >= threshold) & (F.col("__p")[len(names)] > 0)
+    return scored.select(*rest, *shown, rejected.alias("rejected"))
 
 
 @query("op10_toxicity_chain")

@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from presslake.llm.toxicity import CHAIN, fit_chain, fit_linear, score, tokens
+from presslake.llm.toxicity import CHAIN, THRESHOLD, fit_chain, fit_linear, labelled_sample, score, tokens
 
 SF = "/root/testdata/sf0.01"
 
@@ -44,7 +44,7 @@ def test_scores_are_those_of_the_chain_by_hand(spark):
             z = w[-1] + sum(w[i] for i in shown) + sum(a * b for a, b in zip(w[len(model.vocabulary):-1], earlier, strict=True))
             earlier.append(1 / (1 + np.exp(-z)))
         assert np.allclose([r[f"p_{n}"] for n in CHAIN], earlier)
-        assert r.rejected == (earlier[1] >= 0.5) == ("bad" in (r.text or ""))
+        assert r.rejected == (earlier[1] >= THRESHOLD and bool(tokens(r.text or ""))) == ("bad" in (r.text or ""))
 
 
 def test_no_labels_and_no_documents(spark):
@@ -57,3 +57,13 @@ def test_no_labels_and_no_documents(spark):
 def test_the_sample_is_bounded(spark):
     docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
     assert len(fit_chain(docs, labels, limit=40).weights) == len(CHAIN)
+
+
+def test_a_labelled_document_that_repeats_counts_once(spark):
+    docs = spark.range(500).selectExpr("7L as doc_id", "concat('text ', id) as text").unionByName(spark.createDataFrame([(8, None), (9, "x" * 300_000)], "doc_id long, text string"))
+    labels = spark.createDataFrame([(7, 1, 1), (8, 0, 0), (9, 1, 0), (9, 0, 1)], "doc_id long, quality int, toxic int")
+    assert labelled_sample(docs, labels, "text", "doc_id", CHAIN, 2).count() == 2
+    whole = labelled_sample(docs, labels, "text", "doc_id", CHAIN, 10).orderBy("k").select("k", "y0", "y1", "y2").collect()
+    assert list(map(tuple, whole)) == [(7, 0, 1, 0), (8, 1, 0, 0), (9, 1, 1, 1)]
+    judged = score(docs, fit_chain(docs, labels))
+    assert judged.count() == 502 and judged.where("text is null").first().rejected is False
