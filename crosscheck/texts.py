@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crosscheck.registry import Tables, case
+from presslake import materialize, scratch_path
 from presslake.functions import vectors as vf
 from presslake.functions.tokens import TOKEN_PATTERN
 from presslake.operators import html, text, vectors
 from presslake.operators.html_walk import walk_pages
+from presslake.operators.vector_index import semantic_topk_index as search_index
+from presslake.operators.vector_index import write_vector_index
 
 _TOKEN_LIMIT, _DIM, _K = 200, 1536, 10
 
@@ -127,3 +130,21 @@ def semantic_topk_all(t: Tables) -> DataFrame:
     asked = t("embeddings").select(F.col("vec_id").alias("query_id"), "embedding")
     found = vectors.semantic_topk_many(t("embeddings"), asked, 3, id_col="vec_id")
     return found.withColumn("score", F.round("score", 5))
+
+
+@case("semantic_topk_index", f"select count(*) as asked, count(*) * {_K} as found, true as recall_is_met, true as few_are_scored  from embeddings where vec_id % 20 = 0")
+def semantic_topk_index(t: Tables) -> DataFrame:
+    """The index against the exact search: every 20th vector as a query, all rows indexed."""
+    rows = t("embeddings")
+    index = write_vector_index(rows, scratch_path(t.spark, "index"), id_col="vec_id", k=_K)
+    asked = rows.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    near = materialize(search_index(index, asked, _K), "near")
+    exact = vectors.semantic_topk_many(rows, asked, _K, id_col="vec_id").select("query_id", F.col("vec_id").alias("id"), F.lit(1).alias("hit"))
+    met = near.join(exact, ["query_id", "id"], "left").groupBy("query_id").agg(
+        F.count("*").alias("found"), F.sum("hit").alias("hits"), F.max("rows_scored").alias("scored")
+    )
+    n = rows.agg(F.count("*")).scalar()
+    return met.agg(
+        F.count("*").alias("asked"), F.sum("found").alias("found"), (F.sum("hits") >= 0.95 * F.sum("found")).alias("recall_is_met"),
+        (5 * F.sum("scored") <= F.count("*") * F.first(n)).alias("few_are_scored"),
+    )
