@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from presslake.functions.urls import resolve_location, same_site
-from presslake.operators.joins import small_keys
 from presslake.session import materialize
 
 MAX_REDIRECTS = 5
@@ -33,32 +30,32 @@ def redirect_chain_resolve(log: DataFrame, starts: DataFrame | None = None, max_
     ``ok``, ``cross_domain`` (blocked before the hop), ``too_many_redirects``,
     ``missing`` (the log has no such URL), ``http_error``.
 
-    A round per hop joins the URLs that are still moving, a part that shrinks
-    quickly, and writes what it found; it ends when none moves any more. Once
-    the moving URLs are few, only their log rows take part.
+    Hops that may be followed are a table of pointers, written once. Joined with itself
+    it gives two hops at once, that one four, and so on, so a start takes its whole
+    way in joins that grow with the logarithm of ``max_hops``, all of one plan.
     """
-    answers = log.select(F.col("url").alias("final_url"), F.col("status").alias("_status"), F.col("location").alias("_location"))
-    moving = (log if starts is None else starts).select("url", F.col("url").alias("final_url"))
-    ended = []
-    for hop in range(max_hops + 1):
-        keys = small_keys(moving.select("final_url").distinct(), "final_url") if hop else None
-        heard = answers if keys is None else answers.join(keys, "final_url", "left_semi")
-        redirected = is_redirect(F.col("_status"), F.col("_location"))
-        seen = moving.join(heard, "final_url", "left").withColumn(
-            "_target", F.when(redirected, resolve_location(F.col("final_url"), F.col("_location")))
-        )
-        moves = F.col("_target").isNotNull()
-        outcome = (
-            F.when(F.col("_status").isNull(), "missing")
-            .when(moves & F.lit(hop >= max_hops), "too_many_redirects")
-            .when(moves & ~redirect_target_allowed(F.col("url"), F.col("_target")), "cross_domain")
-            .when(moves, None)
-            .when(F.col("_status") >= 400, "http_error")
-            .otherwise("ok")
-        )
-        judged = materialize(seen.select("url", "final_url", "_target", outcome.alias("outcome")))
-        ended.append(judged.where("outcome is not null").select("url", "final_url", F.lit(hop).alias("hops"), "outcome"))
-        moving = judged.where("outcome is null").select("url", F.col("_target").alias("final_url"))
-        if moving.isEmpty():
-            break
-    return reduce(DataFrame.unionByName, ended)
+    redirected = is_redirect(F.col("status"), F.col("location"))
+    answers = log.select(
+        F.col("url").alias("_url"), F.col("status").alias("_status"),
+        F.when(redirected, resolve_location(F.col("url"), F.col("location"))).alias("_target"),
+    )
+    # Allowed hops stay on one site, so what the last page allows the first one does too.
+    allowed = F.col("_target").isNotNull() & redirect_target_allowed(F.col("_url"), F.col("_target"))
+    pointers = materialize(answers.where(allowed).select(F.col("_url").alias("_at"), F.col("_target").alias("_to")), "pointers")
+    ways = [] if max_hops < 1 or pointers.isEmpty() else [pointers]
+    while ways and 2 ** len(ways) <= max_hops:
+        then = ways[-1].select(F.col("_at").alias("_via"), F.col("_to").alias("_end"))
+        ways.append(ways[-1].join(then, F.col("_to") == F.col("_via")).select("_at", F.col("_end").alias("_to")))
+    state = (log if starts is None else starts).select("url", F.col("url").alias("final_url"), F.lit(0).alias("hops"))
+    for power in reversed(range(len(ways))):
+        fits = (F.col("final_url") == F.col("_at")) & (F.col("hops") + 2**power <= max_hops)
+        hops = F.col("hops") + F.when(F.col("_to").isNotNull(), 2**power).otherwise(0)
+        state = state.join(ways[power], fits, "left").select("url", F.coalesce("_to", "final_url").alias("final_url"), hops.alias("hops"))
+    outcome = (
+        F.when(F.col("_status").isNull(), "missing")
+        .when(F.col("_target").isNotNull() & (F.col("hops") >= max_hops), "too_many_redirects")
+        .when(F.col("_target").isNotNull(), "cross_domain")
+        .when(F.col("_status") >= 400, "http_error")
+        .otherwise("ok")
+    )
+    return state.join(answers, F.col("final_url") == F.col("_url"), "left").select("url", "final_url", "hops", outcome.alias("outcome"))

@@ -124,10 +124,18 @@ def spark_log(spark):
     return spark.createDataFrame([("https://a/", 200, None)], "url string, status int, location string")
 
 
-def test_redirect_rounds_end_early_and_are_cut_off_from_each_other(shuffled_joins):
-    found = redirects.redirect_chain_resolve(spark_log(shuffled_joins), max_hops=50)
-    assert found.count() == 1
-    assert "Join" not in plan(found) and plan(found).count("FileScan parquet") == 1
+def test_redirects_are_one_plan_of_few_joins(shuffled_joins):
+    spark = shuffled_joins
+    found = redirects.redirect_chain_resolve(spark_log(spark), max_hops=50)
+    assert found.count() == 1 and plan(found).count("SortMergeJoin") <= 2  # no redirect: nothing but the last look-up
+    chain = [(f"https://a/{i}", 301, f"/{i + 1}") for i in range(70)] + [("https://a/70", 200, None)]
+    log = spark.createDataFrame(chain, "url string, status int, location string")
+    hops = {r.url: (r.hops, r.outcome, r.final_url) for r in redirects.redirect_chain_resolve(log, max_hops=50).collect()}
+    for i in range(71):
+        left = 70 - i
+        assert hops[f"https://a/{i}"] == (min(left, 50), "ok" if left <= 50 else "too_many_redirects", f"https://a/{i + min(left, 50)}")
+    few = redirects.redirect_chain_resolve(log, spark.createDataFrame([("https://a/3",), ("https://b/",)], "url string"))
+    assert {tuple(r) for r in few.collect()} == {("https://a/3", "https://a/8", 5, "too_many_redirects"), ("https://b/", "https://b/", 0, "missing")}
 
 
 def test_the_audit_sums_once(shuffled_joins, crawl):
