@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from crosscheck.registry import Tables, case
 from crosscheck.reports import AS_OF, job_registry
+from presslake import materialize, scratch_path
 from presslake.operators import batches, merge
 from presslake.operators.audit import constraint_audit, vector_dim_check
+from presslake.operators.key_filters import existing_key_lookup_filtered
 from presslake.operators.numbering import surrogate_keys
 from presslake.schemas import RESULT_LINE
 from presslake.sources import jobs
@@ -52,6 +54,35 @@ def page_insert_new(t: Tables) -> DataFrame:
     )
 
 
+@case("page_insert_filtered", f"""
+with seen as (select page_url, min(publication_date) as publication_date from ({_FOUND_PAGES}) group by 1), old as ({_STORED_PAGES})
+select s.page_url, cast(s.publication_date as date) as publication_date, (select max(id_page) from old)::bigint as above,
+  (select count(*) from seen where page_url not in (select page_url from old)) as n_new
+from seen s where s.page_url not in (select page_url from old)""")
+def page_insert_filtered(t: Tables) -> DataFrame:
+    """The new pages by stored key filters, in two versions of the stored table."""
+    stored = merge.FilteredTable(t.spark, scratch_path(t.spark, "pages-by-key"), "page_url", "id_page", 64, 4096)
+    stored.append(t.sql(f"{_STORED_PAGES} and id_page % 2 = 0"))
+    stored.append(t.sql(f"{_STORED_PAGES} and id_page % 2 = 1"))
+    top = t.sql(_STORED_PAGES).agg(F.max("id_page")).scalar()
+    new = materialize(merge.new_pages_filtered(stored, t.sql(_FOUND_PAGES), AS_OF))
+    ids = new.agg(F.struct(F.min("id_page").alias("low"), F.max("id_page").alias("high"))).scalar()
+    found = new.withColumn("ids", ids)
+    return found.select(
+        "page_url", F.col("publication_date").cast("date").alias("publication_date"), (F.col("ids.low") - 1).alias("above"),
+        (F.col("ids.high") - F.lit(top)).alias("n_new"),
+    )
+
+
+@case("existing_key_filtered", f"""
+with old as ({_STORED_PAGES})
+select u.page_url, o.id_page from (select distinct page_url from v_urlset) u left join old o on o.page_url = u.page_url""")
+def existing_key_filtered(t: Tables) -> DataFrame:
+    stored = merge.FilteredTable(t.spark, scratch_path(t.spark, "pages-by-key"), "page_url", "id_page", 64, 4096)
+    stored.append(t.sql(_STORED_PAGES))
+    return existing_key_lookup_filtered(t("v_urlset").select("page_url").distinct(), stored).select("page_url", "id_page")
+
+
 @case("page_insert_outcomes", f"""
 with old as ({_STORED_PAGES})
 select sum(case when known = 0 then 1 else 0 end)::bigint as added, sum(case when known = 0 then seen - 1 else seen end)::bigint as skipped

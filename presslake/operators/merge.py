@@ -14,12 +14,15 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from presslake.functions.dates import moment
 from presslake.functions.measures import normalise_fresh
 from presslake.functions.urls import url_netloc
+from presslake.operators.key_filters import FilteredTable, absent_filtered
 from presslake.operators.joins import MAX_BROADCAST_BYTES, small_keys
 from presslake.operators.numbering import surrogate_keys
+from presslake.schemas import NEWS_PAGES
 from presslake.session import materialize
 
 
@@ -127,10 +130,23 @@ def page_insert_new(stored: DataFrame, delta: DataFrame, as_of: dt.datetime | Co
 def new_pages(stored: DataFrame, delta: DataFrame, as_of: dt.datetime | Column) -> DataFrame:
     """Only the rows ``page_insert_new`` adds."""
     seen = materialize(distinct_pages(delta))
-    new = _absent(seen, stored, "page_url", small_keys(seen, "page_url")).withColumns({
-        "is_error": F.lit(False), "created_at": moment(as_of),
+    new = _absent(seen, stored, "page_url", small_keys(seen, "page_url"))
+    return numbered_pages(new, _highest(stored, "id_page"), as_of)
+
+
+def numbered_pages(new: DataFrame, top: Column, as_of: dt.datetime | Column) -> DataFrame:
+    """Pages with distinct URLs as rows of the page table, numbered after ``top``."""
+    numbered = surrogate_keys(new, "page_url", "_n").withColumn("_top", top)
+    made = numbered.withColumns({
+        "id_page": F.col("_top") + F.col("_n"), "is_error": F.lit(False), "created_at": moment(as_of),
     })
-    return _filled(_with_new_ids(stored, new, "id_page", "page_url"), stored)
+    kinds = [(f.name, f.dataType) for f in StructType.fromDDL(NEWS_PAGES)]
+    return made.select(*[(F.col(n) if n in made.columns else F.lit(None)).cast(k).alias(n) for n, k in kinds])
+
+
+def new_pages_filtered(stored: FilteredTable, delta: DataFrame, as_of: dt.datetime | Column) -> DataFrame:
+    """``new_pages`` against a table with key filters: stored rows are read in buckets of possible hits only."""
+    return numbered_pages(absent_filtered(materialize(distinct_pages(delta)), stored), stored.top(), as_of)
 
 
 def page_insert_outcomes(stored: DataFrame, delta: DataFrame) -> DataFrame:

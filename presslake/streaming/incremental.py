@@ -12,15 +12,16 @@ from __future__ import annotations
 import datetime as dt
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from presslake.operators.batches import results_ok
-from presslake.operators.merge import new_pages
+from presslake.operators.merge import numbered_pages
 from presslake.schemas import NEWS_PAGES, RESULT_LINE
 from presslake.sources.jobs import result_rows
 
@@ -50,6 +51,14 @@ def _write_part(df: DataFrame, root: str, stream: str, batch_id: int) -> None:
 def write_base(df: DataFrame, root: str) -> None:
     """Put an existing table under ``root``, before any micro-batch."""
     _write_part(df, root, _BASE, -1)
+    if "id_page" in df.columns:
+        _write_top(df.sparkSession, root, _BASE, -1)
+
+
+def _write_top(spark: SparkSession, root: str, stream: str, batch_id: int) -> None:
+    """Note the highest id of a folder beside it."""
+    part = spark.read.schema("id_page bigint").parquet(f"{root}/stream={stream}/batch_id={batch_id}")
+    _write_part(part.agg(F.max("id_page").alias("top")), f"{root.rstrip('/')}-tops", stream, batch_id)
 
 
 def _stream_name(spark: SparkSession, checkpoint: str) -> str:
@@ -72,19 +81,94 @@ def _start(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int],
     )
 
 
-def stream_page_discovery(found: DataFrame, root: str, checkpoint: str, as_of: dt.datetime) -> StreamingQuery:
+class _FirstSightings(StatefulProcessor):
+    """Gives a URL the first time it is seen; a URL not seen for ``keep_ms`` is forgotten."""
+
+    def __init__(self, keep_ms: int | None) -> None:
+        self.keep_ms = keep_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.known = handle.getValueState("known", "until bigint")
+
+    def _know(self, last_ms: int) -> None:
+        until = 0 if self.keep_ms is None else last_ms + self.keep_ms
+        if self.known.exists():
+            until = max(until, self.known.get()[0])
+        self.known.update((until,))
+        if self.keep_ms is not None:
+            self.handle.registerTimer(until)
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        # Stored pages count as seen just before the stream's first rows.
+        self._know(0 if self.keep_ms is None else max(0, timerValues.getCurrentWatermarkInMs()))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        is_new, best, last_ms = not self.known.exists(), None, 0
+        for batch in rows:
+            if self.keep_ms is not None:
+                last_ms = max(last_ms, int(batch["seen_at"].max().timestamp() * 1000))
+            for date, sitemap in zip(batch["publication_date"], batch["id_sitemap"]):
+                order = (pd.isna(date), date if not pd.isna(date) else pd.Timestamp.min, pd.isna(sitemap), 0 if pd.isna(sitemap) else sitemap)
+                if best is None or order < best[0]:
+                    best = order, date, sitemap
+        self._know(last_ms)
+        if is_new:
+            date, sitemap = (None if pd.isna(x) else x for x in best[1:])
+            made = pd.DataFrame({"page_url": [key[0]], "id_sitemap": pd.array([sitemap], dtype="Int64"), "publication_date": [date]})
+            yield made.astype({"publication_date": "datetime64[us]"})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.known.exists() and self.known.get()[0] <= expiredTimerInfo.getExpiryTimeInMs():
+            self.known.clear()
+        yield from ()
+
+
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def stream_page_discovery(
+    found: DataFrame, root: str, checkpoint: str, as_of: dt.datetime, late: str = "0 seconds", keep: dt.timedelta | None = None,
+) -> StreamingQuery:
     """Add the pages of a stream (``page_url, id_sitemap, publication_date``) whose URL is not stored yet.
 
-    The table itself says what is known, so the stream keeps no state.
+    The URLs seen are the stream's own state, kept in its checkpoint by RocksDB and dealt by URL; a stream with a new
+    checkpoint takes what is stored into its state once. After that no micro-batch reads any stored page: of older
+    folders only the highest id is looked up, one row each.
+
+    With ``keep`` the stream has a column ``seen_at``. A row that is ``late`` behind the newest one of the micro-batches
+    before is dropped and counts as neither added nor seen. A URL that isn't seen again for ``keep`` leaves the state
+    (never before the watermark has passed that time), so the state holds the URLs of that span; one that comes back
+    later is taken for new.
     """
-    name = _stream_name(found.sparkSession, checkpoint)
+    spark = found.sparkSession
+    name = _stream_name(spark, checkpoint)
+    columns = ["page_url", "id_sitemap", "publication_date"] + ["seen_at"] * (keep is not None)
+    rows = found.select(*columns) if keep is None else found.select(*columns).withWatermark("seen_at", late)
+    rows = rows.where("page_url is not null")
+    before = _parts(spark, root, NEWS_PAGES).where(F.col("stream") != name).select("page_url").distinct()
+    state = _FirstSightings(None if keep is None else int(keep.total_seconds() * 1000))
+    new = rows.groupBy("page_url").transformWithStateInPandas(
+        statefulProcessor=state, outputStructType="page_url string, id_sitemap bigint, publication_date timestamp", outputMode="append",
+        timeMode="None" if keep is None else "EventTime", initialState=before.groupBy("page_url"),
+    )
 
     def each(batch: DataFrame, batch_id: int) -> None:
         own = (F.col("stream") == name) & (F.col("batch_id") >= batch_id)
-        stored = _parts(batch.sparkSession, root, NEWS_PAGES).where(~own).drop("stream", "batch_id")
-        _write_part(new_pages(stored, batch, as_of), root, name, batch_id)
-
-    return _start(found, checkpoint, each)
+        tops = _parts(batch.sparkSession, f"{root.rstrip('/')}-tops", "top bigint").where(~own)
+        made = numbered_pages(batch, tops.agg(F.coalesce(F.max("top"), F.lit(0))).scalar(), as_of)
+        _write_part(made, root, name, batch_id)
+        _write_top(batch.sparkSession, root, name, batch_id)
+
+    provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKS)
+    try:  # a stream takes its settings along when it starts
+        return _start(new, checkpoint, each)
+    finally:
+        if provider is None:
+            spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+        else:
+            spark.conf.set("spark.sql.streaming.stateStore.providerClass", provider)
 
 
 def current_pages(spark: SparkSession, root: str) -> DataFrame:

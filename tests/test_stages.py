@@ -202,6 +202,36 @@ def test_page_stream_equals_batch_over_restarts(spark, tmp_path):
     assert rows(got, "id_page") == [(50,), (51,), (52,), (53,), (54,)]
 
 
+def test_no_micro_batch_reads_older_pages(spark, tmp_path):
+    source, root, state = (str(tmp_path / d) for d in ("in", "pages", "state"))
+    day = dt.datetime(2025, 1, 1)
+    incremental.write_base(spark.createDataFrame([(50, 1, "u0", None, True, None)], NEWS_PAGES), root)
+    for i, wave in enumerate([[("u0", 1, day), ("u1", 1, day)], [("u1", 1, day), ("u2", 2, day)], [("u2", 1, None), ("u0", 1, day), ("u3", 1, day)]]):
+        spark.createDataFrame(wave, FOUND).coalesce(1).write.parquet(f"{source}/wave={i}")
+        stream = spark.readStream.schema(FOUND).option("recursiveFileLookup", "true").parquet(source)
+        incremental.stream_page_discovery(stream, root, state, AS_OF).awaitTermination(120)
+        if i == 0:
+            assert rows(incremental.current_pages(spark, root), "id_page", "page_url") == [(50, "u0"), (51, "u1")]
+        # From now on a read of any older folder would fail.
+        for part in (tmp_path / "pages").rglob("*.parquet"):
+            part.write_bytes(b"no Parquet")
+            (part.parent / f".{part.name}.crc").unlink(missing_ok=True)
+    newest = max((tmp_path / "pages").rglob("batch_id=*"), key=lambda p: int(p.name.split("=")[1]))
+    assert spark.read.parquet(f"{root}-tops").agg(F.max("top")).first()[0] == 53 and newest.is_dir()
+
+
+def test_a_url_is_forgotten_after_its_span_and_late_rows_are_dropped(spark, tmp_path):
+    source, root, state = (str(tmp_path / d) for d in ("in", "pages", "state"))
+    schema, day = f"{FOUND}, seen_at timestamp", lambda n: dt.datetime(2025, 1, n)
+    waves = [[("u1", 1, None, day(1))], [("u1", 1, None, day(2)), ("u2", 1, None, day(4))], [("u3", 1, None, day(20))], [("u1", 2, day(3), day(21)), ("u9", 1, None, day(1)), ("u3", 1, None, day(21))]]
+    for i, wave in enumerate(waves):
+        spark.createDataFrame(wave, schema).coalesce(1).write.parquet(f"{source}/wave={i}")
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(source)
+        incremental.stream_page_discovery(stream, root, state, AS_OF, "1 day", dt.timedelta(days=5)).awaitTermination(120)
+    got = rows(incremental.current_pages(spark, root), "id_page", "page_url", "id_sitemap")
+    assert [g[1] for g in got] == ["u1", "u2", "u3", "u1"] and got[3][2] == 2  # u1 anew, u9 never
+
+
 def result(page, value, error=None):
     return json.dumps({"custom_id": str(page), "error": error, "response": {"status_code": 200, "body": {"data": [{"embedding": [value]}]}}})
 
