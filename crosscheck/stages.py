@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from crosscheck.registry import Tables, case
 from crosscheck.reports import _EMBED, _EMBED_END, _FLOOR, _PENDING, AS_OF, BATCH, FETCH_DOMAINS, LIMIT, job_registry
-from crosscheck.texts import html_sql
+from crosscheck.texts import PAGE_TEXT
 from crosscheck.upkeep import _BATCHES, _RESULTS, parsed_results, result_lines
 from presslake import scratch_path
 from presslake.plans import discover as discovery
@@ -139,13 +139,13 @@ _WAITING = """select page_id as id, page_id as id_page, url as page_url, cast(nu
   cast(null as string) as content, cast(null as int) as content_length from pages"""
 _HTML_LINES = f"""select page_id, trim(line, E' \\t\\r') as line, place from (
   select page_id, unnest(string_split(content, E'\\n')) as line, generate_subscripts(string_split(content, E'\\n'), 1) as place
-  from (select page_id, {html_sql('html')} as content from pages))"""
+  from (select page_id, {PAGE_TEXT} as content from pages))"""
 
 
 @case("extract", f"""
 select p.page_id as id_page, coalesce(k.text, case when h.content is not null then '' end) as content,
   length(coalesce(k.text, case when h.content is not null then '' end))::int as content_length from pages p
-join (select page_id, {html_sql('html')} as content from pages) h using (page_id) left join (select page_id, string_agg(line, E'\\n' order by place) as text from (
+join (select page_id, {PAGE_TEXT} as content from pages) h using (page_id) left join (select page_id, string_agg(line, E'\\n' order by place) as text from (
   select *, row_number() over (partition by line order by page_id, place) as rn from ({_HTML_LINES}) where line <> '') where rn = 1 group by 1) k using (page_id)
 """)
 def extract_(t: Tables) -> DataFrame:

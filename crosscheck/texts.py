@@ -17,26 +17,45 @@ from presslake.operators.vector_index import write_vector_index
 _TOKEN_LIMIT, _DIM, _K = 200, 1536, 10
 
 
-def _quoted(value: str) -> str:
-    return "'" + value.replace("'", "''") + "'"
+# What the article of a given page says, stated by what stands in it: a heading, paragraphs, breaks and bold words.
+_ARTICLE = """replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_extract(html, '<article>(.*)</article>', 1, 's'),
+  '[ \\t\\r\\n]+', ' ', 'g'), '<h1>', E'\\n# ', 'g'), '<(br|p|/p|/h1)>', E'\\n', 'g'), '</?b>', '', 'g'), '&quot;', '"')"""
+_TIDY = """nullif(array_to_string(list_filter(list_transform(string_split({0}, E'\n'), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))),
+  lambda x: not regexp_full_match(x, '[| ]*|#')), E'\n'), '')"""
+PAGE_TEXT = _TIDY.format(f"replace({_ARTICLE}, '&amp;', '&')")
+# A parser of HTML reads a cut-off "&amp" as well.
+_PARSED_TEXT = _TIDY.format(f"regexp_replace({_ARTICLE}, '&amp;?', '&', 'g')")
 
 
-def html_sql(column: str) -> str:
-    """The extractor's replacement chain as nested SQL calls."""
-    made = column
-    for is_pattern, what, by in html.CHAIN:
-        if is_pattern:
-            made = f"regexp_replace({made}, {_quoted(what)}, {_quoted(by.replace('%1', chr(92) + '1'))}, 'g')"
-        else:
-            made = f"replace({made}, {_quoted(what)}, {_quoted(by)})"
-    return f"nullif(trim({made}, E' \\n'), '')"
-
-
-@case("html_extract", f"select page_id, {html_sql('html')} as content from pages")
+@case("html_extract", f"select page_id, {PAGE_TEXT} as content from pages")
 def html_extract(t: Tables) -> DataFrame:
     return html.html_extract(t("pages"), "page_id", "html")
 
 
+@case("html_main_text", f"select page_id, {_PARSED_TEXT} as content from pages")
+def html_main_text(t: Tables) -> DataFrame:
+    return html.html_extract(t("pages"), "page_id", "html", fn=walk_pages)
+
+
+@case("html_main_text_nested", f"select doc_id, {_TIDY.format('text')} as content from documents")
+def html_main_text_nested(t: Tables) -> DataFrame:
+    """Every document as a page without an article: its lines among menus, nested furniture and tags left open."""
+    def escaped(line):
+        for sign, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&#62;"), ('"', "&quot;")):
+            line = F.replace(line, F.lit(sign), F.lit(name))
+        return line
+
+    closes = F.when(F.col("doc_id") % 2 == 0, "</p>").otherwise("")
+    body = F.array_join(F.transform(F.split("text", "\n"), lambda line: F.concat(F.lit("<p>"), escaped(line), closes)), "")
+    page = F.concat(
+        F.lit("<html><head><title>Title</title><body><form action=/find><div class='top menu'><ul><li><a href=/>Home</a><li><a href=/a>All <b>about us</b></a></ul></div>"
+              "<div id=sidebar><div><div><p>Words that belong to no text <div>and more of them</div></div></div> still beside it</div>"
+              "<div><ul><li><a href=/1>First of many links</a></li><li><a href=/2>Second of many links</a></ul></div></i></td><div><div class=page>"),
+        body, F.lit("</div></div><header><p>Not a headline</header><div role=navigation><nav><div>On</div></nav>Back</div><footer><p>All rights</footer>"),
+    )
+    return html.html_extract(t("documents").select("doc_id", page.alias("html")), "doc_id", "html", fn=walk_pages)
+
+
 @case("text_dedup_blocks", """
 with lines as (
   select doc_id, place, trim(line, E' \\t\\r') as line from (

@@ -305,6 +305,28 @@ def test_html_by_patterns_and_by_walking(spark):
     assert rows(walked, "id", "content") == expected
 
 
+@pytest.mark.parametrize("given, expected", [
+    # A menu that is a plain div, nested boxes of one name, a form that is never closed.
+    ("<div class=menu><a href=/>Home</a> words words words words</div><form><div><div><p>The text <div>is here.</div></div></div>", "The text\nis here."),
+    ("<article><header><h1>Head</h1></header><p>Body text.</p><nav><div>x</div></nav>tail</article>", "# Head\nBody text.\ntail"),
+    ("<header><h1>Site</h1></header><main><p>Body text.</main>", "Body text."),
+    # The heaviest of several boxes, its links' lines left out; text in sibling boxes holds together.
+    ("<div><p>A teaser of four</p></div><div><p>A long paragraph that says what the page is about.</p><p><a href=/>more of this</a></p></div>", "A long paragraph that says what the page is about."),
+    ("<div><div>One two three.</div><div>Four five six.</div><div>Seven eight nine.</div></div><div>Some other words.</div>", "One two three.\nFour five six.\nSeven eight nine."),
+    # Tags left open, stray ends, quotes that hold a sign, table rows over lines.
+    ("<ul><li>one<li>two <b>bold</ul></div></span><p title='a > b'>three", "- one\n- two bold\nthree"),
+    ("<table><tr><th>a<th>b<tr><td><p>c</p><td>d &eacute; &#x27;</table>", "| a | b |\n| c | d é ' |"),
+    ("<nav>only a menu</nav>", None), ("plain words", "plain words"), ("<div><a href=/>all links</a></div>", None), ("", None), (None, None),
+])
+def test_main_text_by_stack_and_density(given, expected):
+    assert walk_page(given) == expected
+
+
+def test_a_page_of_deep_and_many_tags():
+    assert walk_page("<div>" * 3000 + "deep" + "</div>" * 3000) == "deep"
+    assert walk_page("<p>line" * 50_000) == "\n".join(["line"] * 50_000)
+
+
 @pytest.mark.parametrize("given, expected", [
     ("<p>it&#8217;s &eacute;t&eacute; &#x27;x&#X27; &rsquo;</p>", "it’s été 'x' ’"), ("<p>&#128512; &#0; &#55296; &#9999999; &#; &#xZ;</p>", "😀 &#0; &#55296; &#9999999; &#; &#xZ;"),
     ("<p>a &amp;lt; b &amp;#39; &#60;b&#62;</p>", "a &lt; b &#39; <b>"), ("<p>none</p>", "none"), (None, None),
