@@ -11,8 +11,11 @@ wherever the string stands. So equal strings meet under their anchor's hash:
    the merge sort takes logarithmic time. The order and its extensions are then verified byte by byte; on a hash
    collision the bytes themselves are sorted. Two strings are equal if they share enough on both sides.
 
-The strings around an anchor whose hash occurs more than ``TOGETHER`` times are not sorted in one task. Each is found by
-a digest of its 200 bytes, so any number of different surroundings is dealt over all tasks.
+One task sorts at most ``TOGETHER`` surroundings. An anchor hash that has more is split further: the strings around it
+start within 160 bytes before it, and those of either half of that range share the bytes in the middle, so each half is
+a group of its own for every such piece, again and again until groups are small enough. At the latest a group has one
+string. Surroundings are cut to what their strings can use each time and equal ones fall together, so a passage that
+very many texts quote shrinks, and rows grow with their number only. All groups then go through the same sort.
 
 Long runs of a short period would have an anchor at every period. Their strings repeat the two periods before, so
 only those are searched for; the rest is found again in the text when it is cut.
@@ -21,13 +24,15 @@ only those are searched for; the rest is found again in the text when it is cut.
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterator
 from functools import cmp_to_key
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from presslake.llm.common import table, whole_text, written
@@ -36,8 +41,8 @@ from presslake.llm.registry import query
 LENGTH, GRAM = 200, 40
 #: Periods up to this are treated as runs.
 PERIODS = 16
-#: Strings of an anchor hash that occurs more often are dealt out by themselves.
-TOGETHER = 1024
+#: Surroundings that one task sorts together at most.
+TOGETHER = 256
 _PIECE = 1 << 20
 _BASE = 0x5DEECE66D1CE4E5B | 1
 _MASK = (1 << 64) - 1
@@ -337,30 +342,82 @@ def _surrounding_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         )
 
 
-def _string_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The digest of every string of a surrounding ``(w, part, n)``, with where in it the string starts."""
+def _halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``(h, low, high, anchor, part, members)`` whose strings start ``low`` to ``high`` bytes before the anchor, for
+    either half of that range: keyed by the bytes that all strings of the half have, cut to what they can use."""
     for batch in batches:
-        for w, part, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            digests = [hashlib.blake2b(part[i : i + LENGTH], digest_size=16).digest() for i in range(len(part) - LENGTH + 1)]
-            m = len(digests)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([w] * m, pa.int64()), pa.array(range(m), pa.int32()), pa.array(digests, pa.binary()), pa.array([n] * m, pa.int64())],
-                names=["w", "at", "digest", "n"],
-            )
+        found: dict[tuple, list[dict]] = {}
+        for h, low, high, anchor, part, members in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            middle = (low + high) // 2
+            for a, b in ((low, middle), (middle + 1, high)):
+                first, last = max(a, anchor - (len(part) - LENGTH)), min(b, anchor)
+                if a > b or first > last:
+                    continue
+                start = anchor - last
+                shared = part[anchor - a : anchor + LENGTH - b]
+                key = xxhash.xxh64_intdigest(struct.pack("<qhh", h, a, b) + shared) - (1 << 63)
+                cut = (key, a, b, last, part[start : anchor - first + LENGTH])
+                found.setdefault(cut, []).extend({**m, "first": m["first"] + start} for m in members)
+        columns = list(zip(*found, strict=True)) or [()] * 5
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
+        arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
+        yield pa.RecordBatch.from_arrays([*arrays, pa.array(list(found.values()), batch.schema.field("members").type)], names=batch.schema.names)
+
+
+def _content_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``(h, anchor, part, n)``, all different, that come in order of ``h``: those with repeated strings, and the
+    runs of bytes under these."""
+    def done(h: int, rows: list[tuple[int, bytes, int]]) -> Iterator[tuple]:
+        members = [(part, anchor, 0) for anchor, part, n in rows for _ in range(min(n, 2))]
+        owner = [i for i, (_, _, n) in enumerate(rows) for _ in range(min(n, 2))]
+        runs: dict[int, set[tuple[int, int]]] = {}
+        for member, a, b in group_intervals(members):
+            runs.setdefault(owner[member], set()).add((a, b))
+        for i, found in runs.items():
+            yield h, rows[i][0], rows[i][1], [{"a": a, "b": b} for a, b in sorted(found)]
+
+    def shown(out: list[tuple]) -> pa.RecordBatch:
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))
+        columns = list(zip(*out, strict=True)) or [()] * 4
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["h", "anchor", "part", "runs"])
+
+    own, rows = None, []
+    for batch in batches:
+        out: list[tuple] = []
+        for h, anchor, part, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if h != own:
+                out += done(own, rows) if rows else []
+                own, rows = h, []
+            rows.append((anchor, part, n))
+        yield shown(out)
+    if rows:
+        yield shown(list(done(own, rows)))
 
 
 def _wide_intervals(wide: DataFrame) -> DataFrame:
-    """Repeated bytes around anchors of very many surroundings, string by string."""
-    wide = written(wide.select(F.monotonically_increasing_id().alias("w"), "part", "members"), "wide-surroundings")
-    each = wide.select("w", "part", F.size("members").cast("bigint").alias("n"))
-    strings = written(each.mapInArrow(_string_rows, "w long, at int, digest binary, n long"), "strings")
-    twice = strings.groupBy("digest").agg(F.sum("n").alias("all")).where(F.col("all") > 1).select("digest")
-    found = strings.join(twice, "digest").groupBy("w").agg(F.array_sort(F.collect_list("at")).alias("ats"))
-    # Strings in turn are one run of bytes: their places less their ranks are equal.
-    ranked = found.select("w", F.posexplode("ats").alias("rank", "at"))
-    runs = ranked.groupBy("w", F.col("at") - F.col("rank")).agg(F.min("at").alias("a"), F.max("at").alias("b")).select("w", "a", "b")
-    places = runs.join(wide.select("w", "members"), "w").select(F.explode("members").alias("m"), "a", "b")
-    return places.select("m.id", "m.th", (F.col("m.first") + F.col("a")).alias("start"), (F.col("m.first") + F.col("b") + LENGTH).alias("end"))
+    """Repeated bytes around anchors that may have very many surroundings: ``id, th, start, end``."""
+    names = ["h", "low", "high", "anchor", "part", "members"]
+    state = written(wide.withColumns({"low": F.lit(0), "high": F.lit(LENGTH - GRAM)}).select(*names), "wide-surroundings")
+    settled = []
+    while True:
+        # How many different ones, by hash: this only decides where they are sorted.
+        each = state.groupBy("h", F.xxhash64("anchor", "part").alias("c")).agg(F.sum(F.size("members")).alias("n"))
+        sizes = each.groupBy("h").agg(F.count("*").alias("different"), F.sum("n").alias("all")).where(F.col("all") > 1)
+        sized = state.join(sizes, "h")
+        settled.append(sized.where(F.col("different") <= TOGETHER).select(*names))
+        more = written(sized.where(F.col("different") > TOGETHER).select(*names).mapInArrow(_halves, state.schema), "wide-surroundings")
+        if more.isEmpty():
+            break
+        state = more
+    few = settled[0]
+    for other in settled[1:]:
+        few = few.unionByName(other)
+    few = written(few.select("h", "anchor", "part", "members"), "settled-surroundings")
+    contents = few.groupBy("h", "anchor", "part").agg(F.sum(F.size("members")).cast("bigint").alias("n"))
+    ordered = contents.repartition("h").sortWithinPartitions("h")
+    runs = ordered.mapInArrow(_content_runs, "h long, anchor long, part binary, runs array<struct<a: bigint, b: bigint>>")
+    places = few.join(runs, ["h", "anchor", "part"]).select(F.explode("members").alias("m"), "runs").select("m", F.explode("runs").alias("r"))
+    return places.select("m.id", "m.th", (F.col("m.first") + F.col("r.a")).alias("start"), (F.col("m.first") + F.col("r.b")).alias("end"))
 
 
 def _interval_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -443,24 +500,25 @@ def repeated_bytes(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     """
     kind = docs.schema[key].dataType.simpleString()
     whole = whole_text(text)
-    rows = docs.select(F.col(key).alias("id"), F.xxhash64(whole).alias("th"), whole.cast("binary").alias("text"))
+    rows = docs.select(F.col(key).alias("id"), F.unhex(F.md5(whole.cast("binary"))).alias("th"), whole.cast("binary").alias("text"))
     long = rows.where(F.octet_length("text") >= LENGTH)
-    found = written(long.mapInArrow(_anchor_rows, f"h long, id {kind}, th long, packed long"), "anchors")
+    found = written(long.mapInArrow(_anchor_rows, f"h long, id {kind}, th binary, packed long"), "anchors")
     counts = found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h", (F.col("n") > TOGETHER).alias("wide"))
     twice = found.join(counts, "h")
-    by_text = twice.groupBy("id", "th").agg(F.collect_list(F.struct("h", "packed", "wide")).alias("found")).select(F.col("id").alias("i"), F.col("th").alias("t"), "found")
+    # Rows that repeat identifier and text have the same anchors and spans: sets, so that n of them stay n.
+    by_text = twice.groupBy("id", "th").agg(F.collect_set(F.struct("h", "packed", "wide")).alias("found")).select(F.col("id").alias("i"), F.col("th").alias("t"), "found")
     same = F.col("id").eqNullSafe(F.col("i")) & (F.col("th") == F.col("t"))
     affected = written(long.join(by_text, same).select("id", "th", "text", "found"), "repeating-texts")
 
     def around(wide: bool) -> DataFrame:
         some = affected.withColumn("found", F.filter("found", lambda x: x["wide"] == F.lit(wide))).where(F.size("found") > 0)
-        return some.mapInArrow(_surrounding_rows, f"h long, anchor long, part binary, members array<struct<id: {kind}, th: bigint, first: bigint>>")
+        return some.mapInArrow(_surrounding_rows, f"h long, anchor long, part binary, members array<struct<id: {kind}, th: binary, first: bigint>>")
 
     ordered = around(False).repartition("h").sortWithinPartitions("h")
-    intervals = ordered.mapInArrow(_interval_rows, f"id {kind}, th long, start long, end long").unionByName(_wide_intervals(around(True)))
-    per_text = intervals.groupBy("id", "th").agg(F.collect_list(F.struct("start", "end")).alias("places")).select(F.col("id").alias("i"), F.col("th").alias("t"), "places")
+    intervals = ordered.mapInArrow(_interval_rows, f"id {kind}, th binary, start long, end long").unionByName(_wide_intervals(around(True)))
+    per_text = intervals.groupBy("id", "th").agg(F.collect_set(F.struct("start", "end")).alias("places")).select(F.col("id").alias("i"), F.col("th").alias("t"), "places")
     met = affected.join(per_text, same).select("id", "th", "text", "places")
-    cut = met.mapInArrow(_cut_rows, f"id {kind}, th long, spans array<struct<start: bigint, end: bigint>>, kept_sha256 string")
+    cut = met.mapInArrow(_cut_rows, f"id {kind}, th binary, spans array<struct<start: bigint, end: bigint>>, kept_sha256 string")
     cut = cut.dropDuplicates(["id", "th"]).select(F.col("id").alias("i"), F.col("th").alias("t"), "spans", "kept_sha256")
     plain = rows.select("id", "th", F.octet_length("text").cast("bigint").alias("n_bytes"), F.sha2("text", 256).alias("sha"))
     none = F.array().cast("array<struct<start: bigint, end: bigint>>")

@@ -265,9 +265,9 @@ def tile_search(
 
 @query("op11_tile_search", """
 with good as (
-    select vec_id, list_transform(embedding, x -> x::double) as v from embeddings
-    where embedding is not null and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
-        and len(list_filter(embedding, x -> x <> 0)) > 0
+    select vec_id, list_transform(embedding, lambda x: x::double) as v from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        and len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), scored as (
     select q.vec_id as query_id, c.vec_id, list_dot_product(q.v, c.v) / sqrt(list_dot_product(q.v, q.v)) / sqrt(list_dot_product(c.v, c.v)) as score
     from good q join good c on q.vec_id <> c.vec_id and len(q.v) = len(c.v) where q.vec_id % 50 = 0

@@ -123,3 +123,19 @@ def test_many_different_surroundings_never_meet(spark, monkeypatch):
     dice = random.Random(7)
     passage = "".join(dice.choices("abcdefgh", k=500))
     check(spark, ["".join(dice.choices("ijkl", k=dice.randint(90, 300))) + passage + "".join(dice.choices("mnop", k=250)) for _ in range(60)])
+
+
+def test_rows_that_repeat_stay_linear(spark):
+    dice = random.Random(12)
+    text, other = ("".join(dice.choices("qwertyuiop", k=4000)) for _ in range(2))
+    texts = [text] * 300 + [other] * 300 + [text[1000:1500] + "!", "?" * 100 + other[:199], other[:200]]
+    check(spark, texts, [1] * 300 + [None] * 300 + [2, 3, None])
+
+
+@pytest.mark.parametrize("together", [1, 8])
+def test_a_passage_in_very_many_texts(spark, monkeypatch, together):
+    monkeypatch.setattr(suffix_dedup, "TOGETHER", together)
+    dice = random.Random(13)
+    passage = "".join(dice.choices("abcdefgh", k=700))
+    texts = ["".join(dice.choices("ijkl", k=dice.randint(0, 300))) + passage[dice.choice([0, 0, 0, 40]) :] + "".join(dice.choices("mnop", k=250)) for _ in range(200)]
+    check(spark, texts)
