@@ -17,7 +17,9 @@ from presslake.functions.dates import min_date
 from presslake.functions.predicates import awaits_extraction, has_text, long_enough, not_an_error, on_or_after
 from presslake.operators import joins, queues
 from presslake.operators.numbering import batch_assign, report_row_number
+from presslake import scratch_path
 from presslake.plans import reports
+from presslake.plans.standing import StandingFunnel
 
 AS_OF = dt.datetime(2025, 6, 30)
 CAP, LIMIT, BATCH = 5, 50, 7
@@ -52,6 +54,37 @@ def summary_stats(t: Tables) -> DataFrame:
     return reports.summary_stats(*t.crawl())
 
 
+def _standing(t: Tables) -> tuple[StandingFunnel, DataFrame]:
+    """The funnel of an earlier state of the tables, brought up to date in two runs: pages that came or moved, then
+    texts and vectors that came, went or were replaced."""
+    sitemaps, pages, content, embeddings = t.crawl()
+    moved = F.when(F.col("id_page") % 5 == 0, 1 + F.col("id_sitemap") % 3).otherwise(F.col("id_sitemap")).alias("id_sitemap")
+    dated = F.when(F.col("id_page") % 4 == 0, F.date_add("publication_date", -400)).otherwise(F.col("publication_date")).alias("publication_date")
+    old_pages = pages.where("id_page % 3 <> 0").select("id_page", moved, dated)
+    text = F.when(F.col("id_page") % 4 == 1, "").when(F.col("id_page") % 4 == 2, F.col("content")).alias("content")
+    old_content = content.where("id_page % 6 <> 1").select("id_page", text)
+    old_embeddings = pages.where("id_page % 2 = 0").select("id_page").unionByName(embeddings.where("id_page % 5 = 0").select("id_page")).distinct()
+    funnel = StandingFunnel(t.spark, scratch_path(t.spark, "funnel"))
+    funnel.start(old_pages, old_content, old_embeddings)
+    came = pages.where("id_page % 3 = 0 or id_page % 4 = 0 or id_page % 5 = 0").select("id_page")
+    funnel.apply((old_pages, old_content, old_embeddings), (pages, old_content, old_embeddings), came)
+    filled = pages.select("id_page").unionByName(content.select("id_page")).unionByName(embeddings.select("id_page"))
+    funnel.apply((pages, old_content, old_embeddings), (pages, content, embeddings), filled)
+    return funnel, sitemaps
+
+
+@case("domain_stats_standing", f"select domain, {_FUNNEL} group by domain")
+def domain_stats_standing(t: Tables) -> DataFrame:
+    funnel, sitemaps = _standing(t)
+    return funnel.domain_stats(sitemaps)
+
+
+@case("summary_stats_standing", f"select {_FUNNEL}")
+def summary_stats_standing(t: Tables) -> DataFrame:
+    funnel, sitemaps = _standing(t)
+    return funnel.summary_stats(sitemaps)
+
+
 @case("monthly_stats", _MONTHLY)
 def monthly_stats(t: Tables) -> DataFrame:
     return reports.monthly_stats(*t.crawl()[:3])

@@ -56,17 +56,32 @@ def html_main_text_nested(t: Tables) -> DataFrame:
     return html.html_extract(t("documents").select("doc_id", page.alias("html")), "doc_id", "html", fn=walk_pages)
 
 
-@case("text_dedup_blocks", """
+_SINGLE_LINES = """
 with lines as (
   select doc_id, place, trim(line, E' \\t\\r') as line from (
     select doc_id, unnest(string_split(text, E'\\n')) as line, generate_subscripts(string_split(text, E'\\n'), 1) as place from documents)),
 kept as (select *, row_number() over (partition by line order by doc_id, place) as rn from lines where line <> '')
 select d.doc_id, coalesce(k.text, '') as text from documents d
-left join (select doc_id, string_agg(line, E'\\n' order by place) as text from kept where rn = 1 group by 1) k using (doc_id)""")
+left join (select doc_id, string_agg(line, E'\\n' order by place) as text from kept where rn = 1 group by 1) k using (doc_id)"""
+
+
+@case("text_dedup_blocks", _SINGLE_LINES)
 def text_dedup_blocks(t: Tables) -> DataFrame:
     return text.text_dedup_blocks(t("documents"), "doc_id", "text")
 
 
+@case("text_dedup_runs", _SINGLE_LINES)
+def text_dedup_runs(t: Tables) -> DataFrame:
+    """Three runs over a part of the documents each, with the lines that earlier runs have seen."""
+    docs, seen = t("documents"), text.lines_seen(t.spark, scratch_path(t.spark, "lines"), 64, 65_536)
+    part = F.floor(F.col("doc_id") * 3 / (docs.agg(F.max("doc_id")).scalar() + 1))
+    done = None
+    for run in range(3):
+        made = text.text_dedup_blocks(docs.where(part == run), "doc_id", "text", seen, run)
+        done = made if done is None else done.unionByName(made)
+    return done
+
+
 @case("token_count", f"select doc_id, len(regexp_extract_all(text, '{TOKEN_PATTERN}', 0)) as tokens, length(text) as chars from documents")
 def token_count(t: Tables) -> DataFrame:
     return text.token_count(t("documents"), "doc_id", "text")

@@ -157,14 +157,21 @@ class FilteredTable:
     """A keyed table under ``path``: ``rows/version=V/bucket=B`` holds what version V added, ``filters/version=V`` the
     filters of all versions up to V. A version counts once its filters are there; they are written last."""
 
-    def __init__(self, spark: SparkSession, path: str, key: str, surrogate: str, buckets: int, keys_per_bucket: int) -> None:
+    def __init__(
+        self, spark: SparkSession, path: str, key: str, surrogate: str, buckets: int, keys_per_bucket: int, below: int | None = None,
+    ) -> None:
         self.spark, self.path, self.key, self.surrogate = spark, path.rstrip("/"), key, surrogate
-        self.buckets, self.keys_per_bucket = buckets, keys_per_bucket
+        self.buckets, self.keys_per_bucket, self.below = buckets, keys_per_bucket, below
+
+    def before(self, version: int) -> FilteredTable:
+        """The table as it was before a version."""
+        return FilteredTable(self.spark, self.path, self.key, self.surrogate, self.buckets, self.keys_per_bucket, version)
 
     def version(self) -> int | None:
         """The latest whole version."""
         try:
-            return self.spark.read.schema(f"{_SCHEMA}, version int").parquet(f"{self.path}/filters").agg(F.max("version")).first()[0]
+            whole = self.spark.read.schema(f"{_SCHEMA}, version int").parquet(f"{self.path}/filters").select("version")
+            return (whole if self.below is None else whole.where(F.col("version") < self.below)).agg(F.max("version")).first()[0]
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -178,15 +185,16 @@ class FilteredTable:
         return self.spark.read.parquet(f"{self.path}/rows").where(F.col("version") <= F.lit(self.version()))
 
     def append(self, rows: DataFrame) -> int:
-        """Add rows of new keys as the next version."""
+        """Add rows of new keys as the next version; as it was ``before`` a version, as that version, again if need be."""
         before = self.version()
-        now = 0 if before is None else before + 1
+        now = self.below if self.below is not None else 0 if before is None else before + 1
         bucket = bucket_of(key_hash(self.key), self.buckets)
         folder = f"{self.path}/rows/version={now}"
         rows.withColumn("bucket", bucket).repartition("bucket").sortWithinPartitions("bucket", self.key).write.mode("overwrite").partitionBy("bucket").parquet(folder)
-        added = key_filters(self.spark.read.parquet(folder), self.key, self.buckets, self.keys_per_bucket)
+        stored = self.spark.read.schema(rows.schema).parquet(folder)  # may hold no file
+        added = key_filters(stored, self.key, self.buckets, self.keys_per_bucket)
         made = added if before is None else merged_filters(self.filters(), added)
-        highest = self.spark.read.parquet(folder).agg(F.max(self.surrogate).cast("bigint").alias("top"))
+        highest = stored.agg(F.max(self.surrogate).cast("bigint").alias("top"))
         highest.write.mode("overwrite").parquet(f"{self.path}/tops/version={now}")
         made.write.mode("overwrite").parquet(f"{self.path}/filters/version={now}")
         return now
@@ -202,8 +210,12 @@ class FilteredTable:
         asked = materialize(with_maybe(delta, self.key, self.filters(), self.buckets), "asked")
         hit = asked.where("_maybe").select(F.col("_bucket").alias("bucket")).distinct()
         listed = [r.bucket for r in hit.limit(LISTED_BUCKETS + 1).collect()]
-        rows = self.rows()
-        near = rows.join(hit, "bucket", "left_semi") if len(listed) > LISTED_BUCKETS else rows.where(F.col("bucket").isin(listed) if listed else F.lit(False))
+        if not listed:
+            near = asked.where(F.lit(False)).select(self.key, F.lit(None).cast("bigint").alias(self.surrogate))
+        elif len(listed) > LISTED_BUCKETS:
+            near = self.rows().join(hit, "bucket", "left_semi")
+        else:
+            near = self.rows().where(F.col("bucket").isin(listed))
         return asked.drop("_bucket"), near
 
 
@@ -216,6 +228,8 @@ def existing_key_lookup_filtered(delta: DataFrame, table: FilteredTable) -> Data
 
 def absent_filtered(delta: DataFrame, table: FilteredTable) -> DataFrame:
     """Delta rows whose key is not stored."""
+    if table.version() is None:
+        return delta
     asked, near = table.stored_hits(delta)
     maybe = asked.where("_maybe").join(near.select(table.key), table.key, "left_anti")
     return asked.where("not _maybe").unionByName(maybe.select(*asked.columns)).drop("_maybe")

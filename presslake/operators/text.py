@@ -5,13 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presslake.functions.tokens import MAX_TOKENS, TOKEN_PATTERN, WORD_PATTERN, count_tokens, tokens
+from presslake.operators.key_filters import FilteredTable, absent_filtered
+from presslake.session import materialize
 
 
-def text_dedup_blocks(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def text_dedup_blocks(
+    df: DataFrame, id_col: str, text_col: str, seen: FilteredTable | None = None, run: int | None = None,
+) -> DataFrame:
     """Keep every line only where it first occurs in the corpus: ``(id, text)``.
 
     Lines are trimmed and empty ones dropped; first means the smallest id, then
@@ -21,6 +25,11 @@ def text_dedup_blocks(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     Only a digest, the id and the place of a line are shuffled. A line that
     stands in very many documents shrinks to one row per task beforehand. Texts
     are joined back once, by id.
+
+    With ``seen`` (see ``lines_seen``) lines of earlier runs count as well: what a
+    run below ``run`` has kept goes from every later one. The lines of this run are
+    added when its texts are known, so a run that broke off may run again under its
+    number and gives the same texts.
     """
     trimmed = F.transform(F.split(text_col, "\n"), lambda line: F.btrim(line, F.lit(" \t\r")))
     lines = F.array_distinct(F.filter(trimmed, lambda line: line != ""))
@@ -31,11 +40,21 @@ def text_dedup_blocks(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     first = placed.groupBy(F.unhex(F.md5("_line")).alias("_digest")).agg(
         F.min(id_col).alias(id_col), F.min_by("_place", id_col).alias("_place")
     )
+    if seen is not None:
+        earlier = seen.before(run)
+        named = first.select(F.hex("_digest").alias("digest"), id_col, "_place")
+        first = materialize(absent_filtered(named, earlier), "new-lines")
+        earlier.append(first.select("digest", F.col(id_col).cast("bigint").alias("id")))
     kept = first.groupBy(id_col).agg(F.sort_array(F.collect_list("_place")).alias("_places"))
     text = F.array_join(F.transform("_places", lambda place: F.get(F.col("_lines"), place)), "\n")
     return docs.join(kept, id_col, "left").select(id_col, F.coalesce(text, F.lit("")).alias(text_col))
 
 
+def lines_seen(spark: SparkSession, path: str, buckets: int = 1024, lines_per_bucket: int = 65_536) -> FilteredTable:
+    """The digests of lines that earlier runs kept, with filters, so a run reads few of them."""
+    return FilteredTable(spark, path, "digest", "id", buckets, lines_per_bucket)
+
+
 def token_count(
     df: DataFrame, id_col: str, text_col: str, pattern: str = WORD_PATTERN,
     fn: Callable[[pd.Series], pd.Series] | None = None,

@@ -21,7 +21,8 @@ from presslake.operators.joins import known_domains, sitemap_domains, spread_loo
 from presslake.operators.stored import text_not_empty, text_stored
 from presslake.session import materialize
 
-_COUNTS = ["total_pages", "pages_in_news_pages_content", "pages_with_non_empty_content", "pages_with_embeddings"]
+# Names of the report's columns.
+FUNNEL_COUNTS = ["total_pages", "pages_in_news_pages_content", "pages_with_non_empty_content", "pages_with_embeddings"]
 
 
 def _total(name: str) -> Column:
@@ -83,7 +84,7 @@ def _sitemap_funnel(sitemaps: DataFrame, pages: DataFrame, content: DataFrame, e
 
 
 def _funnel_measures() -> list[Column]:
-    return [_total(name) for name in _COUNTS] + [
+    return [_total(name) for name in FUNNEL_COUNTS] + [
         F.min("_first").cast("date").alias("min_publication_date"),
         F.max("_last").cast("date").alias("max_publication_date"),
     ]
