@@ -127,9 +127,10 @@ def _levels_by_doubling(known: DataFrame, needs: DataFrame) -> DataFrame:
 def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, list[Parameter]]) -> DataFrame:
     """Calls ``(conv_id, turn, call_id, name, arguments, needs)`` with results ``(conv_id, turn, call_id, content)``.
 
-    One row per call, and one per result that no call asked for: ``conv_id, turn, call_id, level, result_turn, status,
-    valid, faults, json``. ``status`` is linked, unanswered or orphan. A call that repeats an identifier is a fault of
-    each such call; of several results to one identifier the first by turn and content counts. Null identifiers link
+    One row per call, one per result that no call asked for and one per further result of an identifier: ``conv_id,
+    turn, call_id, level, result_turn, status, valid, faults, json``. ``status`` is linked, unanswered, orphan or
+    repeated. A call that repeats an identifier is a fault of each such call; of several results to one identifier the
+    first by turn and content is linked, the others are rows with a fault. Null identifiers link
     to nothing. Arguments that aren't a JSON object, and results before their call, are faults too; an empty table
     gives no calls. Other columns of the inputs aren't read.
     """
@@ -173,17 +174,26 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, lis
     )
     asked = calls.where("call_id is not null").select(F.col("conv_id").alias("c"), F.col("call_id").alias("n")).distinct()
     same = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("call_id") == F.col("n"))
-    lone = results.join(asked, same, "left_anti").select(
-        "conv_id", F.lit(None).cast(calls.schema["turn"].dataType).alias("turn"), "call_id", F.lit(None).cast("int").alias("level"),
-        F.col("turn").alias("result_turn"), F.lit("orphan").alias("status"), F.lit(False).alias("valid"),
-        F.array(F.lit("no such call")).alias("faults"),
-        F.concat(
-            F.when(F.col("call_id").isNotNull(), F.concat(F.lit('{"id":'), _quoted("call_id"), F.lit(","))).otherwise("{"),
-            F.when(F.col("content").isNotNull(), F.concat(F.lit('"result":'), _quoted("content"), F.lit(","))).otherwise(""),
-            F.lit('"type":"result"}'),
-        ).alias("json"),
-    )
-    return linked.unionByName(lone)
+    lone = results.join(asked, same, "left_anti").select("conv_id", "turn", "call_id", "content")
+    # All but one row of what an identifier got; equal results are counted, not compared.
+    got = results.join(asked, same, "left_semi").groupBy(*key, "turn", "content").agg(F.count("*").alias("times"))
+    got = got.join(answers, F.col("conv_id").eqNullSafe(F.col("c2")) & (F.col("call_id") == F.col("n2")))
+    is_first = F.struct("turn", "content").eqNullSafe(F.col("answer"))
+    further = got.withColumn("times", F.col("times") - is_first.cast("int")).where("times > 0")
+    further = further.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "times"))).select(*lone.columns)
+
+    def unlinked(rows: DataFrame, status: str, fault: str) -> DataFrame:
+        return rows.select(
+            "conv_id", F.lit(None).cast(calls.schema["turn"].dataType).alias("turn"), "call_id", F.lit(None).cast("int").alias("level"),
+            F.col("turn").alias("result_turn"), F.lit(status).alias("status"), F.lit(False).alias("valid"), F.array(F.lit(fault)).alias("faults"),
+            F.concat(
+                F.when(F.col("call_id").isNotNull(), F.concat(F.lit('{"id":'), _quoted("call_id"), F.lit(","))).otherwise("{"),
+                F.when(F.col("content").isNotNull(), F.concat(F.lit('"result":'), _quoted("content"), F.lit(","))).otherwise(""),
+                F.lit('"type":"result"}'),
+            ).alias("json"),
+        )
+
+    return linked.unionByName(unlinked(lone, "orphan", "no such call")).unionByName(unlinked(further, "repeated", "repeated result"))
 
 
 def _quoted(text: Column | str) -> Column:
@@ -227,12 +237,14 @@ lv as (select a.conv_id, a.turn, (select count(*) from c b where b.conv_id = a.c
 select c.conv_id, c.turn, c.call_id, lv.level, r.turn as result_turn,
     case when r.turn is null then 'unanswered' else 'linked' end as status,
     c.words between 5 and 200 and length(c.t) <= 1200 as valid,
+    concat_ws('; ', case when c.words < 5 then 'words: too small' end, case when c.words > 200 then 'words: too large' end,
+        case when length(c.t) > 1200 then 'chars: too large' end) as faults,
     '{"arguments":{"chars":' || length(c.t) || ',"first":' || to_json(c.first) || ',"words":' || c.words || '},"id":"'
         || c.call_id || '","name":"reply"' || case when r.text is null then '' else ',"result":' || to_json(r.text) end
         || ',"type":"function"}' as json
 from c join lv using (conv_id, turn) left join t r on r.conv_id = c.conv_id and r.turn = c.turn + 1 and r.role = 'user'
 union all
-select r.conv_id, null, 'call-' || r.conv_id || '-' || (r.turn - 1), null, r.turn, 'orphan', false,
+select r.conv_id, null, 'call-' || r.conv_id || '-' || (r.turn - 1), null, r.turn, 'orphan', false, 'no such call',
     '{"id":"call-' || r.conv_id || '-' || (r.turn - 1) || '",' || case when r.text is null then '' else '"result":' || to_json(r.text) || ',' end
         || '"type":"result"}'
 from t r where role = 'user' and not exists (select 1 from c where c.conv_id = r.conv_id and c.turn = r.turn - 1)
@@ -242,4 +254,5 @@ from t r where role = 'user' and not exists (select 1 from c where c.conv_id = r
 @query("op2_tool_links", SQL)
 def op2_tool_links(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations")
-    return link_tool_calls(calls_of_turns(turns), results_of_turns(turns), REPLY).drop("faults")
+    found = link_tool_calls(calls_of_turns(turns), results_of_turns(turns), REPLY)
+    return found.withColumn("faults", F.array_join("faults", "; "))

@@ -30,8 +30,8 @@ def test_every_case(spark):
         (1, 1, "a", "found é"), (1, 3, "a", "later"), (1, 1, "b", "early"), (1, 9, "none", "lost"), (2, 2, None, "lost too"), (None, 2, "k", None),
     ]
     rows = linked(spark, calls, results)
-    assert len(rows) == len(calls) + 2
-    by = {(r.conv_id, r.call_id): r for r in rows}
+    assert len(rows) == len(calls) + 3
+    by = {(r.conv_id, r.call_id): r for r in rows if r.status != "repeated"}
     assert [by[1, i].level for i in "abc"] == [0, 1, 2] and by[None, "k"].level == 1 and by[2, "r1"].level is None
     a = by[1, "a"]
     assert a.valid and a.status == "linked" and a.result_turn == 1
@@ -47,6 +47,7 @@ def test_every_case(spark):
     assert set(by[2, "a"].faults) == {"not a JSON object", "unknown tool", "ring of needs"}
     assert "ring of needs" in by[2, "r1"].faults and "q: not string" in by[2, "r1"].faults and "not a JSON object" in by[2, "r2"].faults
     assert "no identifier" in by[None, None].faults and by[None, "k"].status == "linked" and "q: missing" in by[None, "k"].faults
+    assert [(r.call_id, r.result_turn, r.faults) for r in rows if r.status == "repeated"] == [("a", 3, ["repeated result"])]
     lone = [r for r in rows if r.status == "orphan"]
     assert sorted((r.call_id or "", r.result_turn) for r in lone) == [("", 2), ("none", 9)]
     assert all(json.loads(r.json)["type"] == "result" and not r.valid for r in lone)
@@ -68,3 +69,11 @@ def test_empty_tables_and_long_texts(spark):
     long_text = json.dumps({"q": "y" * 300_000})
     row = linked(spark, [(1, 0, "a", "find", long_text, None)], [(1, 1, "a", "z" * 300_000)])[0]
     assert row.valid and len(row.json) > 600_000
+
+
+def test_no_result_is_lost(spark):
+    results = [(1, 1, "a", "part two"), (1, 1, "a", "part one"), (1, 1, "a", "part one"), (1, None, "b", None), (1, None, "b", None), (1, 2, "gone", "x"), (1, 2, "gone", "x")]
+    rows = linked(spark, [(1, 0, "a", "find", '{"q": "x"}', None), (1, 0, "b", "find", '{"q": "x"}', None)], results)
+    assert sorted((r.status, r.call_id, json.loads(r.json).get("result")) for r in rows if r.call_id != "b") == [
+        ("linked", "a", "part one"), ("orphan", "gone", "x"), ("orphan", "gone", "x"), ("repeated", "a", "part one"), ("repeated", "a", "part two")]
+    assert sorted(r.status for r in rows if r.call_id == "b") == ["linked", "repeated"]
