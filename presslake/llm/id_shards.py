@@ -6,7 +6,9 @@ Documents stand in ascending order of their key, dealt by range into shards. A s
 
 The index maps each key to a slot without gaps: keys fall into small buckets, each bucket has a displacement that
 sends its keys to free slots. A slot holds a fingerprint of its key and the key's first document. A lookup hashes
-twice and reads one displacement and one slot, however many documents there are.
+twice and reads one displacement and one slot, however many documents there are. Documents without a key come first in
+the file and are found without the index. A key that very many documents have may span shards; its shards are those
+whose range of keys holds it. Files are read by their end and by ranges, so they may have any size.
 """
 
 from __future__ import annotations
@@ -34,7 +36,8 @@ SHARD_TEXT_BYTES = 32 << 20
 _BUCKET_KEYS = 2
 _MASK = (1 << 64) - 1
 _GOLDEN = 0x9E3779B97F4A7C15
-_NULL = 0x5851F42D4C957F2D
+#: Bytes of ids read at once.
+READ_BYTES = 16 << 20
 
 
 def _mixed(x: np.ndarray, seed: int) -> np.ndarray:
@@ -112,14 +115,10 @@ class PerfectHash:
         return s if int(self.fingerprints[s]) == print_ else None
 
 
-def _hashed_key(key: int | None) -> int:
-    return _NULL if key is None else key & _MASK
-
-
 def index_bytes(shard: int, width: int, keys: list[int | None], ends: list[int]) -> bytes:
     """Keys of the documents in order, where each ends, and the index."""
-    first = np.asarray([i for i, k in enumerate(keys) if i == 0 or k != keys[i - 1]], dtype="<i8")
-    hashed = np.asarray([_hashed_key(keys[i]) for i in first], dtype=np.uint64)
+    first = np.asarray([i for i, k in enumerate(keys) if k is not None and (i == 0 or k != keys[i - 1])], dtype="<i8")
+    hashed = np.asarray([keys[i] & _MASK for i in first], dtype=np.uint64)
     index, slots = PerfectHash.build(hashed), np.zeros(len(first), dtype="<i8")
     for h, i in zip(hashed.tolist(), first.tolist(), strict=True):
         slots[index.slot(h)] = i
@@ -133,36 +132,57 @@ def index_bytes(shard: int, width: int, keys: list[int | None], ends: list[int])
 
 
 class Shard:
-    """A shard file in memory."""
+    """A shard file, open for reading: its end is in memory, ids are read by ranges."""
 
-    def __init__(self, content: bytes) -> None:
-        if content[:8] != MAGIC or content[-8:] != MAGIC:
+    def __init__(self, file: pa.NativeFile) -> None:
+        self.file, size = file, file.size()
+        end = self._read(size - 16, 16) if size >= 24 else b""
+        if self._read(0, 8) != MAGIC or end[8:] != MAGIC:
             raise ValueError("not a whole shard file")
-        tail = int.from_bytes(content[-16:-8], "little")
-        self.parts = dict(np.load(io.BytesIO(content[-16 - tail : -16]), allow_pickle=False))
+        tail = int.from_bytes(end[:8], "little")
+        self.parts = dict(np.load(io.BytesIO(self._read(size - 16 - tail, tail)), allow_pickle=False))
         self.width, self.number = int(self.parts["width"]), int(self.parts["shard"])
         self.index = PerfectHash(int(self.parts["seed"]), self.parts["displacements"], self.parts["fingerprints"])
-        self.payload = memoryview(content)[8 : len(content) - 16 - tail]
+        self.n_null = int(self.parts["null"].sum())
+
+    def _read(self, at: int, n: int) -> bytes:
+        self.file.seek(at)
+        return self.file.read(n)
+
+    def __len__(self) -> int:
+        return len(self.parts["keys"])
 
     def key(self, i: int) -> int | None:
         return None if self.parts["null"][i] else int(self.parts["keys"][i])
 
     def lookup(self, key: int | None) -> range:
         """Numbers of the documents with this key; empty if there is none."""
-        slot = self.index.slot(_hashed_key(key))
+        if key is None:
+            return range(self.n_null)
+        slot = self.index.slot(key)
         if slot is None or self.key(i := int(self.parts["first"][slot])) != key:
             return range(0)
-        end = i + 1
-        while end < len(self.parts["keys"]) and self.key(end) == key:
-            end += 1
-        return range(i, end)
+        return range(i, i + int(np.searchsorted(self.parts["keys"][i:], key, side="right")))
 
     def span(self, i: int) -> tuple[int, int]:
         return int(self.parts["ends"][i - 1]) if i else 0, int(self.parts["ends"][i])
 
     def ids(self, i: int) -> np.ndarray:
-        a, b = self.span(i)
-        return np.frombuffer(self.payload[a * self.width : b * self.width], dtype=f"<u{self.width}")
+        return next(self.ids_of(range(i, i + 1)))
+
+    def ids_of(self, documents: range) -> Iterator[np.ndarray]:
+        """Ids of consecutive documents; about ``READ_BYTES`` are in memory at once, or one document."""
+        i = documents.start
+        while i < documents.stop:
+            first = self.span(i)[0]
+            last = int(np.searchsorted(self.parts["ends"], first + READ_BYTES // self.width, side="right"))
+            last = min(max(last, i + 1), documents.stop)
+            raw = self._read(8 + first * self.width, (self.span(last - 1)[1] - first) * self.width)
+            whole = np.frombuffer(raw, dtype=f"<u{self.width}")
+            for j in range(i, last):
+                a, b = self.span(j)
+                yield whole[a - first : b - first]
+            i = last
 
 
 def write_shards(
@@ -172,13 +192,15 @@ def write_shards(
     """Write shard files under ``folder`` (any store that pyarrow opens) and return one row per file.
 
     A task writes its file under a name of its own and moves it in place when it is whole, so a task that runs
-    again replaces it. Documents of equal key stay together, ordered by text. Null keys come first; null and empty
-    texts hold the end id alone. An empty table gives no files.
+    again replaces it. Documents of equal key follow one another, in order of a hash of their text, over as many
+    shards as they need. Null keys come first; null and empty texts hold the end id alone. An empty table gives no
+    files.
     """
     path = path or tokenizer_path()
     rows = docs.select(F.col(key).cast("bigint").alias("key"), whole_text(text).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
-    dealt = rows.repartitionByRange(max(1, -(-total // shard_text_bytes)), F.col("key").asc_nulls_first())
+    order = [F.col("key").asc_nulls_first(), F.xxhash64("text")]
+    dealt = rows.repartitionByRange(max(1, -(-total // shard_text_bytes)), *order)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs as stores
@@ -211,33 +233,39 @@ def write_shards(
                 "least_key": pa.array([keys[0]], pa.int64()), "greatest_key": pa.array([keys[-1]], pa.int64()),
             })
 
-    ordered = dealt.sortWithinPartitions(F.col("key").asc_nulls_first(), "text")
+    ordered = dealt.sortWithinPartitions(*order, "text")
     shape = "shard long, file string, n_docs long, n_tokens long, least_key long, greatest_key long"
     return written(ordered.mapInArrow(write, shape), "id-shards")
 
 
-def read_shards(spark: SparkSession, files: DataFrame, folder: str) -> DataFrame:
+def shards_of_key(files: DataFrame, key: int | None) -> DataFrame:
+    """The files that may hold documents of a key."""
+    if key is None:
+        return files.where("least_key is null")
+    return files.where((F.col("greatest_key") >= key) & (F.col("least_key").isNull() | (F.col("least_key") <= key)))
+
+
+def read_shards(spark: SparkSession, files: DataFrame) -> DataFrame:
     """Every document of the shard files, found by its key: ``doc_id, start, n_tokens, ids_crc32``."""
+    names = ["shard", "doc_id", "place", "n_tokens", "ids_crc32"]
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs as stores
+
         for batch in batches:
-            for content in batch.column(0):
-                shard, rows = Shard(content.as_buffer().to_pybytes()), []
-                i = 0
-                while i < len(shard.parts["keys"]):
-                    key = shard.key(i)
-                    found = shard.lookup(key)
-                    for j in found:
-                        a, b = shard.span(j)
-                        rows.append((shard.number, key, a, b - a, zlib.crc32(shard.ids(j).astype("<u4").tobytes())))
-                    i = found.stop
-                names = ["shard", "doc_id", "place", "n_tokens", "ids_crc32"]
-                columns = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
-
-    if files.isEmpty():
-        return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
-    content = spark.read.format("binaryFile").option("pathGlobFilter", "shard-*.ids").load(folder).select("content")
-    rows = content.mapInArrow(read, "shard long, doc_id long, place long, n_tokens long, ids_crc32 long")
+            for name in batch.column(0).to_pylist():
+                store, path = stores.FileSystem.from_uri(name)
+                with store.open_input_file(path) as file:
+                    shard, i = Shard(file), 0
+                    while i < len(shard):
+                        rows, found = [], shard.lookup(shard.key(i))
+                        for j, ids in zip(found, shard.ids_of(found), strict=True):
+                            rows.append((shard.number, shard.key(j), shard.span(j)[0], len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
+                        i = found.stop
+                        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=names)
+
+    each = files.select("file").repartition(max(1, files.count()), "file")
+    rows = each.mapInArrow(read, "shard long, doc_id long, place long, n_tokens long, ids_crc32 long")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     starts = files.select("shard", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("base"))
     placed = rows.join(starts, "shard")
@@ -249,4 +277,4 @@ def op7_id_shards(spark, sf_dir):
     folder = scratch_path(spark, "ids")
     folder = folder if ":/" in folder else f"file://{folder}"
     files = write_shards(table(spark, sf_dir, "documents"), folder)
-    return read_shards(spark, files, folder)
+    return read_shards(spark, files)

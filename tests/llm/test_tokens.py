@@ -1,6 +1,7 @@
 """Packing and shard files against the tokenizer itself."""
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -8,7 +9,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from presslake.llm.id_shards import PerfectHash, Shard, read_shards, write_shards
+import pyarrow as pa
+from presslake.llm.id_shards import PerfectHash, Shard, read_shards, shards_of_key, write_shards
 from presslake.llm.power_packing import pack_by_powers, piece_lengths
 from presslake.llm.tokens import Encoder, pieces, tokenizer_path
 
@@ -70,14 +72,14 @@ def test_empty_tables(spark, tmp_path):
     none = docs(spark).limit(0)
     assert pack_by_powers(none).count() == 0
     folder = f"file://{tmp_path}/none"
-    assert read_shards(spark, write_shards(none, folder), folder).count() == 0
+    assert read_shards(spark, write_shards(none, folder)).count() == 0
 
 
 def test_shard_files_round_trip(spark, plain, tmp_path):
     folder = f"file://{tmp_path}/ids"
     files = write_shards(docs(spark), folder, shard_text_bytes=20_000)
     assert files.count() > 1
-    rows = sorted(read_shards(spark, files, folder).collect(), key=lambda r: r.start)
+    rows = sorted(read_shards(spark, files).collect(), key=lambda r: r.start)
     order = sorted(TEXTS, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
     ids = [expected(plain, t, 1) for _, t in order]
     starts = np.cumsum([0, *map(len, ids)])
@@ -85,11 +87,31 @@ def test_shard_files_round_trip(spark, plain, tmp_path):
         (k, s, len(i), zlib.crc32(i.tobytes())) for (k, _), s, i in zip(order, starts.tolist(), ids, strict=False)
     ]
     for file in tmp_path.glob("ids/*.ids"):
-        shard = Shard(file.read_bytes())
+        shard = Shard(pa.BufferReader(file.read_bytes()))
         assert len(shard.lookup(10**12)) == 0
         assert all(i in shard.lookup(shard.key(i)) for i in range(len(shard.parts["keys"])))
 
 
+def test_null_and_hot_keys(spark, plain, tmp_path):
+    null_like = 0x5851F42D4C957F2D
+    rows = [(None, f"none {i}") for i in range(60)] + [(null_like, "a key")] + [(7, f"text number {i} " * 20) for i in range(400)] + [(3, "three"), (9, "nine")]
+    folder = f"file://{tmp_path}/ids"
+    files = write_shards(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), folder, shard_text_bytes=20_000)
+    spread = [r.shard for r in shards_of_key(files, 7).collect()]
+    assert len(spread) >= 3 and len(shards_of_key(files, None).collect()) >= 1 and shards_of_key(files, 10**19 // 2).count() <= 1
+    got = sorted(read_shards(spark, files).collect(), key=lambda r: r.start)
+    assert Counter(r.doc_id for r in got) == Counter(k for k, _ in rows)
+    assert [r.start for r in got] == np.cumsum([0, *[r.n_tokens for r in got]])[:-1].tolist()
+    assert Counter((r.doc_id, r.ids_crc32) for r in got) == Counter((k, zlib.crc32(expected(plain, t, 1).tobytes())) for k, t in rows)
+    found = {7: 0, None: 0, null_like: 0, 8: 0}
+    for file in tmp_path.glob("ids/*.ids"):
+        shard = Shard(pa.BufferReader(file.read_bytes()))
+        for key in found:
+            found[key] += len(shard.lookup(key))
+            assert all(shard.key(i) == key for i in shard.lookup(key))
+    assert found == {7: 400, None: 60, null_like: 1, 8: 0}
+
+
 @settings(max_examples=20, deadline=None)
 @given(st.sets(st.integers(0, 2**64 - 1), min_size=1, max_size=500))
 def test_perfect_hash_is_minimal(keys):
