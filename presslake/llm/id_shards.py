@@ -101,18 +101,21 @@ class PerfectHash:
                 taken[s], stored[s] = 1, prints[i]
         return cls(seed, displacements, stored)
 
+    def slots(self, keys: np.ndarray) -> np.ndarray:
+        """The slot of each key, or -1 where the fingerprint tells that it isn't there."""
+        n = len(self.fingerprints)
+        if not n or not len(keys):
+            return np.full(len(keys), -1, dtype=np.int64)
+        d = self.displacements[(_mixed(keys, self.seed) % np.uint64(len(self.displacements))).astype(np.int64)]
+        x = _mixed(keys, self.seed + 1000) + np.maximum(d, 0).astype(np.uint64) * np.uint64(_GOLDEN)
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        found = np.where(d < 0, -d - 1, ((x ^ (x >> np.uint64(32))) % np.uint64(n)).astype(np.int64))
+        prints = (_mixed(keys, self.seed + 2000) >> np.uint64(32)).astype("<u4")
+        return np.where(self.fingerprints[found] == prints, found, -1)
+
     def slot(self, key: int) -> int | None:
-        """The key's slot, or None where the fingerprint tells that it isn't there."""
-        if not len(self.fingerprints):
-            return None
-        one = np.asarray([key & _MASK], dtype=np.uint64)
-        d = int(self.displacements[int(_mixed(one, self.seed)[0]) % len(self.displacements)])
-        if d < 0:
-            s = -d - 1
-        else:
-            s = _slot(int(_mixed(one, self.seed + 1000)[0]), d, len(self.fingerprints))
-        print_ = int(_mixed(one, self.seed + 2000)[0]) >> 32
-        return s if int(self.fingerprints[s]) == print_ else None
+        found = int(self.slots(np.asarray([key & _MASK], dtype=np.uint64))[0])
+        return None if found < 0 else found
 
 
 def index_bytes(shard: int, width: int, keys: list[int | None], ends: list[int]) -> bytes:
@@ -120,8 +123,7 @@ def index_bytes(shard: int, width: int, keys: list[int | None], ends: list[int])
     first = np.asarray([i for i, k in enumerate(keys) if k is not None and (i == 0 or k != keys[i - 1])], dtype="<i8")
     hashed = np.asarray([keys[i] & _MASK for i in first], dtype=np.uint64)
     index, slots = PerfectHash.build(hashed), np.zeros(len(first), dtype="<i8")
-    for h, i in zip(hashed.tolist(), first.tolist(), strict=True):
-        slots[index.slot(h)] = i
+    slots[index.slots(hashed)] = first
     out = io.BytesIO()
     np.savez(
         out, shard=shard, width=width, seed=index.seed, displacements=index.displacements,
@@ -256,13 +258,21 @@ def read_shards(spark: SparkSession, files: DataFrame) -> DataFrame:
             for name in batch.column(0).to_pylist():
                 store, path = stores.FileSystem.from_uri(name)
                 with store.open_input_file(path) as file:
-                    shard, i = Shard(file), 0
-                    while i < len(shard):
-                        rows, found = [], shard.lookup(shard.key(i))
-                        for j, ids in zip(found, shard.ids_of(found), strict=True):
-                            rows.append((shard.number, shard.key(j), shard.span(j)[0], len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
-                        i = found.stop
-                        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=names)
+                    shard = Shard(file)
+                    keys, null = shard.parts["keys"], shard.parts["null"]
+                    # Each document is where the index says its key begins, or follows one that is.
+                    slots = shard.index.slots(keys.astype(np.int64).view(np.uint64))
+                    begins = np.where(null, 0, np.where(slots < 0, -1, shard.parts["first"][slots] if len(shard.parts["first"]) else -1))
+                    begins = np.where(np.concatenate(([True], (keys[1:] != keys[:-1]) | (null[1:] != null[:-1]))), begins, -2)
+                    if not ((begins == -2) | (begins == np.arange(len(keys)))).all():
+                        raise ValueError(f"{name}: the index doesn't lead to its documents")
+                    ends, sums = shard.parts["ends"], []
+                    for ids in shard.ids_of(range(len(shard))):
+                        sums.append(zlib.crc32(ids.astype("<u4").tobytes()))
+                    starts = np.concatenate(([0], ends[:-1]))
+                    columns = [np.full(len(keys), shard.number), keys, starts, ends - starts, np.asarray(sums)]
+                    arrays = [pa.array(c.astype(np.int64), mask=null if i == 1 else None) for i, c in enumerate(columns)]
+                    yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     each = files.select("file").repartition(max(1, files.count()), "file")
     rows = each.mapInArrow(read, "shard long, doc_id long, place long, n_tokens long, ids_crc32 long")
