@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crosscheck.registry import Tables, case
@@ -90,9 +90,11 @@ def monthly_stats(t: Tables) -> DataFrame:
     return reports.monthly_stats(*t.crawl()[:3])
 
 
-@case("report_sort", f"select * from ({_MONTHLY}) order by domain, month desc")
+@case("report_sort", f"select row_number() over (order by domain, month desc)::int as place, * from ({_MONTHLY})")
 def report_sort(t: Tables) -> DataFrame:
-    return reports.monthly_stats(*t.crawl()[:3])
+    """The report with the places its rows come in; a row for each domain and month."""
+    listed = reports.monthly_stats(*t.crawl()[:3]).withColumn("_at", F.monotonically_increasing_id())
+    return listed.withColumn("place", F.row_number().over(Window.orderBy("_at"))).drop("_at")
 
 
 @case("report_row_number", f"select row_number() over (order by domain, month desc) as row_no, * from ({_MONTHLY})")

@@ -10,6 +10,7 @@ from presslake import scratch_path
 from presslake.functions import dates, measures, urls
 from presslake.operators.redirects import redirect_chain_resolve
 from presslake.sources import seeds, sitemaps, snapshots
+from presslake.sources.sitemap_files import read_sitemap_files
 
 # Page URLs with www., ports, user parts, or no scheme mixed in.
 _URLS = """select page_id, case page_id % 5
@@ -248,6 +249,38 @@ def urlset_scan(t: Tables) -> DataFrame:
     return sitemaps.urlset_scan(urlset_files(t)).select("sitemap_url", "page_url", F.array_join("date_texts", "|").alias("texts"))
 
 
+def _write_files(files: DataFrame, folder: str) -> None:
+    """A file for each body, written by tasks."""
+    def write(batches):
+        from pyarrow import fs as stores
+
+        store, root = stores.FileSystem.from_uri(folder)
+        store.create_dir(root, recursive=True)
+        for batch in batches:
+            for number, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                with store.open_output_stream(f"{root}/{number}.xml") as out:
+                    out.write(body.encode())
+            yield batch.select(["file_no"])
+
+    files.select("file_no", "body").mapInArrow(write, "file_no long").count()
+
+
+@case("sitemap_files_scan", f"""
+select {_MAP} as sitemap_url, page_url, case doc_id % 6 when 0 then cast(d as varchar) when 1 then d || 'T05:00:00+05:00'
+  when 2 then 'soon|' || d when 3 then '' else d || '|2001-01-01' end as texts
+from ({_ENTRIES}) where doc_id % 6 <> 5""")
+def sitemap_files_scan(t: Tables) -> DataFrame:
+    """The same files read in pieces; those that are cut short give their entries as well."""
+    folder = scratch_path(t.spark, "sitemap-files")
+    folder = folder if ":/" in folder else f"file://{folder}"
+    _write_files(urlset_files(t), folder)
+    number = F.regexp_extract("file", r"(\d+)\.xml$", 1)
+    return read_sitemap_files(t.spark, folder).where("kind = 'page'").select(
+        F.concat(F.lit("https://maps.example.com/"), number, F.lit(".xml")).alias("sitemap_url"), F.col("loc").alias("page_url"),
+        F.array_join("date_texts", "|").alias("texts"),
+    )
+
+
 @case("publication_date_pick", f"""
 select page_url, case doc_id % 6 when 3 then null else d end as publication_date from ({_ENTRIES}) where {_READABLE} and doc_id % 6 <> 5""")
 def publication_date_pick(t: Tables) -> DataFrame:

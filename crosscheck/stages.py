@@ -155,7 +155,7 @@ def extract_(t: Tables) -> DataFrame:
 
 
 @case("embed_sync", f"""
-select domain, count(*) as texts, sum(least(length(content), length(content)))::bigint as chars, 1536 as dim from ({_EMBED} {_EMBED_END}) group by domain""")
+select domain, count(*) as texts, sum(length(content))::bigint as chars, 1536 as dim from ({_EMBED} {_EMBED_END}) group by domain""")
 def embed_sync(t: Tables) -> DataFrame:
     sitemaps, pages, content, embeddings = t.crawl()
     stored = embeddings.select(F.col("id_page").alias("id"), "id_page", "embedding")
@@ -188,7 +188,8 @@ def _vector_jobs(t: Tables) -> DataFrame:
 _REPORTED = "case batch_no % 4 when 0 then 'completed' when 1 then 'failed' when 2 then 'in_progress' else 'completed' end"
 
 
-# The error file names every page of label 4 and pages without any result line.
+# A result file that lacks the lines of some pages, and an error file that names every page of label 4.
+_LINES = "select * from embeddings where vec_id % 11 <> 0"
 _ERRORS = "select vec_id as id_page, 'from file ' || vec_id as message from embeddings where label = 4"
 _FINAL = f"""select b.batch_no, b.id_page, r.error is null and r.status_code = 200 as ok, r.status_code, r.embedding,
   coalesce(case when label = 4 then 'from file ' || b.id_page end, r.error) as message
@@ -201,9 +202,13 @@ def _checked(t: Tables) -> embed.Checked:
     registry = _vector_jobs(t)
     batch_no = F.regexp_extract("batch_id", r"(\d+)$", 1).cast("int").alias("batch_no")
     statuses = registry.select("batch_id", batch_no).select("batch_id", F.expr(_REPORTED).alias("status"))
-    stored = t("v_content_embeddings").select(F.col("id_page").alias("id"), "id_page", "embedding").limit(0)
-    results = parsed_results(t).where("id_page % 11 <> 0")
-    return embed.embed_batch_check(registry, statuses, results, t.sql(_ERRORS), stored, AS_OF, dim=None)
+    # Stored vectors are turned round, so that a replaced one shows.
+    stored = t("v_content_embeddings").select(F.col("id_page").alias("id"), "id_page", F.reverse("embedding").alias("embedding"))
+    return embed.embed_batch_check(registry, statuses, parsed_results(t, _LINES), t.sql(_ERRORS), stored, AS_OF, dim=_width(t))
+
+
+def _width(t: Tables) -> int:
+    return t("embeddings").agg(F.max(F.size("embedding"))).first()[0]
 
 
 @case("embed_batch_check", f"""
@@ -220,7 +225,11 @@ def embed_batch_failures(t: Tables) -> DataFrame:
     return _checked(t).failures.select("id_page", "status_code", "message")
 
 
-@case("embed_batch_embeddings", f"select id_page, round(list_sum(embedding::double[]), 4) as total, round(embedding[1]::double, 5) as first from ({_FINAL}) where ok")
+@case("embed_batch_embeddings", f"""
+select coalesce(n.id_page, s.id_page) as id_page, round(list_sum(coalesce(n.embedding, s.embedding)::double[]), 4) as total,
+  round(coalesce(n.embedding, s.embedding)[1]::double, 5) as first
+from (select id_page, embedding from ({_FINAL}) where ok) n
+full join (select id_page, list_reverse(embedding) as embedding from v_content_embeddings) s on s.id_page = n.id_page""")
 def embed_batch_embeddings(t: Tables) -> DataFrame:
     total = F.aggregate("embedding", F.lit(0.0), lambda a, v: a + v.cast("double"))
     first = F.get("embedding", F.lit(0)).cast("double")
@@ -247,7 +256,7 @@ def embed_batch_full(t: Tables) -> DataFrame:
     statuses = registry.select("batch_id", batch_no).select("batch_id", F.expr(_REPORTED).alias("status"))
     stored = embeddings.select(F.col("id_page").alias("id"), "id_page", "embedding")
     _, checked = embed.embed_batch_full(
-        sitemaps, pages, content, stored, registry, statuses, parsed_results(t), None, AS_OF, "run", dim=None, limit=LIMIT, size=BATCH
+        sitemaps, pages, content, stored, registry, statuses, parsed_results(t), None, AS_OF, "run", dim=_width(t), limit=LIMIT, size=BATCH
     )
     return checked.registry.select("batch_id", "list_name", F.size("page_ids").cast("bigint").alias("pages"), "processed_count")
 

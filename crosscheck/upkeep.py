@@ -254,7 +254,7 @@ def job_domain_apportion(t: Tables) -> DataFrame:
     return batches.job_domain_apportion(batches.job_domain_tokens(_outcome_texts(t)), outcomes)
 
 
-def result_lines(t: Tables) -> DataFrame:
+def result_lines(t: Tables, lines: str = "select * from embeddings") -> DataFrame:
     """Result lines as JSON: a few with an error, a few with another status."""
     vector = F.array(F.struct("embedding"))
     failed = F.col("vec_id") % 10 == 3
@@ -267,11 +267,11 @@ def result_lines(t: Tables) -> DataFrame:
             F.struct(F.when(~limited & ~failed, vector).alias("data")).alias("body"),
         ).alias("response"),
     )
-    return t("embeddings").select(F.to_json(line).alias("value"))
+    return t.sql(lines).select(F.to_json(line).alias("value"))
 
 
-def parsed_results(t: Tables) -> DataFrame:
-    lines = result_lines(t).select(F.from_json("value", F.lit(RESULT_LINE)).alias("l")).select("l.*")
+def parsed_results(t: Tables, lines: str = "select * from embeddings") -> DataFrame:
+    lines = result_lines(t, lines).select(F.from_json("value", F.lit(RESULT_LINE)).alias("l")).select("l.*")
     return jobs.result_rows(lines)
 
 
