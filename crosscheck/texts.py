@@ -20,7 +20,7 @@ _TOKEN_LIMIT, _DIM, _K = 200, 1536, 10
 # What the article of a given page says, stated by what stands in it: a heading, paragraphs, breaks and bold words.
 _ARTICLE = """replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_extract(html, '<article>(.*)</article>', 1, 's'),
   '[ \\t\\r\\n]+', ' ', 'g'), '<h1>', E'\\n# ', 'g'), '<(br|p|/p|/h1)>', E'\\n', 'g'), '</?b>', '', 'g'), '&quot;', '"')"""
-_TIDY = """nullif(array_to_string(list_filter(list_transform(string_split({0}, E'\n'), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))),
+_TIDY = """nullif(array_to_string(list_filter(list_transform(string_split({0}, E'\n'), lambda x: trim(regexp_replace(x, '\\s+', ' ', 'g'))),
   lambda x: not regexp_full_match(x, '[| ]*|#')), E'\n'), '')"""
 PAGE_TEXT = _TIDY.format(f"replace({_ARTICLE}, '&amp;', '&')")
 # A parser of HTML reads a cut-off "&amp" as well.

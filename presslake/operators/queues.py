@@ -11,9 +11,12 @@ from presslake.operators.joins import (
     with_preferred_page_fields,
 )
 from presslake.operators.stored import raw_stored, text_at_least, text_stored
+from presslake.session import materialize
 
 PAGES_PER_DOMAIN = 5000
 EMBED_LIMIT = 1000
+#: Rows that the last task of a sort with a limit may get: the limit for each task before it.
+ROWS_IN_ONE_TASK = 1_000_000
 
 
 def newest_first() -> list[Column]:
@@ -41,6 +44,44 @@ def top_per_group(df: DataFrame, group: str, order: list[Column], cap: int, spre
     return cut.withColumn("_rank", in_group).where(F.col("_rank") <= cap).drop("_rank")
 
 
+def _reached(rows: DataFrame, value: Column, wanted: int, bins: int = 4096) -> tuple[int, int]:
+    """The ``wanted``-th smallest ``value`` (whole numbers) and how many rows lie below it.
+
+    A histogram over what is left, then one over the bin that holds it, until the bin has a single value. The driver
+    sees one row for each bin.
+    """
+    left, below = rows.select(value.alias("_v")), 0
+    low, high = left.agg(F.min("_v"), F.max("_v")).first()
+    while low < high:
+        width = -(-(high - low + 1) // bins)
+        bin_ = F.expr(f"(_v - {low}L) div {width}L")
+        counted = left.where(F.col("_v").between(low, high)).groupBy(bin_.alias("_b")).agg(
+            F.count("*").alias("n"), F.min("_v").alias("low"), F.max("_v").alias("high")
+        ).orderBy("_b").collect()
+        for found in counted:
+            if below + found.n >= wanted:
+                break
+            below += found.n
+        low, high = found.low, found.high
+    return low, below
+
+
+def newest(rows: DataFrame, limit: int) -> DataFrame:
+    """The first ``limit`` rows by ``newest_first``, for any limit; ``id_page`` is distinct.
+
+    Sorting with a limit brings ``limit`` rows of every task into one. Here the date of the last row is found by
+    histograms, then the last key of that date, and all tasks filter by them.
+    """
+    known = materialize(rows, "candidates")
+    if limit <= 0 or known.count() <= limit:
+        return known if limit > 0 else known.where(F.lit(False))
+    # Unknown dates first, then falling: half the range of a long is more than any timestamp takes.
+    falling = F.coalesce(-F.unix_micros("publication_date"), F.lit(-(1 << 61)))
+    last, above = _reached(known, falling, limit)
+    key, _ = _reached(known.where(falling == last), F.col("id_page"), limit - above)
+    return known.where((falling < last) | ((falling == last) & (F.col("id_page") <= key)))
+
+
 def fetch_frontier(
     sitemaps: DataFrame, pages: DataFrame, content: DataFrame, cap: int = PAGES_PER_DOMAIN, ordered: bool = True
 ) -> DataFrame:
@@ -89,8 +130,14 @@ def embed_queue(
 
     The choice is made on keys and dates; texts are joined to the chosen rows
     afterwards, from ``bodies`` when the content table is stored in two parts.
+    Where the best rows of all tasks would be too many for one, they are selected
+    by histograms (``newest``).
     """
     chosen = embed_candidates(sitemaps, pages, content, embeddings, registry, min_len)
-    chosen = chosen.orderBy(*newest_first()).limit(limit)
+    tasks = int(chosen.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if limit * tasks > ROWS_IN_ONE_TASK:
+        chosen = newest(chosen, limit)
+    else:
+        chosen = chosen.orderBy(*newest_first()).limit(limit)
     texts = (content if bodies is None else bodies).select("id_page", "content")
     return texts.join(chosen, "id_page").select("id_page", "content", "domain", "publication_date")

@@ -233,3 +233,19 @@ def test_a_hot_domain_is_dealt_over_many_tasks(tiny_partitions):
     expected = hot_pages(spark).select(F.count_if(old), F.count_if(~old)).first()
     stats = reports.discovery_stats(labelled).agg(F.sum("pages_skipped"), F.sum("pages_added")).first()
     assert tuple(stats) == tuple(expected)
+
+
+def test_large_queues_end_in_no_single_task(spark, crawl, monkeypatch):
+    sitemaps, pages, content, embeddings = crawl
+    for limit in (1, 7, 60, 1_000_000):
+        plain = rows(queues.embed_queue(sitemaps, pages, content, embeddings, limit=limit), "id_page", "publication_date")
+        with monkeypatch.context() as m:
+            m.setattr(queues, "ROWS_IN_ONE_TASK", 0)
+            chosen = queues.embed_queue(sitemaps, pages, content, embeddings, limit=limit)
+            assert rows(chosen, "id_page", "publication_date") == plain
+            assert "SinglePartition" not in plan(chosen) and "TakeOrdered" not in plan(chosen)
+    many = spark.range(20_000).select(
+        F.col("id").alias("id_page"), F.when(F.col("id") % 10 > 0, F.timestamp_micros(F.col("id") % 700 * 1_000_003)).alias("publication_date"))
+    for limit in (0, 1, 1999, 2000, 2001, 12_345, 20_000, 50_000):
+        wanted = rows(many.orderBy(*queues.newest_first()).limit(limit), "id_page")
+        assert rows(queues.newest(many, limit), "id_page") == wanted
