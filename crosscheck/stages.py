@@ -354,3 +354,13 @@ def stream_fetch_stats(t: Tables) -> DataFrame:
     )
     incremental.stream_fetch_stats(log, root, scratch_path(t.spark, "state")).awaitTermination()
     return incremental.current_fetch_stats(t.spark, root)
+
+
+@case("stream_generations", f"select id_page, round(list_sum(embedding::double[]), 4) as total from ({_RESULTS}) where error is null and status_code = 200")
+def stream_generations(t: Tables) -> DataFrame:
+    """Result files taken in by several micro-batches whose folders are folded as they come."""
+    lines, root = scratch_path(t.spark, "results"), scratch_path(t.spark, "vectors")
+    result_lines(t).repartition(8).write.text(lines)
+    incremental.stream_batch_results(t.spark, lines, root, scratch_path(t.spark, "state"), files=2, fold_every=1).awaitTermination()
+    total = F.aggregate("embedding", F.lit(0.0), lambda a, v: a + v.cast("double"))
+    return incremental.current_embeddings(t.spark, root).select("id_page", F.round(total, 4).alias("total"))

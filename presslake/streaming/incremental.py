@@ -4,7 +4,8 @@ A folder is named by the stream's checkpoint and the number of the micro-batch.
 A micro-batch that runs again overwrites its own folder, so a restart neither
 loses nor repeats rows; a stream with a new checkpoint writes beside the old
 folders, never over them. Rows of a later stream count as newer. Every stream
-takes what is there and stops (``availableNow``), like a scheduled run.
+takes what is there and stops (``availableNow``), like a scheduled run. Finished
+folders are folded into generations (``generations``), ``fold_every`` at a time.
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -24,19 +24,11 @@ from presslake.operators.batches import results_ok
 from presslake.operators.merge import numbered_pages
 from presslake.schemas import NEWS_PAGES, RESULT_LINE
 from presslake.sources.jobs import result_rows
+from presslake.streaming.generations import BASE, FOLD_EVERY, create_once, fold, parts
 
-_BASE = "0-base"
-
-
-def _parts(spark: SparkSession, root: str, schema: str) -> DataFrame:
-    """All folders under ``root`` with ``stream`` and ``batch_id``; none when nothing is written yet."""
-    full = f"{schema}, stream string, batch_id bigint"
-    try:
-        return spark.read.schema(full).parquet(root)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], full)
+_TOPS = "top bigint"
+_VECTORS = "id_page bigint, embedding array<float>"
+_TOTALS = "domain string, successful bigint, failed bigint, total_bytes bigint"
 
 
 def _age() -> Column:
@@ -44,15 +36,25 @@ def _age() -> Column:
     return F.struct(F.split_part("stream", F.lit("-"), F.lit(1)).cast("bigint"), "stream", "batch_id")
 
 
+def _newest(df: DataFrame, key: str) -> DataFrame:
+    """Of each key the row of the newest folder."""
+    rest = [c for c in df.columns if c != key]
+    return df.groupBy(key).agg(F.max_by(F.struct(*rest), _age()).alias("_row")).select(key, "_row.*")
+
+
+def _highest(tops: DataFrame) -> DataFrame:
+    return tops.groupBy("stream").agg(F.max("top").alias("top"), F.max("batch_id").alias("batch_id"))
+
+
 def _write_part(df: DataFrame, root: str, stream: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{root}/stream={stream}/batch_id={batch_id}")
 
 
 def write_base(df: DataFrame, root: str) -> None:
     """Put an existing table under ``root``, before any micro-batch."""
-    _write_part(df, root, _BASE, -1)
+    _write_part(df, root, BASE, -1)
     if "id_page" in df.columns:
-        _write_top(df.sparkSession, root, _BASE, -1)
+        _write_top(df.sparkSession, root, BASE, -1)
 
 
 def _write_top(spark: SparkSession, root: str, stream: str, batch_id: int) -> None:
@@ -62,16 +64,16 @@ def _write_top(spark: SparkSession, root: str, stream: str, batch_id: int) -> No
 
 
 def _stream_name(spark: SparkSession, checkpoint: str) -> str:
-    """A stream's name, kept beside its checkpoint: the time of its first start and a random part."""
+    """A stream's name, kept beside its checkpoint: the time of its first start and a random part.
+
+    The file is created once, so of two first starts both take the name of the one that came first.
+    """
     path = f"{checkpoint.rstrip('/')}-name"
-    try:
-        return spark.read.text(path).first()[0]
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-    name = f"{time.time_ns()}-{uuid.uuid4().hex[:8]}"
-    spark.createDataFrame([(name,)], "value string").coalesce(1).write.text(path)
-    return name
+    create_once(spark, path, f"{time.time_ns()}-{uuid.uuid4().hex[:8]}")
+    line = spark.read.text(path).first()
+    if line is None:
+        raise RuntimeError(f"{path} is empty, its writer was cut off: remove it and start the stream again")
+    return line[0]
 
 
 def _start(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None], mode: str = "append") -> StreamingQuery:
@@ -129,6 +131,7 @@ _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvid
 
 def stream_page_discovery(
     found: DataFrame, root: str, checkpoint: str, as_of: dt.datetime, late: str = "0 seconds", keep: dt.timedelta | None = None,
+    fold_every: int = FOLD_EVERY,
 ) -> StreamingQuery:
     """Add the pages of a stream (``page_url, id_sitemap, publication_date``) whose URL is not stored yet.
 
@@ -146,7 +149,7 @@ def stream_page_discovery(
     columns = ["page_url", "id_sitemap", "publication_date"] + ["seen_at"] * (keep is not None)
     rows = found.select(*columns) if keep is None else found.select(*columns).withWatermark("seen_at", late)
     rows = rows.where("page_url is not null")
-    before = _parts(spark, root, NEWS_PAGES).where(F.col("stream") != name).select("page_url").distinct()
+    before = parts(spark, root, NEWS_PAGES).where(F.col("stream") != name).select("page_url").distinct()
     state = _FirstSightings(None if keep is None else int(keep.total_seconds() * 1000))
     new = rows.groupBy("page_url").transformWithStateInPandas(
         statefulProcessor=state, outputStructType="page_url string, id_sitemap bigint, publication_date timestamp", outputMode="append",
@@ -155,10 +158,12 @@ def stream_page_discovery(
 
     def each(batch: DataFrame, batch_id: int) -> None:
         own = (F.col("stream") == name) & (F.col("batch_id") >= batch_id)
-        tops = _parts(batch.sparkSession, f"{root.rstrip('/')}-tops", "top bigint").where(~own)
+        tops = parts(batch.sparkSession, f"{root.rstrip('/')}-tops", _TOPS).where(~own)
         made = numbered_pages(batch, tops.agg(F.coalesce(F.max("top"), F.lit(0))).scalar(), as_of)
         _write_part(made, root, name, batch_id)
         _write_top(batch.sparkSession, root, name, batch_id)
+        fold(batch.sparkSession, root, NEWS_PAGES, every=fold_every)
+        fold(batch.sparkSession, f"{root.rstrip('/')}-tops", _TOPS, _highest, fold_every)
 
     provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKS)
@@ -172,12 +177,14 @@ def stream_page_discovery(
 
 
 def current_pages(spark: SparkSession, root: str) -> DataFrame:
-    return _parts(spark, root, NEWS_PAGES).drop("stream", "batch_id")
+    return parts(spark, root, NEWS_PAGES).drop("stream", "batch_id")
 
 
-def stream_batch_results(spark: SparkSession, results_dir: str, root: str, checkpoint: str) -> StreamingQuery:
-    """Take in result files as they appear; only good lines are stored."""
-    lines = spark.readStream.schema(RESULT_LINE).json(results_dir).select(
+def stream_batch_results(
+    spark: SparkSession, results_dir: str, root: str, checkpoint: str, files: int = 1000, fold_every: int = FOLD_EVERY,
+) -> StreamingQuery:
+    """Take in result files as they appear, at most ``files`` in a micro-batch; only good lines are stored."""
+    lines = spark.readStream.schema(RESULT_LINE).option("maxFilesPerTrigger", files).json(results_dir).select(
         "custom_id", "error", "response", "_metadata.file_name", "_metadata.file_block_start"
     )
 
@@ -187,17 +194,17 @@ def stream_batch_results(spark: SparkSession, results_dir: str, root: str, check
         place = F.struct("file_name", "file_block_start", F.monotonically_increasing_id().alias("n"))
         placed = result_rows(batch.withColumn("seq", place), keep=["seq"])
         _write_part(results_ok(placed), root, name, batch_id)
+        fold(batch.sparkSession, root, _VECTORS, lambda df: _newest(df, "id_page"), fold_every)
 
     return _start(lines, checkpoint, each)
 
 
 def current_embeddings(spark: SparkSession, root: str) -> DataFrame:
     """The newest stored vector of each page."""
-    parts = _parts(spark, root, "id_page bigint, embedding array<float>")
-    return parts.groupBy("id_page").agg(F.max_by("embedding", _age()).alias("embedding"))
+    return _newest(parts(spark, root, _VECTORS), "id_page").select("id_page", "embedding")
 
 
-def stream_fetch_stats(log: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
+def stream_fetch_stats(log: DataFrame, root: str, checkpoint: str, fold_every: int = FOLD_EVERY) -> StreamingQuery:
     """Running totals per domain of a stream of fetches (``domain, ok, content_size``)."""
     ok = F.col("ok")
     totals = log.groupBy("domain").agg(
@@ -205,13 +212,16 @@ def stream_fetch_stats(log: DataFrame, root: str, checkpoint: str) -> StreamingQ
         F.coalesce(F.sum(F.when(ok, F.col("content_size"))), F.lit(0)).alias("total_bytes"),
     )
     name = _stream_name(log.sparkSession, checkpoint)
-    return _start(totals, checkpoint, lambda batch, batch_id: _write_part(batch, root, name, batch_id), mode="update")
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        _write_part(batch, root, name, batch_id)
+        fold(batch.sparkSession, root, _TOTALS, lambda df: _newest(df, "domain"), fold_every)
+
+    return _start(totals, checkpoint, each, mode="update")
 
 
 def current_fetch_stats(spark: SparkSession, root: str) -> DataFrame:
     """The newest totals of each domain; a stream that starts anew reads its source from the start."""
-    parts = _parts(spark, root, "domain string, successful bigint, failed bigint, total_bytes bigint")
-    newest = F.max_by(F.struct("successful", "failed", "total_bytes"), _age())
-    totals = parts.groupBy("domain").agg(newest.alias("t")).select("domain", "t.*")
+    totals = _newest(parts(spark, root, _TOTALS), "domain")
     rate = F.round(100.0 * F.col("successful") / (F.col("successful") + F.col("failed")), 2)
     return totals.select("domain", "successful", "failed", rate.alias("success_rate"), "total_bytes")
