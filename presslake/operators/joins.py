@@ -3,7 +3,8 @@
 No side carries a broadcast hint: Spark broadcasts a side whose measured size is
 under its threshold and shuffles otherwise. It also splits oversized partitions
 when both sides come straight from a shuffle; where one side is a sum or a
-distinct list it cannot, and ``spread_lookup`` does it beforehand.
+distinct list it cannot, and ``spread_lookup`` does it beforehand for the keys
+that a sketch of frequent items finds hot.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from presslake.functions.predicates import is_listing_sitemap
 from presslake.operators.stored import raw_stored, text_not_empty
+from presslake.session import materialize
 
 
 MAX_BROADCAST_BYTES = 32 << 20
@@ -33,20 +35,40 @@ def small_keys(df: DataFrame, key: str, max_bytes: int = MAX_BROADCAST_BYTES) ->
     return F.broadcast(df.select(key)) if key_bytes(df, key) <= max_bytes else None
 
 
+def hot_keys(rows: DataFrame, key: str, share: int = 256) -> DataFrame:
+    """The keys that hold more than one row in ``share``, as ``(key, _hot)``; at most twice ``share`` of them.
+
+    A sketch of frequent items is kept by every task and merged, so no key is shuffled. With 64 counters for each key
+    asked for it errs by less than a tenth of the share: every key over the share is found, none below half of it is named.
+    """
+    most = 2 * share
+    items = rows.where(F.col(key).isNotNull()).agg(F.expr(f"approx_top_k(`{key}`, {most}, {32 * most})").alias("_top"), F.count("*").alias("_n"))
+    named = items.select("_n", F.explode("_top").alias("_item")).where(F.col("_item.count") * most * 3 > F.col("_n") * 4)
+    return named.select(F.col("_item.item").alias(key), F.lit(True).alias("_hot"))
+
+
+def copied_entries(lookup: DataFrame, hot: DataFrame, key: str, ways: int) -> DataFrame:
+    """The list with ``_way``: an entry of a hot key once for each of the ways, any other once."""
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(ways - 1))).otherwise(F.array(F.lit(0)))
+    return lookup.join(F.broadcast(hot), key, "left").withColumn("_way", F.explode(copies)).drop("_hot")
+
+
 def spread_lookup(
     rows: DataFrame, lookup: DataFrame, key: str, spread: Column, ways: int = 256, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> DataFrame:
     """Left join to a list with one short row per ``key``, however many rows share a key.
 
-    A list within ``max_bytes`` is broadcast. Beyond that the rows of a key are
-    dealt into ``ways`` by the hash of ``spread``, and every entry of the list is
-    there once for each of the ways.
+    A list within ``max_bytes`` is broadcast. Beyond that the rows of hot keys (``hot_keys``) are dealt into ``ways`` by
+    the hash of ``spread``, and so are rows without a key, which would all meet in one task. Only hot entries of the
+    list are there once for each of the ways. ``rows`` are read twice then.
     """
     if key_bytes(lookup, key) <= max_bytes:
         return rows.join(F.broadcast(lookup), key, "left")
-    dealt = rows.withColumn("_way", F.pmod(F.xxhash64(spread), F.lit(ways)).cast("int"))
-    entries = lookup.withColumn("_way", F.explode(F.sequence(F.lit(0), F.lit(ways - 1))))
-    return dealt.join(entries, [key, "_way"], "left").drop("_way")
+    hot = materialize(hot_keys(rows, key, ways), "hot")  # at most 2 * ways short rows
+    dealt = rows.join(F.broadcast(hot), key, "left").withColumn(
+        "_way", F.when(F.col("_hot") | F.col(key).isNull(), F.pmod(F.xxhash64(spread), F.lit(ways)).cast("int")).otherwise(0)
+    ).drop("_hot")
+    return dealt.join(copied_entries(lookup, hot, key, ways), [key, "_way"], "left").drop("_way")
 
 
 def sitemap_domains(sitemaps: DataFrame) -> DataFrame:

@@ -228,6 +228,10 @@ def test_a_hot_domain_is_dealt_over_many_tasks(tiny_partitions):
     assert "BroadcastHashJoin" in plan(by_broadcast) and "_way" not in plan(by_broadcast)
     assert rows(dealt, "id_page", "is_known") == rows(by_broadcast, "id_page", "is_known")
 
+    hot = joins.hot_keys(hot_pages(spark), "domain")
+    assert rows(hot, "domain", "_hot") == [("hot.com", True)]
+    assert joins.copied_entries(domains, hot, "domain", 256).count() == 400 + 256
+
     labelled = reports.label_page_outcome(hot_pages(spark), known, floor)
     old = (F.col("publication_date") < floor) & ((F.col("domain") == "hot.com") | (F.substring("domain", 2, 9).try_cast("int") < 400))
     expected = hot_pages(spark).select(F.count_if(old), F.count_if(~old)).first()
@@ -235,6 +239,20 @@ def test_a_hot_domain_is_dealt_over_many_tasks(tiny_partitions):
     assert tuple(stats) == tuple(expected)
 
 
+def test_the_sketch_names_every_hot_key_and_no_cold_one(tiny_partitions):
+    spark, ids = tiny_partitions, F.col("id")
+    key = F.when(ids % 3 == 0, "third").when(ids % 200 == 1, "above").when(ids % 700 == 4, "below").when(ids % 5 == 2, None).otherwise(F.concat(F.lit("k"), ids))
+    many = spark.range(0, 300_000, 1, 9).select(ids, key.alias("the key"))
+    assert rows(joins.hot_keys(many.where("`the key` is not null"), "the key", 200), "the key") == [("above",), ("third",)]
+    assert joins.hot_keys(many.where("false"), "the key").count() == joins.hot_keys(many.where("`the key` like 'k%'"), "the key").count() == 0
+    known = spark.createDataFrame([("third", 1), ("above", 2), ("k7", 3)], "`the key` string, n int")
+    dealt = joins.spread_lookup(many, known, "the key", F.col("id"), ways=64, max_bytes=0)
+    assert rows(dealt.groupBy("n").count(), "n", "count") == rows(many.join(known, "the key", "left").groupBy("n").count(), "n", "count")
+    # Rows without a key are dealt as well.
+    sizes = [r[0] for r in dealt.where("`the key` is null").groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert len(sizes) > 1 and max(sizes) < sum(sizes)
+
+
 def test_large_queues_end_in_no_single_task(spark, crawl, monkeypatch):
     sitemaps, pages, content, embeddings = crawl
     for limit in (1, 7, 60, 1_000_000):
