@@ -12,6 +12,7 @@ from crosscheck.reports import _EMBED, _EMBED_END, _FLOOR, _PENDING, AS_OF, BATC
 from crosscheck.texts import PAGE_TEXT
 from crosscheck.upkeep import _BATCHES, _RESULTS, parsed_results, result_lines
 from presslake import scratch_path
+from presslake.operators import batches
 from presslake.plans import discover as discovery
 from presslake.plans import embed, extract, fetch
 from presslake.schemas import TABLES
@@ -241,6 +242,20 @@ def embed_batch_counts(t: Tables) -> DataFrame:
     return _checked(t).counts
 
 
+@case("embed_batch_domains", f"""
+with done as (select batch_no, count(*) filter (where ok)::double as ok, count(*) filter (where not ok)::double as failed from ({_FINAL}) group by 1),
+  shares as (select batch_no, domain, sum(id_page % 90 + 10)::bigint as tokens from ({_BATCHES}) group by 1, 2),
+  parts as (select *, tokens::double / sum(tokens) over (partition by batch_no) as share from shares)
+select domain, count(*) as jobs, sum(round_even(ok * share, 0))::bigint as successful, sum(round_even(failed * share, 0))::bigint as failed,
+  sum(tokens)::bigint as tokens, round(sum(tokens) * 0.02 / 1000000 * 0.5, 6) as cost from parts join done using (batch_no) group by domain""")
+def embed_batch_domains(t: Tables) -> DataFrame:
+    """Results of finished jobs by domain."""
+    pages = t.sql(f"select batch_no, domain, id_page % 90 + 10 as tokens from ({_BATCHES})")
+    shares = batches.job_domain_tokens(pages).groupBy("batch_no").agg(F.map_from_entries(F.collect_list(F.struct("domain", "tokens"))).alias("domain_tokens"))
+    registry = shares.select(F.concat(F.lit("job-"), "batch_no").alias("batch_id"), "domain_tokens")
+    return embed.embed_batch_domains(registry, _checked(t).counts)
+
+
 @case("embed_batch_full", f"""
 select 'run-' || batch_no as batch_id, 'pending' as list_name, count(*) as pages, cast(null as bigint) as processed_count from (
   select cast(floor((row_number() over (order by publication_date desc nulls first, id_page) - 1) / {BATCH}) as bigint) as batch_no

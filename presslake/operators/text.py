@@ -77,14 +77,37 @@ def token_count(
 
 
 def token_truncate(
-    df: DataFrame, id_col: str, text_col: str, limit: int = MAX_TOKENS, pattern: str = TOKEN_PATTERN
+    df: DataFrame, id_col: str, text_col: str, limit: int = MAX_TOKENS, pattern: str = TOKEN_PATTERN,
+    fn: Callable[[pd.Series, int], pd.DataFrame] | None = None,
 ) -> DataFrame:
-    """Cut texts of ``limit`` tokens and more to the first ``limit - 1``: ``(id, text, tokens, chars, truncated)``."""
+    """Cut texts of ``limit`` tokens and more to the first ``limit - 1``: ``(id, text, tokens, chars, truncated)``.
+
+    ``fn`` cuts with a codec of one's own: texts and the number of tokens to keep in, columns ``text`` (cut) and
+    ``tokens`` (before the cut) out, row by row. Null texts don't reach it. A null text stays null, with null counts.
+    """
     keep = limit - 1
-    found = df.select(id_col, text_col, tokens(F.col(text_col), pattern).alias("_tokens"))
-    cut = F.size("_tokens") > keep
-    text = F.when(cut, F.array_join(F.slice("_tokens", 1, keep), "")).otherwise(F.col(text_col))
-    return (
-        found.select(id_col, text.alias(text_col), F.least(F.size("_tokens"), F.lit(keep)).cast("bigint").alias("tokens"), cut.alias("truncated"))
-        .select(id_col, text_col, "tokens", F.length(text_col).cast("bigint").alias("chars"), "truncated")
+    if fn is None:
+        found = df.select(id_col, text_col, tokens(F.col(text_col), pattern).alias("_tokens"))
+        cut = F.size("_tokens") > keep
+        text = F.when(cut, F.array_join(F.slice("_tokens", 1, keep), "")).otherwise(F.col(text_col))
+        return (
+            found.select(id_col, text.alias(text_col), F.when(cut, keep).otherwise(F.size("_tokens")).cast("bigint").alias("tokens"), cut.alias("truncated"))
+            .select(id_col, text_col, "tokens", F.length(text_col).cast("bigint").alias("chars"), "truncated")
+        )
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            made = pd.DataFrame({"id": batch["id"], "text": None, "tokens": pd.array([None] * len(batch), dtype="Int64")})
+            there = batch["text"].notna()
+            if there.any():
+                given = fn(batch.loc[there, "text"].reset_index(drop=True), keep)
+                made.loc[there, "text"] = given["text"].to_numpy()
+                made.loc[there, "tokens"] = given["tokens"].to_numpy()
+            yield made
+
+    id_type = df.schema[id_col].dataType.simpleString()
+    named = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return named.mapInPandas(run, f"id {id_type}, text string, tokens bigint").select(
+        F.col("id").alias(id_col), F.col("text").alias(text_col), F.when(F.col("tokens") > keep, F.lit(keep).cast("bigint")).otherwise(F.col("tokens")).alias("tokens"),
+        F.length("text").cast("bigint").alias("chars"), (F.col("tokens") > keep).alias("truncated"),
     )

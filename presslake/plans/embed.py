@@ -6,10 +6,12 @@ import datetime as dt
 from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from presslake.functions.dates import moment
+from presslake.functions.measures import BATCH_DISCOUNT, PRICE_PER_MILLION_TOKENS, token_cost
 from presslake.functions.predicates import MIN_CONTENT_LENGTH
 from presslake.functions.tokens import MAX_TOKENS
 from presslake.operators import batches
@@ -52,10 +54,14 @@ def embed_sync(
     sitemaps: DataFrame, pages: DataFrame, content: DataFrame, embeddings: DataFrame,
     fn: Callable[[list[str]], Sequence[Sequence[float]]] | None = None,
     min_len: int = MIN_CONTENT_LENGTH, limit: int = EMBED_LIMIT, max_tokens: int = MAX_TOKENS, dim: int = EMBEDDING_DIM,
+    codec: Callable[[pd.Series, int], pd.DataFrame] | None = None,
 ) -> Embedded:
-    """Embed the queue. Vectors are written once, so the model is not asked again for them."""
+    """Embed the queue. Vectors are written once, so the model is not asked again for them.
+
+    ``codec`` counts and cuts by the model's own tokens, see ``token_truncate``.
+    """
     queue = materialize(embed_queue(sitemaps, pages, content, embeddings, None, min_len, limit))
-    cut = token_truncate(queue, "id_page", "content", max_tokens)
+    cut = token_truncate(queue, "id_page", "content", max_tokens, fn=codec)
     made = embed_texts(cut, "id_page", "content", fn, dim)
     fits = (F.col("outcome") != "ok") | (F.size("embedding") == dim)
     vectors = materialize(made.withColumn("outcome", F.when(fits, F.col("outcome")).otherwise("failed")), "vectors")
@@ -70,6 +76,7 @@ def embed_batch_create(
     sitemaps: DataFrame, pages: DataFrame, content: DataFrame, embeddings: DataFrame, registry: DataFrame,
     as_of: dt.datetime | Column, run_id: str, min_len: int = MIN_CONTENT_LENGTH, limit: int = EMBED_LIMIT,
     size: int = BATCH_SIZE, max_tokens: int = MAX_TOKENS, model: str = batches.EMBEDDING_MODEL,
+    codec: Callable[[pd.Series, int], pd.DataFrame] | None = None,
 ) -> Created:
     """Cut the queue, without pages of pending jobs, into jobs and enter them in the registry.
 
@@ -78,7 +85,7 @@ def embed_batch_create(
     """
     queue = embed_queue(sitemaps, pages, content, embeddings, registry, min_len, limit)
     numbered = batch_assign(queue, newest_first(), size)
-    cut = token_truncate(numbered, "id_page", "content", max_tokens)
+    cut = token_truncate(numbered, "id_page", "content", max_tokens, fn=codec)
     texts = materialize(numbered.select("id_page", "domain", "batch_no").join(cut, "id_page"))
     jobs = batches.job_manifest(texts).select(
         F.concat(F.lit(f"{run_id}-"), "batch_no").alias("batch_id"),
@@ -119,6 +126,22 @@ def embed_batch_check(
     return Checked(embedding_upsert(embeddings, ok), moved, failed, counts)
 
 
+def embed_batch_domains(registry: DataFrame, counts: DataFrame, price: float = PRICE_PER_MILLION_TOKENS) -> DataFrame:
+    """Results of the jobs in ``counts`` per domain: ``(domain, jobs, successful, failed, tokens, cost)``.
+
+    A job's counts are spread over its domains by their tokens, as its registry entry knows no more. A job without
+    tokens by domain is in no row.
+    """
+    shares = registry.join(counts.select("batch_id"), "batch_id", "left_semi").select(
+        F.col("batch_id").alias("batch_no"), F.explode("domain_tokens").alias("domain", "tokens")
+    )
+    spread = batches.job_domain_apportion(shares, counts.withColumnRenamed("batch_id", "batch_no"))
+    totals = spread.groupBy("domain").agg(
+        F.count("*").alias("jobs"), F.sum("ok").alias("successful"), F.sum("failed").alias("failed"), F.sum("tokens").alias("tokens")
+    )
+    return totals.withColumn("cost", F.round(token_cost(F.col("tokens"), price, BATCH_DISCOUNT), 6)).orderBy("domain")
+
+
 def embed_batch_status(registry: DataFrame, as_of: dt.datetime | Column) -> dict[str, DataFrame]:
     """Jobs per list and the pending ones by age."""
     return {"counts": batches.job_status_counts(registry), "pending": batches.job_age_report(registry, as_of)}
@@ -136,5 +159,5 @@ def embed_batch_full(
 
 __all__ = [
     "BATCH_SIZE", "Checked", "Created", "Embedded", "embed_batch_check", "embed_batch_create", "embed_batch_full",
-    "embed_batch_status", "embed_sync",
+    "embed_batch_domains", "embed_batch_status", "embed_sync",
 ]

@@ -1,6 +1,7 @@
 """Run one stage on stored tables; for spark-submit.
 
     run.py report   --tables T
+    run.py audit    --tables T
     run.py discover --tables T --seeds FILE --bodies PATH --as-of TIME --out NEW
     run.py fetch    --tables T --log PATH --as-of TIME --out NEW
     run.py extract  --tables T --out NEW
@@ -27,7 +28,7 @@ from presslake import configure
 from presslake.operators.numbering import report_row_number
 from presslake.plans import discover, embed, extract, fetch, reports
 from presslake.functions.predicates import MIN_CONTENT_LENGTH
-from presslake.operators.audit import EMBEDDING_DIM
+from presslake.operators.audit import EMBEDDING_DIM, constraint_audit
 from presslake.operators.batches import write_batch_requests
 from presslake.operators.queues import EMBED_LIMIT, PAGES_PER_DOMAIN
 from presslake.schemas import BODIES, FETCH_LOG, REGISTRY, STATUSES
@@ -72,6 +73,15 @@ def report(spark: SparkSession, args: argparse.Namespace) -> None:
         _show(titles[name], df.orderBy(df.columns[0]) if "row_no" in df.columns else df)
 
 
+def audit(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Broken keys, references and required values by rule; with ``--out`` every violation is written."""
+    broken = constraint_audit(crawl_tables_scan(spark, args.tables), args.dim)
+    if args.out:
+        write_snapshot(broken, f"{args.out}/violations")
+        broken = spark.read.parquet(f"{args.out}/violations")
+    _show("Violations", broken.groupBy("table", "rule").count().orderBy("table", "rule"))
+
+
 def run_discover(spark: SparkSession, args: argparse.Namespace) -> None:
     sitemaps, pages, _, _ = crawl_tables_scan(spark, args.tables).values()
     made = discover.discover(seeds.seed_scan(spark, args.seeds), _read(spark, args.bodies, BODIES), sitemaps, pages, args.as_of, args.months)
@@ -81,6 +91,7 @@ def run_discover(spark: SparkSession, args: argparse.Namespace) -> None:
     outcomes = spark.read.parquet(f"{args.out}/discover_outcomes")
     _show("Discovery per domain", reports.discovery_stats(outcomes).orderBy("domain"))
     _show("Discovery in all", reports.discovery_totals(outcomes))
+    _show("Sitemaps almost without dates", reports.sitemap_no_date_alert(outcomes).orderBy("sitemap_url"))
 
 
 def run_fetch(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -106,7 +117,7 @@ def run_embed(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.fn is None and not args.stand_in:
         raise SystemExit("embed needs a model (--fn module:name), or --stand-in for hashed word counts")
     tables = crawl_tables_scan(spark, args.tables).values()
-    made = embed.embed_sync(*tables, _hook(args.fn), min_len=args.min_len, limit=args.limit, dim=args.dim)
+    made = embed.embed_sync(*tables, _hook(args.fn), min_len=args.min_len, limit=args.limit, dim=args.dim, codec=_hook(args.codec))
     write_snapshot(made.embeddings, f"{args.out}/content_embeddings")
     write_snapshot(made.outcomes, f"{args.out}/embed_outcomes")
     outcomes = spark.read.parquet(f"{args.out}/embed_outcomes")
@@ -121,7 +132,7 @@ def run_batch(spark: SparkSession, args: argparse.Namespace) -> None:
     else:
         registry = spark.read.schema(REGISTRY).parquet(args.registry) if args.registry else spark.createDataFrame([], REGISTRY)
     if args.mode in ("create", "full"):
-        created = embed.embed_batch_create(*tables.values(), registry, args.as_of, args.run_id, args.min_len, args.limit)
+        created = embed.embed_batch_create(*tables.values(), registry, args.as_of, args.run_id, args.min_len, args.limit, codec=_hook(args.codec))
         write_batch_requests(created.requests, f"{args.out}/requests")
         registry = created.registry
     if args.mode in ("check", "full"):
@@ -133,7 +144,10 @@ def run_batch(spark: SparkSession, args: argparse.Namespace) -> None:
         write_snapshot(checked.embeddings, f"{args.out}/content_embeddings")
         write_snapshot(checked.failures, f"{args.out}/batch_failures")
         write_snapshot(checked.counts, f"{args.out}/batch_counts")
-        _show("Results per job", spark.read.parquet(f"{args.out}/batch_counts").orderBy("batch_id"))
+        counts = spark.read.parquet(f"{args.out}/batch_counts")
+        _show("Results per job", counts.orderBy("batch_id"))
+        write_snapshot(embed.embed_batch_domains(checked.registry, counts), f"{args.out}/batch_domains")
+        _show("Results per domain", spark.read.parquet(f"{args.out}/batch_domains").orderBy("domain"))
         registry = checked.registry
     if args.mode != "status":
         write_snapshot(registry, f"{args.out}/registry")
@@ -144,7 +158,7 @@ def run_batch(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 STAGES = {
-    "report": report, "discover": run_discover, "fetch": run_fetch, "extract": run_extract, "embed": run_embed, "batch": run_batch,
+    "report": report, "audit": audit, "discover": run_discover, "fetch": run_fetch, "extract": run_extract, "embed": run_embed, "batch": run_batch,
 }
 
 
@@ -164,6 +178,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     args.add_argument("--min-len", type=int, default=MIN_CONTENT_LENGTH, help="characters of a text to embed")
     args.add_argument("--dim", type=int, default=EMBEDDING_DIM, help="values of a vector")
     args.add_argument("--fn", help="extractor or model, as module:name")
+    args.add_argument("--codec", help="counts and cuts texts by a model's tokens, as module:name")
     args.add_argument("--stand-in", action="store_true", help="embed by hashed word counts, without a model")
     return args.parse_args(argv)
 

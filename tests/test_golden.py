@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 
+import pandas as pd
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -353,6 +354,20 @@ def test_token_limits(spark):
     assert df.where("id = 'above'").select(tokens.count_tokens(F.col("t"))).first()[0] == 5
 
 
+def test_a_codec_of_ones_own_cuts_texts(spark):
+    def words_cut(texts, keep):
+        words = texts.str.split()
+        return pd.DataFrame({"text": words.str[:keep].str.join(" "), "tokens": words.str.len()})
+
+    df = spark.createDataFrame([(1, "a b  c d"), (2, "a b"), (3, ""), (4, None), (5, "é " * 5000)], "id int, t string")
+    cut = text.token_truncate(df, "id", "t", limit=4, fn=words_cut)
+    assert rows(cut, "id", "t", "tokens", "chars", "truncated") == [
+        (1, "a b c", 3, 5, True), (2, "a b", 2, 3, False), (3, "", 0, 0, False), (4, None, None, None, None), (5, "é é é", 3, 5, True)]
+    assert rows(text.token_truncate(df.where("t is null"), "id", "t", limit=4), "*") == [(4, None, None, None, None)]
+    assert text.token_truncate(df.where("false"), "id", "t", fn=words_cut).count() == 0
+    assert text.token_truncate(df.where("t is null"), "id", "t", fn=words_cut).first().t is None
+
+
 # Audit --------------------------------------------------------------------------------
 
 def test_every_kind_of_violation(spark):

@@ -54,6 +54,8 @@ def test_every_stage_in_turn(spark, tmp_path, capsys):
     (tmp_path / "results.jsonl").write_text(json.dumps({"custom_id": str(job.page_ids[0]), "error": None, "response": body}))
     run.main(["batch", "--tables", str(fourth), "--mode", "check", "--registry", str(tmp_path / "b1" / "registry"), "--statuses", str(tmp_path / "status.jsonl"),
               "--results", str(tmp_path / "results.jsonl"), "--out", str(tmp_path / "b2"), "--dim", "4", *at])
+    (domain,) = spark.read.parquet(str(tmp_path / "b2" / "batch_domains")).collect()
+    assert (domain.domain, domain.jobs, domain.successful, domain.failed) == ("a.com", 1, 1, 0) and domain.tokens > 0
     vectors = spark.read.schema(CONTENT_EMBEDDINGS).parquet(str(tmp_path / "b2" / "content_embeddings"))
     assert rows(vectors, "id_page") == [(job.page_ids[0],)]
     run.main(["batch", "--tables", str(fourth), "--mode", "status", "--registry", str(tmp_path / "b2" / "registry"), *at])
@@ -67,6 +69,10 @@ def test_every_stage_in_turn(spark, tmp_path, capsys):
     run.main(["report", "--tables", str(last)])
     printed = capsys.readouterr().out
     assert "a.com" in printed and "pages_with_embeddings" in printed
+    run.main(["audit", "--tables", str(last), "--dim", "16"])
+    assert capsys.readouterr().out == "Violations\ntable\trule\tcount\n(0 rows)\n"
+    run.main(["audit", "--tables", str(last), "--dim", "5", "--out", str(tmp_path / "a")])
+    assert "content_embeddings" in capsys.readouterr().out and spark.read.parquet(str(tmp_path / "a" / "violations")).count() == 1
 
 
 def test_reports_are_printed_whole(spark, capsys):
