@@ -335,9 +335,9 @@ def crawl_tables_scan(t: Tables) -> DataFrame:
 
 
 def _stream(t: Tables, name: str) -> DataFrame:
-    """A given table as a stream of its file."""
+    """A given table, a file or a folder of files, as a stream; the pattern serves both."""
     schema = t(name).schema
-    return t.spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(t.sf_dir)
+    return t.spark.readStream.schema(schema).parquet(f"{t.sf_dir}/{name}.parquet*")
 
 
 @case("stream_page_discovery", """

@@ -298,3 +298,19 @@ def test_reports_on_empty_tables(spark, as_of):
     assert made["summary"].first().asDict() == {
         "total_pages": 0, "pages_in_news_pages_content": 0, "pages_with_non_empty_content": 0, "pages_with_embeddings": 0,
         "min_publication_date": None, "max_publication_date": None}
+
+
+@pytest.mark.parametrize("files", [0, 3])
+def test_given_table_streams_whole_as_file_or_folder(spark, tmp_path, files):
+    from crosscheck.registry import Tables
+    from crosscheck.stages import _stream
+
+    given = "/root/testdata/sf0.001/documents.parquet"
+    if files:
+        spark.read.parquet(given).repartition(files).write.parquet(str(tmp_path / "documents.parquet"))
+    else:
+        (tmp_path / "documents.parquet").symlink_to(given)
+    out = str(tmp_path / "out")
+    read = _stream(Tables(spark, str(tmp_path)), "documents").select("doc_id").writeStream.format("parquet")
+    read.option("path", out).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination(120)
+    assert rows(spark.read.parquet(out), "doc_id") == rows(spark.read.parquet(given), "doc_id")
