@@ -2,23 +2,29 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from presslake.functions.vectors import METRICS
 from presslake.operators.audit import EMBEDDING_DIM, vector_dim_check
 
 __all__ = ["embed_texts", "semantic_topk", "semantic_topk_many", "vector_dim_check"]
 
-# Rows and queries in a block, about: what one task holds.
+# Rows and queries that meet in one matrix product.
 ROW_BLOCK, QUERY_BLOCK = 8192, 1024
+# Numbers in the queries that one task holds, about.
+QUERY_NUMBERS = 1 << 24
 
 
 def embed_texts(
@@ -87,17 +93,131 @@ def semantic_topk(
     return scored.orderBy(F.desc("score") if larger else F.asc("score"), F.asc(id_col)).limit(k)
 
 
-def _scores(vectors: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarray:
-    """Scores of every query (row) against every vector (column)."""
-    products = queries @ vectors.T
-    if metric == "ip":
-        return products
-    if metric == "cosine":
-        lengths = np.linalg.norm(queries, axis=1)[:, None] * np.linalg.norm(vectors, axis=1)[None, :]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            return np.where(lengths > 0, products / lengths, np.nan)
-    squares = (queries**2).sum(1)[:, None] + (vectors**2).sum(1)[None, :] - 2 * products
-    return np.sqrt(np.maximum(squares, 0.0))
+class _Vectors:
+    """Vectors in double precision, their lengths, and the form whose products stand for the metric."""
+
+    def __init__(self, whole: np.ndarray, metric: str) -> None:
+        self.whole, self.lengths = whole, np.sqrt((whole * whole).sum(axis=1))
+        with np.errstate(all="ignore"):
+            self.form = (whole / self.lengths[:, None]).astype("float32") if metric == "cosine" else whole
+        self.apt = np.isfinite(self.form).all(axis=1) if metric == "cosine" else np.ones(len(whole), dtype=bool)
+
+
+class _Nearest:
+    """For the queries of a task the ``k`` best rows so far, as blocks of rows pass by.
+
+    One matrix product a block gives ranks (larger is nearer) with a bound on their error; pairs that may be among the
+    best are scored again one by one in double precision, so equal vectors have equal scores wherever they lie.
+    """
+
+    def __init__(self, queries: np.ndarray, k: int, metric: str, sizes: tuple[int, int]) -> None:
+        self.k, self.metric, self.larger, self.sizes = k, metric, METRICS[metric][1], sizes
+        self.asked = _Vectors(queries, metric)
+        # Rank of the k-th best, once there is one; what has no direction takes no part.
+        self.least = np.where(self.asked.apt, -np.inf, np.inf)
+        self.best = pd.DataFrame({"q": np.zeros(0, "int64"), "score": np.zeros(0), "id": []})
+
+    def _ranks(self, q: slice, rows: _Vectors) -> tuple[np.ndarray, np.ndarray]:
+        near, dim = self.asked.form[q] @ rows.form.T, self.asked.whole.shape[1]
+        if self.metric == "cosine":
+            return near, np.full((len(near), 1), np.float32((dim + 8) * 2.0**-23))
+        ours, theirs = self.asked.lengths[q, None], rows.lengths
+        if self.metric == "ip":
+            return near, (dim + 8) * 2.0**-50 * ours * theirs.max()
+        return 2 * near - ours**2 - theirs**2, (dim + 8) * 2.0**-50 * (ours + theirs.max()) ** 2
+
+    def _scored(self, q: np.ndarray, rows: _Vectors, r: np.ndarray) -> np.ndarray:
+        scores, step = np.empty(len(q)), max(1, (1 << 21) // max(1, rows.whole.shape[1]))
+        for at in range(0, len(q), step):
+            a, b = q[at : at + step], r[at : at + step]
+            left, right = self.asked.whole[a], rows.whole[b]
+            if self.metric == "l2":
+                scores[at : at + step] = np.sqrt(((left - right) ** 2).sum(axis=1))
+            else:
+                scores[at : at + step] = (left * right).sum(axis=1)
+                if self.metric == "cosine":
+                    scores[at : at + step] /= self.asked.lengths[a] * rows.lengths[b]
+        return scores
+
+    def _top(self, found: pd.DataFrame) -> pd.DataFrame:
+        ordered = found.sort_values(["q", "score", "id"], ascending=[True, not self.larger, True], ignore_index=True)
+        return ordered[ordered.groupby("q", sort=False).cumcount() < self.k]
+
+    def meet(self, whole: np.ndarray, ids: pd.Series) -> None:
+        """Bring rows to all queries."""
+        for start in range(0, len(whole), self.sizes[1]):
+            part = slice(start, start + self.sizes[1])
+            with np.errstate(all="ignore"):
+                self._meet_block(_Vectors(whole[part], self.metric), ids[part].reset_index(drop=True))
+
+    def _meet_block(self, rows: _Vectors, ids: pd.Series) -> None:
+        found = [self.best]
+        for at in range(0, len(self.least), self.sizes[0]):
+            q = slice(at, at + self.sizes[0])
+            near, bound = self._ranks(q, rows)
+            least = self.least[q]
+            if self.k <= near.shape[1] and np.isneginf(least).any():
+                # The k-th best of the block, less its error, holds for a query as well. NaN sorts last: it must not count.
+                sure = np.where(np.isnan(near), -np.inf, near)
+                least = np.maximum(least, np.partition(sure, -self.k, axis=1)[:, -self.k] - bound[:, 0])
+            pairs = ~(near < (least[:, None] - bound).astype(near.dtype)) & rows.apt & self.asked.apt[q, None]
+            who, row = np.nonzero(pairs)
+            scores = self._scored(who + at, rows, row)
+            fine = ~np.isnan(scores)
+            if fine.any():
+                found.append(self._top(pd.DataFrame({"q": who[fine] + at, "score": scores[fine], "id": ids.take(row[fine]).to_numpy()})))
+        if len(found) == 1:
+            return
+        self.best = self._top(pd.concat([f for f in found if len(f)], ignore_index=True))
+        last = self.best[self.best.groupby("q", sort=False).cumcount() == self.k - 1]
+        rank = last["score"].to_numpy()
+        self.least[last["q"].to_numpy()] = rank if self.larger else -(rank**2)
+
+
+def _numbers(column: pa.Array, dim: int | None = None) -> np.ndarray:
+    lengths = set(pc.unique(pc.list_value_length(column)).to_pylist()) | ({dim} if dim is not None else set())
+    if len(lengths) > 1:
+        raise ValueError("vectors of different lengths")
+    return column.flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(len(column), -1)
+
+
+def _search(k: int, metric: str, sizes: tuple[int, int], kinds: tuple[pa.DataType, pa.DataType]):
+    """Rows ``(turn, query_id, id, vector)`` in order, ``turn`` being twice the cell and one more for rows: a cell's
+    queries are held, its rows pass by."""
+    def found(nearest: _Nearest, names: pa.Array) -> Iterator[pa.RecordBatch]:
+        best = nearest.best
+        for at in range(0, len(best), 1 << 16):
+            part = best[at : at + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([
+                names.take(pa.array(part["q"].to_numpy())).cast(kinds[0]), pa.array(part["id"].tolist(), kinds[1]), pa.array(part["score"].to_numpy()),
+            ], names=["query_id", "id", "score"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, waiting, nearest, names = None, [], None, None
+        for batch in batches:
+            turns = batch.column(0).to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(turns)) + 1).tolist(), len(turns)]
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
+                    continue
+                (here, is_row), part = divmod(int(turns[a]), 2), batch.slice(a, b - a)
+                if here != cell:
+                    if nearest is not None:
+                        yield from found(nearest, names)
+                    cell, waiting, nearest = here, [], None
+                if not is_row:
+                    waiting.append(part)
+                    continue
+                if nearest is None:
+                    if not waiting:
+                        continue
+                    names = pa.concat_arrays([w.column(1) for w in waiting])
+                    nearest, waiting = _Nearest(_numbers(pa.concat_arrays([w.column(3) for w in waiting])), k, metric, sizes), []
+                ids = part.column(2).to_pandas(integer_object_nulls=True)
+                nearest.meet(_numbers(part.column(3), nearest.asked.whole.shape[1]), ids)
+        if nearest is not None:
+            yield from found(nearest, names)
+    return run
 
 
 def semantic_topk_many(
@@ -106,44 +226,40 @@ def semantic_topk_many(
 ) -> DataFrame:
     """The ``k`` nearest rows of each query: ``(query_id, id, score)``, for any number of queries.
 
-    ``queries`` has ``query_id`` and the vector column. Queries and rows are cut
-    into blocks of bounded size; every query block meets every row block in a
-    task, which scores them by one matrix product and hands on only its best
-    ``k`` per query. NULL vectors are passed over; vectors of different lengths
-    are an error.
+    ``queries`` has ``query_id`` and the vector column. Queries and rows are dealt
+    over a grid that has a few tasks for each core, whatever the size of the
+    tables; only where a task would hold more than ``QUERY_NUMBERS`` numbers are
+    there more lines of it. A task holds its queries and lets its rows pass, in
+    blocks that meet by one matrix product each; it hands on the best ``k`` per
+    query. NULL vectors are passed over; vectors of different lengths are an
+    error.
     """
-    larger = METRICS[metric][1]
-    rows = _blocks(df.select(id_col, vector_col), id_col, vector_col, ROW_BLOCK, "_row_block")
-    asked = _blocks(queries.select(query_col, vector_col), query_col, vector_col, QUERY_BLOCK, "_query_block")
-    row_blocks, query_blocks = (max(1, d.agg(F.max(c)).first()[0] or 0) + 1 for d, c in ((rows, "_row_block"), (asked, "_query_block")))
-    rows = rows.withColumn("_query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-    asked = asked.withColumn("_row_block", F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1))))
-
-    def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({query_col: right[query_col][:0], id_col: left[id_col][:0], "score": np.zeros(0)})
-        names, ids = right[query_col].to_numpy(), left[id_col].to_numpy()
-        if len({len(v) for v in left[vector_col]} | {len(v) for v in right[vector_col]}) > 1:
-            raise ValueError("vectors of different lengths")
-        scores = _scores(*(np.stack(d[vector_col].to_numpy()).astype("float64") for d in (left, right)), metric)
-        rank = np.nan_to_num(scores if larger else -scores, nan=-np.inf)
-        # Everything at least as good as the k-th best, so ties stay in.
-        least = min(k, rank.shape[1])
-        floor = np.partition(rank, -least, axis=1)[:, -least]
-        query, row = np.nonzero((rank >= floor[:, None]) & np.isfinite(rank))
-        found = pd.DataFrame({query_col: names[query], id_col: ids[row], "score": scores[query, row]})
-        return found.sort_values([query_col, "score", id_col], ascending=[True, not larger, True]).groupby(query_col, sort=False).head(k)
-
-    types = {c: d.schema[c].dataType.simpleString() for d, c in ((df, id_col), (queries, query_col))}
-    met = rows.groupBy("_query_block", "_row_block").cogroup(asked.groupBy("_query_block", "_row_block"))
-    scored = met.applyInPandas(best, f"{query_col} {types[query_col]}, {id_col} {types[id_col]}, score double")
+    spark, larger = df.sparkSession, METRICS[metric][1]
+    kind = "array<float>" if all(d.schema[vector_col].dataType.simpleString() == "array<float>" for d in (df, queries)) else "array<double>"
+    rows, asked = (
+        d.select(F.col(c).alias("_key"), F.col(vector_col).cast(kind).alias("_vector")).where("_vector is not null")
+        for d, c in ((df, id_col), (queries, query_col))
+    )
+    n = rows.count()
+    n_asked, dim = asked.agg(F.count("*"), F.max(F.size("_vector"))).first()
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    lines = max(1, -(-n_asked * (dim or 1) // QUERY_NUMBERS), min(math.ceil(tasks**0.5), -(-n_asked // QUERY_BLOCK)))
+    columns = max(1, min(-(-tasks // lines), -(-n // QUERY_BLOCK)))
+    types = [d.schema[c].dataType for d, c in ((queries, query_col), (df, id_col))]
+
+    def dealt(side: DataFrame, is_row: int) -> DataFrame:
+        own = F.pmod(F.xxhash64("_key"), F.lit(columns if is_row else lines))
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit((lines if is_row else columns) - 1).cast("long")))
+        placed = side.withColumn("_own", own).withColumn("_every", every)
+        cell = F.col("_every") * columns + F.col("_own") if is_row else F.col("_own") * columns + F.col("_every")
+        names = [F.lit(None).cast(types[0]), F.col("_key")] if is_row else [F.col("_key"), F.lit(None).cast(types[1])]
+        return placed.select((2 * cell + is_row).alias("_turn"), names[0].alias("_query"), names[1].alias("_id"), "_vector")
+
+    grid = dealt(asked, 0).unionByName(dealt(rows, 1)).repartitionById(lines * columns, F.expr("_turn div 2").cast("int"))
+    scored = grid.sortWithinPartitions("_turn").mapInArrow(
+        _search(k, metric, (QUERY_BLOCK, ROW_BLOCK), tuple(to_arrow_type(t) for t in types)),
+        f"{query_col} {types[0].simpleString()}, {id_col} {types[1].simpleString()}, score double",
+    )
     order = [F.desc("score") if larger else F.asc("score"), F.asc(id_col)]
     rank = F.row_number().over(Window.partitionBy(query_col).orderBy(*order))
     return scored.withColumn("_rank", rank).where(F.col("_rank") <= k).drop("_rank")
-
-
-def _blocks(df: DataFrame, key: str, vector: str, size: int, name: str) -> DataFrame:
-    """Adds a block number; blocks have about ``size`` rows."""
-    given = df.where(F.col(vector).isNotNull())
-    blocks = max(1, -(-given.count() // size))
-    return given.withColumn(name, F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int"))

@@ -2,8 +2,10 @@
 
 import datetime as dt
 import random
+import re
 
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
@@ -165,3 +167,26 @@ def test_embedding_isolates_failures_and_repeats_itself(spark):
         (1, "ok", [9.0, 1.0]), (2, "skipped", None), (3, "failed", None), (4, "skipped", None), (5, "ok", [9.0, 1.0])]
     stand_in = vectors.embed_texts(df, "id", "t", dim=32)
     assert rows(stand_in, "*") == rows(vectors.embed_texts(df.repartition(3), "id", "t", dim=32), "*")
+
+
+def test_vectors_are_copied_a_bounded_number_of_times(spark):
+    values = np.random.default_rng(1).normal(size=(30_000, 2)).astype("float32")
+    df = spark.createDataFrame(pd.DataFrame({"id_page": range(len(values)), "embedding": values.tolist()}), "id_page bigint, embedding array<float>")
+    asked = df.withColumnRenamed("id_page", "query_id")
+    found = vectors.semantic_topk_many(df, asked, 2)
+    copies = [int(n) for n in re.findall(r"sequence\((?:cast\()?0(?: as bigint\))?, (?:cast\()?(\d+)", found._jdf.queryExecution().analyzed().toString())]
+    assert copies and all(n + 1 <= 2 * spark.sparkContext.defaultParallelism for n in copies)
+    assert found.count() == 60_000
+
+
+@pytest.mark.parametrize("metric", ["cosine", "ip", "l2"])
+def test_equal_vectors_tie_by_id_in_any_block(spark, monkeypatch, metric):
+    dice = np.random.default_rng(4)
+    one, rest = dice.normal(size=33).astype("float32"), dice.normal(size=(90, 33)).astype("float32")
+    values = [(one * (3 if metric == "ip" else 1)).tolist()] * 40 + rest.tolist() + [[0.0] * 33]
+    df = spark.createDataFrame(list(enumerate(values)), "id_page bigint, embedding array<float>").repartition(3)
+    asked = df.where("id_page < 40").withColumnRenamed("id_page", "query_id")
+    monkeypatch.setattr(vectors, "QUERY_BLOCK", 6)
+    monkeypatch.setattr(vectors, "ROW_BLOCK", 7)
+    got = rows(vectors.semantic_topk_many(df, asked, 5, metric), "query_id", "id_page")
+    assert got == sorted(((q, i) for q in range(40) for i in range(5)), key=repr)
