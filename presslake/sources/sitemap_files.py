@@ -2,8 +2,8 @@
 
 ``urlset_scan`` and ``sitemap_index_scan`` parse a body as one string. This source reads files (plain or ``.gz``) in
 pieces, cuts entries out of them and parses each by itself, so a task holds one piece and a batch of entries however
-long a file is. What is broken, be it a cut end or a stray sign, costs the entry it stands in and no other. Each file
-is a partition of its own.
+long a file is. What is broken, be it a cut end or a stray sign, costs the entry it stands in and no other. Small files
+share a partition; a long one has its own.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from presslake.sources.sitemaps import DATE_TAGS
 
 SCHEMA = "file string, kind string, loc string, lastmod_text string, date_texts array<string>"
 PIECE_BYTES, BATCH_ENTRIES = 1 << 20, 4096
+#: Bytes of several files that one task reads at most, and what opening a file counts as.
+PART_BYTES, FILE_COST = 64 << 20, 1 << 16
 #: Bytes of an entry at most; a start tag without an end within them is passed over.
 MOST_ENTRY_BYTES = 1 << 20
 
@@ -90,44 +92,60 @@ def _plain(pieces: Iterator[bytes], gzipped: bool) -> Iterator[bytes]:
             return  # what came before it is good
 
 
-class _File(InputPartition):
-    def __init__(self, name: str) -> None:
-        super().__init__(name)
-        self.name = name
+class _Files(InputPartition):
+    def __init__(self, paths: list[str]) -> None:
+        super().__init__(paths)
+        self.paths = paths
+
+
+def together(files: list[tuple[str, int]], parts: int) -> list[list[str]]:
+    """Files (path and bytes) in groups of about equal cost: ``parts`` of them, or more where one would pass ``PART_BYTES``."""
+    most = min(PART_BYTES, -(-sum(FILE_COST + size for _, size in files) // max(1, parts)))
+    groups, held = [], most
+    for path, size in files:
+        if held + FILE_COST + size > most:
+            groups.append([])
+            held = 0
+        groups[-1].append(path)
+        held += FILE_COST + size
+    return groups
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, files: list[str]) -> None:
-        self.files = files
+    def __init__(self, folder: str, scheme: str, groups: list[list[str]]) -> None:
+        self.folder, self.scheme, self.groups = folder, scheme, groups
 
     def partitions(self) -> list[InputPartition]:
-        return [_File(name) for name in self.files]
+        return [_Files(paths) for paths in self.groups]
 
-    def read(self, partition: _File | None) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: _Files | None) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs as stores
 
         if partition is None:  # a folder without files
             return
-        store, path = stores.FileSystem.from_uri(partition.name)
+        store, _ = stores.FileSystem.from_uri(self.folder)
+        names: list[str] = []
         rows: list[Entry] = []
-        with store.open_input_stream(path, compression=None) as stream:
-            for entry in entries_of(_plain(iter(lambda: stream.read(PIECE_BYTES), b""), path.endswith(".gz"))):
-                rows.append(entry)
-                if len(rows) >= BATCH_ENTRIES:
-                    yield _batch(partition.name, rows)
-                    rows = []
-        yield _batch(partition.name, rows)
-
-
-def _batch(name: str, rows: list[Entry]) -> pa.RecordBatch:
+        for path in partition.paths:
+            with store.open_input_stream(path, compression=None) as stream:
+                for entry in entries_of(_plain(iter(lambda: stream.read(PIECE_BYTES), b""), path.endswith(".gz"))):
+                    names.append(f"{self.scheme}://{path}")
+                    rows.append(entry)
+                    if len(rows) >= BATCH_ENTRIES:
+                        yield _batch(names, rows)
+                        names, rows = [], []
+        yield _batch(names, rows)
+
+
+def _batch(names: list[str], rows: list[Entry]) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) or [()] * 4
     kinds = (pa.string(), pa.string(), pa.string(), pa.list_(pa.string()))
-    arrays = [pa.array([name] * len(rows), pa.string()), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))]
+    arrays = [pa.array(names, pa.string()), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))]
     return pa.RecordBatch.from_arrays(arrays, names=["file", "kind", "loc", "lastmod_text", "date_texts"])
 
 
 class SitemapEntries(DataSource):
-    """Option ``path``: a folder of sitemap files, or one file."""
+    """Option ``path``: a folder of sitemap files, or one file; ``parts``: tasks that share small files."""
 
     @classmethod
     def name(cls) -> str:
@@ -140,14 +158,16 @@ class SitemapEntries(DataSource):
         from pyarrow import fs as stores
 
         path = self.options["path"]
-        store, root = stores.FileSystem.from_uri(path if ":/" in path else f"file://{path}")
+        folder = path if ":/" in path else f"file://{path}"
+        store, root = stores.FileSystem.from_uri(folder)
         info = store.get_file_info(root)
         found = [info] if info.is_file else store.get_file_info(stores.FileSelector(root, recursive=True))
-        scheme = path.split(":", 1)[0] if ":/" in path else "file"
-        return _Reader(sorted(f"{scheme}://{f.path}" for f in found if f.is_file and not f.base_name.startswith((".", "_"))))
+        files = sorted((f.path, f.size or 0) for f in found if f.is_file and not f.base_name.startswith((".", "_")))
+        return _Reader(folder, folder.split(":", 1)[0], together(files, int(self.options.get("parts", "64"))))
 
 
 def read_sitemap_files(spark: SparkSession, folder: str) -> DataFrame:
     """``file, kind, loc, lastmod_text, date_texts`` of every entry with an address; ``kind`` is page or sitemap."""
     spark.dataSource.register(SitemapEntries)
-    return spark.read.format("sitemap_entries").load(folder)
+    parts = 4 * spark.sparkContext.defaultParallelism
+    return spark.read.format("sitemap_entries").option("parts", str(parts)).load(folder)

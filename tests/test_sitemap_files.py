@@ -62,3 +62,14 @@ def test_files_of_a_folder(spark, tmp_path):
     (tmp_path / "none").mkdir()
     assert read_sitemap_files(spark, str(tmp_path / "none")).count() == 0
     assert read_sitemap_files(spark, f"file://{tmp_path}/in/a.xml").count() == 2
+
+
+def test_small_files_share_tasks(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for i in range(300):
+        (tmp_path / f"in/{i} %41.xml").write_bytes(b"<urlset>" + PAGE % i + b"</urlset>")
+    (tmp_path / "in/long.xml").write_bytes(b"<urlset>" + b"".join(PAGE % i for i in range(1000, 100_000)) + b"</urlset>")
+    found = read_sitemap_files(spark, str(tmp_path / "in"))
+    assert found.rdd.getNumPartitions() <= 6 * spark.sparkContext.defaultParallelism
+    assert {r.loc for r in found.collect()} == {f"https://a/{i}" for i in [*range(300), *range(1000, 100_000)]}
+    assert found.where("loc = 'https://a/7'").first().file == f"file://{tmp_path}/in/7 %41.xml"
