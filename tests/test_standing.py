@@ -66,3 +66,15 @@ def test_lines_of_earlier_runs_are_gone(spark, tmp_path):
         parts += rows(text.text_dedup_blocks(part, "id", "t", seen, run), "*")
         assert rows(text.text_dedup_blocks(part, "id", "t", seen, run), "*") == parts[-(high - low + 1) :]  # run again
     assert sorted(parts, key=repr) == whole and seen.rows().count() == 4
+
+
+def test_standing_queries_hand_no_texts_to_their_runs(spark, monkeypatch):
+    from crosscheck.registry import Tables
+    from crosscheck.reports import _standing
+
+    given = []
+    monkeypatch.setattr(standing, "page_states", lambda *tables, made=standing.page_states: given.append(tables[1]) or made(*tables))
+    t = Tables(spark, "/root/testdata/sf0.001")
+    funnel, sitemaps = _standing(t)
+    assert len(given) == 5 and all(c.columns == ["id_page", "text_chars"] and "Join" not in plan(c) for c in given)
+    assert rows(funnel.domain_stats(sitemaps), "*") == rows(reports.domain_stats(*t.crawl()), "*")
