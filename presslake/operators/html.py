@@ -9,11 +9,18 @@ one in ``presslake.operators.html_walk``, runs over Arrow batches through ``fn``
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import pairwise
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Bytes of HTML that an extractor of one's own is given at once, about.
+PIECE_BYTES = 1 << 20
+
 # Elements dropped with all they contain.
 FURNITURE = ["head", "script", "style", "noscript", "template", "svg", "iframe", "nav", "aside",
              "header", "footer", "form", "button", "figure"]
@@ -115,10 +122,21 @@ def html_extract(
     if fn is None:
         return df.select(id_col, html_text(F.col(html_col)).alias("content"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = fn(batch[html_col])
-            yield pd.DataFrame({id_col: batch[id_col], "content": texts.where(texts != "", None)})
+            for part in _pieces(batch):
+                texts = fn(part.column(1).to_pandas())
+                content = pa.array(texts.where(texts != "", None), pa.string(), from_pandas=True)
+                yield pa.RecordBatch.from_arrays([part.column(0), content], names=[id_col, "content"])
 
     id_type = df.schema[id_col].dataType.simpleString()
-    return df.select(id_col, html_col).mapInPandas(run, f"{id_col} {id_type}, content string")
+    return df.select(id_col, html_col).mapInArrow(run, f"{id_col} {id_type}, content string")
+
+
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Cuts a batch of any length into pieces of about ``PIECE_BYTES`` of HTML; a longer page is a piece of its own."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy())
+    cuts = np.flatnonzero(np.diff(ends // PIECE_BYTES)) + 1
+    for a, b in pairwise([0, *cuts.tolist(), batch.num_rows]):
+        if a < b:
+            yield batch.slice(a, b - a)

@@ -381,3 +381,15 @@ def test_every_kind_of_violation(spark):
         ("news_pages", "reference id_sitemap", "7"), ("news_pages", "required id_sitemap", "1"), ("news_pages", "required page_url", "2"),
         ("news_pages", "unique id_page", "1"), ("sitemaps", "reference parent_id", "9"), ("sitemaps", "required domain", "1"),
         ("sitemaps", "required is_master", "1"), ("sitemaps", "unique sitemap_url", "u")]
+
+
+def test_an_extractor_is_given_pages_in_pieces(spark):
+    page = F.when(F.col("id") % 100 == 7, None).otherwise(F.concat(F.lit("<p>"), F.repeat(F.lit("x"), 5000), F.lit("</p>"), F.col("id").cast("string")))
+    pages = spark.range(0, 2000, 1, 1).select("id", page.alias("h"))
+
+    def sized(series):
+        return series.map(lambda h: None if h is None else "" if h.endswith("</p>3") else f"{len(series)} {h[5007:]}", na_action=None)
+
+    found = {r.id: r.content for r in html.html_extract(pages, "id", "h", fn=sized).collect()}
+    assert len(found) == 2000 and found[7] is None and found[3] is None
+    assert all(int(c.split()[0]) < 400 and c.split()[1] == str(i) for i, c in found.items() if c)
