@@ -12,6 +12,9 @@ from presslake.functions.tokens import MAX_TOKENS, TOKEN_PATTERN, WORD_PATTERN,
 from presslake.operators.key_filters import FilteredTable, absent_filtered
 from presslake.session import materialize
 
+#: Bytes of text that meet the places of their lines in one task.
+TASK_BYTES = 32 << 20
+
 
 def text_dedup_blocks(
     df: DataFrame, id_col: str, text_col: str, seen: FilteredTable | None = None, run: int | None = None,
@@ -24,7 +27,8 @@ def text_dedup_blocks(
 
     Only a digest, the id and the place of a line are shuffled. A line that
     stands in very many documents shrinks to one row per task beforehand. Texts
-    are joined back once, by id.
+    are joined back once, by id, in as many tasks as their bytes ask for
+    (``TASK_BYTES``), which are counted first.
 
     With ``seen`` (see ``lines_seen``) lines of earlier runs count as well: what a
     run below ``run`` has kept goes from every later one. The lines of this run are
@@ -45,9 +49,17 @@ def text_dedup_blocks(
         named = first.select(F.hex("_digest").alias("digest"), id_col, "_place")
         first = materialize(absent_filtered(named, earlier), "new-lines")
         earlier.append(first.select("digest", F.col(id_col).cast("bigint").alias("id")))
-    kept = first.groupBy(id_col).agg(F.sort_array(F.collect_list("_place")).alias("_places"))
+    size = df.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
+    # The hash deals texts without an id over all tasks. It also keeps a union of runs from reading the same part of each
+    # run in one task, as Spark does where results are known to lie by the same key.
+    key = [id_col, "_hash"]
+    own = F.xxhash64(id_col)
+    placed_texts = docs.withColumn("_hash", F.when(F.col(id_col).isNull(), F.xxhash64("_lines")).otherwise(own)).repartition(tasks, *key)
+    places = first.select(id_col, "_place", own.alias("_hash")).repartition(tasks, *key)
+    kept = places.groupBy(*key).agg(F.sort_array(F.collect_list("_place")).alias("_places"))
     text = F.array_join(F.transform("_places", lambda place: F.get(F.col("_lines"), place)), "\n")
-    return docs.join(kept, id_col, "left").select(id_col, F.coalesce(text, F.lit("")).alias(text_col))
+    return placed_texts.join(kept, key, "left").select(id_col, F.coalesce(text, F.lit("")).alias(text_col))
 
 
 def lines_seen(spark: SparkSession, path: str, buckets: int = 1024, lines_per_bucket: int = 65_536) -> FilteredTable:

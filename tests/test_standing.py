@@ -68,6 +68,24 @@ def test_lines_of_earlier_runs_are_gone(spark, tmp_path):
     assert sorted(parts, key=repr) == whole and seen.rows().count() == 4
 
 
+def test_texts_meet_their_lines_in_tasks_of_bounded_size(shuffled_joins, tmp_path, monkeypatch):
+    """However few shuffle partitions a session has; a union of runs reads one run in a task."""
+    spark = shuffled_joins
+    docs = spark.range(4000).select("id", F.concat(F.lit("a\n"), F.repeat(F.sha2(F.col("id").cast("string"), 256), 16)).alias("t"))
+    docs = docs.unionByName(spark.range(2000).select(F.lit(None).cast("bigint").alias("id"), F.repeat(F.sha2(F.concat(F.lit("n"), "id"), 256), 16).alias("t")))
+    docs.write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    monkeypatch.setattr(text, "TASK_BYTES", 1 << 18, raising=False)
+    seen, done = text.lines_seen(spark, str(tmp_path / "lines"), 4, 4000), None
+    for run, part in enumerate([docs.where("id < 2000"), docs.where("id >= 2000 or id is null")]):
+        made = text.text_dedup_blocks(part, "id", "t", seen, run)
+        done = made if done is None else done.unionByName(made)
+    sizes = done.rdd.mapPartitions(lambda batch: [sum(1 for _ in batch)]).collect()
+    assert len(sizes) >= 24 and sum(sizes) == 6000 and max(sizes) < 600
+    assert done.where("id is null and t = ''").count() == 2000 and done.where("id = 0 and t like 'a\n%'").count() == 1
+    assert done.where("id > 0 and length(t) = 1024").count() == 3999
+
+
 def test_standing_queries_hand_no_texts_to_their_runs(spark, monkeypatch):
     from crosscheck.registry import Tables
     from crosscheck.reports import _standing
