@@ -15,20 +15,27 @@ import time
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from presslake.operators.batches import results_ok
 from presslake.operators.merge import numbered_pages
 from presslake.schemas import NEWS_PAGES, RESULT_LINE
+from presslake.session import remove_path
 from presslake.sources.jobs import result_rows
-from presslake.streaming.generations import BASE, FOLD_EVERY, create_once, fold, parts
+from presslake.streaming.generations import BASE, FOLD_EVERY, create_once, fold, names_in, parts
 
 _TOPS = "top bigint"
 _VECTORS = "id_page bigint, embedding array<float>"
 _TOTALS = "domain string, successful bigint, failed bigint, total_bytes bigint"
+_FIRST = "page_url string, id_sitemap bigint, publication_date timestamp"
+#: Groups that the URLs of a stream without a span are dealt to; a checkpoint keeps the number it began with.
+URL_BUCKETS = 4096
 
 
 def _age() -> Column:
@@ -63,17 +70,29 @@ def _write_top(spark: SparkSession, root: str, stream: str, batch_id: int) -> No
     _write_part(part.agg(F.max("id_page").alias("top")), f"{root.rstrip('/')}-tops", stream, batch_id)
 
 
+def _kept_line(spark: SparkSession, path: str, text: str) -> str:
+    """The line of a small file, created with ``text`` if it isn't there."""
+    create_once(spark, path, text)
+    line = spark.read.text(path).first()
+    if line is None:
+        raise RuntimeError(f"{path} is empty, its writer was cut off: remove it and start the stream again")
+    return line[0]
+
+
 def _stream_name(spark: SparkSession, checkpoint: str) -> str:
     """A stream's name, kept beside its checkpoint: the time of its first start and a random part.
 
     The file is created once, so of two first starts both take the name of the one that came first.
     """
-    path = f"{checkpoint.rstrip('/')}-name"
-    create_once(spark, path, f"{time.time_ns()}-{uuid.uuid4().hex[:8]}")
-    line = spark.read.text(path).first()
-    if line is None:
-        raise RuntimeError(f"{path} is empty, its writer was cut off: remove it and start the stream again")
-    return line[0]
+    return _kept_line(spark, f"{checkpoint.rstrip('/')}-name", f"{time.time_ns()}-{uuid.uuid4().hex[:8]}")
+
+
+def _url_buckets(spark: SparkSession, checkpoint: str) -> int | None:
+    """Buckets of a stream's URLs, kept beside its checkpoint; None for one begun when state was dealt by URL."""
+    path = f"{checkpoint.rstrip('/')}-buckets"
+    if names_in(spark, f"{checkpoint.rstrip('/')}/offsets") and not names_in(spark, path):
+        return None
+    return int(_kept_line(spark, path, f"{URL_BUCKETS}"))
 
 
 def _start(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None], mode: str = "append") -> StreamingQuery:
@@ -83,6 +102,53 @@ def _start(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int],
     )
 
 
+class _BucketSightings(StatefulProcessor):
+    """Gives the URLs of a bucket that are seen for the first time; none is forgotten.
+
+    A call, its Arrow batches and its key cost far more than a look into the state, so a bucket shares them.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.known = handle.getMapState("known", "page_url string", "known boolean")
+
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
+        self.known.updateValue((initialState.page_url,), (True,))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        best: dict[str, tuple] = {}
+        for row in rows:
+            order = (row.date_us is None, row.date_us or 0, row.id_sitemap is None, row.id_sitemap or 0)
+            if row.page_url not in best or order < best[row.page_url]:
+                best[row.page_url] = order
+        for url, (no_date, date_us, no_sitemap, sitemap) in best.items():
+            if not self.known.containsKey((url,)):
+                self.known.updateValue((url,), (True,))
+                yield Row(page_url=url, id_sitemap=None if no_sitemap else sitemap, date_us=None if no_date else date_us)
+
+
+def _best_of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each URL the best row of a batch: a URL that very many rows hold reaches the state a few times only."""
+    for batch in batches:
+        order = pc.sort_indices(batch, [(c, "ascending") for c in ("page_url", "date_us", "id_sitemap")], null_placement="at_end")
+        ordered = batch.take(order)
+        urls = ordered.column("page_url")
+        first = np.ones(len(urls), dtype=bool)
+        first[1:] = pc.not_equal(urls[1:], urls[:-1]).to_numpy(zero_copy_only=False)
+        yield ordered.filter(pa.array(first))
+
+
+def _by_bucket(rows: DataFrame, before: DataFrame, buckets: int) -> DataFrame:
+    """Rows of URLs that are neither among those ``before`` nor in the state, one for each URL."""
+    bucket = F.pmod(F.xxhash64("page_url"), F.lit(buckets)).cast("int").alias("bucket")
+    dealt = rows.select(bucket, "page_url", "id_sitemap", F.unix_micros("publication_date").alias("date_us"))
+    dealt = dealt.mapInArrow(_best_of_batches, "bucket int, page_url string, id_sitemap bigint, date_us bigint")
+    new = dealt.groupBy("bucket").transformWithState(
+        statefulProcessor=_BucketSightings(), outputStructType="page_url string, id_sitemap bigint, date_us bigint", outputMode="append",
+        timeMode="None", initialState=before.select(bucket, "page_url").groupBy("bucket"),
+    )
+    return new.select("page_url", "id_sitemap", F.timestamp_micros("date_us").alias("publication_date"))
+
+
 class _FirstSightings(StatefulProcessor):
     """Gives a URL the first time it is seen; a URL not seen for ``keep_ms`` is forgotten."""
 
@@ -135,11 +201,11 @@ def stream_page_discovery(
 ) -> StreamingQuery:
     """Add the pages of a stream (``page_url, id_sitemap, publication_date``) whose URL is not stored yet.
 
-    The URLs seen are the stream's own state, kept in its checkpoint by RocksDB and dealt by URL; a stream with a new
-    checkpoint takes what is stored into its state once. After that no micro-batch reads any stored page: of older
-    folders only the highest id is looked up, one row each.
+    The URLs seen are the stream's own state, kept in its checkpoint by RocksDB and dealt by buckets of URLs; a stream
+    with a new checkpoint takes what is stored into its state once. After that no micro-batch reads any stored page: of
+    older folders only the highest id is looked up, one row each. A checkpoint whose state was dealt by URL goes on so.
 
-    With ``keep`` the stream has a column ``seen_at``. A row that is ``late`` behind the newest one of the micro-batches
+    With ``keep`` the stream has a column ``seen_at`` and its state is dealt by URL. A row that is ``late`` behind the newest one of the micro-batches
     before is dropped and counts as neither added nor seen. A URL that isn't seen again for ``keep`` leaves the state
     (never before the watermark has passed that time), so the state holds the URLs of that span; one that comes back
     later is taken for new.
@@ -150,18 +216,26 @@ def stream_page_discovery(
     rows = found.select(*columns) if keep is None else found.select(*columns).withWatermark("seen_at", late)
     rows = rows.where("page_url is not null")
     before = parts(spark, root, NEWS_PAGES).where(F.col("stream") != name).select("page_url").distinct()
-    state = _FirstSightings(None if keep is None else int(keep.total_seconds() * 1000))
-    new = rows.groupBy("page_url").transformWithStateInPandas(
-        statefulProcessor=state, outputStructType="page_url string, id_sitemap bigint, publication_date timestamp", outputMode="append",
-        timeMode="None" if keep is None else "EventTime", initialState=before.groupBy("page_url"),
-    )
+    buckets = _url_buckets(spark, checkpoint) if keep is None else None
+    if buckets:
+        new = _by_bucket(rows, before, buckets)
+    else:
+        new = rows.groupBy("page_url").transformWithStateInPandas(
+            statefulProcessor=_FirstSightings(None if keep is None else int(keep.total_seconds() * 1000)), outputStructType=_FIRST,
+            outputMode="append", timeMode="None" if keep is None else "EventTime", initialState=before.groupBy("page_url"),
+        )
 
     def each(batch: DataFrame, batch_id: int) -> None:
+        # Numbering reads the rows twice; read from the stream, each time would pass all URLs through the state again.
+        first = f"{checkpoint.rstrip('/')}-first/{batch_id}"
+        batch.write.mode("overwrite").parquet(first)
         own = (F.col("stream") == name) & (F.col("batch_id") >= batch_id)
         tops = parts(batch.sparkSession, f"{root.rstrip('/')}-tops", _TOPS).where(~own)
-        made = numbered_pages(batch, tops.agg(F.coalesce(F.max("top"), F.lit(0))).scalar(), as_of)
+        new = batch.sparkSession.read.schema(_FIRST).parquet(first)
+        made = numbered_pages(new, tops.agg(F.coalesce(F.max("top"), F.lit(0))).scalar(), as_of)
         _write_part(made, root, name, batch_id)
         _write_top(batch.sparkSession, root, name, batch_id)
+        remove_path(batch.sparkSession, first)
         fold(batch.sparkSession, root, NEWS_PAGES, every=fold_every)
         fold(batch.sparkSession, f"{root.rstrip('/')}-tops", _TOPS, _highest, fold_every)
 

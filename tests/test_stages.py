@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 
+import pyarrow as pa
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -232,6 +233,76 @@ def test_a_url_is_forgotten_after_its_span_and_late_rows_are_dropped(spark, tmp_
     assert [g[1] for g in got] == ["u1", "u2", "u3", "u1"] and got[3][2] == 2  # u1 anew, u9 never
 
 
+def _found(spark, source, wave, i, schema=FOUND):
+    spark.createDataFrame(wave, schema).coalesce(1).write.parquet(f"{source}/wave={i}")
+    return spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(source)
+
+
+def _count_calls(spark, monkeypatch, name):
+    """Calls of a processor's input method, counted."""
+    calls, kind = spark.sparkContext.accumulator(0), getattr(incremental, name)
+
+    class Counted(kind):
+        def handleInputRows(self, key, rows, timerValues):
+            calls.add(1)
+            yield from kind.handleInputRows(self, key, rows, timerValues)
+
+    monkeypatch.setattr(incremental, name, Counted)
+    return calls
+
+
+def test_urls_with_a_span_pass_through_the_state_once(spark, tmp_path, monkeypatch):
+    calls = _count_calls(spark, monkeypatch, "_FirstSightings")
+    stream = _found(spark, str(tmp_path / "in"), [(f"u{i % 40}", 1, None, AS_OF) for i in range(60)], 0, f"{FOUND}, seen_at timestamp")
+    incremental.stream_page_discovery(stream, str(tmp_path / "pages"), str(tmp_path / "state"), AS_OF, keep=dt.timedelta(days=5)).awaitTermination(120)
+    assert sorted(r[0] for r in rows(incremental.current_pages(spark, str(tmp_path / "pages")), "id_page")) == list(range(1, 41))
+    assert calls.value == 40 and not list((tmp_path / "state-first").iterdir())
+
+
+def test_page_stream_calls_python_once_a_bucket(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(incremental, "URL_BUCKETS", 5)
+    calls = _count_calls(spark, monkeypatch, "_BucketSightings")
+    incremental.write_base(spark.createDataFrame([(i, 1, f"u{i}", None, True, None) for i in range(100, 150)], NEWS_PAGES), str(tmp_path / "pages"))
+    for i in range(2):  # the second start keeps the number of buckets
+        stream = _found(spark, str(tmp_path / "in"), [(f"u{n}", 1, None) for n in range(200 * (i + 1))], i)
+        incremental.stream_page_discovery(stream, str(tmp_path / "pages"), str(tmp_path / "state"), AS_OF).awaitTermination(120)
+        monkeypatch.setattr(incremental, "URL_BUCKETS", 11)
+    got = incremental.current_pages(spark, str(tmp_path / "pages"))
+    assert rows(got, "page_url") == sorted([(f"u{i}",) for i in range(400)], key=repr)
+    assert calls.value == 10 and constraint_audit({"news_pages": got}).count() == 0
+
+
+def test_page_stream_takes_the_earliest_date_then_the_smallest_sitemap(spark, tmp_path):
+    day, far, large = dt.datetime(2025, 1, 2), dt.datetime(9999, 12, 31, 23, 59, 59, 999999), 2**53 + 1
+    wave = [("u1", 9, None), ("u1", None, day), ("u1", large, day), ("u1", 1, far), ("u2", None, None), ("u3", 7, far), ("", 1, dt.datetime(1, 1, 2)), (None, 1, day)]
+    stream = _found(spark, str(tmp_path / "in"), wave * 50, 0)
+    incremental.stream_page_discovery(stream, str(tmp_path / "pages"), str(tmp_path / "state"), AS_OF).awaitTermination(120)
+    got = incremental.current_pages(spark, str(tmp_path / "pages")).selectExpr("page_url", "id_sitemap", "cast(publication_date as string) as d")
+    assert rows(got, "*") == sorted([
+        ("u1", large, "2025-01-02 00:00:00"), ("u2", None, None), ("u3", 7, "9999-12-31 23:59:59.999999"), ("", 1, "0001-01-02 00:00:00")], key=repr)
+
+
+def test_a_url_that_many_rows_hold_reaches_the_state_a_few_times():
+    kinds = pa.schema([("bucket", pa.int32()), ("page_url", pa.string()), ("id_sitemap", pa.int64()), ("date_us", pa.int64())])
+    batch = pa.RecordBatch.from_pydict({
+        "bucket": [1, 1, 1, 2] * 900, "page_url": ["a", "a", "a", "b"] * 900, "id_sitemap": [3, None, 2, None] * 900, "date_us": [None, 5, 5, None] * 900}, kinds)
+    made = list(incremental._best_of_batches(iter([batch, batch.slice(0, 0), batch.slice(0, 1)])))
+    assert [m.to_pylist() for m in made] == [
+        [{"bucket": 1, "page_url": "a", "id_sitemap": 2, "date_us": 5}, {"bucket": 2, "page_url": "b", "id_sitemap": None, "date_us": None}],
+        [], [{"bucket": 1, "page_url": "a", "id_sitemap": 3, "date_us": None}]]
+
+
+def test_a_page_stream_begun_with_state_by_url_goes_on(spark, tmp_path, monkeypatch):
+    root, state, day = str(tmp_path / "pages"), str(tmp_path / "state"), dt.datetime(2025, 1, 1)
+    incremental.write_base(spark.createDataFrame([(50, 1, "u0", None, True, None)], NEWS_PAGES), root)
+    with monkeypatch.context() as before:
+        before.setattr(incremental, "_url_buckets", lambda spark, checkpoint: None)
+        incremental.stream_page_discovery(_found(spark, str(tmp_path / "in"), [("u0", 1, day), ("u1", 1, day)], 0), root, state, AS_OF).awaitTermination(120)
+    incremental.stream_page_discovery(_found(spark, str(tmp_path / "in"), [("u0", 1, day), ("u1", 1, day), ("u2", 2, None)], 1), root, state, AS_OF).awaitTermination(120)
+    assert rows(incremental.current_pages(spark, root), "id_page", "page_url") == [(50, "u0"), (51, "u1"), (52, "u2")]
+    assert not (tmp_path / "state-buckets").exists()
+
+
 def result(page, value, error=None):
     return json.dumps({"custom_id": str(page), "error": error, "response": {"status_code": 200, "body": {"data": [{"embedding": [value]}]}}})
 
