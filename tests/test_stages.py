@@ -303,6 +303,27 @@ def test_a_page_stream_begun_with_state_by_url_goes_on(spark, tmp_path, monkeypa
     assert not (tmp_path / "state-buckets").exists()
 
 
+def test_a_page_micro_batch_cut_off_runs_again(spark, tmp_path, monkeypatch):
+    root, state, write = str(tmp_path / "pages"), str(tmp_path / "state"), incremental._write_part
+    incremental.stream_page_discovery(_found(spark, str(tmp_path / "in"), [("u1", 1, None)], 0), root, state, AS_OF).awaitTermination(120)
+
+    def cut_off(df, place, stream, batch_id):
+        write(df, place, stream, batch_id)
+        raise RuntimeError("cut off")
+
+    with monkeypatch.context() as once:
+        once.setattr(incremental, "_write_part", cut_off)
+        stream = _found(spark, str(tmp_path / "in"), [("u1", 1, None), ("u2", 1, None)], 1)
+        with pytest.raises(Exception, match="cut off"):
+            incremental.stream_page_discovery(stream, root, state, AS_OF).awaitTermination(120)
+    assert list((tmp_path / "state-first").iterdir())
+    _found(spark, str(tmp_path / "in"), [("u2", 1, None), ("u3", 1, None)], 2)
+    for _ in range(2):
+        incremental.stream_page_discovery(stream, root, state, AS_OF).awaitTermination(120)
+    assert rows(incremental.current_pages(spark, root), "id_page", "page_url") == [(1, "u1"), (2, "u2"), (3, "u3")]
+    assert not list((tmp_path / "state-first").iterdir())
+
+
 def result(page, value, error=None):
     return json.dumps({"custom_id": str(page), "error": error, "response": {"status_code": 200, "body": {"data": [{"embedding": [value]}]}}})
 
